@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import line_dedup, ngram_join
+from . import line_dedup, mixing, ngram_join, pieces
 
-MODULES = (line_dedup, ngram_join)
+MODULES = (pieces, mixing, line_dedup, ngram_join)
 
 
 def queries():

@@ -58,3 +58,23 @@ def bounded_sample(df: DataFrame, id_col: str, limit: int, seed: int) -> DataFra
     if total > 4 * limit:
         df = df.filter(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * 2.0 * limit / total) + 1)
     return df.orderBy(h, F.col(id_col)).limit(limit)
+
+
+class Remembered(dict):
+    """What make gave for a key. The half used last survives when the limit is reached."""
+
+    def __init__(self, make, limit: int = 0):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        made = self.old.get(key)
+        if made is None:
+            made = self.make(key)
+        self[key] = made
+        return made
+
+    def trim(self):
+        if len(self) > self.limit // 2:
+            self.old = dict(self)
+            self.clear()
