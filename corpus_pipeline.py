@@ -1,2 +1,60 @@
+"""A training corpus from documents: reject toxic ones, drop shared lines, keep one of each near-duplicate class, mix sources, encode."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarrylight.llm.common import documents, fold, shared_dir
+from quarrylight.llm.line_dedup import dedup_lines
+from quarrylight.llm.mixing import mix_documents
+from quarrylight.llm.ngram_join import jaccard_classes
+from quarrylight.llm.pieces import model_path, piece_digests
+from quarrylight.llm.toxicity import fit_toxicity, score_toxicity
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is graded above 0 with even odds go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold("doc_id", 5) != 0)
+    return score_toxicity(docs, fit_toxicity(documents(spark, sf_dir), labels)).filter(~F.col("toxic")).select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that three documents share stay in the last of them."""
+    kept = dedup_lines(docs).withColumn("text", F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text")))
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays: the one that names it, and of its repeated rows one."""
+    classes = jaccard_classes(docs)
+    kept = classes.filter(F.col("class_id").isNull() | (F.col("class_id") == F.col("doc_id")))
+    return kept.select(*COLUMNS)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Small sources are repeated, twice at most, until the mix is as flat as that allows; no document goes."""
+    return mix_documents(docs).select(*COLUMNS)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the pieces of each text and their decoded text, as digests."""
+    return piece_digests(docs.select("doc_id", "source", "text"), model_path())
+
+
+STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("ngram_jaccard_join", near_duplicates), ("mixing", mixing), ("sentencepiece", encoding)]
+#: Toxicity is learned and pieces come from a vocabulary file: SQL can't express them.
 ORACLE_SQL = None
-run = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

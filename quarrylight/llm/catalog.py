@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, ngram_join, pieces
+from . import line_dedup, mixing, ngram_join, pieces, toxicity
 
-MODULES = (pieces, mixing, line_dedup, ngram_join)
+MODULES = (pieces, mixing, line_dedup, toxicity, ngram_join)
 
 
 def queries():
