@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, ngram_join, pieces, toxicity
+from . import line_dedup, mixing, ngram_join, pieces, quality_classifier, quality_rules, toxicity
 
-MODULES = (pieces, mixing, line_dedup, toxicity, ngram_join)
+MODULES = (quality_rules, pieces, quality_classifier, mixing, line_dedup, toxicity, ngram_join)
 
 
 def queries():
