@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 #: Characters that end a word or are stripped from a line: space, tab, newline, VT, FF, CR.
 BLANKS = " \t\n\x0b\x0c\r"
 
+#: Frequent short words of four languages.
+STOP_WORDS = (
+    "the of and to in is was for that it with as on be at by this from or are an have not",
+    "de la le les et des en un une du que qui dans pour sur par est au avec ne",
+    "der die und das den von zu mit sich des auf für ist im nicht ein eine als auch",
+    "el los las y del se por con para su una al lo como es no más",
+)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, read from the session.

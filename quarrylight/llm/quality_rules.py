@@ -21,15 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
-
-#: Frequent short words of the languages whose text is judged.
-STOP_WORDS = {
-    "the of and to in is was for that it with as on be at by this from or are an have not",
-    "de la le les et des en un une du que qui dans pour sur par est au avec ne",
-    "der die und das den von zu mit sich des auf für ist im nicht ein eine als auch",
-    "el los las y del se por con para su una al lo como es no más",
-}
+from .common import STOP_WORDS, documents, materialize
+
 STOPS = frozenset(w.encode() for line in STOP_WORDS for w in line.split())
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower", "n_bangs", "n_ends", "n_stops", "n_distinct")
 SYMBOLS = [ord(c) for c in "#*$%&|<>"]
