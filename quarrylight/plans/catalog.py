@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-FLAGSHIP = ""
+from . import contacts
+
+MODULES = (contacts,)
+FLAGSHIP = "url_registered_domain"
 
 
 def queries():
-    return {}
+    return {k: f for m in MODULES for k, f in m.QUERIES.items()}
 
 
 def oracle_sql():
-    return {}
+    return {k: s for m in MODULES for k, s in m.ORACLES.items()}
