@@ -55,3 +55,9 @@ def usage_cost(inputs: Column, cached: Column, outputs: Column, prices: tuple[st
     hit = F.least(F.greatest(F.coalesce(cached, F.lit(0)), F.lit(0)), inputs)
     total = (inputs - hit).cast("decimal(18,0)") * p_in + hit.cast("decimal(18,0)") * p_cached + outputs.cast("decimal(18,0)") * p_out
     return F.round((total / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(38,18)"), 8)
+
+
+def wall_seconds(name: str) -> Column:
+    """Seconds since 1970 of a timestamp column's wall time, whatever the session's zone."""
+    c = F.col(name)
+    return F.unix_date(c.cast("date")) * 86400.0 + F.hour(c) * 3600 + F.minute(c) * 60 + F.extract(F.lit("SECOND"), c).cast("double")

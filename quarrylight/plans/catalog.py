@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import contacts
+from . import contacts, runs
 
-MODULES = (contacts,)
+MODULES = (contacts, runs)
 FLAGSHIP = "url_registered_domain"
 
 
