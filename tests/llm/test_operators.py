@@ -1,0 +1,529 @@
+"""Each operator against a brute-force version, and on null, empty, tied, repeated and clashing rows."""
+
+import collections
+import hashlib
+import os
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, score double"
+ODD = [
+    (1, None, None, None, None, "k", 0.5), (2, "", "en", "a", 0, "k", None), (3, "   \n\t\n ", "en", "a", 6, None, None), (4, "word", None, None, 4, None, None),
+    (5, "one two three four five six seven eight nine ten\nshared line of the text number one\n" * 3, "en", "b", 0, None, None),
+    (6, "One two, three four five six seven eight nine ten!\nShared line of the text number one  ", "en", "b", 0, None, None),
+    (7, "  shared LINE of the text number one\nsomething else here entirely, about nothing", "fr", "b", 0, None, None),
+    (8, "word " * 30_000, "de", "c", 0, None, None), (9, "é😀中文 ﬁ\x00 <s> ▁x\r\n", "de", "c", 0, None, None),
+    (10, "same text twice", "es", "c", 0, None, None), (10, "same text twice", "es", "c", 0, None, None), (None, "no id here but the same words as any", None, "c", 0, None, None),
+]
+TESTDATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    return spark.createDataFrame(ODD, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    if not os.path.isdir(TESTDATA):
+        pytest.skip("no test tables")
+    return spark.read.parquet(f"{TESTDATA}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="session")
+def labels(spark):
+    return spark.read.parquet(f"{TESTDATA}/labels.parquet")
+
+
+def same_ids(found, docs):
+    assert sorted(map(str, (r.doc_id for r in found))) == sorted(map(str, (r.doc_id for r in docs.select("doc_id").collect())))
+
+
+# quality rules
+
+
+def naive_measures(text):
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text or "") if w]
+    windows = collections.Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    hit = {j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if line.strip(" \t\n\x0b\x0c\r"):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(hit)
+
+
+def test_measures_by_brute_force(docs):
+    from quarrylight.llm.quality_rules import measure
+
+    rng = random.Random(1)
+    texts = [r.text for r in docs.collect()] + [None, "", " a\x1cb c", *("".join(rng.choice(["a", "b", " ", "\n", "#", "é", "\x0b", " "]) for _ in range(60)) for _ in range(300))]
+    for t in texts:
+        assert measure(t)[:5] == naive_measures(t), repr(t)
+
+
+def test_weak_quality_on_odd_rows(odd, empty):
+    from quarrylight.llm.quality_rules import weak_quality
+
+    rows = weak_quality(odd.select("doc_id", "text", "lang", "n_chars")).collect()
+    same_ids(rows, odd)
+    assert all(r.base_failed and not r.kept for r in rows if r.n_words < 50)
+    assert weak_quality(empty.select("doc_id", "text")).count() == 0
+
+
+def test_em_finds_planted_accuracies():
+    from quarrylight.llm.quality_rules import fit_em
+
+    rng = np.random.default_rng(0)
+    good = rng.random(20_000) < 0.7
+    accuracy = [0.9, 0.8, 0.7, 0.85]
+    votes = np.stack([np.where(rng.random(len(good)) < 0.2, 0, np.where((rng.random(len(good)) < a) == good, 1, -1)) for a in accuracy], 1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    share, log = fit_em(patterns, counts.astype(float))
+    assert abs(share - 0.7) < 0.05
+    for r, a in enumerate(accuracy):
+        assert abs(np.exp(log[1, r, 2]) - 0.8 * a) < 0.05
+
+
+def test_weak_quality_keeps_clean_documents(docs, labels):
+    from quarrylight.llm.quality_rules import weak_quality
+
+    rows = weak_quality(docs.select("doc_id", "text")).join(labels, "doc_id").filter("quality = 1 and not base_failed").collect()
+    assert rows and sum(r.kept for r in rows) >= 0.97 * len(rows)
+
+
+# pieces
+
+
+def test_pieces_equal_the_library(docs):
+    import sentencepiece
+
+    from quarrylight.llm.pieces import Codec, model_path, read_vocabulary
+
+    lib, own = sentencepiece.SentencePieceProcessor(model_file=model_path()), Codec(read_vocabulary(model_path()))
+    rng = random.Random(2)
+    parts = ["a", "the", " ", "  ", "\n", "é", "中", "▁", "\t", "12", "😀", "ing", "##", "́", "ﬁ", "　", "<s>", "\x00", "x" * 40, " " * 17, " " * 40, "http://"]
+    texts = [r.text for r in docs.collect()] + [x[1] or "" for x in ODD] + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    for t in texts:
+        ids = lib.encode(t)
+        assert own.encode(t).tolist() == ids, repr(t[:80])
+        assert own.decode(np.array(ids, np.int32)) == lib.decode(ids)
+    for _ in range(3000):
+        ids = [rng.choice([rng.randint(0, 300), rng.randint(0, 31999)]) for _ in range(rng.randint(0, 12))]
+        assert own.decode(np.array(ids, np.int32)) == lib.decode(ids), ids
+
+
+def test_piece_columns(odd, empty):
+    import sentencepiece
+
+    from quarrylight.llm.pieces import decode_pieces, encode_pieces, model_path, piece_digests
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=model_path())
+    both = decode_pieces(encode_pieces(odd, model_path()), model_path())
+    assert set(both.columns) == {*odd.columns, "ids", "decoded"}
+    for r in both.collect():
+        assert list(r.ids) == lib.encode(r.text or "") and r.decoded == lib.decode(list(r.ids))
+    rows = piece_digests(odd.select("doc_id", "text"), model_path()).collect()
+    want = sorted(hashlib.sha256(",".join(map(str, lib.encode(x[1] or ""))).encode()).hexdigest() for x in ODD)
+    assert sorted(r.ids_sha256 for r in rows) == want
+    assert piece_digests(empty.select("doc_id", "text"), model_path()).count() == 0
+
+
+# token counts
+
+
+def test_token_spans_by_brute_force():
+    import public_tokenizers as P
+
+    from quarrylight.llm.token_counts import RULES, Counter, read_ranks
+
+    counter, rng = Counter(read_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN), random.Random(0)
+    for _ in range(150):
+        t = "".join(rng.choice(["a", " the", "\n", "\n\n", "é", "😀", "中", " foo", "\t"]) for _ in range(30))
+        cuts = sorted(rng.sample(range(len(t) + 1), 4))
+        starts, stops = np.array(cuts[::2]), np.array(cuts[1::2])
+        a, b = counter.spans(t)
+        for rule in RULES:
+            counts, total, crossing, outside = counter.count(t, starts, stops, rule)
+            want, none, cross = [0, 0], 0, 0
+            for s, e in zip(a, b, strict=True):
+                over = [max(0, min(e, q) - max(s, p)) for p, q in zip(starts, stops, strict=True)]
+                touched = [k for k in (0, 1) if over[k]]
+                none += not touched
+                cross += bool(touched) and not any(p <= s and e <= q for p, q in zip(starts, stops, strict=True))
+                if touched:
+                    want[{"majority": int(np.argmax(over)), "first": touched[0], "last": touched[-1]}[rule]] += 1
+            assert counts.tolist() == want and (total, crossing, outside) == (len(a), cross, none)
+
+
+def test_token_counts_on_odd_rows(odd, empty):
+    import public_tokenizers as P
+    import tiktoken
+
+    from quarrylight.llm.token_counts import count_field_tokens, count_tokens, read_ranks
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    plain = tiktoken.Encoding("plain", pat_str=P.PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
+    rows = count_tokens(odd, path, P.PATTERN).collect()
+    same_ids(rows, odd)
+    for r in rows:
+        assert r.n_tokens == len(plain.encode_ordinary(r.text or "")) == sum(r.section_tokens)
+    fields = count_field_tokens(odd.select("doc_id", "lang", "text"), path, P.PATTERN, ["lang", "text"]).collect()
+    assert all(sum(r.section_tokens) + r.n_unassigned == r.n_tokens for r in fields)
+    assert count_tokens(empty, path, P.PATTERN).count() == 0
+    with pytest.raises(ValueError):
+        count_tokens(odd, path, P.PATTERN, rule="none")
+
+
+# classifiers
+
+
+def crc(i):
+    return zlib.crc32(str(i).encode())
+
+
+def test_quality_classifier_held_out(spark, labels):
+    from quarrylight.llm.quality_classifier import op4_quality_classifier
+
+    d = "/root/testdata/sf0.01"
+    rows = op4_quality_classifier(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").collect()
+    assert all(r.held_out == (crc(r.doc_id) % 5 == 0) and r.predicted == (r.score >= 0.3) for r in rows)
+    held = [r for r in rows if r.held_out]
+    pos, neg = [r.score for r in held if r.quality], [r.score for r in held if not r.quality]
+    auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
+    assert auc > 0.95 and np.mean([p >= 0.3 for p in pos]) > 0.95
+
+
+def test_quality_classifier_on_odd_rows(odd, empty, spark):
+    from quarrylight.llm.quality_classifier import fit_quality, score_quality
+
+    labels = spark.createDataFrame([(5, 1), (6, 1), (8, 0), (None, 1), (7, None), (99, 1)], "doc_id bigint, quality int")
+    model = fit_quality(odd, labels)
+    rows = score_quality(odd, model).collect()
+    same_ids(rows, odd)
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert score_quality(odd, fit_quality(odd, labels.limit(0))).count() == len(ODD)
+    assert score_quality(empty, fit_quality(empty, labels)).count() == 0
+
+
+def test_language_held_out(spark):
+    from quarrylight.llm.language_id import op8_language_id
+
+    d = "/root/testdata/sf0.01"
+    rows = op8_language_id(spark, d).join(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    assert all(r.held_out == (crc(r.doc_id) % 3 == 1) for r in rows)
+    assert np.mean([r.lang == r.lang_pred for r in rows if r.held_out]) > 0.97
+
+
+def test_language_on_odd_rows(odd, empty):
+    from quarrylight.llm.language_id import codewords, fit_languages, predict_language
+
+    rows = predict_language(odd, fit_languages(odd)).collect()
+    same_ids(rows, odd)
+    by = {r.doc_id: r for r in rows}
+    assert by[1].lang_pred == by[2].lang_pred == by[3].lang_pred == "und" and by[1].score == 0
+    assert all(r.lang_pred in ("en", "fr", "de", "es", "und") for r in rows)
+    assert predict_language(odd, fit_languages(empty)).filter("lang_pred <> 'und'").count() == 0
+    assert {r.lang_pred for r in predict_language(odd, fit_languages(odd.filter("lang = 'de'"))).collect()} == {"de", "und"}
+    for n in (2, 3, 4, 7, 20):
+        code = codewords(n)
+        assert len(code) == n and len({tuple(x) for x in code.tolist()}) == n
+
+
+def test_toxicity_held_out(spark):
+    from quarrylight.llm.toxicity import op9_toxicity
+
+    d = "/root/testdata/sf0.01"
+    rows = op9_toxicity(spark, d).join(spark.read.parquet(f"{d}/labels.parquet").withColumnRenamed("toxic", "y"), "doc_id").filter("held_out").collect()
+    assert np.mean([r.toxic == bool(r.y) for r in rows]) > 0.9
+    assert all(0 <= r.expected_severity <= 3 for r in rows)
+
+
+def test_toxicity_on_odd_rows(odd, empty, spark):
+    from quarrylight.llm.toxicity import fit_ordinal, fit_toxicity, score_toxicity
+
+    labels = spark.createDataFrame([(5, 1), (6, 1), (7, 1), (8, 0), (10, 0), (None, 1), (4, None)], "doc_id bigint, toxic int")
+    rows = score_toxicity(odd, fit_toxicity(odd, labels)).collect()
+    same_ids(rows, odd)
+    assert not any(r.toxic for r in score_toxicity(odd, fit_toxicity(odd, labels.filter("toxic = 0"))).collect())
+    assert score_toxicity(empty, fit_toxicity(empty, labels)).count() == 0
+    w, theta = fit_ordinal([{0: 1.0 * k} for k in range(4)] * 20, np.array([0, 1, 2, 3] * 20), 1)
+    assert w[0] > 0 and list(theta) == sorted(theta)
+
+
+# mixing
+
+
+def test_mixing_bisection():
+    from quarrylight.llm.mixing import bisect_alpha, cover_budget, entropy, weights
+
+    tokens = [10, 100, 1000]
+    a = bisect_alpha(tokens, max_repeat=2.0)
+    q = weights(tokens, a)
+    repeat = [x * cover_budget(tokens, q) / t for x, t in zip(q, tokens, strict=True)]
+    assert abs(max(repeat) - 2) < 1e-9 and abs(min(repeat) - 1) < 1e-9
+    a = bisect_alpha(tokens, target_entropy=0.8)
+    assert abs(entropy(weights(tokens, a)) - 0.8) < 1e-9
+    assert bisect_alpha([5, 5], max_repeat=1.0) == 0 and bisect_alpha([], 2.0) == 0
+
+
+def test_mixing_covers_and_follows_the_weights(docs):
+    from quarrylight.llm.mixing import mix_documents, mix_plan
+
+    rows = mix_plan(docs).collect()
+    seen = collections.Counter(r.__getitem__("__id") for r in rows)
+    assert set(seen) == {r.doc_id for r in docs.collect()} and max(seen.values()) <= 2
+    tokens, share = collections.Counter(), {}
+    for r in rows:
+        tokens[r["__source"]] += r["__tokens"]
+        share[r["__source"]] = r["target_share"]
+    total, longest = sum(tokens.values()), max(r["__tokens"] for r in rows)
+    assert all(abs(tokens[s] - share[s] * total) <= longest + 0.02 * total for s in tokens)
+    assert mix_documents(docs).count() == len(rows)
+
+
+def test_mixing_budget_below_the_corpus(docs):
+    from quarrylight.llm.mixing import mix_plan
+
+    rows = mix_plan(docs, budget=5000.0, max_repeat=1.5).collect()
+    assert 0.5 * 5000 < sum(r["__tokens"] for r in rows) < 5000 + 20 * max(r["__tokens"] for r in rows)
+    assert all(0 <= r.slot < 1 for r in rows)
+
+
+def test_mixing_on_odd_rows(odd, empty):
+    from quarrylight.llm.mixing import mix_documents
+
+    rows = mix_documents(odd).collect()
+    assert {str(r.doc_id) for r in rows} == {str(x[0]) for x in ODD}
+    assert sum(r.doc_id == 10 for r in rows) % 2 == 0
+    assert mix_documents(empty).count() == 0
+
+
+# fingerprints
+
+
+def naive_signatures(text, stops, chain=2, least=4):
+    import re
+
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    spots = set()
+    count = 0
+    for i, w in enumerate(words):
+        if w in stops:
+            rest = [x for x in words[i + 1 :] if x not in stops][:chain]
+            if len(rest) == chain:
+                spots.add(" ".join(rest))
+                count += 1
+    if count >= least:
+        return spots
+    return {" ".join(words[i : i + chain]) for i in range(len(words) - chain + 1)} or {" ".join(words)}
+
+
+def test_spotsigs_by_brute_force(spark, docs):
+    from quarrylight.llm.common import STOP_WORDS
+    from quarrylight.llm.spotsigs import compare_edits
+
+    stops = {w for line in STOP_WORDS for w in line.split()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = {r.doc_id: r for r in compare_edits(docs).collect()}
+    ids = sorted(texts, reverse=True)
+    assert sorted(rows) == sorted(texts)
+    for i, k in enumerate(ids):
+        t, n = texts[k], texts[ids[(i + 1) % len(ids)]]
+        h = len(t) // 2
+        edited = t[: len(t) - h] + n[:h]
+        assert rows[k].edited == edited and rows[k].n_chars == len(t)
+        a, b, c = naive_signatures(t, stops), naive_signatures(edited, stops), naive_signatures(n, stops)
+        assert abs(rows[k].near_edited - len(a & b) / len(a | b)) < 1e-9
+        assert abs(rows[k].near_next - len(a & c) / len(a | c)) < 1e-9
+    assert np.mean([r.near_edited for r in rows.values()]) > np.mean([r.near_next for r in rows.values()]) + 0.2
+
+
+def test_spotsigs_ranges(spark, monkeypatch):
+    from quarrylight.llm import spotsigs
+
+    monkeypatch.setattr(spotsigs, "RANGE_DOCS", 7)
+    ids = random.Random(3).sample(range(-1000, 10**12), 200)
+    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id bigint, text string")
+    order = sorted(ids, reverse=True)
+    rows = spotsigs.with_next(df, "doc_id", {"text": "next"}, F.lit(0)).collect()
+    assert {r.doc_id: r.next for r in rows} == {k: f"t{order[(i + 1) % 200]}" for i, k in enumerate(order)}
+
+
+def test_spotsigs_on_odd_rows(odd, empty, spark):
+    from quarrylight.llm.spotsigs import compare_edits, fingerprint_documents, likeness
+
+    rows = compare_edits(odd).collect()
+    same_ids(rows, odd)
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
+    prints = {}
+    for r in fingerprint_documents(odd).collect():
+        assert prints.setdefault(r.text, r.fingerprint) == r.fingerprint
+    assert compare_edits(empty).count() == 0
+    one = compare_edits(spark.createDataFrame([(1, "the cat sat on the mat")], "doc_id bigint, text string")).collect()
+    assert one[0].near_next == 1.0
+    pruned = spark.range(1).select(likeness(F.array(*map(F.lit, range(10))), F.array(F.lit(1)), 0.8).alias("x")).first()
+    assert pruned.x == 0
+
+
+# line dedup
+
+
+def naive_line_dedup(rows):
+    key = lambda x: "".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else c for c in x.strip(" \t\n\x0b\x0c\r"))
+    holders = collections.defaultdict(set)
+    for i, t in rows:
+        for x in (t or "").split("\n"):
+            if len(key(x)) >= 20:
+                holders[key(x)].add(i)
+    lost = {k: max(v) for k, v in holders.items() if len(v) >= 3}
+    return {i: "\n".join(x for x in (t or "").split("\n") if lost.get(key(x), i) == i) for i, t in rows}
+
+
+def test_line_dedup_by_brute_force(docs, odd, empty):
+    from quarrylight.llm.line_dedup import dedup_lines
+
+    for df in (docs.select("doc_id", "text", "source"), odd.filter("doc_id is not null")):
+        want = naive_line_dedup([(r.doc_id, r.text) for r in df.collect()])
+        rows = dedup_lines(df).collect()
+        same_ids(rows, df)
+        for r in rows:
+            assert r.kept_text == want[r.doc_id]
+            assert r.n_lines == len((r.text or "").split("\n"))
+    rows = {r.doc_id: r for r in dedup_lines(odd).collect()}
+    assert rows[5].n_dropped == 3 and rows[6].n_dropped == 1 and rows[7].n_dropped == 0
+    assert rows[None].n_dropped == 0
+    assert dedup_lines(empty).count() == 0
+
+
+def test_line_dedup_long_documents(spark):
+    from quarrylight.llm.line_dedup import dedup_lines
+
+    shared = [f"a line that is long enough {k}" for k in range(300)]
+    df = spark.createDataFrame([(i, "\n".join(shared + [f"own line of document {i} {k} here" for k in range(50)])) for i in range(4)], "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in dedup_lines(df).collect()}
+    assert [rows[i].n_dropped for i in range(4)] == [300, 300, 300, 0]
+    assert all(rows[i].kept_text.count("\n") == 49 for i in range(3))
+
+
+# n-gram Jaccard join
+
+
+def naive_classes(rows, threshold=0.8):
+    import re
+
+    sets = {}
+    for i, t in rows:
+        w = re.findall(r"[^\W_]+", (t or "").lower())
+        k = min(5, len(w))
+        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if w else set()
+    ids = sorted(sets)
+    top, links = {i: i for i in ids}, collections.Counter()
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a in range(len(ids)):
+        for b in range(a + 1, len(ids)):
+            x, y = sets[ids[a]], sets[ids[b]]
+            if x and y and len(x & y) >= threshold * len(x | y) - 1e-12:
+                links[ids[a]] += 1
+                links[ids[b]] += 1
+                p, q = find(ids[a]), find(ids[b])
+                top[max(p, q)] = min(p, q)
+    return {i: (find(i), links[i]) for i in ids}
+
+
+def near_copies(spark, monkeypatch=None, n=60):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(k, " ".join(base[: 60 + k % 3] + [f"x{k}"] + base[60 + k % 3 :])) for k in range(n)]
+    rows += [(1000 + k, " ".join(rng.choice(base) for _ in range(80))) for k in range(20)]
+    rows += [(2000 + k, rows[0][1]) for k in range(5)]
+    return rows
+
+
+def test_near_copies_by_brute_force(spark, docs, monkeypatch):
+    from quarrylight.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", 16)
+    for rows in (near_copies(spark), [(r.doc_id, r.text) for r in docs.collect()]):
+        want = naive_classes(rows)
+        found = ngram_join.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+        assert {r.doc_id: (r.class_id, r.n_links) for r in found} == want
+
+
+def test_near_copies_on_odd_rows(odd, empty):
+    from quarrylight.llm.ngram_join import choose_bands, jaccard_classes
+
+    rows = jaccard_classes(odd).collect()
+    same_ids(rows, odd)
+    by = {r.doc_id: r for r in rows}
+    assert by[1].class_id == 1 and by[2].n_links == 0 and by[3].class_size == 1
+    assert by[10].class_id == 10 and by[10].n_links == 1 and by[None].class_id is None
+    assert jaccard_classes(empty).count() == 0
+    bands, length = choose_bands(0.8, 0.999)
+    assert 1 - (1 - 0.8**length) ** bands >= 0.999
+
+
+def test_components_of_a_chain(spark):
+    from quarrylight.llm.graph import connected_components
+
+    chain = list(range(50))
+    random.Random(1).shuffle(chain)
+    edges = spark.createDataFrame([(chain[i], chain[i + 1]) for i in range(49)] + [(100, 101), (5, 5), (None, 3)], "a bigint, b bigint")
+    found = {r.node: r.component for r in connected_components(edges).collect()}
+    assert {found[k] for k in chain} == {0} and found[101] == 100
+
+
+# the pipeline
+
+
+def test_pipeline_by_brute_force(spark, docs):
+    import corpus_pipeline
+    import sentencepiece
+
+    from quarrylight.llm.pieces import model_path
+
+    stages = dict(corpus_pipeline.STAGES)
+    d = TESTDATA
+    clean = stages["toxicity"](spark, docs, d).cache()
+    lines = stages["line_dedup"](spark, clean, d).cache()
+    want = naive_line_dedup([(r.doc_id, r.text) for r in clean.collect()])
+    assert {r.doc_id: r.text for r in lines.collect()} == want
+    unique = stages["ngram_jaccard_join"](spark, lines, d).cache()
+    classes = naive_classes([(r.doc_id, r.text) for r in lines.collect()])
+    assert sorted(r.doc_id for r in unique.collect()) == sorted(i for i, (c, _) in classes.items() if c == i)
+    mixed = stages["mixing"](spark, unique, d).cache()
+    assert {r.doc_id for r in mixed.collect()} == {r.doc_id for r in unique.collect()}
+    lib = sentencepiece.SentencePieceProcessor(model_file=model_path())
+    coded = stages["sentencepiece"](spark, mixed, d).collect()
+    texts = {r.doc_id: r.text for r in mixed.collect()}
+    for r in coded:
+        ids = lib.encode(texts[r.doc_id] or "")
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert all(list(x.columns) == list(corpus_pipeline.COLUMNS) for x in (clean, lines, unique, mixed))
+    assert corpus_pipeline.run(spark, d).count() == len(coded)
+
+
+def test_stages_on_odd_rows(spark, odd):
+    import corpus_pipeline
+
+    if not os.path.isdir(TESTDATA):
+        pytest.skip("no test tables")
+    df = odd.select(*corpus_pipeline.COLUMNS)
+    for _, stage in corpus_pipeline.STAGES:
+        df = stage(spark, df, TESTDATA).cache()
+        assert df.count() > 5
