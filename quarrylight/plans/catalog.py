@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import contacts, runs
+from . import contacts, runs, streams
 
-MODULES = (contacts, runs)
+MODULES = (contacts, runs, streams)
 FLAGSHIP = "url_registered_domain"
 
 
