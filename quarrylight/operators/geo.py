@@ -15,7 +15,7 @@ def clusters(places: DataFrame, key: Sequence[str], name: str, bucket: str, dist
 
     More than one bucket makes a cluster ambiguous. Counts are taken per name first, so a hot key is small.
     """
-    named = places.groupBy(*key, name).agg(F.count(F.lit(1)).alias("n")).groupBy(*key).agg(F.max(F.struct("n", F.char_length(name).alias("l"), F.col(name).alias("t"))).alias("m"))
+    named = places.groupBy(*key, name).agg(F.count(F.lit(1)).alias("__n")).groupBy(*key).agg(F.max(F.struct("__n", F.char_length(name).alias("l"), F.col(name).alias("t"))).alias("m"))
     rest = places.groupBy(*key).agg(F.count(F.lit(1)).alias("n_variants"), F.round(F.median(distance), 3).alias("distance"), F.round(F.max(distance) - F.min(distance), 3).alias("spread"), F.count_distinct(bucket).alias("n_buckets"), F.min(bucket).alias("least"))
     return rest.join(named, list(key)).select(*key, F.col("m.t").alias(name), "n_variants", "distance", "spread", F.when(F.col("n_buckets") == 1, F.col("least")).alias(bucket), (F.col("n_buckets") > 1).alias("ambiguous"))
 

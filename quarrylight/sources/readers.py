@@ -125,7 +125,7 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
 
     def work(batches):
         for pdf in batches:
-            yield pd.DataFrame([r for p, c in zip(pdf["path"], pdf["content"], strict=True) for r in read_document(p, c)], columns=["path", "format", "depth", "size", "text", "tables", "status"])
+            yield pd.DataFrame([r for p, c in zip(pdf["path"], pdf["content"], strict=True) for r in read_document(p, c)], columns=["path", "format", "depth", "size", "text", "tables", "status"]).astype({"text": object})
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInPandas(work, DOCUMENT)
@@ -148,7 +148,7 @@ def companies(spark: SparkSession, path: str) -> DataFrame:
                 if "inn" not in names or "company_name" not in names:
                     raise ValueError(f"{p} lacks a header of: инн, название")
                 out = [{"row_index": i, **{n: v.strip() or None for n, v in zip(names, r, strict=False) if n}} for i, r in enumerate(rows[1:], 2)]
-                yield pd.DataFrame([r for r in out if r.get("inn") or r.get("company_name")], columns=["row_index", *COMPANY])
+                yield pd.DataFrame([r for r in out if r.get("inn") or r.get("company_name")], columns=["row_index", *COMPANY], dtype=object)
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, "row_index int, " + ", ".join(f"{c} string" for c in COMPANY))
 
