@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import contacts, runs, streams
+from . import contacts, records, runs, streams
 
-MODULES = (contacts, runs, streams)
+MODULES = (contacts, records, runs, streams)
 FLAGSHIP = "url_registered_domain"
 
 
