@@ -12,14 +12,14 @@ from ..functions import vocabulary as V
 
 
 def relevance(
-    url: Column, title: Column, section: Column, body: Column, leads: Mapping[str, Mapping[str, float]] = V.LEAD_KEYWORDS, identity: Mapping[str, float] = V.IDENTITY_KEYWORDS, negative: Mapping[str, float] = V.NEGATIVE_KEYWORDS, strong: Sequence[str] = ()
+    url: Column, title: Column, section: Column, body: Column, leads: Mapping[str, Mapping[str, float]] = V.LEAD_KEYWORDS, identity: Mapping[str, float] = V.IDENTITY_KEYWORDS, negative: Mapping[str, float] = V.NEGATIVE_KEYWORDS, strong: Sequence[str] = (), head: int | None = None
 ) -> tuple[Column, Column]:
     """(score 0 to 1, label) of a page: keyword weights, section and date bonuses, minus what speaks against it, over 10.
 
-    Of each family and of identity the first 8 hits count. A corporate section without a strong word has .25 at most.
+    The whole body counts unless head limits it. Of each family and of identity the first 8 hits count. A corporate section without a strong word has .25 at most.
     Labels: likely from .7, maybe from .35.
     """
-    hay = F.lower(F.concat_ws(" ", url, title, section, F.left(F.coalesce(body, F.lit("")), F.lit(3000))))
+    hay = F.lower(F.concat_ws(" ", url, title, section, F.left(body, F.lit(head)) if head else body))
     total = F.lit(0.0)
     for words in leads.values():
         total = total + T.keyword_weight(hay, words, 8)

@@ -106,7 +106,7 @@ def relevance_score(spark, d):
 
 
 RELEVANCE_SQL = r"""
-WITH d AS (SELECT doc_id, lower(text) AS low, CASE doc_id % 4 WHEN 0 THEN 'documents' WHEN 1 THEN 'about' WHEN 2 THEN 'news' ELSE 'other' END AS section, lower('  ' || CASE doc_id % 4 WHEN 0 THEN 'documents' WHEN 1 THEN 'about' WHEN 2 THEN 'news' ELSE 'other' END || ' ' || left(text, 3000)) AS hay FROM documents),
+WITH d AS (SELECT doc_id, lower(text) AS low, CASE doc_id % 4 WHEN 0 THEN 'documents' WHEN 1 THEN 'about' WHEN 2 THEN 'news' ELSE 'other' END AS section, lower('  ' || CASE doc_id % 4 WHEN 0 THEN 'documents' WHEN 1 THEN 'about' WHEN 2 THEN 'news' ELSE 'other' END || ' ' || text) AS hay FROM documents),
 k AS (SELECT *, contains(hay, 'the')::INT + contains(hay, 'and')::INT + 0.5 * contains(hay, 'tion')::INT + 0.5 * contains(hay, 'ment')::INT + 3 * contains(hay, 'benchmark')::INT
    + 0.5 * (2 * contains(hay, 'ation')::INT + contains(hay, 'erre')::INT) - contains(hay, 'ou')::INT + CASE section WHEN 'documents' THEN 1.5 WHEN 'news' THEN 0.5 ELSE 0 END
    + CASE WHEN regexp_matches(hay, '[0-9]{2}\.[0-9]{2}\.[0-9]{4}') THEN 0.8 ELSE 0 END AS total FROM d),
@@ -179,12 +179,12 @@ SELECT page_id, viability, authenticity, CASE WHEN authenticity >= 0.75 AND iden
 
 
 def route_families(spark, d):
-    pages = table(spark, d, "pages").select("page_id", F.lower("url").alias("path"), F.lower(F.left("html", F.lit(400))).alias("context"))
+    pages = table(spark, d, "pages").select("page_id", F.lower("url").alias("path"), F.lower("html").alias("context"))
     return scoring.route_family(pages, ["page_id"], F.col("path"), F.col("context"), PAGE_HINTS).select("page_id", "family", "route_score")
 
 
 def _route_sql():
-    term = lambda marks: " + ".join(f"3.2 * contains(lower(url), '{m}')::INT + 2.4 * contains(lower(left(html, 400)), '{m}')::INT" for m in marks)
+    term = lambda marks: " + ".join(f"3.2 * contains(lower(url), '{m}')::INT + 2.4 * contains(lower(html), '{m}')::INT" for m in marks)
     names = [*PAGE_HINTS]
     whens = " ".join(f"WHEN {n} = greatest({', '.join(names)}) THEN '{n}'" for n in names)
     return f"WITH s AS (SELECT page_id, {', '.join(f'round({term(m)}, 1)::DOUBLE AS {n}' for n, m in PAGE_HINTS.items())} FROM pages) SELECT page_id, CASE WHEN greatest({', '.join(names)}) <= 0 THEN 'other' {whens} END AS family, greatest({', '.join(names)}) AS route_score FROM s"

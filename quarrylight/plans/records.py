@@ -77,8 +77,8 @@ def cooldown_steps(spark, d):
 
 
 def baseline_samples(spark, d):
-    rows = table(spark, d, "pages").select("page_id", T.host(F.col("url")).alias("host"))
-    return R.baseline_samples(rows, "host", "page_id", F.col("page_id") % 3 == 0, 2).filter("is_sample").select("page_id", "host")
+    rows = table(spark, d, "pages").select("page_id", T.host(F.col("url")).alias("host"), F.contains("url", F.lit("?")).alias("hinted"))
+    return R.baseline_samples(rows, "host", "page_id", F.col("hinted"), 2).filter("is_sample").select("page_id", "host")
 
 
 def procedures_merge(spark, d):
@@ -89,7 +89,7 @@ def procedures_merge(spark, d):
 QUERIES = {f.__name__: f for f in (lead_cards, route_budget, distinct_sites, keyword_terms, batch_statuses, response_parse, work_ledger, deferred_ledger, cooldown_steps, baseline_samples, procedures_merge)}
 ORACLES = {
     "lead_cards": "WITH r AS (SELECT doc_id, row_number() OVER (PARTITION BY source, lang, doc_id % 9, lower(left(text, 80)) ORDER BY n_chars DESC, doc_id) AS k FROM documents WHERE doc_id % 3 = 0 OR (doc_id % 3 = 1 AND doc_id % 2 <> 0)) SELECT doc_id FROM r WHERE k = 1",
-    "baseline_samples": f"SELECT page_id, host FROM (SELECT page_id, {HOST_SQL} AS host, row_number() OVER (PARTITION BY {HOST_SQL} ORDER BY page_id) AS k FROM pages WHERE page_id % 3 <> 0) WHERE k <= 2",
+    "baseline_samples": f"SELECT page_id, host FROM (SELECT page_id, {HOST_SQL} AS host, row_number() OVER (PARTITION BY {HOST_SQL} ORDER BY page_id) AS k FROM pages WHERE NOT contains(url, '?')) WHERE k <= 2",
     "distinct_sites": f"WITH h AS (SELECT page_id, url, {HOST_SQL} AS host FROM pages) SELECT page_id % 10 AS g, count(DISTINCT {DOMAIN_SQL})::INT AS n_sites, arg_min(url, page_id) AS first_url FROM h GROUP BY 1",
     "batch_statuses": STATUS_SQL, "deferred_ledger": DEFERRED_SQL,
     "response_parse": "SELECT CASE event_id % 4 WHEN 0 THEN 'parsed' WHEN 1 THEN 'refusal' WHEN 2 THEN 'found_in_text' ELSE 'empty' END AS reason, count(*) AS n, count(*) FILTER (event_id % 4 IN (0, 2)) AS n_answers FROM events GROUP BY 1",

@@ -286,13 +286,13 @@ SELECT r.o_orderkey, CASE WHEN n = 1 THEN c END AS target, CASE WHEN n = 1 THEN
 
 def full_merge_ledger(spark, d):
     """Customers and their orders as two ledgers of one key, merged field by field."""
-    left = table(spark, d, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("key"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).otherwise("").alias("label"), F.array("c_mktsegment").alias("tags"))
+    left = table(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("key"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).otherwise("").alias("label"), F.array("c_mktsegment").alias("tags"))
     right = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.min("o_orderpriority").alias("label"), F.array_sort(F.collect_set("o_orderstatus")).alias("tags"))
     return joins.merge_ledgers(left, right, ["key"], ["label"], ["tags"]).select("key", "label", F.array_join("tags", ",").alias("tags"))
 
 
 LEDGER_SQL = """
-WITH l AS (SELECT c_custkey AS key, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS label, c_mktsegment AS tags FROM customer WHERE c_custkey % 3 <> 0),
+WITH l AS (SELECT c_custkey AS key, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS label, c_mktsegment AS tags FROM customer WHERE c_acctbal > 0),
 r AS (SELECT o_custkey AS key, min(o_orderpriority) AS label, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS tags FROM orders GROUP BY 1)
 SELECT coalesce(l.key, r.key) AS key, coalesce(l.label, r.label) AS label, concat_ws(',', l.tags, r.tags) AS tags FROM l FULL JOIN r ON l.key = r.key
 """
