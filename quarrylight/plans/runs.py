@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
@@ -410,8 +409,9 @@ def decision_ladder(spark, d):
 def ready_idle(spark, d):
     """The oldest ready row of each lane and how long it has waited."""
     ev = events(spark, d).withColumn("lane", F.col("user_id") % 10)
-    now = ev.withColumn("now", F.max("at").over(Window.partitionBy("lane")))
-    return now.filter("event_type = 'view'").groupBy("lane").agg(F.round(F.max(F.col("now") - F.col("at")), 2).alias("oldest_idle"), F.count(F.lit(1)).alias("n_ready"))
+    ready = F.col("event_type") == "view"
+    idle = F.max("at") - F.min(F.when(ready, F.col("at")))
+    return ev.groupBy("lane").agg(F.round(idle, 2).alias("oldest_idle"), F.count_if(ready).alias("n_ready")).filter("n_ready > 0")
 
 
 QUERIES = {f.__name__: f for f in (
