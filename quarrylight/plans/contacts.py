@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numbers as N
 from ..functions import text as T
-from ..operators import consensus, entities, joins, rollups, scoring, selection
+from ..operators import consensus, entities, joins, scoring, selection
 
 
 def table(spark, sf_dir, name):
