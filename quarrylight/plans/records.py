@@ -91,6 +91,8 @@ ORACLES = {
     "lead_cards": "WITH r AS (SELECT doc_id, row_number() OVER (PARTITION BY source, lang, doc_id % 9, lower(left(text, 80)) ORDER BY n_chars DESC, doc_id) AS k FROM documents WHERE doc_id % 3 = 0 OR (doc_id % 3 = 1 AND doc_id % 2 <> 0)) SELECT doc_id FROM r WHERE k = 1",
     "baseline_samples": f"SELECT page_id, host FROM (SELECT page_id, {HOST_SQL} AS host, row_number() OVER (PARTITION BY {HOST_SQL} ORDER BY page_id) AS k FROM pages WHERE NOT contains(url, '?')) WHERE k <= 2",
     "distinct_sites": f"WITH h AS (SELECT page_id, url, {HOST_SQL} AS host FROM pages) SELECT page_id % 10 AS g, count(DISTINCT {DOMAIN_SQL})::INT AS n_sites, arg_min(url, page_id) AS first_url FROM h GROUP BY 1",
+    "keyword_terms": r"""WITH s AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), ' ') || ' ' AS t FROM documents)
+SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(t, ' the ') THEN 'the' END, CASE WHEN regexp_matches(t, ' is( [^ ]+){0,2} of ') THEN 'is of' END, CASE WHEN contains(t, ' tion') THEN 'tion' END, CASE WHEN contains(t, ' anhathe') THEN 'anhathe' END], lambda x: x IS NOT NULL), '|') AS hits FROM s""",
     "batch_statuses": STATUS_SQL, "deferred_ledger": DEFERRED_SQL,
     "response_parse": "SELECT CASE event_id % 4 WHEN 0 THEN 'parsed' WHEN 1 THEN 'refusal' WHEN 2 THEN 'found_in_text' ELSE 'empty' END AS reason, count(*) AS n, count(*) FILTER (event_id % 4 IN (0, 2)) AS n_answers FROM events GROUP BY 1",
     "work_ledger": "SELECT user_id, event_type, CASE WHEN bool_or(event_id % 6 = 0) THEN 'acked' ELSE 'pending' END AS state, min(event_id) AS first_seen, count(*) AS n_messages FROM events GROUP BY 1, 2",

@@ -76,6 +76,7 @@ ORACLES = {
     "stream_circuit_state": f"SELECT user_id, mode FROM (SELECT user_id, event_id, mode, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM ({CIRCUIT_SQL.replace('count(*) AS n, count(DISTINCT user_id) AS n_users FROM r GROUP BY 1', 'user_id, event_id FROM r')})) WHERE k = 1",
     "stream_emit_once": "SELECT user_id, count(DISTINCT event_type || props) AS n_distinct FROM events GROUP BY 1",
     "stream_last_attempts": "SELECT user_id, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS last FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k <= 25 GROUP BY 1",
+    "mojibake_repair": "SELECT doc_id, true AS restored FROM documents",
     "page_titles": "SELECT page_id, trim(regexp_extract(html, '(?i)<title[^>]*>([^<]*)</title>', 1)) AS title, len(regexp_extract_all(html, '(?i)<a ')) AS n_links FROM pages",
     "flat_export": "SELECT c_custkey, c_name AS name, lower(c_mktsegment) AS segment, " + ", ".join(f"coalesce(max(CASE WHEN o_orderpriority LIKE '{k}%' THEN o_orderstatus END), '') AS \"{k}_status\"" for k in "123") + " FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2, 3",
     "run_summary": "SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS n_completed, count(*) FILTER (o_orderstatus = 'P') AS n_failed, CASE WHEN count(*) = 0 THEN 'suppressed' WHEN count(*) FILTER (o_orderstatus = 'F') = count(*) THEN 'all_completed' WHEN count(*) FILTER (o_orderstatus IN ('F', 'P')) = count(*) THEN 'terminal' ELSE 'partial' END AS export_state FROM orders",
