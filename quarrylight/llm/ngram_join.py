@@ -37,7 +37,7 @@ from .graph import connected_components
 WORD = re.compile(r"[^\W_]+")
 N_WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
 BLOCK_NODES, BLOCK_SHINGLES = 512, 1_000_000
-WORDS_KEPT = 400_000  # word hashes that a Python worker remembers; beyond that it starts anew
+WORDS_KEPT = 200_000  # word hashes that a task remembers; beyond that it starts anew
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = 128) -> tuple[int, int]:
@@ -112,6 +112,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int,
                     keys.append(None)
                     found.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int32()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))], ["__id", "__n", "__set", "__bands"])
+        _words.clear()
 
     return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(sign, f"__id {kind.simpleString()}, __n int, __set binary, __bands array<bigint>")
 
@@ -127,6 +128,7 @@ def with_sets(docs: DataFrame, n: int) -> DataFrame:
                 _words.clear()
             sets = pa.array([shingles(t.as_py(), n).tobytes() for t in batch.column(at)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in rest] + [sets], [f.name for f in rest] + ["__set_bytes"])
+        _words.clear()
 
     return docs.mapInArrow(fill, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest) + ", __set_bytes binary")
 

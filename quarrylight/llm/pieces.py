@@ -30,7 +30,7 @@ from .common import Remembered, documents
 
 MARK = "▁"
 PART = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-PARTS_KEPT, PAIRS_KEPT = 1_000_000, 600_000  # what a Python worker remembers at most
+PARTS_KEPT, PAIRS_KEPT = 150_000, 100_000  # what a Python worker remembers at most: about 100 MB
 
 
 def read_vocabulary(model_file: str) -> list[tuple[str, float, str]]:
@@ -180,32 +180,43 @@ def _codec(shared) -> Codec:
     return _codecs[key]
 
 
-def _mapped(df: DataFrame, made: str, kind: str, fill):
-    """df with one more column, which fill makes from a slice of a record batch."""
-    fields = [f for f in df.schema.fields if f.name != made]
+def _mapped(df: DataFrame, made: dict[str, str], fill, without: str = "") -> DataFrame:
+    """df with more columns (name to type), which fill makes from a slice of a record batch; one column may stay behind."""
+    fields = [f for f in df.schema.fields if f.name not in made]
     df = df.select(*[F.col(f"`{f.name}`") for f in fields])
+    back = [i for i, f in enumerate(fields) if f.name != without]
+    names = [*(fields[j].name for j in back), *made]
 
     def work(batches):
         for whole in batches:
             for i in range(0, max(1, whole.num_rows), 512):
                 batch = whole.slice(i, 512)
-                yield pa.RecordBatch.from_arrays([*batch.columns, fill(batch)], [*batch.schema.names, made])
+                yield pa.RecordBatch.from_arrays([*(batch.column(j) for j in back), *fill(batch)], names)
 
-    return df.mapInArrow(work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{made}` {kind}")
+    return df.mapInArrow(work, ", ".join([*(f"`{fields[j].name}` {fields[j].dataType.simpleString()}" for j in back), *(f"`{k}` {v}" for k, v in made.items())]))
 
 
-def encode_pieces(df: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """df with ids_col array<int>, exactly the ids that the library gives for text_col, without begin or end ids."""
-    shared, at = df.sparkSession.sparkContext.broadcast(read_vocabulary(model_file)), [c for c in df.columns if c != ids_col].index(text_col)
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.zeros(len(ids) + 1, np.int32)
+    np.cumsum([len(x) for x in ids], out=ends[1:])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+
+
+def encode_pieces(df: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None, keep_text: bool = True) -> DataFrame:
+    """df with ids_col array<int>, exactly the ids that the library gives for text_col, without begin or end ids.
+
+    With decoded_col also the text that the ids decode to, from the same pass; without keep_text the text itself
+    doesn't come back from the Python workers.
+    """
+    made = {ids_col: "array<int>"} | ({decoded_col: "string"} if decoded_col else {})
+    shared, at = df.sparkSession.sparkContext.broadcast(read_vocabulary(model_file)), [c for c in df.columns if c not in made].index(text_col)
 
     def fill(batch):
         codec = _codec(shared)
         ids = [codec.encode(x.as_py()) for x in batch.column(at)]
-        ends = np.zeros(len(ids) + 1, np.int32)
-        np.cumsum([len(x) for x in ids], out=ends[1:])
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+        return [_id_lists(ids), *([pa.array([codec.decode(x) for x in ids], pa.string())] if decoded_col else [])]
 
-    return _mapped(df, ids_col, "array<int>", fill)
+    return _mapped(df, made, fill, "" if keep_text else text_col)
 
 
 def decode_pieces(df: DataFrame, model_file: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -216,9 +227,9 @@ def decode_pieces(df: DataFrame, model_file: str, ids_col: str = "ids", text_col
         codec = _codec(shared)
         column = batch.column(at)
         flat, ends, valid = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy(), column.is_valid().to_pylist()
-        return pa.array([codec.decode(flat[ends[i] : ends[i + 1]]) if ok else "" for i, ok in enumerate(valid)], pa.string())
+        return [pa.array([codec.decode(flat[ends[i] : ends[i + 1]]) if ok else "" for i, ok in enumerate(valid)], pa.string())]
 
-    return _mapped(df, text_col, "string", fill)
+    return _mapped(df, {text_col: "string"}, fill)
 
 
 def model_path() -> str:
@@ -229,7 +240,8 @@ def model_path() -> str:
 
 def piece_digests(docs: DataFrame, model_file: str, text_col: str = "text") -> DataFrame:
     """docs with n_tokens, ids_sha256 and decoded_sha256 in place of the text."""
-    coded = decode_pieces(encode_pieces(docs, model_file, text_col, "ids").drop(text_col), model_file)
+    # one pass for both: a second Python worker per task would double what the vocabulary and caches take
+    coded = encode_pieces(docs, model_file, text_col, "ids", "decoded", keep_text=False)
     ids = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
     return coded.withColumns({"n_tokens": F.size("ids").cast("long"), "ids_sha256": ids, "decoded_sha256": F.sha2("decoded", 256)}).drop("ids", "decoded")
 

@@ -53,7 +53,7 @@ class Scorer:
         def of(word: str) -> tuple:
             return tuple(at[f] for f in word_features(word) if f in at)
 
-        self.words = Remembered(of, 400_000)
+        self.words = Remembered(of, 150_000)
 
     def counts(self, text: str | None) -> tuple[dict[int, int], int]:
         self.words.trim()
