@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarrylight.llm.common import documents, fold, shared_dir
+from quarrylight.llm.common import documents, fold, materialize
 from quarrylight.llm.line_dedup import dedup_lines
 from quarrylight.llm.mixing import mix_documents
 from quarrylight.llm.ngram_join import jaccard_classes
@@ -30,10 +28,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates stays: the one that names it, and of its repeated rows one."""
+    """One document of each class of near-duplicates stays: the one that names it, of its repeated rows one. Rows without an id stay."""
     classes = jaccard_classes(docs)
     kept = classes.filter(F.col("class_id").isNull() | (F.col("class_id") == F.col("doc_id")))
-    return kept.select(*COLUMNS)
+    # the rows are dealt by id already, so this needs no exchange
+    row = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return kept.withColumn("__row", row).filter((F.col("__row") == 1) | F.col("doc_id").isNull()).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -38,11 +38,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once as a table in the shared folder and read it again.
 
     This cuts the lineage: what is read later doesn't depend on any executor that may be lost meanwhile, and
-    the plan above isn't computed twice.
+    the plan above isn't computed twice. The table goes when the driver's session ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(written)
     return spark.read.schema(df.schema).parquet(path)
 
 
