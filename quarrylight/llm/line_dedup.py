@@ -60,7 +60,9 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Bit i % 64 of word i / 64 says whether line i stays; a word that the map lacks is all ones.
     """
     lines = materialize(line_hashes(docs, id_col, text_col, min_chars), "line-hashes")
-    lost = lines.join(shared_keys(lines, min_docs), ["__h", "__g"]).filter(F.col("__id") != F.col("__last"))
+    # both sides of the join come from tables, so that adaptive execution can split the hash of a hot line
+    shared = materialize(shared_keys(lines, min_docs), "shared-lines")
+    lost = lines.join(shared, ["__h", "__g"]).filter(F.col("__id") != F.col("__last"))
     pos = F.col("__pos").cast("long")
     words = lost.groupBy("__id", "__t", F.floor(pos / 64).alias("__word")).agg(F.expr("~bit_or(shiftleft(1L, cast(__pos % 64 as int)))").alias("__bits"))
     return words.groupBy("__id", "__t").agg(F.map_from_entries(F.collect_list(F.struct("__word", "__bits"))).alias("keep_bitmap"))
