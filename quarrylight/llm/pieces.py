@@ -16,6 +16,7 @@ their length; repeated rows give equal results; an empty table gives an empty on
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from array import array
 
@@ -30,7 +31,8 @@ from .common import Remembered, documents
 
 MARK = "▁"
 PART = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-PARTS_KEPT, PAIRS_KEPT = 150_000, 100_000  # what a Python worker remembers at most: about 100 MB
+PARTS_KEPT, PAIRS_KEPT = 150_000, 300_000  # what a Python worker remembers at most: about 100 MB
+SHORT = 48  # characters up to which a plain search for the best merge beats a heap
 
 
 def read_vocabulary(model_file: str) -> list[tuple[str, float, str]]:
@@ -51,19 +53,25 @@ class Codec:
         self.is_byte = np.array([kind == "byte" for *_, kind in vocabulary])
         self.is_normal = np.array([kind == "normal" for *_, kind in vocabulary])
         self.controls = {i for i, x in enumerate(vocabulary) if x[2] == "control"}
+        self.names, self.size = [p for p, *_ in vocabulary], [len(p) for p, *_ in vocabulary]
         self.found = ahocorasick.Automaton()
-        for p in self.ids:
-            self.found.add_word(p, len(p))
+        for p, i in self.ids.items():
+            self.found.add_word(p, i)
         self.found.make_automaton()
-        # the longest piece that a piece begins with, apart from itself
-        self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), "") for p in self.ids}
+        # the longest piece that a piece begins with, apart from itself; -1: none
+        self.shorter = [-1] * len(vocabulary)
+        for p, i in self.ids.items():
+            self.shorter[i] = next((self.ids[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids), -1)
         self.alphabet = {p for p in self.ids if len(p) == 1}
-        self.compatible = Remembered(lambda pair: self.merged(pair[0] + pair[1]) == [*pair], PAIRS_KEPT)
-        self.stands = Remembered(lambda piece: self.merged(piece) == [piece], len(vocabulary))
+        # a pair is one number, which takes less memory than a tuple
+        self.compatible = Remembered(self.remerges, PAIRS_KEPT)
+        self.stands = Remembered(lambda i: self.merged(self.names[i]) == [self.names[i]], len(vocabulary))
         self.parts = Remembered(lambda part: array("i", self.encode_part(part)).tobytes(), PARTS_KEPT)
 
     def merged(self, text: str) -> list[str]:
         """The pieces by merging itself: best score first, the leftmost of equals. Serves pairs and ties."""
+        if len(text) <= SHORT:
+            return self.merged_short(text)
         part: list[str | None] = [*text]
         after, before, scores = [*range(1, len(part) + 1)], [*range(-1, len(part) - 1)], self.scores
         heap = [(-scores[x + y], i, x + y) for i, (x, y) in enumerate(zip(part, part[1:], strict=False)) if x + y in scores]
@@ -83,41 +91,62 @@ class Codec:
                 heapq.heappush(heap, (-scores[made], h, made))
         return [x for x in part if x is not None]
 
-    def divided(self, part: str) -> list[str] | None:
-        """The pieces of a part whose characters are all in the vocabulary, by backtracking."""
-        size = len(part)
-        longest, failed = [0] * size, bytearray(size + 1)
-        for end, n in self.found.iter(part):
-            longest[end - n + 1] = n
+    def merged_short(self, text: str) -> list[str]:
+        part, score, none = [*text], self.scores.get, -math.inf
+        scores = [score(x + y, none) for x, y in zip(part, part[1:], strict=False)]
+        while scores and (best := max(scores)) > none:
+            i = scores.index(best)
+            part[i : i + 2] = [part[i] + part[i + 1]]
+            del scores[i]
+            if i < len(scores):
+                scores[i] = score(part[i] + part[i + 1], none)
+            if i:
+                scores[i - 1] = score(part[i - 1] + part[i], none)
+        return part
+
+    def remerges(self, pair: int) -> bool:
+        """Whether merging the characters of two adjacent pieces anew gives just these two."""
+        a, b = map(self.names.__getitem__, divmod(pair, len(self.names)))
+        return self.merged(a + b) == [a, b]
+
+    def divided(self, part: str) -> list[int] | None:
+        """The ids of a part whose characters are all in the vocabulary, by backtracking."""
+        end_of, lengths, n = len(part), self.size, len(self.names)
+        longest, failed = [-1] * end_of, bytearray(end_of + 1)
+        for end, i in self.found.iter(part):
+            longest[end - lengths[i] + 1] = i
         compatible, shorter = self.compatible, self.shorter
-        pieces: list[str] = []
-        pos, last, piece = 0, "", part[: longest[0]]
+        pieces: list[int] = []
+        pos, last, piece = 0, -1, longest[0]
         while True:
-            end = pos + len(piece)
-            if not failed[end] and (compatible[last, piece] if last else self.stands[piece]):
+            end = pos + lengths[piece]
+            if not failed[end] and (compatible[last * n + piece] if last >= 0 else self.stands[piece]):
                 pieces.append(piece)
-                if end == size:
+                if end == end_of:
                     return pieces
-                pos, last, piece = end, piece, part[end : end + longest[end]]
+                pos, last, piece = end, piece, longest[end]
                 continue
             piece = shorter[piece]
-            while not piece:
+            while piece < 0:
                 if not pieces:
                     return None
                 failed[pos] = 1
                 gone = pieces.pop()
-                pos -= len(gone)
-                last, piece = pieces[-1] if pieces else "", shorter[gone]
+                pos -= lengths[gone]
+                last, piece = pieces[-1] if pieces else -1, shorter[gone]
+
+    def encode_known(self, part: str) -> list[int]:
+        found = self.divided(part)
+        return [self.ids[p] for p in self.merged(part)] if found is None else found
 
     def encode_part(self, part: str) -> list[int]:
-        ids, start = self.ids, 0
         if self.alphabet.issuperset(part):
-            return [ids[p] for p in self.divided(part) or self.merged(part)]
+            return self.encode_known(part)
+        start = 0
         out: list[int] = []
         for i in [*(i for i, c in enumerate(part) if c not in self.alphabet), len(part)]:
             if i > start:
-                known = part[start:i]
-                out += [ids[p] for p in self.divided(known) or self.merged(known)]
+                out += self.encode_known(part[start:i])
             if i < len(part):
                 out += [self.byte_ids.get(b, self.unknown) for b in part[i].encode()] if self.byte_ids else [self.unknown]
             start = i + 1
