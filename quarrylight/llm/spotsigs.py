@@ -3,7 +3,8 @@
 The lower-cased text is cut into words (runs of letters and digits). Every common word is an anchor; the next
 ``CHAIN`` words that aren't common, hashed, are its signature, and a document's fingerprint is the set of its
 signatures. A text with fewer than ``MIN_SPOTS`` anchors with a chain is anchored at every word; one without two words has
-one signature, of its words. Sets are partitioned by length: bin k holds lengths within a factor of the threshold, so
+one signature, of its words. Where one text of a pair is anchored at common words and the other at every word,
+``alike`` compares both anchored at every word, so that a lost anchor doesn't change the kind of signature. Sets are partitioned by length: bin k holds lengths within a factor of the threshold, so
 only the same and the next bins can match; a Jaccard is computed only where the ratio of lengths, which bounds it,
 reaches the threshold.
 
@@ -41,17 +42,27 @@ ANCHORS = anchor_pattern([w for line in STOP_WORDS for w in line.split()])
 CHAIN_PATTERN = "#(?= (" + " ".join(["(?:# )*[^# ]+"] * CHAIN) + "))"
 
 
-def with_signatures(df: DataFrame, text: Column, out: str) -> DataFrame:
-    """df with out: the sorted distinct signatures (array<int>) of a text column."""
-    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    df = df.withColumn("__words", words)
+def words_of(text: Column) -> Column:
+    """The lower-cased words of a text, with a blank before and after each."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+
+
+def chain_signatures(words: Column) -> Column:
+    """The chains at every word (array<int>) of words_of a text; below two words one signature, of the words."""
+    plain = F.filter(F.split(words, " "), lambda w: w != "")
+    chains = F.transform(F.sequence(F.lit(0), F.size(plain) - CHAIN), lambda i: F.hash(F.array_join(F.slice(plain, i + 1, CHAIN), " ")))
+    return F.when(F.size(plain) >= CHAIN, chains).otherwise(F.array(F.hash(F.array_join(plain, " "))))
+
+
+def with_signatures(df: DataFrame, text: Column, out: str, spotted: str | None = None) -> DataFrame:
+    """df with out: the sorted distinct signatures (array<int>) of a text column; and spotted: whether they are those after common words."""
+    df = df.withColumn("__words", words_of(text))
     marked = F.regexp_replace("__words", f"(?<= ){ANCHORS}(?= )", "#")
     spots = F.transform(F.regexp_extract_all(marked, F.lit(CHAIN_PATTERN), F.lit(1)), lambda x: F.hash(F.replace(x, F.lit("# "), F.lit(""))))
     df = df.withColumn("__spots", spots)
-    plain = F.filter(F.split("__words", " "), lambda w: w != "")
-    chains = F.transform(F.sequence(F.lit(0), F.size(plain) - CHAIN), lambda i: F.hash(F.array_join(F.slice(plain, i + 1, CHAIN), " ")))
-    short = F.when(F.size(plain) >= CHAIN, chains).otherwise(F.array(F.hash(F.array_join(plain, " "))))
-    return df.withColumn(out, F.array_sort(F.array_distinct(F.when(F.size("__spots") >= MIN_SPOTS, F.col("__spots")).otherwise(short)))).drop("__words", "__spots")
+    many = F.size("__spots") >= MIN_SPOTS
+    df = df.withColumn(out, F.array_sort(F.array_distinct(F.when(many, F.col("__spots")).otherwise(chain_signatures(F.col("__words"))))))
+    return (df if spotted is None else df.withColumn(spotted, many)).drop("__words", "__spots")
 
 
 def fingerprint(signatures: Column) -> Column:
@@ -71,6 +82,12 @@ def likeness(a: Column, b: Column, threshold: float = 0.0) -> Column:
     return F.when(bound < threshold, F.lit(0.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
+def alike(a: Column, a_spotted: Column, a_text: Column, b: Column, b_spotted: Column, b_text: Column) -> Column:
+    """The Jaccard of two texts' signatures, where only one is spotted that of the chains at every word of both."""
+    chains = lambda own, spotted, text: F.when(spotted, F.array_distinct(chain_signatures(words_of(text)))).otherwise(own)
+    return F.when(a_spotted == b_spotted, likeness(a, b)).otherwise(likeness(chains(a, a_spotted, a_text), chains(b, b_spotted, b_text)))
+
+
 def id_bounds(docs: DataFrame, id_col: str) -> list:
     """Ids that cut the table into ranges of about RANGE_DOCS rows; the last is the largest id."""
     n = max(1, min(MAX_RANGES, docs.count() // RANGE_DOCS))
@@ -107,23 +124,32 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return found.withColumns({"fingerprint": fingerprint(F.col("signatures")), "length_bin": length_bin(F.col("signatures"))})
 
 
-def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each document against its edited text (the second half replaced from the next document) and the next document."""
+def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", same_kind: bool = False) -> DataFrame:
+    """Each document against its edited text (the second half replaced from the next document) and the next document.
+
+    By default the sets are compared as the fingerprints have them; with same_kind pairs of which one is spotted are compared by ``alike``.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    signed = with_signatures(docs.select(F.col(id_col), text.alias("__text")), F.col("__text"), "__own")
-    near = with_next(signed, id_col, {"__text": "__next_text", "__own": "__next"}, F.xxhash64("__text"))
+    signed = with_signatures(docs.select(F.col(id_col), text.alias("__text")), F.col("__text"), "__own", "__own_spotted")
+    near = with_next(signed, id_col, {"__text": "__next_text", "__own": "__next", "__own_spotted": "__next_spotted"}, F.xxhash64("__text"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.left(F.col("__text"), F.col("n_chars").cast("int") - half), F.left(F.coalesce(F.col("__next_text"), F.lit("")), half))
-    near = near.withColumn("n_chars", F.char_length("__text").cast("long")).withColumn("edited", edited).drop("__text", "__next_text")
-    near = with_signatures(near, F.col("edited"), "__edited")
+    near = near.withColumn("n_chars", F.char_length("__text").cast("long")).withColumn("edited", edited)
+    near = with_signatures(near, F.col("edited"), "__edited", "__edited_spotted")
+    own, next_ = F.col("__own"), F.coalesce("__next", F.array().cast("array<int>"))
+    if same_kind:
+        near_edited = alike(own, F.col("__own_spotted"), F.col("__text"), F.col("__edited"), F.col("__edited_spotted"), F.col("edited"))
+        near_next = alike(own, F.col("__own_spotted"), F.col("__text"), next_, F.coalesce("__next_spotted", "__own_spotted"), F.col("__next_text"))
+    else:
+        near_edited, near_next = likeness(own, F.col("__edited")), likeness(own, next_)
     return near.select(
-        id_col, "n_chars", "edited", fingerprint(F.col("__own")).alias("fingerprint"), fingerprint(F.col("__edited")).alias("edited_fingerprint"),
-        likeness(F.col("__own"), F.col("__edited")).alias("near_edited"), likeness(F.col("__own"), F.coalesce("__next", F.array().cast("array<int>"))).alias("near_next"), length_bin(F.col("__own")).alias("length_bin"),
+        id_col, "n_chars", "edited", fingerprint(own).alias("fingerprint"), fingerprint(F.col("__edited")).alias("edited_fingerprint"),
+        near_edited.alias("near_edited"), near_next.alias("near_next"), length_bin(own).alias("length_bin"),
     )
 
 
 def op6_spotsigs(spark, sf_dir):
-    found = compare_edits(documents(spark, sf_dir).select("doc_id", "text"))
+    found = compare_edits(documents(spark, sf_dir).select("doc_id", "text"), same_kind=True)
     return found.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
 
 

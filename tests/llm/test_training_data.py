@@ -376,6 +376,21 @@ def test_spotsigs_on_odd_rows(odd, empty, spark):
     assert pruned.x == 0
 
 
+def test_spotsigs_compares_like_with_like(spark):
+    from quarrylight.llm.spotsigs import compare_edits
+
+    body = [f"w{i}" for i in range(110)]
+    four = " ".join([*body[:20], "the", *body[20:40], "of", *body[40:60], "and", *body[60:], "the", "last", "ones"])
+    # without its last three words the text has three spots, and chains at every word
+    three = four.removesuffix(" the last ones")
+    rows = {r.doc_id: r for r in compare_edits(spark.createDataFrame([(2, four), (1, three), (0, "the cat")], "doc_id bigint, text string"), same_kind=True).collect()}
+    chains = lambda t: {" ".join(t.split()[i : i + 2]) for i in range(len(t.split()) - 1)}
+    a, b = chains(four), chains(three)
+    assert abs(rows[2].near_next - len(a & b) / len(a | b)) < 1e-9 and rows[2].near_next > 0.95
+    turned = {r.doc_id: r for r in compare_edits(spark.createDataFrame([(2, three), (1, four)], "doc_id bigint, text string"), same_kind=True).collect()}
+    assert abs(turned[2].near_next - rows[2].near_next) < 1e-9
+
+
 # line dedup
 
 
