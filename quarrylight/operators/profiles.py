@@ -94,10 +94,13 @@ def activity_terms(rows: DataFrame, key: str, text: str, order: str, banned: Seq
 def site_hints(hints: DataFrame, key: str, url: str, reason: str, order: str, most_sites: int = 5, most_reasons: int = 4) -> DataFrame:
     """Per key the first sites by registered domain with their reasons, masked ones left out."""
     given = hints.withColumn("domain", T.registered_domain(T.host(F.col(url)))).filter((F.col("domain") != "") & ~T.masked(F.col(url)))
-    one = given.groupBy(key, "domain").agg(F.min_by(url, order).alias(url), F.min(order).alias("__first"), F.array_sort(F.collect_set(F.struct(F.col(order).alias("o"), F.col(reason).alias("r")))).alias("__r"))
-    w = Window.partitionBy(key).orderBy("__first")
-    ranked = one.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most_sites)
-    return ranked.select(key, "domain", url, "rank", F.slice(F.array_distinct(F.transform("__r", lambda x: x["r"])), 1, most_reasons).alias("reasons"))
+    # one row per distinct reason, of which a window keeps the first few: no group is collected whole
+    firsts = given.groupBy(key, "domain", F.col(reason).alias("__r")).agg(F.min_by(url, order).alias(url), F.min(order).alias("__o"))
+    few = firsts.withColumn("__k", F.row_number().over(Window.partitionBy(key, "domain").orderBy("__o", "__r"))).filter(F.col("__k") <= most_reasons)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("__k", F.col("__r").alias("r")))), lambda x: x["r"])
+    one = few.groupBy(key, "domain").agg(F.min_by(url, "__k").alias(url), F.min("__o").alias("__first"), listed.alias("reasons"))
+    ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("__first"))).filter(F.col("rank") <= most_sites)
+    return ranked.select(key, "domain", url, "rank", "reasons")
 
 
 def provenance(trace: Column, metadata: Column, guess: Column) -> tuple[Column, Column]:

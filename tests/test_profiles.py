@@ -33,3 +33,12 @@ def test_versioned_asset(spark, tmp_path):
 def test_manifest_refuses_paths_outside(spark):
     with pytest.raises(Exception, match="outside the archive"):
         P.manifest(spark.createDataFrame([("../x", "c")], "p string, c string"), "p", "c").collect()
+
+
+def test_site_hints_collects_few_reasons(spark):
+    rows = spark.range(3000).select(F.lit("k").alias("k"), F.lit("https://a.ru/x").alias("u"), F.concat(F.lit("r"), (F.col("id") % 1000).cast("string")).alias("r"), "id")
+    found = P.site_hints(rows, "k", "u", "r", "id")
+    row = found.first()
+    assert (row.domain, row.rank, row.reasons) == ("a.ru", 1, ["r0", "r1", "r2", "r3"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "<= 4" in plan.split("collect_list")[1]
