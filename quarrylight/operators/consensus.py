@@ -77,6 +77,9 @@ def pick_status(confirmed: Column, trusted_value: Column, resolved: Column, merg
 
 def availability(status: Column, items: Column, absent: Column) -> Column:
     """open, masked, absent, blocked or unknown, for a field of a source with items array<struct<value, masked>>."""
-    return (
-        F.when(F.exists(items, lambda i: ~i["masked"]), "open").when(F.size(items) > 0, "masked").when(status.isin("blocked", "rate_limited", "bot_gate"), "blocked").when(absent, "absent").otherwise("unknown")
-    )
+    return availability_of(status, F.exists(items, lambda i: ~i["masked"]), F.size(items) > 0, absent)
+
+
+def availability_of(status: Column, any_open: Column, any_item: Column, absent: Column) -> Column:
+    """availability from whether there is an item that isn't masked, and any at all."""
+    return F.when(any_open, "open").when(any_item, "masked").when(status.isin("blocked", "rate_limited", "bot_gate"), "blocked").when(absent, "absent").otherwise("unknown")

@@ -63,6 +63,13 @@ def distinct_sites(sites: Column) -> Column:
     return F.transform(kept, lambda x: x["s"])
 
 
+def site_counts(rows: DataFrame, key: str, url: str, order: str) -> DataFrame:
+    """Per key how many registered domains its addresses have, and the first address with one: distinct_sites over rows, without a list."""
+    domain = F.nullif(T.registered_domain(T.host(F.col(url))), F.lit(""))
+    firsts = rows.groupBy(key, domain.alias("__d")).agg(F.min_by(url, order).alias("__u"), F.min(order).alias("__o"))
+    return firsts.groupBy(key).agg(F.count("__d").cast("int").alias("n_sites"), F.min_by("__u", F.when(F.col("__d").isNotNull(), F.col("__o"))).alias("first_url"))
+
+
 def distinct_longest(values: Column) -> Column:
     """Values without those that another holds; a longer one takes the place of the first it holds."""
     rest = F.array_distinct(F.filter(values, lambda v: v != ""))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,3 +130,47 @@ def greedy_batches(terms: Column, cap: int) -> Column:
         return F.when(fits, grown).otherwise(F.array_append(acc, term))
 
     return F.aggregate(terms, start, step)
+
+
+def greedy_batch_counts(rows: DataFrame, key: str, term: str, order: str, cap: int) -> DataFrame:
+    """Per key the number of greedy_batches of its terms in order and the longest, without a list of the terms.
+
+    Rows are dealt by ranges of (key, order). A range only has to know how long the open batch before it is, so it is folded from
+    every length up to cap at once (from cap on, nothing fits) and gives one row; those are chained per key. A null term is a batch
+    of its own.
+    """
+    kind = dict(rows.dtypes)[key]
+    starts = cap + 1
+
+    def fold(frames):
+        open_key, at, state = None, 0, None
+
+        def done():
+            return pd.DataFrame({"k": pd.Series([open_key], dtype=object), "at": [at], "ends": [state[0].tolist()], "batches": [state[1].tolist()], "longest": [state[2].tolist()]})
+
+        for pdf in frames:
+            for k, n in zip(pdf["k"], pdf["n"], strict=True):
+                k = None if pd.isna(k) else k
+                if state is None or k != open_key:
+                    if state is not None:
+                        yield done()
+                        at += 1
+                    open_key, state = k, (np.arange(starts), np.zeros(starts, np.int64), np.full(starts, -1, np.int64))
+                size, count, most = state
+                # sizes over cap are kept as cap: nothing fits either way
+                fits = (size + 1 + n <= cap) if n >= 0 else np.zeros(starts, bool)
+                now = np.where(fits, size + 1 + n, n if n >= 0 else -1)
+                state = (np.minimum(now, cap) if n >= 0 else np.full(starts, cap), count + ~fits, np.maximum(most, now))
+        if state is not None:
+            yield done()
+
+    def chain(pdf):
+        size, n, most = cap, 0, -1
+        for _, r in pdf.sort_values(["part", "at"]).iterrows():
+            n, most, size = n + r["batches"][size], max(most, r["longest"][size]), r["ends"][size]
+        return pd.DataFrame({"k": pd.Series([pdf["k"].iloc[0]], dtype=object), "n_batches": [n], "longest": [most if most >= 0 else None]})
+
+    lengths = rows.select(F.col(key).alias("k"), F.col(order).alias("o"), F.col(term).alias("t")).repartitionByRange("k", "o", "t").sortWithinPartitions("k", "o", "t")
+    folded = lengths.select("k", F.coalesce(F.char_length("t"), F.lit(-1)).alias("n")).mapInPandas(fold, f"k {kind}, at int, ends array<int>, batches array<bigint>, longest array<bigint>")
+    parts = folded.withColumn("part", F.spark_partition_id())
+    return parts.groupBy("k").applyInPandas(chain, f"k {kind}, n_batches int, longest int").withColumnRenamed("k", key)

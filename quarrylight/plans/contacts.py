@@ -298,9 +298,7 @@ SELECT p_partkey, array_to_string(list_sort(l), ' ') AS tokens, CASE WHEN len(li
 
 def greedy_batch(spark, d):
     """Part names of a brand, in order, packed into batches of 200 characters."""
-    names = table(spark, d, "part").groupBy("p_brand").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))), lambda x: x["p_name"]).alias("terms"))
-    batches = names.select("p_brand", scoring.greedy_batches(F.col("terms"), 200).alias("b"))
-    return batches.select("p_brand", F.size("b").alias("n_batches"), F.array_max(F.transform("b", F.char_length)).alias("longest"))
+    return scoring.greedy_batch_counts(table(spark, d, "part"), "p_brand", "p_name", "p_partkey", 200)
 
 
 def usage_cost(spark, d):

@@ -28,8 +28,7 @@ def route_budget(spark, d):
 
 
 def distinct_sites(spark, d):
-    urls = table(spark, d, "pages").groupBy((F.col("page_id") % 10).alias("g")).agg(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "url"))), lambda x: x["url"]).alias("urls"))
-    return urls.select("g", F.size(R.distinct_sites(F.col("urls"))).alias("n_sites"), F.get(R.distinct_sites(F.col("urls")), 0).alias("first_url"))
+    return R.site_counts(table(spark, d, "pages").select("page_id", "url", (F.col("page_id") % 10).alias("g")), "g", "url", "page_id")
 
 
 def keyword_terms(spark, d):

@@ -379,11 +379,10 @@ def mask_signals(spark, d):
 
 def field_availability(spark, d):
     """Open, masked, absent, blocked or unknown fields of a user's items."""
-    items = F.collect_list(F.struct(F.col("event_type").alias("value"), (F.col("event_type") == "error").alias("masked")))
-    g = table(spark, d, "events").filter("event_type in ('error', 'signup')").groupBy("user_id").agg(items.alias("items"))
-    users = table(spark, d, "events").select("user_id").distinct().join(g, "user_id", "left").withColumn("items", F.coalesce("items", F.array().cast("array<struct<value:string,masked:boolean>>")))
+    seen = lambda kind: F.coalesce(F.bool_or(F.col("event_type") == kind), F.lit(False))
+    users = table(spark, d, "events").groupBy("user_id").agg(seen("signup").alias("open"), seen("error").alias("masked"))
     status = F.when(F.col("user_id") % 5 == 0, "blocked").otherwise("ok")
-    return users.select("user_id", consensus.availability(status, F.col("items"), F.col("user_id") % 2 == 0).alias("availability"))
+    return users.select("user_id", consensus.availability_of(status, F.col("open"), F.col("masked"), F.col("user_id") % 2 == 0).alias("availability"))
 
 
 AVAIL_SQL = """

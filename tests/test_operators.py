@@ -144,3 +144,17 @@ def test_address_lookup(spark):
     aliases = spark.createDataFrame([(7, "москва", 1), (8, "омск", 1), (9, "омск", 1)], "p int, alias string, pr int")
     found = {r.i: (r.p, r.match) for r in geo.address_lookup(rows, "i", "a", aliases, "p", "alias", "pr").collect()}
     assert found == {1: (7, "matched"), 2: (None, "ambiguous"), 3: (None, "none")}
+
+
+def test_groups_are_not_collected(spark):
+    from pyspark.sql import functions as F
+
+    from quarrylight.operators import scoring
+    from quarrylight.plans import catalog
+
+    rows = spark.range(400).select((F.col("id") % 3).alias("k"), F.expr("CASE WHEN id % 50 = 7 THEN NULL ELSE repeat('x', int(id * 7 % 31)) END").alias("t"), "id")
+    lists = rows.groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "t"))), lambda x: x["t"]).alias("ts")).select("k", scoring.greedy_batches(F.col("ts"), 25).alias("b"))
+    want = {r.k: (r.n, r.m) for r in lists.select("k", F.size("b").alias("n"), F.array_max(F.transform("b", F.char_length)).alias("m")).collect()}
+    assert {r.k: (r.n_batches, r.longest) for r in scoring.greedy_batch_counts(rows, "k", "t", "id", 25).collect()} == want
+    for name in ("distinct_sites", "greedy_batch", "field_availability"):
+        assert "collect_list" not in catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
