@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.workspace import shared_folder
 
 
 def lead_cards(records: DataFrame, key: str, kind: str, date: str, title: str, section: str, label: str, score: str, order: str, corporate: Sequence[str] = ("about", "contacts", "homepage")) -> DataFrame:
@@ -23,36 +24,71 @@ def lead_cards(records: DataFrame, key: str, kind: str, date: str, title: str, s
 def rank_routes(routes: DataFrame, site: str, family: str, host: str, path: str, score: str, total: int = 10, per_family: int = 3, per_host: int = 6, per_path: int = 2) -> DataFrame:
     """The routes of a site that fit its budget, in order of choice, and why the others don't.
 
-    First the best of each family, then families in turn; each choice depends on the counts so far, so a site's routes are one group of
-    pandas. Ties go to the smaller path.
+    First the best of each family, then families in turn, ties to the smaller path. The turn of a route is its rank in its family, so
+    the order of visits is known beforehand; ranks are counted over ranges, so that no task holds a site. Each choice depends on the
+    counts so far, but only few routes of a family can be chosen at all (``could_be_chosen``): those are a site's group of pandas. It
+    gives the turns at which caps were reached, and the outcome of every route follows from its own turn.
     """
+    spark = routes.sparkSession
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0"))
+    first_part = F.coalesce(F.get(F.split(F.col(path), "/"), F.lit(1)), F.lit(""))
+    keyed = routes.withColumns({"__s": text(site), "__f": text(family), "__h": text(host), "__p": first_part, "__t": F.xxhash64(*routes.columns)})
+    order = [F.desc(score), F.asc(path), F.asc("__t")]
+    folder = shared_folder(spark, "routes")
+    keyed.repartitionByRange("__s", "__f", *order).withColumn("__part", F.spark_partition_id()).write.parquet(folder)
+    ranged = spark.read.parquet(folder)
+    before = Window.partitionBy("__s", "__f").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("__s", "__f", "__part").agg(F.count(F.lit(1)).alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    ranked = ranged.join(offsets, ["__s", "__f", "__part"]).withColumn("__rank", F.col("__before") + F.row_number().over(Window.partitionBy("__s", "__f", "__part").orderBy(*order)))
+    heads = ranked.filter("__rank = 1").select("__s", "__f", F.row_number().over(Window.partitionBy("__s").orderBy(*order)).alias("__turn"))
+    few = could_be_chosen(ranked.select("__s", "__f", "__h", "__p", "__rank"), total, per_family, per_host, per_path).join(heads, ["__s", "__f"])
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values([score, path], ascending=[False, True], kind="stable").reset_index(drop=True)
-        used = {"family": {}, "host": {}, "path": {}}
-        caps = {"family": per_family, "host": per_host, "path": per_path}
-        state: dict[int, tuple[int, str]] = {}
-        turn = {f: list(g.index) for f, g in rows.groupby(family, sort=False)}
-        n = 0
-        while any(turn.values()):
-            for f in list(turn):
-                if not turn[f]:
-                    continue
-                i = turn[f].pop(0)
-                keys = {"family": f, "host": rows[host][i], "path": rows[path][i].split("/")[1] if "/" in rows[path][i] else ""}
-                full = next((k for k, v in keys.items() if used[k].get(v, 0) >= caps[k]), None) or ("total" if n >= total else None)
-                if full:
-                    state[i] = (0, f"{full}_cap")
-                    continue
-                n += 1
-                for k, v in keys.items():
-                    used[k][v] = used[k].get(v, 0) + 1
-                state[i] = (n, "selected")
-        rows["place"], rows["outcome"] = [state[i][0] for i in rows.index], [state[i][1] for i in rows.index]
-        return rows
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in routes.schema.fields) + ", place int, outcome string"
-    return routes.groupBy(site).applyInPandas(choose, schema)
+        caps, used, out, n = {"f": per_family, "h": per_host, "p": per_path, "t": total}, {}, {}, 0
+        for r in pdf.sort_values(["__rank", "__turn"]).to_dict("records"):
+            at = (r["__rank"], r["__turn"])
+            out[f"o:{r['__f']}"] = (0, r["__turn"], 0)
+            keys = [("f", r["__f"]), ("h", r["__h"]), ("p", r["__p"]), ("t", "")]
+            if any(used.get(k, 0) >= caps[k[0]] for k in keys):
+                continue
+            n += 1
+            out[f"s:{r['__rank']}:{r['__f']}"] = (*at, n)
+            for k in keys:
+                used[k] = used.get(k, 0) + 1
+                if used[k] == caps[k[0]]:
+                    out[f"{k[0]}:{k[1]}"] = (*at, 0)
+        return pd.DataFrame([(pdf["__s"].iloc[0], k, *v) for k, v in out.items()], columns=["__s", "key", "rank", "turn", "place"])
+
+    marks = few.groupBy("__s").applyInPandas(choose, "__s string, key string, rank bigint, turn int, place int")
+    marks = marks.groupBy("__s").agg(F.map_from_entries(F.collect_list(F.struct("key", F.struct("rank", "turn", "place")))).alias("__m"))
+    mark = lambda kind, *of: F.try_element_at("__m", F.concat(F.lit(kind), *of))
+    turn = mark("o:", F.col("__f"))["turn"]
+
+    def past(cap: int, full: Column) -> Column:
+        return F.lit(cap <= 0) | F.coalesce((F.col("__rank") > full["rank"]) | ((F.col("__rank") == full["rank"]) & (turn > full["turn"])), F.lit(False))
+
+    chosen = mark("s:", F.col("__rank").cast("string"), F.lit(":"), F.col("__f"))["place"]
+    outcome = F.when(chosen.isNotNull(), "selected").when(past(per_family, mark("f:", F.col("__f"))), "family_cap").when(past(per_host, mark("h:", F.col("__h"))), "host_cap").when(past(per_path, mark("p:", F.col("__p"))), "path_cap").otherwise("total_cap")
+    return ranked.join(marks, "__s", "left").select(*routes.columns, F.coalesce(chosen, F.lit(0)).alias("place"), outcome.alias("outcome"))
+
+
+def could_be_chosen(ranked: DataFrame, total: int, per_family: int, per_host: int, per_path: int) -> DataFrame:
+    """The rows (__s, __f, __h, __p, __rank) that a site's caps don't rule out whatever else is chosen.
+
+    A route is passed over only when a cap of its own is full, and caps stay full. So of one family, host and path only the first
+    per_path can be chosen. Before a route that is chosen, its family has fewer than per_family chosen ones, and else routes of full
+    hosts (at most total / per_host) and full paths (at most total / per_path), of which the same reasoning bounds the rows.
+    """
+    hosts, paths = total // max(1, per_host), total // max(1, per_path)
+    of_path = per_path + hosts * per_path
+    of_host = per_host + paths * per_path
+    of_family = per_family + hosts * of_host + paths * of_path
+    bounds = ((["__h", "__p"], per_path), (["__p"], of_path), (["__h"], of_host), ([], of_family))
+    for keys, most in bounds:
+        # tasks drop what is beyond the bound before the exchange
+        w = Window.partitionBy("__s", "__f", *keys).orderBy("__rank")
+        ranked = ranked.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= most).drop("__k")
+    return ranked
 
 
 def distinct_sites(sites: Column) -> Column:

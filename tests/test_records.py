@@ -45,3 +45,42 @@ def test_responses(spark):
 
 def test_cooldown(spark):
     assert [r.s for r in spark.range(6).select(R.cooldown(F.col("id")).alias("s")).orderBy("s").collect()] == [0.0, 30.0, 60.0, 120.0, 240.0, 240.0]
+
+
+def naive_routes(rows, total=10, per_family=3, per_host=6, per_path=2):
+    rows = sorted(rows, key=lambda r: (-r[4], r[3]))
+    turn, used, out, n = {}, {}, {}, 0
+    for r in rows:
+        turn.setdefault(r[1], []).append(r)
+    while any(turn.values()):
+        for q in turn.values():
+            if not q:
+                continue
+            r = q.pop(0)
+            keys = {"family": r[1], "host": r[2], "path": r[3].split("/")[1]}
+            caps = {"family": per_family, "host": per_host, "path": per_path}
+            full = next((k for k, v in keys.items() if used.get((k, v), 0) >= caps[k]), None) or ("total" if n >= total else None)
+            if full:
+                out[r] = (0, f"{full}_cap")
+                continue
+            n += 1
+            out[r] = (n, "selected")
+            for kv in keys.items():
+                used[kv] = used.get(kv, 0) + 1
+    return out
+
+
+def test_routes_of_a_large_site(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(s, rng.choice(["news", "blog", "item", "other"]), f"h{rng.choice([0, 0, 0, 1, 2])}", f"/{rng.choice('aaaabbcdefgh')}/{i}", float(rng.randint(0, 3))) for s, n in (("big", 1500), ("small", 30), ("one", 1)) for i in range(n)]
+    found = R.rank_routes(spark.createDataFrame(rows, "site string, family string, host string, path string, score double").repartition(5), "site", "family", "host", "path", "score")
+    want = {}
+    for s in ("big", "small", "one"):
+        want |= naive_routes([r for r in rows if r[0] == s])
+    got = {(r.site, r.family, r.host, r.path, r.score): (r.place, r.outcome) for r in found.collect()}
+    assert got == want
+    # a site's group holds the routes that can be chosen: at most 39 a family
+    assert R.could_be_chosen(found.select(*[F.lit("x").alias(c) for c in ("__s", "__f", "__h", "__p")], F.monotonically_increasing_id().alias("__rank")), 10, 3, 6, 2).count() == 2
+    assert "WindowGroupLimit" in found._jdf.queryExecution().optimizedPlan().toString()
