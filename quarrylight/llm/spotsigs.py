@@ -50,8 +50,13 @@ def words_of(text: Column) -> Column:
 def chain_signatures(words: Column) -> Column:
     """The chains at every word (array<int>) of words_of a text; below two words one signature, of the words."""
     plain = F.filter(F.split(words, " "), lambda w: w != "")
-    chains = F.transform(F.sequence(F.lit(0), F.size(plain) - CHAIN), lambda i: F.hash(F.array_join(F.slice(plain, i + 1, CHAIN), " ")))
-    return F.when(F.size(plain) >= CHAIN, chains).otherwise(F.array(F.hash(F.array_join(plain, " "))))
+
+    def chains(p: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.size(p) - CHAIN), lambda i: F.hash(F.array_join(F.slice(p, i + 1, CHAIN), " ")))
+        return F.when(F.size(p) >= CHAIN, every).otherwise(F.array(F.hash(F.array_join(p, " "))))
+
+    # bound by a transform, else the words are cut anew for each chain
+    return F.get(F.transform(F.array(plain), chains), F.lit(0))
 
 
 def with_signatures(df: DataFrame, text: Column, out: str, spotted: str | None = None) -> DataFrame:
