@@ -36,9 +36,10 @@ def tiered_match(refs: DataFrame, targets: DataFrame, ref_id: str, target_id: st
     """
     found = None
     for i, t in enumerate(tiers):
-        pairs = refs.filter(F.col(t).isNotNull()).select(ref_id, t).join(targets.filter(F.col(t).isNotNull()).select(target_id, t), t)
-        # counts before the union: a hot key is one row per reference
-        part = pairs.groupBy(ref_id).agg(F.count_distinct(target_id).alias("n"), F.min(target_id).alias("target")).withColumn("tier", F.lit(i))
+        # targets are one row per key before the join: a hot key makes no pairs. More than one target shows as a least and a greatest
+        per_key = targets.filter(F.col(t).isNotNull()).groupBy(t).agg(F.min(target_id).alias("lo"), F.max(target_id).alias("hi"))
+        matched = refs.filter(F.col(t).isNotNull()).select(ref_id, t).join(per_key, t).groupBy(ref_id).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        part = matched.select(ref_id, F.when(F.col("lo") == F.col("hi"), 1).otherwise(2).alias("n"), F.col("lo").alias("target"), F.lit(i).alias("tier"))
         found = part if found is None else found.unionByName(part)
     first = found.groupBy(ref_id).agg(F.min_by(F.struct("n", "target", "tier"), "tier").alias("m"))
     out = refs.join(first, ref_id, "left")

@@ -158,3 +158,13 @@ def test_groups_are_not_collected(spark):
     assert {r.k: (r.n_batches, r.longest) for r in scoring.greedy_batch_counts(rows, "k", "t", "id", 25).collect()} == want
     for name in ("distinct_sites", "greedy_batch", "field_availability"):
         assert "collect_list" not in catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tiers_make_no_pairs(spark):
+    refs = spark.range(40).selectExpr("id AS r", "0 AS k")
+    targets = spark.range(50).selectExpr("id % 2 AS t", "0 AS k")
+    found = joins.tiered_match(refs, targets, "r", "t", ["k"])
+    assert {(r.target, r.tier) for r in found.collect()} == {(None, None)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # targets are one row per key below the join
+    assert "Aggregate" in plan.split("Join Inner")[1].split("Range (0, 50")[0].split("Range (0, 40")[-1]
