@@ -4,19 +4,22 @@ Words are runs of letters and digits of the lower-cased text; a document's set h
 five-word shingles (a text of one to four words has one shingle). ``choose_bands`` picks the rows of a band and the
 number of bands for a target recall at the threshold. Then:
 
-1. One pass over the texts gives each document the hash of its whole set and its band hashes. Documents with equal
-   sets are one node, so copies are never compared.
-2. Nodes are shuffled on band hashes; each node of a bucket is tied to the bucket's least node, and the connected
-   components of these ties are the candidate groups: each pair that shares a band is inside one.
-3. Only nodes in candidate groups get their full sets. A group is cut into blocks of bounded count and size, and
-   every pair of blocks is a task of its own, which counts intersections on bitsets. It returns each
-   node's number of links and a spanning forest of the linked pairs, not the pairs, so that a group of g near
-   copies gives O(g) rows per block pair.
-4. The components of the forest are the classes.
-
-Cases: a null text counts as empty; a text without a word has no links and is a class of its own. Rows that share
-an id are one node and so one class. Rows without an id come back with null class and no links. Ties: the class is
-named by its least id. An empty table gives an empty one. Other columns pass through.
+1. One pass over the texts gives each row the hash of its whole set, its band hashes and a sketch (a byte of each
+   min-hash). Rows with equal sets are one node, so copies are never compared.
+2. Nodes are shuffled on band hashes. Inside a bucket the sketches of its pairs are compared; a pair agrees if its
+   sketches do in so many places that a pair at the threshold falls short once in 30,000. A bucket returns a star for
+   each group that agreeing pairs connect, never its pairs; one of over ``BUCKET`` nodes is dealt to pairs of parts.
+   The components of the stars are the groups to verify: texts that only share a band by chance don't tie groups together.
+3. Only nodes in such groups get their full sets. Nodes stand in blocks of bounded count and size, ordered by group
+   and band hash; a pair of blocks is compared where some bucket reaches into both, as a task of its own, which counts
+   intersections on bitsets. It returns each node's number of links and a star for each group of linked nodes.
+4. The components of these verified links are the classes.
+
+Cases: a null text counts as empty; a text without a word has no links and is a class of its own. Each row has the class
+of its own text, also where rows share an id; ``n_links`` and ``class_size`` count rows. Rows without an id come back
+with null class and no links. Ties: the class is named by its least id; ``first`` marks the rows of that id
+and, where texts of one id are in one class, of the text with the least hash. An empty table gives an empty one. Other
+columns pass through.
 """
 
 from __future__ import annotations
@@ -25,9 +28,9 @@ import math
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +39,7 @@ from .graph import connected_components
 
 WORD = re.compile(r"[^\W_]+")
 N_WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
-BLOCK_NODES, BLOCK_SHINGLES = 512, 1_000_000
+BLOCK_NODES, BLOCK_SHINGLES, BUCKET = 512, 1_000_000, 1024
 WORDS_KEPT = 200_000  # word hashes that a task remembers; beyond that it starts anew
 
 
@@ -80,59 +83,139 @@ def shingles(text: str | None, n: int = N_WORDS) -> np.ndarray:
 
 
 def _min_hashes(sets: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(sets), 4096):  # a very long text goes through in slices
-        np.minimum(least, (sets[i : i + 4096, None] * a + b).min(axis=0), out=least)
+    short, least = (sets >> np.uint64(32)).astype(np.uint32), np.full(len(a), np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(short), 4096):  # a very long text goes through in slices
+        np.minimum(least, (short[i : i + 4096, None] * a + b).min(axis=0), out=least)
     return least
 
 
+def agreement(m: int, threshold: float) -> int:
+    """How many of m min-hashes a pair has in common at least: four deviations under what the threshold lets expect."""
+    return max(1, math.floor(m * threshold - 4 * math.sqrt(m * threshold * (1 - threshold))))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int) -> DataFrame:
-    """__id, __n (shingles), __set (hash of the set), __bands; the last two are null if there is no word."""
+    """__id, __h (hash of the text), __n (shingles), __set (hash of the set), __bands, __sketch; the last three are null if there is no word."""
     rng = np.random.default_rng(10)
-    a = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    b = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
+    a = rng.integers(1, 1 << 31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    b = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
     kind = docs.schema[id_col].dataType
 
     def sign(batches):
         for batch in batches:
             if len(_words) > WORDS_KEPT:
                 _words.clear()
-            ns, keys, found = [], [], []
-            for text in batch.column(1):
+            ns, keys, found, sketches = [], [], [], []
+            for text in batch.column(2):
                 s = shingles(text.as_py(), n)
                 ns.append(len(s))
                 if len(s):
                     keys.append(xxhash.xxh3_128_digest(s))
-                    m = _min_hashes(s, a, b).reshape(bands, rows)
-                    h = np.zeros(bands, np.uint64)
+                    m = _mix(_min_hashes(s, a, b).astype(np.uint64)).reshape(bands, rows)
+                    h = np.arange(bands, dtype=np.uint64)  # the band is part of its hash
                     for i in range(rows):
                         h = _mix(h * np.uint64(31) + m[:, i])
                     found.append(h.view(np.int64))
+                    sketches.append(m.astype(np.uint8).tobytes())
                 else:
                     keys.append(None)
                     found.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int32()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))], ["__id", "__n", "__set", "__bands"])
+                    sketches.append(None)
+            made = [pa.array(ns, pa.int32()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["__id", "__h", "__n", "__set", "__bands", "__sketch"])
         _words.clear()
 
-    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(sign, f"__id {kind.simpleString()}, __n int, __set binary, __bands array<bigint>")
+    texts = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__h"), F.col(text_col).alias("__text"))
+    return texts.mapInArrow(sign, f"__id {kind.simpleString()}, __h bigint, __n int, __set binary, __bands array<bigint>, __sketch binary")
 
 
 def with_sets(docs: DataFrame, n: int) -> DataFrame:
-    """docs(__id, __text, rest) with __set_bytes, the sorted shingle hashes as bytes, in place of the text."""
-    rest = [f for f in docs.schema.fields if f.name != "__text"]
-    at = docs.columns.index("__text")
+    """docs(__text, __set, rest) with __set_bytes, the sorted shingle hashes as bytes, in place of both; only rows whose text has that set."""
+    rest = [f for f in docs.schema.fields if f.name not in ("__text", "__set")]
+    at, key = docs.columns.index("__text"), docs.columns.index("__set")
 
     def fill(batches):
         for batch in batches:
             if len(_words) > WORDS_KEPT:
                 _words.clear()
-            sets = pa.array([shingles(t.as_py(), n).tobytes() for t in batch.column(at)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in rest] + [sets], [f.name for f in rest] + ["__set_bytes"])
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                sets = [shingles(t.as_py(), n) for t in part.column(at)]
+                same = pa.array([xxhash.xxh3_128_digest(s) == k.as_py() for s, k in zip(sets, part.column(key), strict=True)])
+                made = pa.RecordBatch.from_arrays([*(part.column(f.name) for f in rest), pa.array([s.tobytes() for s in sets], pa.binary())], [*(f.name for f in rest), "__set_bytes"])
+                yield made.filter(same)
         _words.clear()
 
     return docs.mapInArrow(fill, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest) + ", __set_bytes binary")
 
 
+def stars(sketches: np.ndarray, least: int) -> np.ndarray:
+    """For each row the first row that agreeing pairs connect it to."""
+    root = np.arange(len(sketches))
+    left = root.copy()
+    while len(left) > 1:
+        top, wave = left[0], [left[0]]
+        left = left[1:]
+        while wave and len(left):
+            hit = (sketches[left] == sketches[wave.pop()]).sum(axis=1) >= least
+            root[left[hit]] = top
+            wave += left[hit].tolist()
+            left = left[~hit]
+    return root
+
+
+def bucket_ties(members: DataFrame, least: int) -> DataFrame:
+    """Edges a, b of the stars of members(__value, __i, __j, __node, __sketch), whose rows are dealt and sorted by the first three."""
+
+    def runs(values: np.ndarray, nodes: np.ndarray, sketches: np.ndarray):
+        starts = np.concatenate([[0], np.nonzero((values[1:] != values[:-1]).any(axis=1))[0] + 1])
+        sizes = np.diff(np.append(starts, len(values)))
+        two = starts[sizes == 2]
+        two = two[(sketches[two] == sketches[two + 1]).sum(axis=1) >= least]
+        a, b = [nodes[two]], [nodes[two + 1]]
+        for s, k in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+            root = stars(sketches[s : s + k], least)
+            some = np.nonzero(root != np.arange(k))[0]
+            a.append(nodes[s + root[some]])
+            b.append(nodes[s + some])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (a, b)], ["a", "b"])
+
+    def tie(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
+            now = (values, batch.column(3).to_numpy(), np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            now = now if held is None else tuple(map(np.concatenate, zip(held, now, strict=True)))
+            # the last run may go on in the next batch
+            cut = int(np.nonzero((now[0] != now[0][-1]).any(axis=1))[0][-1] + 1) if (now[0] != now[0][-1]).any() else 0
+            held = tuple(x[cut:] for x in now)
+            if cut:
+                yield runs(*(x[:cut] for x in now))
+        if held is not None:
+            yield runs(*held)
+
+    return members.mapInArrow(tie, "a bigint, b bigint")
+
+
+def in_blocks(members: DataFrame) -> DataFrame:
+    """members, which are ordered within their partitions, with __block: a number shared by at most BLOCK_NODES of them in a row."""
+    at, names = members.columns.index("__n"), [*members.columns, "__block"]
+
+    def number(batches):
+        block, count, size = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            found = np.empty(batch.num_rows, np.int64)
+            for k, n in enumerate(batch.column(at).to_numpy().tolist()):
+                if count and (count == BLOCK_NODES or size + n > BLOCK_SHINGLES):
+                    block, count, size = block + 1, 0, 0
+                count, size, found[k] = count + 1, size + n, block
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names)
+
+    return members.mapInArrow(number, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema.fields) + ", __block bigint")
+
+
 def intersections(sets: list[np.ndarray]):
     """Yields (i, sizes of the intersections of set i with sets i+1...): bitsets over the shared shingles."""
     n = len(sets)
@@ -174,8 +257,8 @@ def linked(sets: list[np.ndarray], side: np.ndarray | None, threshold: float):
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, int), np.zeros(0, int))
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs."""
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n nodes the first that the pairs connect it to."""
     top = list(range(n))
 
     def find(x: int) -> int:
@@ -184,62 +267,103 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
             x = top[x]
         return x
 
-    kept = []
     for x, y in zip(a.tolist(), b.tolist(), strict=True):
         p, q = find(x), find(y)
         if p != q:
             top[max(p, q)] = min(p, q)
-            kept.append((x, y))
-            if len(kept) == n - 1:
-                break
-    return kept
-
-
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """docs with class_id (least id of its near-duplicate class), n_links and class_size (in rows)."""
+    return np.array([find(x) for x in range(n)], int)
+
+
+def block_pairs(members: DataFrame, banded: DataFrame) -> DataFrame:
+    """__block, __pairs: the pairs (i, j) of blocks that a block is compared in, where a bucket of a group reaches into another block too."""
+    wide = members.groupBy("component").agg(F.min("__block").alias("x"), F.max("__block").alias("y")).filter("x < y").select("component")
+    spread = members.join(wide, "component").select("__node", "component", "__block")
+    # a bucket gives as many rows as it has blocks, whatever their number of nodes
+    touched = banded.join(spread, "__node").groupBy("component", "__value").agg(F.sort_array(F.collect_set("__block")).alias("__blocks")).filter(F.size("__blocks") > 1).select("__blocks").distinct()
+    both = touched.select(F.explode("__blocks").alias("i"), "__blocks").select("i", F.explode("__blocks").alias("j")).filter("i < j").distinct()
+    each = both.select(F.explode(F.array("i", "j")).alias("__block"), F.struct("i", "j").alias("__pair"))
+    return each.groupBy("__block").agg(F.collect_list("__pair").alias("__pairs"))
+
+
+def verified_links(full: DataFrame, threshold: float) -> DataFrame:
+    """node, other, links: how many rows a node is linked to in a pair of blocks, and stars of the linked nodes (other not null)."""
+
+    def verify(table: pa.Table) -> pa.Table:
+        nodes, groups, copies, own = (table.column(c).to_numpy() for c in ("__node", "component", "__copies", "__block"))
+        # repeated rows of a text hold its set more than once
+        keep = np.unique(nodes, return_index=True)[1]
+        keep = keep[np.argsort(groups[keep], kind="stable")]
+        nodes, groups, copies, own = nodes[keep], groups[keep], copies[keep], own[keep]
+        sets, across = table.column("__set_bytes"), table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        node, other, links = [], [], []
+        for part in np.split(np.arange(len(nodes)), np.nonzero(groups[1:] != groups[:-1])[0] + 1):
+            side = own[part]
+            if len(part) < 2 or (across and (side == side[0]).all()):
+                continue
+            a, b = linked([np.frombuffer(sets[int(keep[k])].as_buffer(), np.uint64) for k in part], side if across else None, threshold)
+            count, root = np.zeros(len(part), np.int64), roots(len(part), a, b)
+            np.add.at(count, a, copies[part][b])
+            np.add.at(count, b, copies[part][a])
+            some = np.nonzero(count)[0]
+            node.append(nodes[part[some]])
+            other.append(nodes[part[root[some]]])
+            links.append(count[some])
+        node, other, links = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (node, other, links))
+        return pa.table({"node": pa.array(node, pa.int64()), "other": pa.array(other, pa.int64()), "links": pa.array(links, pa.int64())})
+
+    return full.groupBy("i", "j").applyInArrow(verify, "node bigint, other bigint, links bigint")
+
+
+def _classified(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: float, recall: float) -> DataFrame:
+    """docs with __k, __h (id and text hash, by which the rows are dealt), __class, __links, __size, __first; null where there is no class to find."""
     bands, rows = choose_bands(threshold, recall)
-    kind = docs.schema[id_col].dataType.simpleString()
     signed = materialize(signatures(docs, id_col, text_col, n, bands, rows), "signatures")
-    # copies are one node, named by its least id
-    nodes = materialize(signed.filter("__set is not null and __id is not null").groupBy("__set").agg(F.min("__id").alias("__node"), F.count(F.lit(1)).alias("__copies"), F.first("__n").alias("__n"), F.first("__bands").alias("__bands")), "nodes")
-    banded = nodes.select("__node", F.posexplode("__bands").alias("__band", "__value"))
-    buckets = banded.groupBy("__band", "__value").agg(F.min("__node").alias("__hub"), F.max("__node").alias("__far")).filter("__hub <> __far").drop("__far")
-    ties = banded.join(buckets, ["__band", "__value"]).filter("__node <> __hub").select(F.col("__node").alias("a"), F.col("__hub").alias("b"))
-    groups = connected_components(ties)
-    grouped = groups.join(nodes.select(F.col("__node").alias("node"), "__set", "__copies", "__n"), "node")
-    blocks = grouped.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("__n") / BLOCK_SHINGLES)).cast("int").alias("__blocks"))
-    members = grouped.join(blocks, "component").withColumnRenamed("__set", "__key")
-    # one row that holds each set's text: the least id of the copies
-    holders = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).filter("__id is not null")
-    full = with_sets(holders.join(members, holders["__id"] == members["node"]).select(F.col("node").alias("__id"), "__key", "component", "__copies", "__blocks", "__text"), n)
-    own = F.pmod(F.xxhash64("__id", "__key"), F.col("__blocks")).cast("int")
-    dealt = full.withColumn("__own", own).withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
-    dealt = dealt.select("__id", "__key", "__copies", "__own", "component", F.least("__own", "__other").alias("__i"), F.greatest("__own", "__other").alias("__j"), "__set_bytes")
-
-    def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        # repeated rows of one node and set count once
-        pdf = pdf.drop_duplicates(["__id", "__key"]) if len(pdf) > 1 else pdf
-        ids, copies = pdf["__id"].to_numpy(), pdf["__copies"].to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in pdf["__set_bytes"]]
-        side = None if pdf["__i"].iloc[0] == pdf["__j"].iloc[0] else pdf["__own"].to_numpy()
-        a, b = linked(sets, side, threshold) if len(sets) > 1 else (np.zeros(0, int), np.zeros(0, int))
-        count = np.zeros(len(ids), np.int64)
-        np.add.at(count, a, copies[b])
-        np.add.at(count, b, copies[a])
-        some, tree = np.nonzero(count)[0], forest(len(ids), a, b)
-        return pd.DataFrame({"node": [*ids[some], *(ids[x] for x, _ in tree)], "other": [*[None] * len(some), *(ids[y] for _, y in tree)], "links": [*count[some], *[0] * len(tree)]}).astype({"node": "object", "other": "object"})
-
-    found = materialize(dealt.groupBy("component", "__i", "__j").applyInPandas(verify, f"node {kind}, other {kind}, links bigint"), "links")
+    worded = signed.filter("__set is not null")
+    # rows with equal sets are one node; its holder is a row that has the text
+    nodes = worded.groupBy("__set").agg(F.min(F.struct("__id", "__h")).alias("__holder"), F.count(F.lit(1)).alias("__copies"), F.first("__n").alias("__n"), F.first("__bands").alias("__bands"), F.first("__sketch").alias("__sketch"))
+    nodes = materialize(nodes.withColumn("__node", F.monotonically_increasing_id()), "nodes")
+    banded = nodes.select("__node", F.explode("__bands").alias("__value"))
+    buckets = banded.groupBy("__value").agg(F.count(F.lit(1)).alias("__in")).filter("__in > 1")
+    shared = materialize(banded.join(buckets, "__value"), "shared-bands")
+    parts = F.ceil(F.col("__in") / BUCKET).cast("int")
+    dealt = shared.join(nodes.select("__node", "__sketch"), "__node").withColumn("__own", F.pmod(F.xxhash64("__node"), parts).cast("int")).withColumn("__other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = dealt.select("__value", F.least("__own", "__other").cast("long").alias("__i"), F.greatest("__own", "__other").cast("long").alias("__j"), "__node", "__sketch")
+    groups = connected_components(bucket_ties(dealt.repartition("__value", "__i", "__j").sortWithinPartitions("__value", "__i", "__j"), agreement(bands * rows, threshold)))
+    members = groups.withColumnRenamed("node", "__node").join(nodes.select("__node", "__set", "__holder", "__copies", "__n", F.get("__bands", F.lit(0)).alias("__near")), "__node")
+    members = materialize(in_blocks(members.repartitionByRange("component", "__near", "__node").sortWithinPartitions("component", "__near", "__node")), "members")
+    texts = docs.select(F.col(id_col).alias("__k"), F.xxhash64(text_col).alias("__h"), F.col(text_col).alias("__text"))
+    placed = members.join(block_pairs(members, shared.select("__node", "__value")), "__block", "left")
+    held = texts.join(placed, (F.col("__k") == F.col("__holder.__id")) & (F.col("__h") == F.col("__holder.__h")))
+    full = with_sets(held.select("__node", "component", "__copies", "__block", "__pairs", "__set", "__text"), n)
+    own = F.array(F.struct(F.col("__block").alias("i"), F.col("__block").alias("j")))
+    pairs = full.withColumn("__pair", F.explode(F.coalesce(F.concat(own, "__pairs"), own))).select("__node", "component", "__copies", "__block", "__pair.i", "__pair.j", "__set_bytes")
+    found = materialize(verified_links(pairs, threshold), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("__links"))
-    classes = connected_components(found.filter("other is not null"), "node", "other")
-    named = nodes.select("__set", F.col("__node").alias("node"), "__copies").join(links, "node", "left").join(classes, "node", "left")
-    named = named.select(F.col("__set").alias("__key"), F.coalesce("component", "node").alias("__class"), (F.coalesce("__links", F.lit(0)) + F.col("__copies") - 1).alias("__links"), "__copies")
-    sizes = named.groupBy("__class").agg(F.sum("__copies").alias("__size"))
-    named = named.join(sizes, "__class")
-    per_id = signed.filter("__set is not null and __id is not null").join(named, F.col("__set") == F.col("__key")).groupBy("__id").agg(F.min("__class").alias("__class"), F.max("__links").alias("__links"), F.max("__size").alias("__size"))
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("class_id", "n_links", "class_size")]
-    out = docs.join(per_id, docs[id_col] == F.col("__id"), "left")
-    return out.select(*rest, F.coalesce("__class", F.col(id_col)).alias("class_id"), F.coalesce("__links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("__size", F.lit(1)).cast("long").alias("class_size"))
+    classes = connected_components(found, "node", "other")
+    named = nodes.select("__set", "__holder", F.col("__node").alias("node"), "__copies").join(links, "node", "left").join(classes, "node", "left").withColumn("__top", F.coalesce("component", "node"))
+    tops = named.groupBy("__top").agg(F.min("__holder").alias("__least"), F.sum("__copies").alias("__size"))
+    named = named.join(tops, "__top").select(F.col("__set").alias("__key"), "__least", (F.coalesce("__links", F.lit(0)) + F.col("__copies") - 1).alias("__links"), "__size")
+    each = worded.select("__id", F.col("__h").alias("__t"), "__set").distinct().join(named, F.col("__set") == F.col("__key"))
+    each = each.select("__id", "__t", F.col("__least.__id").alias("__class"), "__links", "__size", ((F.col("__id") == F.col("__least.__id")) & (F.col("__t") == F.col("__least.__h"))).alias("__first"))
+    keyed = docs.withColumns({"__k": F.col(id_col), "__h": F.xxhash64(text_col)})
+    return keyed.join(each, (F.col("__k") == F.col("__id")) & (F.col("__h") == F.col("__t")), "left")
+
+
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """docs with class_id (least id of its near-duplicate class), n_links, class_size (in rows) and first (stands for its class)."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("class_id", "n_links", "class_size", "first")]
+    return _classified(docs, id_col, text_col, n, threshold, recall).select(
+        *rest, F.coalesce("__class", "__k").alias("class_id"), F.coalesce("__links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("__size", F.lit(1)).cast("long").alias("class_size"), F.coalesce("__first", F.lit(True)).alias("first"),
+    )
+
+
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """The row that stands for each class, of rows repeated with id and text the least by the other columns. Rows without an id stay."""
+    kept = _classified(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, n, threshold, recall).filter(F.coalesce("__first", F.lit(True)))
+    # dealt and sorted by the join already; a row repeated without end is one row after each task's own aggregation
+    row = kept.groupBy("__k", "__h").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
+    return row.select("__row.*").unionByName(docs.filter(F.col(id_col).isNull()))
 
 
 def op10_ngram_jaccard_join(spark, sf_dir):

@@ -493,6 +493,75 @@ def test_near_copies_on_odd_rows(odd, empty):
     assert 1 - (1 - 0.8**length) ** bands >= 0.999
 
 
+def test_texts_under_one_id_keep_their_own_classes(spark):
+    from quarrylight.llm.ngram_join import jaccard_classes, one_of_each_class
+
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    for rows in ([(1, a), (1, b), (2, a + " more")], [(1, b), (1, a), (2, a + " more")], [(2, a + " more"), (1, b), (1, a)]):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+        found = {(r.doc_id, r.text): (r.class_id, r.n_links, r.class_size) for r in jaccard_classes(df).collect()}
+        assert found == {(1, a): (1, 1, 2), (1, b): (1, 0, 1), (2, a + " more"): (1, 1, 2)}
+        assert sorted((r.doc_id, r.text) for r in one_of_each_class(df).collect()) == [(1, a), (1, b)]
+    # a repeated row goes, a near copy under the same id too
+    df = spark.createDataFrame([(1, a, "x"), (1, a, "y"), (1, a + " more", "x"), (None, a, "x"), (None, a, "x")], "doc_id bigint, text string, lang string")
+    kept = one_of_each_class(df).collect()
+    assert sum(r.doc_id == 1 for r in kept) == 1 and sum(r.doc_id is None for r in kept) == 2
+
+
+def half_alike(n=60):
+    # chains of texts of which neighbours share half of their shingles
+    words = [f"v{k}" for k in range(90 + 30 * n)]
+    return [(k, " ".join(words[30 * k : 30 * k + 90])) for k in range(n)]
+
+
+def test_half_alike_texts_are_not_verified(spark, monkeypatch):
+    from quarrylight.llm import ngram_join
+
+    seen = []
+    plain = ngram_join.in_blocks
+    monkeypatch.setattr(ngram_join, "in_blocks", lambda df: (seen.append(df), plain(df))[1])
+    rows = half_alike()
+    found = ngram_join.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert all(r.class_id == r.doc_id and r.n_links == 0 for r in found)
+    assert seen[0].count() <= 0.1 * len(rows)
+
+
+def test_large_buckets_and_blocks(spark, monkeypatch):
+    from quarrylight.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "BUCKET", 8)
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", 8)
+    rng, base = random.Random(6), [f"w{k}" for k in range(150)]
+    # a drifting group: neighbours are linked, ends are not
+    rows = [(k, " ".join(base[k : k + 80])) for k in range(60)] + [(100 + k, " ".join(base[:40] + [f"y{k}"] + base[40:80])) for k in range(40)]
+    rng.shuffle(rows)
+    want = naive_classes(rows)
+    found = ngram_join.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in found} == want
+
+
+def test_recall_of_planted_pairs(spark):
+    from quarrylight.llm.ngram_join import jaccard_classes
+
+    rng, rows = random.Random(7), []
+    for k in range(400):
+        words = [f"{k}_{i}" for i in range(rng.randint(60, 200))]
+        near = list(words)
+        for _ in range(len(words) // 55):  # each changed word changes five shingles
+            near[rng.randrange(len(near))] = f"{k}_new{rng.random()}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(near))]
+    want = naive_classes_by_pairs(rows)
+    found = {r.doc_id: r.class_id for r in jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert sum(want) > 300
+    assert sum(found[2 * k] == found[2 * k + 1] for k in range(400) if want[k]) >= 0.99 * sum(want)
+    assert not any(found[2 * k] == found[2 * k + 1] for k in range(400) if not want[k])
+
+
+def naive_classes_by_pairs(rows, threshold=0.8):
+    grams = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    return [len(a & b) >= threshold * len(a | b) - 1e-12 for a, b in ((grams(rows[k][1]), grams(rows[k + 1][1])) for k in range(0, len(rows), 2))]
+
+
 def test_components_of_a_chain(spark):
     from quarrylight.llm.graph import connected_components
 
