@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylight.llm.common import documents, fold, materialize
 from quarrylight.llm.line_dedup import dedup_lines
 from quarrylight.llm.mixing import mix_documents
-from quarrylight.llm.ngram_join import jaccard_classes
+from quarrylight.llm.ngram_join import one_of_each_class
 from quarrylight.llm.pieces import model_path, piece_digests
 from quarrylight.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -28,12 +28,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates stays: the one that names it, of its repeated rows one. Rows without an id stay."""
-    classes = jaccard_classes(docs)
-    kept = classes.filter(F.col("class_id").isNull() | (F.col("class_id") == F.col("doc_id")))
-    # the rows are dealt by id already, so this needs no exchange
-    row = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return kept.withColumn("__row", row).filter((F.col("__row") == 1) | F.col("doc_id").isNull()).select(*COLUMNS)
+    """One document of each class of near-duplicates stays, the one that names it. Different texts under one id are told apart; rows without an id stay."""
+    return one_of_each_class(docs).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
