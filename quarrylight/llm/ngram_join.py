@@ -164,6 +164,23 @@ def stars(sketches: np.ndarray, least: int) -> np.ndarray:
     return root
 
 
+def least_nodes(nodes: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """For each of the nodes the least node of those that have the same root."""
+    top = nodes.copy()
+    np.minimum.at(top, root, nodes)
+    return top[root]
+
+
+def contracted(edges: DataFrame, node: str, root: str) -> DataFrame:
+    """Edges a, b with the components of the edges from nodes to the roots of their stars: a node and all its roots go to the least of them.
+
+    A node has a root per bucket or pair of blocks that it is in; the nodes of a large group share theirs, so that few edges are left.
+    """
+    each = edges.filter(F.col(node) != F.col(root)).groupBy(node).agg(F.collect_set(root).alias("__roots"))
+    ends = each.select(F.explode(F.array_append("__roots", F.col(node))).alias("a"), F.least(F.array_min("__roots"), F.col(node)).alias("b"))
+    return ends.filter("a <> b").distinct()
+
+
 def bucket_ties(members: DataFrame, least: int) -> DataFrame:
     """Edges a, b of the stars of members(__value, __i, __j, __node, __sketch), whose rows are dealt and sorted by the first three."""
 
@@ -172,12 +189,13 @@ def bucket_ties(members: DataFrame, least: int) -> DataFrame:
         sizes = np.diff(np.append(starts, len(values)))
         two = starts[sizes == 2]
         two = two[(sketches[two] == sketches[two + 1]).sum(axis=1) >= least]
-        a, b = [nodes[two]], [nodes[two + 1]]
+        a, b = [np.minimum(nodes[two], nodes[two + 1])], [np.maximum(nodes[two], nodes[two + 1])]
         for s, k in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-            root = stars(sketches[s : s + k], least)
-            some = np.nonzero(root != np.arange(k))[0]
-            a.append(nodes[s + root[some]])
-            b.append(nodes[s + some])
+            own = nodes[s : s + k]
+            top = least_nodes(own, stars(sketches[s : s + k], least))
+            some = top != own
+            a.append(top[some])
+            b.append(own[some])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (a, b)], ["a", "b"])
 
     def tie(batches):
@@ -306,7 +324,7 @@ def verified_links(full: DataFrame, threshold: float) -> DataFrame:
             np.add.at(count, b, copies[part][a])
             some = np.nonzero(count)[0]
             node.append(nodes[part[some]])
-            other.append(nodes[part[root[some]]])
+            other.append(least_nodes(nodes[part], root)[some])
             links.append(count[some])
         node, other, links = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (node, other, links))
         return pa.table({"node": pa.array(node, pa.int64()), "other": pa.array(other, pa.int64()), "links": pa.array(links, pa.int64())})
@@ -328,7 +346,8 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, n: int, threshold:
     parts = F.ceil(F.col("__in") / BUCKET).cast("int")
     dealt = shared.join(nodes.select("__node", "__sketch"), "__node").withColumn("__own", F.pmod(F.xxhash64("__node"), parts).cast("int")).withColumn("__other", F.explode(F.sequence(F.lit(0), parts - 1)))
     dealt = dealt.select("__value", F.least("__own", "__other").cast("long").alias("__i"), F.greatest("__own", "__other").cast("long").alias("__j"), "__node", "__sketch")
-    groups = connected_components(bucket_ties(dealt.repartition("__value", "__i", "__j").sortWithinPartitions("__value", "__i", "__j"), agreement(bands * rows, threshold)))
+    ties = bucket_ties(dealt.repartition("__value", "__i", "__j").sortWithinPartitions("__value", "__i", "__j"), agreement(bands * rows, threshold))
+    groups = connected_components(contracted(ties, "b", "a"))
     members = groups.withColumnRenamed("node", "__node").join(nodes.select("__node", "__set", "__holder", "__copies", "__n", F.get("__bands", F.lit(0)).alias("__near")), "__node")
     members = materialize(in_blocks(members.repartitionByRange("component", "__near", "__node").sortWithinPartitions("component", "__near", "__node")), "members")
     texts = docs.select(F.col(id_col).alias("__k"), F.xxhash64(text_col).alias("__h"), F.col(text_col).alias("__text"))
@@ -339,7 +358,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, n: int, threshold:
     pairs = full.withColumn("__pair", F.explode(F.coalesce(F.concat(own, "__pairs"), own))).select("__node", "component", "__copies", "__block", "__pair.i", "__pair.j", "__set_bytes")
     found = materialize(verified_links(pairs, threshold), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("__links"))
-    classes = connected_components(found, "node", "other")
+    classes = connected_components(contracted(found, "node", "other"))
     named = nodes.select("__set", "__holder", F.col("__node").alias("node"), "__copies").join(links, "node", "left").join(classes, "node", "left").withColumn("__top", F.coalesce("component", "node"))
     tops = named.groupBy("__top").agg(F.min("__holder").alias("__least"), F.sum("__copies").alias("__size"))
     named = named.join(tops, "__top").select(F.col("__set").alias("__key"), "__least", (F.coalesce("__links", F.lit(0)) + F.col("__copies") - 1).alias("__links"), "__size")
