@@ -1,16 +1,19 @@
 """Document fingerprints by SpotSigs: chains of content words after common-word anchors. DataFrame functions only.
 
-The lower-cased text is cut into words (runs of letters and digits). Every common word is an anchor; the next
-``CHAIN`` words that aren't common, hashed, are its signature, and a document's fingerprint is the set of its
-signatures. A text with fewer than ``MIN_SPOTS`` anchors with a chain is anchored at every word; one without two words has
-one signature, of its words. Where one text of a pair is anchored at common words and the other at every word,
-``alike`` compares both anchored at every word, so that a lost anchor doesn't change the kind of signature. Sets are partitioned by length: bin k holds lengths within a factor of the threshold, so
-only the same and the next bins can match; a Jaccard is computed only where the ratio of lengths, which bounds it,
-reaches the threshold.
-
-The neighbour by descending id comes from ranges of ids, cut at ids that exist: each range is one window partition of
-about ``RANGE_DOCS`` rows, and the first row of a range goes to the range before it as well, so that no
-window spans the table and each text is shuffled once.
+The lower-cased text is cut into words (runs of letters and digits). Common words are anchors; so that tables and texts
+of other languages have some too, the start of the text and words of four, eight, twelve... characters are as well, in any
+text. The next ``CHAIN`` words that aren't common (at the end of the text: as many as are left), hashed, are an anchor's
+signature, and a document's fingerprint is the set of its signatures. A text of common words only has one signature,
+of all its words. An edit touches only the signatures of the anchors just before it.
+
+``similar_pairs`` finds the pairs of the corpus whose sets reach a Jaccard: sets are partitioned by length, as bin k holds
+lengths within a factor of the threshold, so that only the same and adjacent bins can match; within them candidates
+share one of their rarest signatures, and the Jaccard is computed only where the ratio of lengths, which bounds it,
+reaches the threshold. ``compare_edits`` compares given pairs: each document with an edit of itself and with its neighbour.
+
+The neighbour by descending id comes from ranges of ids, cut at ids that exist, as many as a shuffle has partitions;
+each range is one window partition, which is sorted and read in order, and the first row of a range goes to the range before
+it as well, so that no window spans the table and each text is shuffled once.
 
 Cases: a null text counts as empty. Equal texts have equal fingerprints, and two texts without any word too. Rows of
 equal id are ordered by the hash of their text; rows without an id follow the smallest id. A table of one row is its
@@ -19,15 +22,17 @@ own neighbour. An empty table gives an empty one. Other columns pass through.
 
 from __future__ import annotations
 
+import json
 import math
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import STOP_WORDS, documents
+from .common import STOP_WORDS, documents, materialize
 
-CHAIN, MIN_SPOTS, RANGE_DOCS, MAX_RANGES = 2, 4, 1000, 16_384
+CHAIN, EVERY, THRESHOLD = 2, 4, 0.8
+HOT = 512  # sets that hold a signature, beyond which it takes two signatures to make a candidate
 
 
 def anchor_pattern(words: list[str]) -> str:
@@ -39,7 +44,7 @@ def anchor_pattern(words: list[str]) -> str:
 
 
 ANCHORS = anchor_pattern([w for line in STOP_WORDS for w in line.split()])
-CHAIN_PATTERN = "#(?= (" + " ".join(["(?:# )*[^# ]+"] * CHAIN) + "))"
+CHAIN_PATTERN = f"(?:#|(?<= )(?:[^# ]{{{EVERY}}})+)(?= ((?:# )*[^# ]+" + "(?: (?:# )*[^# ]+)?" * (CHAIN - 1) + "))"
 
 
 def words_of(text: Column) -> Column:
@@ -47,27 +52,13 @@ def words_of(text: Column) -> Column:
     return F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
 
 
-def chain_signatures(words: Column) -> Column:
-    """The chains at every word (array<int>) of words_of a text; below two words one signature, of the words."""
-    plain = F.filter(F.split(words, " "), lambda w: w != "")
-
-    def chains(p: Column) -> Column:
-        every = F.transform(F.sequence(F.lit(0), F.size(p) - CHAIN), lambda i: F.hash(F.array_join(F.slice(p, i + 1, CHAIN), " ")))
-        return F.when(F.size(p) >= CHAIN, every).otherwise(F.array(F.hash(F.array_join(p, " "))))
-
-    # bound by a transform, else the words are cut anew for each chain
-    return F.get(F.transform(F.array(plain), chains), F.lit(0))
-
-
-def with_signatures(df: DataFrame, text: Column, out: str, spotted: str | None = None) -> DataFrame:
-    """df with out: the sorted distinct signatures (array<int>) of a text column; and spotted: whether they are those after common words."""
+def with_signatures(df: DataFrame, text: Column, out: str) -> DataFrame:
+    """df with out: the sorted distinct signatures (array<int>) of a text column."""
     df = df.withColumn("__words", words_of(text))
-    marked = F.regexp_replace("__words", f"(?<= ){ANCHORS}(?= )", "#")
+    marked = F.concat(F.lit("#"), F.regexp_replace("__words", f"(?<= ){ANCHORS}(?= )", "#"))
     spots = F.transform(F.regexp_extract_all(marked, F.lit(CHAIN_PATTERN), F.lit(1)), lambda x: F.hash(F.replace(x, F.lit("# "), F.lit(""))))
-    df = df.withColumn("__spots", spots)
-    many = F.size("__spots") >= MIN_SPOTS
-    df = df.withColumn(out, F.array_sort(F.array_distinct(F.when(many, F.col("__spots")).otherwise(chain_signatures(F.col("__words"))))))
-    return (df if spotted is None else df.withColumn(spotted, many)).drop("__words", "__spots")
+    df = df.withColumn("__spots", F.array_sort(F.array_distinct(spots)))
+    return df.withColumn(out, F.when(F.size("__spots") > 0, F.col("__spots")).otherwise(F.array(F.hash(F.trim("__words"))))).drop("__words", "__spots")
 
 
 def fingerprint(signatures: Column) -> Column:
@@ -75,9 +66,9 @@ def fingerprint(signatures: Column) -> Column:
     return F.array_join(F.transform(signatures, lambda x: F.right(F.concat(F.lit("0000000"), F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), F.lit(8))), "")
 
 
-def length_bin(signatures: Column, threshold: float = 0.8) -> Column:
-    """Sets whose Jaccard reaches the threshold are in the same or in adjacent bins."""
-    return F.floor(F.log(F.greatest(F.size(signatures), F.lit(1)).cast("double")) / F.lit(-math.log(threshold))).cast("int")
+def length_bin(signatures: Column, threshold: float = THRESHOLD) -> Column:
+    """Sets whose Jaccard reaches the threshold are in the same or in adjacent bins; a bin is wider by a hair, for rounding."""
+    return F.floor(F.log(F.greatest(F.size(signatures), F.lit(1)).cast("double")) / F.lit(1e-9 - math.log(threshold))).cast("int")
 
 
 def likeness(a: Column, b: Column, threshold: float = 0.0) -> Column:
@@ -87,26 +78,20 @@ def likeness(a: Column, b: Column, threshold: float = 0.0) -> Column:
     return F.when(bound < threshold, F.lit(0.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
-def alike(a: Column, a_spotted: Column, a_text: Column, b: Column, b_spotted: Column, b_text: Column) -> Column:
-    """The Jaccard of two texts' signatures, where only one is spotted that of the chains at every word of both."""
-    chains = lambda own, spotted, text: F.when(spotted, F.array_distinct(chain_signatures(words_of(text)))).otherwise(own)
-    return F.when(a_spotted == b_spotted, likeness(a, b)).otherwise(likeness(chains(a, a_spotted, a_text), chains(b, b_spotted, b_text)))
-
+def id_bounds(docs: DataFrame, id_col: str, n: int) -> list:
+    """The largest ids of n ranges of ids, of about equal count, in order."""
+    ranged = docs.select(id_col).filter(F.col(id_col).isNotNull()).repartitionByRange(n, id_col)
+    return sorted(r["m"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.max(id_col).alias("m")).collect())
 
-def id_bounds(docs: DataFrame, id_col: str) -> list:
-    """Ids that cut the table into ranges of about RANGE_DOCS rows; the last is the largest id."""
-    n = max(1, min(MAX_RANGES, docs.count() // RANGE_DOCS))
-    found = docs.agg(F.percentile_approx(id_col, [(i + 1) / n for i in range(n)], 10 * max(1000, n)).alias("b"), F.max(id_col).alias("m")).first()
-    return sorted({*(found["b"] or []), *([found["m"]] if found["m"] is not None else [])})
 
-
-def with_next(docs: DataFrame, id_col: str, columns: dict[str, str], tie: Column) -> DataFrame:
-    """docs with columns[c], the value of c in the next row by descending id (after the last: the first)."""
-    bounds = id_bounds(docs, id_col)
+def with_next(docs: DataFrame, id_col: str, columns: dict[str, str], tie: Column, n: int | None = None) -> DataFrame:
+    """docs with columns[c], the value of c in the next row by descending id (after the last: the first); n: how many ranges."""
+    bounds = id_bounds(docs, id_col, n or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     step = max(1, math.isqrt(len(bounds)))
-    key = F.col(id_col)
+    key, kind = F.col(id_col), docs.schema[id_col].dataType.simpleString()
     if bounds:
-        every, tops = F.array(*map(F.lit, bounds)), F.array(*map(F.lit, bounds[::step]))
+        listed = lambda found: F.from_json(F.lit(json.dumps([str(x) for x in found])), "array<string>").cast(f"array<{kind}>")
+        every, tops = listed(bounds), listed(bounds[::step])
         # how many bounds are below the id, in two steps
         coarse = F.size(F.filter(tops, lambda b: b < key))
         fine = F.size(F.filter(F.slice(every, (F.col("__coarse") - 1) * step + 1, step), lambda b: b < key))
@@ -124,37 +109,63 @@ def with_next(docs: DataFrame, id_col: str, columns: dict[str, str], tie: Column
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with signatures, fingerprint and length_bin; the operator on its own."""
-    found = with_signatures(docs, F.col(text_col), "signatures")
-    return found.withColumns({"fingerprint": fingerprint(F.col("signatures")), "length_bin": length_bin(F.col("signatures"))})
+    """docs with signatures, fingerprint, fingerprint_key (its digest) and length_bin; the operator on its own."""
+    found = with_signatures(docs, F.col(text_col), "signatures").withColumn("fingerprint", fingerprint(F.col("signatures")))
+    return found.withColumns({"fingerprint_key": F.md5(F.col("fingerprint").cast("binary")), "length_bin": length_bin(F.col("signatures"))})
 
 
-def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", same_kind: bool = False) -> DataFrame:
-    """Each document against its edited text (the second half replaced from the next document) and the next document.
+def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of different fingerprints whose sets reach the threshold: key_a, key_b, a, b (least ids that hold them), likeness.
 
-    By default the sets are compared as the fingerprints have them; with same_kind pairs of which one is spotted are compared by ``alike``.
+    Documents of one fingerprint (``fingerprint_documents`` gives each document's key) stand behind one row. In order of
+    rarity, two sets that reach the threshold share one of the first n - ceil(threshold n) + 1 signatures of
+    either, and two of the first n - ceil(threshold n) + 2; so a signature that more than HOT sets hold only makes
+    a candidate together with another one. Both rules are exact for thresholds above one half.
     """
+    if not 0.5 < threshold <= 1:
+        raise ValueError("threshold must be above 0.5 and at most 1")
+    found = fingerprint_documents(docs.select(id_col, text_col), id_col, text_col).filter(F.col(id_col).isNotNull())
+    nodes = found.groupBy("fingerprint_key").agg(F.min(id_col).alias("least"), F.first("signatures").alias("signatures"))
+    nodes = materialize(nodes.withColumns({"n": F.size("signatures"), "bin": length_bin(F.col("signatures"), threshold)}), "fingerprints")
+    each = nodes.select("fingerprint_key", "n", "bin", F.explode("signatures").alias("s"))
+    held = each.groupBy("s").agg(F.count(F.lit(1)).alias("held"))
+    # as long as a document's own set
+    ordered = each.join(held, "s").groupBy("fingerprint_key", "n", "bin").agg(F.array_sort(F.collect_list(F.struct("held", "s"))).alias("rare"))
+    first = F.col("n") - F.ceil(F.round(F.col("n") * threshold, 6)).cast("int") + 1
+    cold = F.transform(F.filter(F.slice("rare", F.lit(1), first), lambda x: x["held"] <= HOT), lambda x: F.struct(x["s"].alias("s"), x["s"].alias("t")))
+    more = F.slice("rare", F.lit(1), first + 1)
+    hot = F.transform(F.filter(F.slice("rare", F.lit(1), first), lambda x: x["held"] > HOT), lambda x: F.transform(F.filter(more, lambda y: y["s"] != x["s"]), lambda y: F.struct(x["s"].alias("s"), y["s"].alias("t"))))
+    keyed = ordered.select("fingerprint_key", "n", "bin", F.explode(F.concat(cold, F.flatten(hot))).alias("k")).select("fingerprint_key", "n", "bin", "k.s", "k.t")
+    left = keyed.select(F.col("fingerprint_key").alias("x"), F.col("n").alias("nx"), F.col("bin").alias("own"), F.explode(F.array(F.col("bin"), F.col("bin") + 1)).alias("bin"), "s", "t")
+    right = keyed.select(F.col("fingerprint_key").alias("y"), F.col("n").alias("ny"), "bin", "s", "t")
+    pairs = left.join(right, ["s", "t", "bin"]).filter((F.col("own") < F.col("bin")) | (F.col("x") < F.col("y")))
+    pairs = pairs.filter(F.least("nx", "ny") >= threshold * F.greatest("nx", "ny") - 1e-9).select("x", "y").distinct()
+    side = lambda k: nodes.select(F.col("fingerprint_key").alias(k), F.col("least").alias(f"id_{k}"), F.col("signatures").alias(f"s_{k}"))
+    near = likeness(F.col("s_x"), F.col("s_y"), threshold - 1e-9)
+    both = pairs.join(side("x"), "x").join(side("y"), "y").withColumn("likeness", near).filter(F.col("likeness") >= threshold - 1e-9)
+    swap = F.struct("id_y", "y") < F.struct("id_x", "x")
+    pick = lambda p, q, name: F.when(swap, F.col(q)).otherwise(F.col(p)).alias(name)
+    return both.select(pick("x", "y", "key_a"), pick("y", "x", "key_b"), pick("id_x", "id_y", "a"), pick("id_y", "id_x", "b"), "likeness")
+
+
+def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each document against its edited text (the second half replaced from the next document) and the next document."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    signed = with_signatures(docs.select(F.col(id_col), text.alias("__text")), F.col("__text"), "__own", "__own_spotted")
-    near = with_next(signed, id_col, {"__text": "__next_text", "__own": "__next", "__own_spotted": "__next_spotted"}, F.xxhash64("__text"))
+    signed = with_signatures(docs.select(F.col(id_col), text.alias("__text")), F.col("__text"), "__own")
+    near = with_next(signed, id_col, {"__text": "__next_text", "__own": "__next"}, F.xxhash64("__text"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = F.concat(F.left(F.col("__text"), F.col("n_chars").cast("int") - half), F.left(F.coalesce(F.col("__next_text"), F.lit("")), half))
+    edited = F.concat(F.left(F.col("__text"), F.col("n_chars").cast("int") - half), F.left(F.coalesce(F.col("__next_text"), F.col("__text")), half))
     near = near.withColumn("n_chars", F.char_length("__text").cast("long")).withColumn("edited", edited)
-    near = with_signatures(near, F.col("edited"), "__edited", "__edited_spotted")
-    own, next_ = F.col("__own"), F.coalesce("__next", F.array().cast("array<int>"))
-    if same_kind:
-        near_edited = alike(own, F.col("__own_spotted"), F.col("__text"), F.col("__edited"), F.col("__edited_spotted"), F.col("edited"))
-        near_next = alike(own, F.col("__own_spotted"), F.col("__text"), next_, F.coalesce("__next_spotted", "__own_spotted"), F.col("__next_text"))
-    else:
-        near_edited, near_next = likeness(own, F.col("__edited")), likeness(own, next_)
+    near = with_signatures(near, F.col("edited"), "__edited")
+    own, next_ = F.col("__own"), F.coalesce("__next", "__own")
     return near.select(
         id_col, "n_chars", "edited", fingerprint(own).alias("fingerprint"), fingerprint(F.col("__edited")).alias("edited_fingerprint"),
-        near_edited.alias("near_edited"), near_next.alias("near_next"), length_bin(own).alias("length_bin"),
+        likeness(own, F.col("__edited")).alias("near_edited"), likeness(own, next_).alias("near_next"), length_bin(own).alias("length_bin"),
     )
 
 
 def op6_spotsigs(spark, sf_dir):
-    found = compare_edits(documents(spark, sf_dir).select("doc_id", "text"), same_kind=True)
+    found = compare_edits(documents(spark, sf_dir).select("doc_id", "text"))
     return found.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
 
 

@@ -95,6 +95,24 @@ def test_em_finds_planted_accuracies():
         assert abs(np.exp(log[1, r, 2]) - 0.8 * a) < 0.05
 
 
+def test_posterior_by_brute_force(docs):
+    from quarrylight.llm.quality_rules import fit_em, measured, rules, weak_quality
+
+    named = rules()
+    votes = {r.doc_id: [r[k] for k in named] for r in measured(docs.select("doc_id", "text")).select("doc_id", *[v.alias(k) for k, v in named.items()]).collect()}
+    rows = weak_quality(docs.select("doc_id", "text")).collect()
+    seen = collections.Counter(tuple(votes[r.doc_id]) for r in rows if not r.base_failed)
+    patterns = sorted(seen)
+    share, log = fit_em(np.array(patterns), np.array([float(seen[p]) for p in patterns]))
+    for r in rows:
+        good, bad = share, 1 - share
+        for k, v in enumerate(votes[r.doc_id]):
+            good, bad = good * np.exp(log[1, k, v + 1]), bad * np.exp(log[0, k, v + 1])
+        assert abs(r.p_quality - good / (good + bad)) < 1e-9
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert r.kept == (not r.base_failed and good / (good + bad) >= 0.5)
+
+
 def test_weak_quality_keeps_clean_documents(docs, labels):
     from quarrylight.llm.quality_rules import weak_quality
 
@@ -166,6 +184,20 @@ def test_token_spans_by_brute_force():
             assert counts.tolist() == want and (total, crossing, outside) == (len(a), cross, none)
 
 
+def test_empty_sections_count_nothing():
+    import public_tokenizers as P
+
+    from quarrylight.llm.token_counts import RULES, Counter, read_ranks
+
+    counter, text = Counter(read_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN), "the whole text here"
+    for rule in RULES:
+        for spans in ([(0, 2), (4, 4), (5, 30)], [(2, 2)], [(0, 0), (0, 30)], [(0, 4), (4, 4), (4, 30), (30, 30)]):
+            starts, stops = (np.array(x) for x in zip(*spans, strict=True))
+            counts, total, _, outside = counter.count(text, starts, stops, rule)
+            assert all(c == 0 for c, (a, b) in zip(counts, spans, strict=True) if a == b)
+            assert counts.sum() + outside == total
+
+
 def test_token_counts_on_odd_rows(odd, empty):
     import public_tokenizers as P
     import tiktoken
@@ -240,6 +272,103 @@ def test_language_on_odd_rows(odd, empty):
         assert len(code) == n and len({tuple(x) for x in code.tolist()}) == n
 
 
+def test_nnpu_risk_and_direction_by_brute_force():
+    from quarrylight.llm.quality_classifier import nnpu_step
+
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(0.5, 1, (30, 4)), rng.normal(0, 1, (50, 4))
+    log = lambda z: np.log(1 + np.exp(z))
+    signs = set()
+    for k in range(20):
+        x = rng.normal(0, 3 if k % 2 else 0.3, 5)
+        prior = [0.3, 0.9][k % 2]
+        ones, negative, g = nnpu_step(x, p, u, prior, 0.01)
+        risk = lambda x: (prior * np.mean([log(-(r @ x[:-1] + x[-1])) for r in p]) + 0.005 * x[:-1] @ x[:-1], np.mean([log(r @ x[:-1] + x[-1]) for r in u]) - prior * np.mean([log(r @ x[:-1] + x[-1]) for r in p]))  # noqa: E731, B023
+        assert np.allclose(risk(x), (ones, negative), atol=1e-5)
+        signs.add(negative < 0)
+        # a negative part under zero is climbed instead, under the penalty
+        aim = (lambda x: -risk(x)[1] + 0.005 * x[:-1] @ x[:-1]) if negative < 0 else (lambda x: sum(risk(x)))  # noqa: B023
+        eye = np.eye(5) * 1e-5
+        assert np.allclose([(aim(x + e) - aim(x - e)) / 2e-5 for e in eye], g, atol=1e-4)
+    assert signs == {True, False}
+
+
+def test_prior_from_positives_and_unlabelled_rows():
+    from quarrylight.llm.quality_classifier import estimate_prior
+
+    rng = np.random.default_rng(2)
+    for prior in (0.2, 0.5, 0.85):
+        draw = lambda n, good: rng.normal(1.5 if good else -1.5, 1, (n, 6)).astype(np.float32)
+        k = int(4000 * prior)
+        unlabelled = rng.permutation(np.concatenate([draw(k, True), draw(4000 - k, False)]))
+        assert abs(estimate_prior(draw(2000, True), unlabelled) - prior) < 0.06
+
+
+def test_decoding_of_codewords_by_brute_force():
+    import math
+
+    from quarrylight.llm.language_id import MARGIN, codewords, decode
+
+    rng = np.random.default_rng(3)
+    for n in (2, 4, 9):
+        code = codewords(n)
+        bit = rng.random(code.shape[1])
+        for _ in range(50):
+            margins = rng.normal(0, 2, code.shape[1])
+            loss = [sum(b * math.log1p(math.exp(-c * m)) for b, c, m in zip(bit, row, margins, strict=True)) for row in code]
+            best = min(range(n), key=lambda k: loss[k])
+            share = sorted((math.exp(-x) / sum(math.exp(-y) for y in loss) for x in loss), reverse=True)
+            k, score, doubt = decode(margins, code, bit)
+            assert k == best and abs(score - share[0]) < 1e-9 and doubt == (share[0] - share[1] < MARGIN)
+
+
+def test_ordinal_loss_by_brute_force():
+    import math
+
+    from quarrylight.llm.toxicity import ordinal_loss
+
+    rng = np.random.default_rng(4)
+    rows = [{int(i): float(rng.random()) for i in rng.choice(5, 3, replace=False)} for _ in range(40)]
+    grades, each = rng.integers(0, 4, 40), rng.random(40)
+    at, idx, val = np.repeat(np.arange(40), 3), np.array([i for r in rows for i in r]), np.array([v for r in rows for v in r.values()])
+    for _ in range(5):
+        x = rng.normal(0, 1, 8)
+
+        def loss(x):
+            theta = [x[5], x[5] + math.exp(x[6]), x[5] + math.exp(x[6]) + math.exp(x[7])]
+            total = 0.01 * sum(x[:5] ** 2) / 2
+            for r, y, e in zip(rows, grades, each, strict=True):
+                above = [1.0, *(1 / (1 + math.exp(t - sum(x[i] * v for i, v in r.items()))) for t in theta), 0.0]
+                total -= e * math.log(above[y] - above[y + 1])
+            return total
+
+        found, gradient = ordinal_loss(x, 5, at, idx, val, grades, each, 0.01)
+        assert abs(found - loss(x)) < 1e-9
+        assert np.allclose([(loss(x + e) - loss(x - e)) / 2e-6 for e in np.eye(8) * 1e-6], gradient, atol=1e-6)
+
+
+def test_grades_follow_density_not_length():
+    from quarrylight.llm.toxicity import Scorer, grades_of_shares
+
+    scorer = Scorer([("bad", 3.0), ("bad*", 3.0)])
+    short, long = scorer.values("bad word here now"), scorer.values("bad word here now " * 50)
+    assert short[1] == long[1] == 0.25 and short[0][0] < long[0][0]
+    assert grades_of_shares(np.array([True, True, True, False]), np.array([0.1, 0.2, 0.3, 0.9])).tolist() == [1, 2, 3, 0]
+    assert grades_of_shares(np.array([False]), np.array([0.0])).tolist() == [0]
+
+
+def test_given_grades(odd, spark):
+    from quarrylight.llm.toxicity import fit_toxicity, score_toxicity
+
+    schema, text = "doc_id bigint, toxic int, grade int", "bad words stand here "
+    docs = spark.createDataFrame([(k, text * (1 + k % 3) if k % 2 else f"plain text of number {k}") for k in range(40)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2, (1 + k % 3) * (k % 2)) for k in range(36)] + [(37, 1, None), (None, 1, 3), (1, 1, 2)], schema)
+    rows = {r.doc_id: r for r in score_toxicity(docs, fit_toxicity(docs, labels, grade_col="grade")).collect()}
+    assert all(r.toxic == bool(k % 2) for k, r in rows.items())
+    with pytest.raises(ValueError):
+        fit_toxicity(docs, labels.unionByName(spark.createDataFrame([(39, 1, 4)], schema)), grade_col="grade")
+
+
 def test_toxicity_held_out(spark):
     from quarrylight.llm.toxicity import op9_toxicity
 
@@ -312,21 +441,17 @@ def test_mixing_on_odd_rows(odd, empty):
 # fingerprints
 
 
-def naive_signatures(text, stops, chain=2, least=4):
+def naive_signatures(text, stops, chain=2):
     import re
 
     words = re.findall(r"[^\W_]+", (text or "").lower())
     spots = set()
-    count = 0
-    for i, w in enumerate(words):
-        if w in stops:
-            rest = [x for x in words[i + 1 :] if x not in stops][:chain]
-            if len(rest) == chain:
+    for i, w in enumerate(["", *words]):
+        if not i or w in stops or len(w) % 4 == 0:
+            rest = [x for x in words[i:] if x not in stops][:chain]
+            if rest:
                 spots.add(" ".join(rest))
-                count += 1
-    if count >= least:
-        return spots
-    return {" ".join(words[i : i + chain]) for i in range(len(words) - chain + 1)} or {" ".join(words)}
+    return spots or {" ".join(words)}
 
 
 def test_spotsigs_by_brute_force(spark, docs):
@@ -349,19 +474,24 @@ def test_spotsigs_by_brute_force(spark, docs):
     assert np.mean([r.near_edited for r in rows.values()]) > np.mean([r.near_next for r in rows.values()]) + 0.2
 
 
-def test_spotsigs_ranges(spark, monkeypatch):
+def test_spotsigs_ranges(spark):
     from quarrylight.llm import spotsigs
 
-    monkeypatch.setattr(spotsigs, "RANGE_DOCS", 7)
     ids = random.Random(3).sample(range(-1000, 10**12), 200)
-    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id bigint, text string")
     order = sorted(ids, reverse=True)
-    rows = spotsigs.with_next(df, "doc_id", {"text": "next"}, F.lit(0)).collect()
-    assert {r.doc_id: r.next for r in rows} == {k: f"t{order[(i + 1) % 200]}" for i, k in enumerate(order)}
+    for kind, name in (("bigint", int), ("string", lambda i: f"id, '{i:+015d}\"")):
+        df = spark.createDataFrame([(name(i), f"t{i}") for i in ids], f"doc_id {kind}, text string")
+        want = {name(k): f"t{order[(i + 1) % 200]}" for i, k in enumerate(order)}
+        if kind == "string":
+            strings = sorted(want, reverse=True)
+            texts = dict(zip(map(name, ids), (f"t{i}" for i in ids), strict=True))
+            want = {k: texts[strings[(i + 1) % 200]] for i, k in enumerate(strings)}
+        rows = spotsigs.with_next(df, "doc_id", {"text": "next"}, F.lit(0), 30).collect()
+        assert {r.doc_id: r.next for r in rows} == want
 
 
 def test_spotsigs_on_odd_rows(odd, empty, spark):
-    from quarrylight.llm.spotsigs import compare_edits, fingerprint_documents, likeness
+    from quarrylight.llm.spotsigs import compare_edits, fingerprint_documents, likeness, similar_pairs
 
     rows = compare_edits(odd).collect()
     same_ids(rows, odd)
@@ -369,26 +499,46 @@ def test_spotsigs_on_odd_rows(odd, empty, spark):
     prints = {}
     for r in fingerprint_documents(odd).collect():
         assert prints.setdefault(r.text, r.fingerprint) == r.fingerprint
-    assert compare_edits(empty).count() == 0
+    assert compare_edits(empty).count() == 0 and similar_pairs(empty).count() == 0
+    assert {r.a for r in similar_pairs(odd).collect()} <= {x[0] for x in ODD}
     one = compare_edits(spark.createDataFrame([(1, "the cat sat on the mat")], "doc_id bigint, text string")).collect()
     assert one[0].near_next == 1.0
     pruned = spark.range(1).select(likeness(F.array(*map(F.lit, range(10))), F.array(F.lit(1)), 0.8).alias("x")).first()
     assert pruned.x == 0
 
 
-def test_spotsigs_compares_like_with_like(spark):
+def test_a_lost_anchor_costs_its_own_signature_only(spark):
     from quarrylight.llm.spotsigs import compare_edits
 
-    body = [f"w{i}" for i in range(110)]
-    four = " ".join([*body[:20], "the", *body[20:40], "of", *body[40:60], "and", *body[60:], "the", "last", "ones"])
-    # without its last three words the text has three spots, and chains at every word
-    three = four.removesuffix(" the last ones")
-    rows = {r.doc_id: r for r in compare_edits(spark.createDataFrame([(2, four), (1, three), (0, "the cat")], "doc_id bigint, text string"), same_kind=True).collect()}
-    chains = lambda t: {" ".join(t.split()[i : i + 2]) for i in range(len(t.split()) - 1)}
-    a, b = chains(four), chains(three)
-    assert abs(rows[2].near_next - len(a & b) / len(a | b)) < 1e-9 and rows[2].near_next > 0.95
-    turned = {r.doc_id: r for r in compare_edits(spark.createDataFrame([(2, three), (1, four)], "doc_id bigint, text string"), same_kind=True).collect()}
-    assert abs(turned[2].near_next - rows[2].near_next) < 1e-9
+    body = [f"w{i:02d}xx" for i in range(100)]
+    for n in (3, 4, 5):  # however few the anchors are
+        text = " ".join(w for i in range(n) for w in ["the", *body[20 * i : 20 * i + 20]])
+        rows = compare_edits(spark.createDataFrame([(2, text), (1, text.removeprefix("the "))], "doc_id bigint, text string")).collect()
+        assert next(r for r in rows if r.doc_id == 2).near_next >= (n - 1) / n
+
+
+def test_similar_pairs_by_brute_force(spark, docs, monkeypatch):
+    from quarrylight.llm import spotsigs
+    from quarrylight.llm.common import STOP_WORDS
+
+    stops = {w for line in STOP_WORDS for w in line.split()}
+    rng, base = random.Random(4), [f"w{k}xx" if k % 2 else "the" for k in range(180)]
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    # a group of near copies, copies of one of them, and longer and shorter texts around them
+    rows += [(10_000 + k, " ".join(w if w == "the" or rng.random() > 0.02 else f"y{k}" for w in base[: 140 + k % 9])) for k in range(40)] + [(20_000 + k, rows[0][1]) for k in range(3)]
+    sets = {}
+    for i, t in sorted(rows):
+        sets.setdefault(frozenset(naive_signatures(t, stops)), i)
+    items = sorted((i, x) for x, i in sets.items())
+    want = {(i, j): len(x & y) / len(x | y) for k, (i, x) in enumerate(items) for j, y in items[k + 1 :] if len(x & y) >= 0.8 * len(x | y) - 1e-12}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for hot in (512, 3):
+        monkeypatch.setattr(spotsigs, "HOT", hot)
+        found = {(r.a, r.b): r.likeness for r in spotsigs.similar_pairs(df).collect()}
+        assert found.keys() == want.keys() and len(want) > 20
+        assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
+    with pytest.raises(ValueError):
+        spotsigs.similar_pairs(df, threshold=0.4)
 
 
 # line dedup
