@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,15 +22,9 @@ STOP_WORDS = (
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, read from the session.
 
-    Only where it is unset does the session get its own: a temporary folder in local mode (tests), a folder
-    of the warehouse, which is shared too, on a cluster.
+    Only where it is unset is it a folder of the warehouse, which they share too.
     """
-    own = spark.conf.get("spark.checkpoint.dir", None)
-    if not own:
-        local = spark.sparkContext.master.split("[")[0] == "local"
-        own = tempfile.mkdtemp(prefix="shared-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-        spark.conf.set("spark.checkpoint.dir", own)
-    return own.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -58,29 +51,31 @@ def fold(id_col: str, n: int) -> Column:
 
 
 def bounded_sample(df: DataFrame, id_col: str, limit: int, seed: int) -> DataFrame:
-    """The limit rows of df with the least hash of their id: the same rows in any run and partitioning.
+    """The limit distinct rows of df with the least hash of their id: the same rows in any run and partitioning.
 
     df should hold narrow columns only; a threshold on the hash thins it first, so that the top-k sees about
-    twice as many rows as it keeps, however large df is.
+    twice as many rows as it keeps, however large df is. Where rows repeat, it may keep fewer.
     """
     h = F.xxhash64(F.lit(seed), F.col(id_col))
     total = df.count()
     if total > 4 * limit:
         df = df.filter(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * 2.0 * limit / total) + 1)
-    return df.orderBy(h, F.col(id_col)).limit(limit)
+    return df.distinct().orderBy(h, F.col(id_col)).limit(limit)
 
 
 class Remembered(dict):
-    """What make gave for a key. The half used last survives when the limit is reached."""
+    """What make gave for a key. The half used last survives when the limit is reached; keys over so many characters are made anew."""
 
-    def __init__(self, make, limit: int = 0):
+    def __init__(self, make, limit: int = 0, longest: int | None = None):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.longest, self.old = make, limit, longest, {}
 
     def __missing__(self, key):
         made = self.old.get(key)
         if made is None:
             made = self.make(key)
+            if self.longest is not None and len(key) > self.longest:
+                return made
         self[key] = made
         return made
 

@@ -19,16 +19,19 @@ def word_features(word: str) -> list[str]:
 
 
 def sampled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: dict, seed: int) -> DataFrame:
-    """id, text and label of at most per_class[v] labelled rows of each class v, written once to the shared folder.
+    """id, label and text of at most per_class[v] labelled documents of each class v, written once to the shared folder.
+
+    A document labelled more than once has its highest label; one whose id stands in several rows gives its least text.
 
     The sample is chosen on ids alone; it has a proven bound (the sum of per_class), so it is broadcast to the
     one scan of the texts.
     """
-    chosen = None
+    once, chosen = labels.groupBy(id_col).agg(F.max(label_col).alias(label_col)), None
     for k, (value, limit) in enumerate(sorted(per_class.items())):
-        part = bounded_sample(labels.filter(F.col(label_col) == value).select(id_col, label_col), id_col, limit, seed + k)
+        part = bounded_sample(once.filter(F.col(label_col) == value), id_col, limit, seed + k)
         chosen = part if chosen is None else chosen.unionByName(part)
-    return materialize(docs.select(id_col, text_col).join(F.broadcast(chosen), id_col), "sample")
+    # an id that stands in many rows is one row of the sample, whatever the number
+    return materialize(docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).groupBy(id_col, label_col).agg(F.min(text_col).alias(text_col)), "sample")
 
 
 def byte_ngrams(text: str | None, bins: int, n: int = 3) -> np.ndarray:

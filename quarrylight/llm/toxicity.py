@@ -2,14 +2,17 @@
 
 P(severity > k) = sigmoid(w . x - theta_k), k = 0, 1, 2: one weight vector is shared by the ordered thresholds theta.
 Features are words and word beginnings; the ones kept are those whose presence goes best with the label over the
-training sample (a bounded sample of labelled rows: at most ``per_class`` of each label). Labels say toxic or not;
-the grade of a toxic row is read off how many of its words carry any of these features (up to 2: grade 1, up to 5: 2, more:
-3), unless the labels have a grade of their own in ``grade_col``. A row's value for a feature is log(1 + words with it).
+training sample (a bounded sample of labelled documents: at most ``per_class`` of each label). A row's value for one is
+log(1 + words with it).
+Labels say toxic or not. Where they have no grade of their own (``grade_col``), the grade of a toxic row is its third among the
+toxic rows of the sample by the share of its words that carry a feature: a share, so that a long text isn't
+graded up for its length.
 
 Cases: a null or empty text, or one without letters, has no features: its severity is what the thresholds alone give.
-Labels without an id, a label or a document are left out; repeated labels of a document count as often as they
-stand. Without toxic rows to learn from nothing is toxic (severity 0). Texts are scored whole, in one pass; repeated
-rows get equal results. An empty table gives an empty one. Other columns pass through.
+Labels without an id, a label or a document are left out, with ``grade_col`` also those without a grade; a grade outside 0 to 3 raises an
+error. A document labelled more than once has its highest label and grade. Without toxic rows to learn from nothing is toxic
+(severity 0). Texts are scored whole, in one pass; repeated rows get equal results. An empty table gives an empty
+one. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -46,24 +49,45 @@ def select_features(sample: DataFrame, text_col: str, label_col: str, n: int) ->
 
 
 class Scorer:
-    """Counts, in a text, the words with each feature and those with any."""
+    """The feature values of a text, and the share of its words that carry any feature."""
 
     def __init__(self, features: list[tuple[str, float]]):
         at = {f: i for i, (f, _) in enumerate(features)}
+
         def of(word: str) -> tuple:
             return tuple(at[f] for f in word_features(word) if f in at)
 
-        self.words = Remembered(of, 150_000)
+        self.words = Remembered(of, 150_000, 64)
 
-    def counts(self, text: str | None) -> tuple[dict[int, int], int]:
+    def values(self, text: str | None) -> tuple[dict[int, float], float]:
         self.words.trim()
-        found, strong = {}, 0
-        for ids in map(self.words.__getitem__, LETTERS.findall((text or "").lower())):
+        found, marked = {}, 0
+        words = LETTERS.findall((text or "").lower())
+        for ids in map(self.words.__getitem__, words):
             if ids:
-                strong += 1
+                marked += 1
                 for i in ids:
                     found[i] = found.get(i, 0) + 1
-        return found, strong
+        return {i: math.log1p(c) for i, c in found.items()}, marked / max(1, len(words))
+
+
+def ordinal_loss(x: np.ndarray, n_features: int, at: np.ndarray, idx: np.ndarray, val: np.ndarray, grades: np.ndarray, each: np.ndarray, l2: float) -> tuple[float, np.ndarray]:
+    """The cumulative-link loss and its gradient by x: weights, first threshold, logs of the gaps, so that the thresholds stay ordered."""
+    w, theta = x[:n_features], x[n_features] + np.concatenate([[0], np.cumsum(np.exp(x[n_features + 1 :]))])
+    z = np.bincount(at, w[idx] * val, len(grades))[:, None] - theta[None, :]
+    # likelihood of the grade: P(y > k-1) - P(y > k); its gradient through the two cumulative terms
+    s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    p = np.concatenate([np.ones((len(grades), 1)), s, np.zeros((len(grades), 1))], axis=1)
+    like = np.maximum(np.take_along_axis(p, grades[:, None], 1) - np.take_along_axis(p, grades[:, None] + 1, 1), 1e-9)[:, 0]
+    slope = s * (1 - s)
+    g = np.zeros_like(z)
+    for k in range(GRADES):
+        g[:, k] = ((grades == k + 1).astype(float) - (grades == k).astype(float)) * slope[:, k] / like
+    g = -g * each[:, None]
+    gw = np.bincount(idx, (g.sum(axis=1))[at] * val, n_features) + l2 * w
+    gt = -g.sum(axis=0)
+    grad = np.concatenate([gw, [gt.sum()], [gt[k:].sum() * np.exp(x[n_features + k]) for k in range(1, GRADES)]])
+    return float(-(each * np.log(like)).sum() + l2 * (w @ w) / 2), grad
 
 
 def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, n_features: int, steps: int = 400, rate: float = 0.1, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +95,6 @@ def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, n_features: in
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     idx = np.array([i for r in rows for i in r], int)
     val = np.array([v for r in rows for v in r.values()], float)
-    # params: weights, first threshold, logs of the gaps, so that the thresholds stay ordered
     x = np.concatenate([np.zeros(n_features), [1.0], np.zeros(GRADES - 1)])
     m, v = np.zeros_like(x), np.zeros_like(x)
     # each grade's rows weigh as much as its share's root, so that rare grades count
@@ -79,48 +102,52 @@ def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, n_features: in
     each = (1 / np.sqrt(np.maximum(counts, 1)))[grades]
     each /= each.sum()
     for t in range(1, steps + 1):
-        w, theta = x[:n_features], x[n_features] + np.concatenate([[0], np.cumsum(np.exp(x[n_features + 1 :]))])
-        z = np.bincount(at, w[idx] * val, len(rows))[:, None] - theta[None, :]
-        # likelihood of the grade: P(y > k-1) - P(y > k); its gradient through the two cumulative terms
-        s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        p = np.concatenate([np.ones((len(rows), 1)), s, np.zeros((len(rows), 1))], axis=1)
-        like = np.maximum(np.take_along_axis(p, grades[:, None], 1) - np.take_along_axis(p, grades[:, None] + 1, 1), 1e-9)[:, 0]
-        slope = s * (1 - s)
-        g = np.zeros_like(z)
-        for k in range(GRADES):
-            g[:, k] = ((grades == k + 1).astype(float) - (grades == k).astype(float)) * slope[:, k] / like
-        g = -g * each[:, None]
-        gw = np.bincount(idx, (g.sum(axis=1))[at] * val, n_features) + l2 * w
-        gt = -g.sum(axis=0)
-        grad = np.concatenate([gw, [gt.sum()], [gt[k:].sum() * np.exp(x[n_features + k]) for k in range(1, GRADES)]])
+        grad = ordinal_loss(x, n_features, at, idx, val, grades, each, l2)[1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         x = x - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return x[:n_features], x[n_features] + np.concatenate([[0], np.cumsum(np.exp(x[n_features + 1 :]))])
 
 
+def grades_of_shares(toxic: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """0 for clean rows; 1 to GRADES for toxic ones, by which part of their shares of marked words, of equal count, a row's is in."""
+    if not toxic.any():
+        return np.zeros(len(toxic), int)
+    cuts = np.quantile(share[toxic], np.arange(1, GRADES) / GRADES, method="lower")
+    return np.where(toxic, 1 + (share[:, None] > cuts[None, :]).sum(axis=1), 0)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", grade_col: str | None = None, per_class: dict = PER_CLASS) -> dict:
     """The model, a dict of plain values: features, weights, thresholds."""
     given = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-    keep = given.select(id_col, F.col(label_col).cast("int").alias(label_col), *([grade_col] if grade_col else []))
+    if grade_col:
+        given = given.filter(F.col(grade_col).isNotNull())
+        span = given.agg(F.min(grade_col), F.max(grade_col)).first()
+        if span[0] is not None and not 0 <= span[0] <= span[1] <= GRADES:
+            raise ValueError(f"grades must lie between 0 and {GRADES}")
+    keep = given.select(id_col, F.col(label_col).cast("int").alias(label_col))
     sample = sampled_texts(docs, keep, id_col, text_col, label_col, per_class, seed=9)
     features = select_features(sample, text_col, label_col, N_FEATURES)
     if not features:
         return {"features": [], "weights": [], "thresholds": [math.inf] * GRADES}
-
-    graded = sample.join(given.select(id_col, F.col(grade_col).cast("int").alias("__grade")), id_col) if grade_col else sample.withColumn("__grade", F.lit(None).cast("int"))
+    graded = sample.withColumn("__grade", F.lit(-1))
+    if grade_col:
+        # as many rows as the sample has ids, at most
+        known = given.groupBy(id_col).agg(F.max(F.col(grade_col).cast("int")).alias("__grade"))
+        graded = sample.join(known, id_col)
 
     def describe(batches):
         scorer = Scorer(features)
         for pdf in batches:
-            for y, grade, text in zip(pdf[label_col], pdf["__grade"], pdf[text_col], strict=True):
-                found, strong = scorer.counts(text)
-                grade = int(grade) if grade_col else 0 if not y else 1 + (strong > 2) + (strong > 5)
-                yield pd.DataFrame({"grade": [grade], "i": [sorted(found)], "v": [[found[i] for i in sorted(found)]]})
+            values = [scorer.values(t) for t in pdf[text_col]]
+            yield pd.DataFrame({
+                "toxic": pdf[label_col], "grade": pdf["__grade"], "share": [s for _, s in values],
+                "i": [sorted(v) for v, _ in values], "v": [[v[i] for i in sorted(v)] for v, _ in values],
+            })
 
     # sorted: a sum in another order would give other weights
-    rows = sorted(map(tuple, graded.select(text_col, label_col, "__grade").mapInPandas(describe, "grade int, i array<int>, v array<int>").collect()))
-    grades = np.array([r[0] for r in rows], int)
-    w, theta = fit_ordinal([{i: math.log1p(c) for i, c in zip(i, v, strict=True)} for _, i, v in rows], grades, len(features))
+    rows = sorted(map(tuple, graded.select(text_col, label_col, "__grade").mapInPandas(describe, "toxic int, grade int, share double, i array<int>, v array<double>").collect()))
+    toxic, grade, share = np.array([r[0] == 1 for r in rows]), np.array([r[1] for r in rows], int), np.array([r[2] for r in rows])
+    w, theta = fit_ordinal([dict(zip(i, v, strict=True)) for *_, i, v in rows], grade if grade_col else grades_of_shares(toxic, share), len(features))
     return {"features": features, "weights": w.tolist(), "thresholds": theta.tolist()}
 
 
@@ -129,7 +156,7 @@ def score_toxicity(docs: DataFrame, model: dict, text_col: str = "text") -> Data
     w, theta = model["weights"], model["thresholds"]
 
     def score(scorer: Scorer, text: str | None) -> tuple:
-        z = math.fsum(w[i] * math.log1p(c) for i, c in scorer.counts(text)[0].items())
+        z = math.fsum(w[i] * v for i, v in scorer.values(text)[0].items())
         p = [1 / (1 + math.exp(min(700, k - z))) for k in theta]
         each = [a - b for a, b in zip([1.0, *p], [*p, 0.0], strict=True)]
         return max(range(GRADES + 1), key=lambda k: each[k]), math.fsum(p), p[0]
