@@ -4,18 +4,21 @@ Trusted positives are labelled rows of quality 1; the unlabelled set is drawn fr
 not. With the class prior pi and the logistic loss l, a linear scorer minimises
 pi * E_p[l(+)] + max(0, E_u[l(-)] - pi * E_p[l(-)]): the second part is the negatives' risk, and where it falls
 under zero its gradient is turned round, which keeps the fit from explaining the unlabelled rows away. The prior is
-estimated as the share of positives among a bounded sample of the labels. Both training sets are bounded (``N_POSITIVE``,
-``N_UNLABELLED`` rows, by least hash of the id), so they are gathered and fitted with numpy on the driver; scoring
-reads every whole text once, in any partition.
+estimated from positives and unlabelled rows alone (``estimate_prior``): a scorer of positives against unlabelled rows is fitted on one
+half of the sample; on the other half, the least ratio of unlabelled to positive rows above a bar, at the bar where its
+upper confidence bound is least, is the prior, as the top of the scores holds hardly any negatives. Both training sets are bounded
+(``N_POSITIVE``, ``N_UNLABELLED`` documents, by least hash of the id), so they are gathered and fitted with numpy on
+the driver; scoring reads every whole text once, in any partition.
 
 Features: square roots of the shares of hashed byte trigrams, and a few ratios of marks, capitals, repeats and words
 per line. Cases: a null or empty text has zero features and gets the score of the bias. Without positives, every score
-is the prior. Labels without id, value or document are left out. Repeated rows get equal scores; they may enter a
-sample more than once. An empty table gives an empty one. Other columns pass through.
+is the prior (one half). Labels without id, value or document are left out. Repeated rows get equal scores; an id that stands
+in several rows gives its least text to the sample. An empty table gives an empty one. Other columns pass through.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +26,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, documents, fold, materialize
+from .common import bounded_sample, documents, fold
 from .features import byte_ngrams
 from .quality_rules import MEASURES, measure
 
-N_POSITIVE, N_UNLABELLED, N_PRIOR, BINS = 3000, 5000, 20_000, 512
+N_POSITIVE, N_UNLABELLED, BINS = 3000, 5000, 512
 
 
 def describe(text: str | None) -> np.ndarray:
@@ -44,47 +47,89 @@ def describe(text: str | None) -> np.ndarray:
 N_FEATURES = BINS + 10
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05, l2: float = 1e-3) -> tuple[np.ndarray, float]:
-    """(weights, bias) by Adam on the whole of both samples."""
-    w, b = np.zeros(positive.shape[1], np.float32), np.float32(np.log(prior / (1 - prior)))
-    x = np.concatenate([w, [b]])
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def nnpu_step(x: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float, l2: float) -> tuple[float, float, np.ndarray]:
+    """(positive risk with the penalty, negative risk, direction to go down) at weights x, the last of which is the bias.
+
+    The direction is the gradient of the sum; where the negative risk is under zero, it goes up that risk instead.
+    """
+    z_p, z_u = positive @ x[:-1] + x[-1], unlabelled @ x[:-1] + x[-1]
+    p, u = _sigmoid(z_p), _sigmoid(z_u)
+    of_ones = prior * np.mean(np.logaddexp(0, -z_p)) + l2 * float(x[:-1] @ x[:-1]) / 2
+    negative = np.mean(np.logaddexp(0, z_u)) - prior * np.mean(np.logaddexp(0, z_p))
+    # slopes of the losses by the score: l(+) has p - 1, l(-) has p
+    du, dp = u / len(u), -prior * p / len(p)
+    if negative < 0:
+        du, dp = -du, -dp
+    else:
+        dp = dp + prior * (p - 1) / len(p)
+    return float(of_ones), float(negative), np.concatenate([du @ unlabelled + dp @ positive + l2 * x[:-1], [du.sum() + dp.sum()]])
+
+
+def _descend(x: np.ndarray, direction, steps: int, rate: float) -> np.ndarray:
+    """Adam."""
     m, v = np.zeros_like(x), np.zeros_like(x)
     for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(positive @ x[:-1] + x[-1], -30, 30)))
-        u = 1 / (1 + np.exp(-np.clip(unlabelled @ x[:-1] + x[-1], -30, 30)))
-        # slopes of the losses by the score: l(+) has p - 1, l(-) has p
-        negative = np.mean(-np.log1p(-np.minimum(u, 1 - 1e-7))) - prior * np.mean(-np.log1p(-np.minimum(p, 1 - 1e-7)))
-        du, dp = u / len(u), -prior * p / len(p)
-        if negative < 0:
-            du, dp = -du, -dp
-        else:
-            dp = dp + prior * (p - 1) / len(p)
-        g = np.concatenate([du @ unlabelled + dp @ positive + l2 * x[:-1], [du.sum() + dp.sum()]])
+        g = direction(x).astype(x.dtype)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
-        x = x - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        x = (x - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)).astype(x.dtype)
+    return x
+
+
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 500, rate: float = 0.05, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+    """(weights, bias) on the whole of both samples."""
+    x = np.zeros(positive.shape[1] + 1, np.float32)
+    x[-1] = np.log(prior / (1 - prior))
+    x = _descend(x, lambda x: nnpu_step(x, positive, unlabelled, prior, l2)[2], steps, rate)
     return x[:-1], float(x[-1])
 
 
+def ratio_at_the_top(positive: np.ndarray, unlabelled: np.ndarray, doubt: float = 0.1) -> float:
+    """The prior from scores: the ratio of the shares of unlabelled and of positive rows above a bar, where its upper confidence bound is least."""
+    positive, unlabelled = np.sort(positive), np.sort(unlabelled)
+    above = lambda scores: 1 - np.searchsorted(scores, positive, "left") / len(scores)
+    q_p, q_u = above(positive), above(unlabelled)
+    slack = np.sqrt(np.log(4 / doubt) / 2) * (1 / np.sqrt(len(unlabelled)) + 1 / np.sqrt(len(positive)))
+    best = int(np.argmin((q_u + slack) / q_p))
+    return float(min(1 - 1e-3, max(1e-3, q_u[best] / q_p[best])))
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 200, rate: float = 0.05, l2: float = 1e-3) -> float:
+    """The share of positives among the unlabelled rows, from these two samples alone."""
+    (p1, p2), (u1, u2) = (positive[::2], positive[1::2]), (unlabelled[::2], unlabelled[1::2])
+    if not len(p2) or not len(u2):
+        return 0.5
+
+    def direction(x: np.ndarray) -> np.ndarray:
+        p, u = (_sigmoid(p1 @ x[:-1] + x[-1]) - 1) / (2 * len(p1)), _sigmoid(u1 @ x[:-1] + x[-1]) / (2 * len(u1))
+        return np.concatenate([p @ p1 + u @ u1 + l2 * x[:-1], [p.sum() + u.sum()]])
+
+    x = _descend(np.zeros(positive.shape[1] + 1, np.float32), direction, steps, rate)
+    return ratio_at_the_top(p2 @ x[:-1], u2 @ x[:-1])
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", n_positive: int = N_POSITIVE, n_unlabelled: int = N_UNLABELLED) -> dict:
     """The model: weights, bias, prior. docs and labels hold the rows that may be learned from."""
-    known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(id_col, F.col(label_col).cast("int").alias("__y"))
-    prior_rows = bounded_sample(known, id_col, N_PRIOR, 40).groupBy("__y").count().collect()
-    total, good = sum(r["count"] for r in prior_rows), sum(r["count"] for r in prior_rows if r["__y"] == 1)
-    prior = (good + 1) / (total + 2)
-    trusted = bounded_sample(known.filter("__y = 1").select(id_col), id_col, n_positive, 41)
+    good = labels.filter(F.col(id_col).isNotNull() & (F.col(label_col) == 1)).select(id_col)
+    trusted = bounded_sample(good, id_col, n_positive, 41)
     drawn = bounded_sample(docs.filter(F.col(id_col).isNotNull()).select(id_col), id_col, n_unlabelled, 42)
-    # ids of at most n_positive + n_unlabelled rows
+    # ids of at most n_positive + n_unlabelled documents
     chosen = trusted.withColumn("__part", F.lit(1)).unionByName(drawn.withColumn("__part", F.lit(0)))
-    sample = materialize(docs.select(id_col, text_col).join(F.broadcast(chosen), id_col), "sample")
+    sample = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).groupBy(id_col, "__part").agg(F.min(text_col).alias(text_col))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"part": pdf["__part"], "id": pdf[id_col], "x": [describe(t).tobytes() for t in pdf[text_col]]})
+            yield pd.DataFrame({"part": pdf["__part"], "h": [zlib.crc32(str(i).encode()) for i in pdf[id_col]], "x": [describe(t).tobytes() for t in pdf[text_col]]})
 
-    rows = sample.mapInPandas(work, f"part int, id {docs.schema[id_col].dataType.simpleString()}, x binary").orderBy("part", "id", "x").collect()
-    sides = [np.array([np.frombuffer(r["x"], np.float32) for r in rows if r["part"] == k]) for k in (0, 1)]
+    # in an order of its own, so that the halves for the prior are the same in any run
+    rows = sorted(map(tuple, sample.mapInPandas(work, "part int, h bigint, x binary").collect()))
+    sides = [np.array([np.frombuffer(x, np.float32) for k, _, x in rows if k == part]) for part in (0, 1)]
     if not len(sides[0]) or not len(sides[1]):
-        return {"weights": np.zeros(N_FEATURES, np.float32), "bias": float(np.log(prior / (1 - prior))), "prior": prior}
+        return {"weights": np.zeros(N_FEATURES, np.float32), "bias": 0.0, "prior": 0.5}
+    prior = estimate_prior(sides[1], sides[0])
     w, b = fit_nnpu(sides[1], sides[0], prior)
     return {"weights": w, "bias": b, "prior": prior}
 
