@@ -7,10 +7,12 @@ score is the share of that language among exp(-loss); ``ambiguous`` says that th
 ``MARGIN``. Up to 7 languages get every distinct split as a bit; more get random codewords, the best of seeded
 trials by least distance.
 
-The training sample is at most ``PER_LANG`` rows of each language (the rows with the least hash of their id), so it
-is gathered and fitted with numpy on the driver; prediction reads every whole text once, in any partition.
+The training sample is at most ``PER_LANG`` documents of each language and ``MAX_SAMPLE`` in all (those with the least
+hash of their id; 4 KB each), so it is gathered and fitted with numpy on the driver; prediction reads every whole text
+once, in any partition.
 
-Cases: a null text or one without a letter is ``und`` with score 0. Null languages aren't learned; an unlabelled
+Cases: a null text or one without a letter is ``und`` with score 0. Null languages aren't learned; an id that stands
+in several rows of a language gives its least text; an unlabelled
 table predicts ``und`` throughout; a single language predicts that with score 1. More than ``MAX_LANGS`` languages raise
 an error. Ties in the loss go to the language that sorts first. Repeated rows get equal results. An empty table gives
 an empty one. Other columns pass through.
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 from .common import documents, fold, materialize
 from .features import byte_ngrams
 
-PER_LANG, MAX_LANGS, BINS, MARGIN = 1200, 512, 2048, 0.2
+PER_LANG, MAX_SAMPLE, MAX_LANGS, BINS, MARGIN = 1200, 12_000, 512, 2048, 0.2
 KIND = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())])
 
 
@@ -56,20 +58,22 @@ def describe(text: str | None) -> np.ndarray:
 
 def language_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int) -> tuple[list[str], DataFrame]:
     """The languages, and at most per_lang rows of each, chosen on ids and languages alone."""
-    known = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"))
+    usable = F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()
+    known = docs.filter(usable).select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"))
     counts = {r[0]: r[1] for r in known.groupBy("__lang").count().limit(MAX_LANGS + 1).collect()}
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not counts:
         return [], docs
+    per_lang = max(1, min(per_lang, MAX_SAMPLE // len(counts)))
     h = F.xxhash64(F.lit(8), F.col("__id"))
     # a threshold by language thins the rows to about twice the sample before any ranking
     limits = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(min(1.0, 2.0 * per_lang / n) * (1 << 30)) + 1)])
-    thin = known.filter(F.pmod(h, F.lit(1 << 30)) < limits[F.col("__lang")])
+    thin = known.filter(F.pmod(h, F.lit(1 << 30)) < limits[F.col("__lang")]).distinct()
     chosen = thin.withColumn("__rank", F.row_number().over(Window.partitionBy("__lang").orderBy(h, "__id"))).filter(F.col("__rank") <= per_lang).drop("__rank")
-    texts = docs.filter(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    # at most per_lang rows of each of MAX_LANGS languages
-    return sorted(counts), materialize(texts.join(F.broadcast(chosen), "__id"), "sample")
+    texts = docs.filter(usable).select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"))
+    # at most MAX_SAMPLE ids; an id that stands in many rows of a language is one row of the sample
+    return sorted(counts), materialize(texts.join(F.broadcast(chosen), ["__id", "__lang"]).groupBy("__id", "__lang").agg(F.min("__text").alias("__text")), "sample")
 
 
 def fit_bits(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.1, l2: float = 1e-5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
