@@ -16,6 +16,7 @@ gives an empty one. Other columns pass through.
 from __future__ import annotations
 
 import base64
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,9 @@ class Counter:
         if not text:
             return counts, 0, 0, 0
         a, b = self.spans(text)
+        # an empty section holds no character, so no token can be its own
+        some = np.nonzero(starts < stops)[0]
+        starts, stops = starts[some], stops[some]
         # the sections that a token touches are first to last: the first that ends after its start, the last that starts before its end
         first, last = np.searchsorted(stops, a, "right"), np.searchsorted(starts, b, "left") - 1
         touches = first <= last
@@ -67,11 +71,11 @@ class Counter:
             for t in np.nonzero(touches & (first < last))[0]:
                 k = np.arange(first[t], last[t] + 1)
                 owner[t] = k[np.argmax(np.minimum(b[t], stops[k]) - np.maximum(a[t], starts[k]))]
-        np.add.at(counts, owner[owner >= 0], 1)
+        np.add.at(counts, some[owner[owner >= 0]], 1)
         return counts, len(a), int((touches & ~inside).sum()), int((~touches).sum())
 
 
-_counters: dict[tuple, Counter] = {}
+_counters: dict[str, Counter] = {}
 
 
 def count_tokens(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text", sections_col: str | None = None, rule: str = "majority", keep_text: bool = True) -> DataFrame:
@@ -86,13 +90,15 @@ def count_tokens(docs: DataFrame, ranks_file: str, pattern: str, text_col: str =
     fields = [f for f in docs.schema.fields if f.name not in made]
     df = docs.select(*[F.col(f"`{f.name}`") for f in fields])
     at, cut = df.columns.index(text_col), df.columns.index(sections_col) if sections_col else None
-    shared = df.sparkSession.sparkContext.broadcast((read_ranks(ranks_file), pattern))  # the vocabulary: a size that no corpus changes
+    ranks = read_ranks(ranks_file)
+    key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
+    shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))  # the vocabulary: a size that no corpus changes
 
     back = [i for i, f in enumerate(fields) if keep_text or i != at]
 
     def work(batches):
-        key = (len(shared.value[0]), pattern)
         if key not in _counters:
+            _counters.clear()
             _counters[key] = Counter(*shared.value)
         counter = _counters[key]
         for whole in batches:
