@@ -3,7 +3,7 @@
 Every line of at least ``min_chars`` gets a 128-bit hash of its key (the line stripped of blanks, A-Z lower-cased).
 The hashes, without text, are range-partitioned by (hash, salt) and sorted by document and position within that;
 a window streams over each run, marks the first occurrence of each document and so counts documents. The salt
-cuts a line that a third of the corpus holds into equal parts, whose few sums are merged per hash. Lines that
+cuts a line that a third of the corpus holds into as many parts as a shuffle has partitions, whose sums are merged per hash. Lines that
 lose become bits of sparse 64-line words, collected to one keep bitmap per document; only the last step, which
 applies the bitmaps, moves text, once.
 
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from .common import BLANKS, documents, materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SALTS = 32
 
 
 def split_lines(text: Column) -> Column:
@@ -40,8 +39,8 @@ def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def shared_keys(lines: DataFrame, min_docs: int = 3) -> DataFrame:
     """The hashes that at least min_docs documents hold, with the largest of their ids as __last."""
-    salt = F.pmod(F.xxhash64("__id"), F.lit(SALTS)).cast("int").alias("__salt")
     n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64("__id"), F.lit(n)).cast("int").alias("__salt")
     run = Window.partitionBy("__h", "__g", "__salt").orderBy(F.desc("__id"), "__pos")
     first = F.lag("__id").over(run).isNull() | (F.lag("__id").over(run) != F.col("__id"))
     parts = (
