@@ -31,7 +31,7 @@ from .common import Remembered, documents
 
 MARK = "▁"
 PART = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-PARTS_KEPT, PAIRS_KEPT = 150_000, 300_000  # what a Python worker remembers at most: about 100 MB
+PARTS_KEPT, PAIRS_KEPT, PART_CHARS = 150_000, 300_000, 64  # what a Python worker remembers at most, and how long a part it remembers: about 100 MB
 SHORT = 48  # characters up to which a plain search for the best merge beats a heap
 
 
@@ -66,7 +66,7 @@ class Codec:
         # a pair is one number, which takes less memory than a tuple
         self.compatible = Remembered(self.remerges, PAIRS_KEPT)
         self.stands = Remembered(lambda i: self.merged(self.names[i]) == [self.names[i]], len(vocabulary))
-        self.parts = Remembered(lambda part: array("i", self.encode_part(part)).tobytes(), PARTS_KEPT)
+        self.parts = Remembered(lambda part: array("i", self.encode_part(part)).tobytes(), PARTS_KEPT, PART_CHARS)
 
     def merged(self, text: str) -> list[str]:
         """The pieces by merging itself: best score first, the leftmost of equals. Serves pairs and ties."""
