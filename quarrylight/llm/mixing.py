@@ -11,7 +11,7 @@ pass ends where the budget does. Positions come from two running sums, over the
 over the block totals of a source, so that a source with a third of all rows is never one task. ``slot`` (the part of
 its source's budget before a row) orders the rows of all sources into one even mix.
 
-Cases: a null source is a source of its own. Null or empty texts have no tokens and go with their block. A source
+Cases: rows without an id are dealt by their text. A null source is a source of its own. Null or empty texts have no tokens and go with their block. A source
 without tokens has no weight; its rows are kept once. Repeated rows (same id, source and text) are one unit, placed
 together. Ties in a hash are ordered by id. An empty table gives an empty one. Other columns pass through.
 """
@@ -89,9 +89,10 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     # at most MAX_SOURCES rows of five fields
     tied = units.join(F.broadcast(quotas), "__source")
     passes = F.when(F.col("__total") == 0, 1).otherwise(F.ceil(F.col("__quota") / F.greatest(F.col("__total"), F.lit(1))))
-    block = F.conv(F.substring(hashed(SEED, F.coalesce(F.col("__id").cast("string"), F.lit("")), F.lit("b")), 1, 8), 16, 10).cast("long") % F.col("__blocks")
+    name = F.coalesce(F.col("__id").cast("string"), F.concat(F.lit("t"), F.col("__t").cast("string")))
+    block = F.conv(F.substring(hashed(SEED, name, F.lit("b")), 1, 8), 16, 10).cast("long") % F.col("__blocks")
     rows = tied.withColumn("block", block).withColumn("epoch", F.explode(F.sequence(F.lit(0), passes.cast("int") - 1)))
-    rows = rows.withColumn("__order", hashed(SEED, F.col("epoch"), F.coalesce(F.col("__id").cast("string"), F.lit(""))))
+    rows = rows.withColumn("__order", hashed(SEED, F.col("epoch"), name))
     totals = rows.groupBy("__source", "epoch", "block").agg(F.sum("__tokens").alias("__sum"))
     before = Window.partitionBy("__source", "epoch").orderBy(hashed(SEED, F.col("epoch"), F.col("block")), "block").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.withColumn("__start", F.coalesce(F.sum("__sum").over(before), F.lit(0))).select(F.col("__source").alias("__s"), F.col("epoch").alias("__e"), F.col("block").alias("__b"), "__start")
