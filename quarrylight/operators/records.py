@@ -210,16 +210,19 @@ def work_ledger(events: DataFrame, key: Sequence[str], order: str, kind: str) ->
 def deferred_ledger(events: DataFrame, entity: str, source: str, order: str, ok: Column) -> DataFrame:
     """Per (entity, source) whether its last word resolved it, and per source how many failures in a row stand at the end."""
     last = events.groupBy(entity, source).agg(F.when(F.max_by(ok, order), "resolved").otherwise("unresolved").alias("resolution"))
-    w = Window.partitionBy(source)
-    tail = events.withColumn("__ok", F.max(F.when(ok, F.col(order))).over(w)).filter(~ok & (F.col("__ok").isNull() | (F.col(order) > F.col("__ok"))))
+    # a source is one row after each task's own aggregation, and joined back as such
+    best = events.groupBy(source).agg(F.max(F.when(ok, F.col(order))).alias("__ok"))
+    tail = events.filter(~ok).join(best, source).filter(F.col("__ok").isNull() | (F.col(order) > F.col("__ok")))
     runs = tail.groupBy(source).agg(F.count(F.lit(1)).alias("failures_in_a_row"))
     return last.join(runs, source, "left").withColumn("failures_in_a_row", F.coalesce("failures_in_a_row", F.lit(0)))
 
 
 def baseline_samples(pages: DataFrame, site: str, order: str, hinted: Column, n: int = 3) -> DataFrame:
     """pages with is_sample: the first n without a hint, in order."""
-    w = Window.partitionBy(site).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return pages.withColumn("is_sample", ~hinted & (F.sum((~hinted).cast("int")).over(w) <= n))
+    # each task drops what is beyond its own first n before the exchange
+    first = pages.filter(~hinted).withColumn("__k", F.row_number().over(Window.partitionBy(site).orderBy(order))).filter(F.col("__k") <= n)
+    last = first.groupBy(site).agg(F.max(order).alias("__last"))
+    return pages.join(last, site, "left").withColumn("is_sample", F.coalesce(~hinted & (F.col(order) <= F.col("__last")), F.lit(False))).select(*pages.columns, "is_sample")
 
 
 def merge_procedures(rows: DataFrame, key: Sequence[str], order: str, fields: Sequence[str], aliases: Mapping[str, str], status: str) -> DataFrame:

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir; where that is unset, under a temporary folder in local mode or the warehouse."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = tempfile.mkdtemp(prefix="shared-") if spark.sparkContext.master.split("[")[0] == "local" else spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
+    """A new folder under spark.checkpoint.dir; where that is unset, under the warehouse."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
