@@ -27,6 +27,36 @@ GARBAGE = r"(?iuU)(https?://|www\.|@|\b(тел|телефон|e-?mail|почта
 STOP = r"(?iuU)(на карте|телефон|тел\.|e-?mail|время работы|copyright|заказать звонок|горячая линия|\bинн\b|\bкпп\b|\bогрн\b|р/с|\bбик\b)"
 
 
+#: Abbreviations before a name, written out, and words of municipal administration that say nothing of the place.
+WRITTEN_OUT = (
+    (r"(?iuU)\bр\s*[-.]?\s*н\b", " район "), (r"(?iuU)\bг\.\s*(?=[a-zа-я])", " город "), (r"(?iuU)\bгор\.\s*(?=[a-zа-я])", " город "), (r"(?iuU)\bобл\.\b", " область "),
+    (r"(?iuU)\bпос\.\s*(?=[a-zа-я])", " поселок "), (r"(?iuU)\bс\.\s*(?=[a-zа-я])", " село "), (r"(?iuU)\bд\.\s*(?=[a-zа-я])", " деревня "), (r"(?iuU)\bдер\.\s*(?=[a-zа-я])", " деревня "),
+)
+ADMINISTRATION = (r"(?iuU)\bвн\s*[-.]?\s*тер\s*[-.]?\s*г\b", r"(?iuU)\bвнутригородск\w*\s+территор\w*(?:\s+город\w*)?\b", r"(?iuU)\bмуниципальн\w*\s+округ\b")
+#: Short forms by word; those of a settlement count only before a name.
+SHORT_FORMS = {"обл": "область", "рн": "район"}
+SHORT_BEFORE_NAMES = {"г": "город", "гор": "город", "пос": "поселок", "с": "село", "д": "деревня", "дер": "деревня"}
+GENERIC_WORDS = ("город", "область", "район", "поселок", "село", "деревня")
+
+
+def lookup_text(x: Column) -> Column:
+    """An address or name as look-ups compare it: lower case, short forms written out, words apart by one blank. Null gives the empty text."""
+    low = F.translate(F.lower(F.regexp_replace(F.coalesce(x, F.lit("")), "\u00a0", " ")), "ё", "е")
+    for pattern, words in WRITTEN_OUT:
+        low = F.regexp_replace(low, pattern, words)
+    for pattern in ADMINISTRATION:
+        low = F.regexp_replace(low, pattern, " ")
+    words = F.filter(F.split(low, "[^0-9a-zа-я]+"), lambda w: w != "")
+
+    def written(ws: Column) -> Column:
+        short = F.create_map(*[F.lit(v) for kv in SHORT_FORMS.items() for v in kv])
+        named = F.create_map(*[F.lit(v) for kv in SHORT_BEFORE_NAMES.items() for v in kv])
+        before_name = lambda i: F.coalesce(F.get(ws, i + 1), F.lit("")).rlike("[a-zа-я]")
+        return F.transform(ws, lambda w, i: F.coalesce(F.try_element_at(short, w), F.when(before_name(i), F.try_element_at(named, w)), w))
+
+    return F.array_join(F.get(F.transform(F.array(words), written), F.lit(0)), " ")
+
+
 def components(x: Column, patterns: Mapping[str, str] = COMPONENTS) -> Column:
     """The names of the components that a text shows, in their order."""
     return F.array_compact(F.array(*[F.when(x.rlike(p), F.lit(k)) for k, p in patterns.items()]))

@@ -60,15 +60,24 @@ def merge_ledgers(left: DataFrame, right: DataFrame, key: Sequence[str], values:
     )
 
 
-def token_lookup(rows: DataFrame, row_id: str, row_tokens: Column, table: DataFrame, entry_id: str, entry_tokens: Column, least: int = 1) -> DataFrame:
-    """Pairs that share at least so many tokens, by an inverted index: tokens of both sides joined, then counted.
+def token_lookup(rows: DataFrame, row_id: str, row_tokens: Column, table: DataFrame, entry_id: str, entry_tokens: Column, least: int | None = 1) -> DataFrame:
+    """Pairs that share at least so many tokens (n_shared; None: all of the entry's), by an inverted index over the rarest tokens of each entry.
 
-    Entries whose tokens are frequent on the other side make the skewed keys of the join, which adaptive execution
-    splits; the counts are combined in each task first.
+    An entry of k tokens shares one of its k - least + 1 rarest with any row that shares least of them, so only these are joined; the
+    token sets of the pairs found are then compared whole. A frequent token makes pairs only for entries that have no rarer ones.
     """
-    a = rows.select(row_id, F.explode(F.array_distinct(row_tokens)).alias("token"))
-    b = table.select(entry_id, F.explode(F.array_distinct(entry_tokens)).alias("token"))
-    return a.join(b, "token").groupBy(row_id, entry_id).agg(F.count(F.lit(1)).alias("n_shared")).filter(F.col("n_shared") >= least)
+    a = rows.select(row_id, F.array_distinct(row_tokens).alias("__a"))
+    b = table.select(entry_id, F.array_distinct(entry_tokens).alias("__b"))
+    inverted = a.select(row_id, F.explode("__a").alias("token"))
+    entries = b.select(entry_id, F.explode("__b").alias("token"))
+    held = inverted.join(entries.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("held"))
+    rarest = entries.join(held, "token", "left").groupBy(entry_id).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "token"))).alias("t"))
+    enough = F.size("t") if least is None else F.lit(least)
+    probes = rarest.filter(F.size("t") >= enough).select(entry_id, F.explode(F.slice("t", F.lit(1), F.size("t") - (enough - 1))).alias("p")).filter("p.held > 0").select(entry_id, "p.token")
+    found = inverted.join(probes, "token").select(row_id, entry_id).distinct()
+    shared = F.size(F.array_intersect("__a", "__b")).cast("bigint")
+    wanted = F.size("__b") if least is None else F.lit(least)
+    return found.join(a, row_id).join(b, entry_id).filter(shared >= wanted).select(row_id, entry_id, shared.alias("n_shared"))
 
 
 def best_lookup(pairs: DataFrame, row_id: str, entry_id: str, order: Sequence[Column]) -> DataFrame:

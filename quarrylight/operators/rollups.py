@@ -36,11 +36,11 @@ def pivot_counts(rows: DataFrame, by: Sequence[str], column: str, values: Sequen
 
 def poisoned_sums(rows: DataFrame, groups: Sequence[str], amount: str, digits: int = 8) -> DataFrame:
     """Sums by each of the groups apart, as grouping sets; a group with an unknown amount has no sum."""
-    sets = [rows.groupBy(F.lit(g).alias("grouping"), F.col(g).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"), F.when(F.bool_or(F.col(amount).isNull()), None).otherwise(F.round(F.sum(amount), digits)).alias("total")) for g in groups]
-    out = sets[0]
-    for s in sets[1:]:
-        out = out.unionByName(s)
-    return out
+    summed = rows.groupingSets([[g] for g in groups], *groups).agg(
+        *[F.grouping(g).alias(f"__g{i}") for i, g in enumerate(groups)], F.count(F.lit(1)).alias("n"), F.when(F.bool_or(F.col(amount).isNull()), None).otherwise(F.round(F.sum(amount), digits)).alias("total")
+    )
+    pick = lambda of: F.coalesce(*[F.when(F.col(f"__g{i}") == 0, of(g)) for i, g in enumerate(groups)])
+    return summed.select(pick(F.lit).alias("grouping"), pick(lambda g: F.col(g).cast("string")).alias("value"), "n", "total")
 
 
 def delay_buckets(rows: DataFrame, bucket: Column, value: str, ok: Column) -> DataFrame:

@@ -86,6 +86,17 @@ def authenticity(identity: Column, viable: Column, industrial: Column, penalty:
     return score, F.when((score >= 0.75) & (identity >= 0.52), "verified").when(score >= 0.55, "candidate").when(score >= 0.3, "suspicious").otherwise("rejected")
 
 
+def needs_review(status: Column, score: Column, hard_negative: Column, inn_match: Column, email_match: Column) -> Column:
+    """Whether a decision about a site goes to a reviewer: a candidate or suspicious one that neither a high score, an id on the page nor a hard negative settles."""
+    open_ = status.isin("candidate", "suspicious") & (score < 0.82)
+    return F.coalesce(open_ & ~(hard_negative & ~inn_match & ~email_match) & ~(inn_match & (score >= 0.62)), F.lit(False))
+
+
+def record_needs_review(label: Column) -> Column:
+    """Of page records only the ones in doubt go to a reviewer."""
+    return F.coalesce(label == "maybe_relevant", F.lit(False))
+
+
 def site_class(spa: Column, old_stack: Column, text_length: Column, n_links: Column) -> Column:
     """A to F by what a plain fetch shows."""
     return (
