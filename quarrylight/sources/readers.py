@@ -10,6 +10,7 @@ import csv
 import io
 import json
 import re
+import tarfile
 import zipfile
 from xml.etree import ElementTree
 
@@ -110,6 +111,19 @@ def read_document(path: str, raw: bytes, depth: int = 0, most: int = 3) -> list[
                     else:
                         members += read_document(inside, z.read(m), depth + 1, most)
             return [{**row, "status": "expanded"}, *members]
+        elif suffix in ("tar", "tgz", "gz", "bz2", "xz") and (suffix != "gz" or path.lower().endswith(".tar.gz")):
+            members = []
+            with tarfile.open(fileobj=io.BytesIO(raw)) as t:
+                for m in t.getmembers():
+                    inside = f"{path}!/{m.name}"
+                    blocked = m.name.startswith("/") or ".." in m.name.split("/")
+                    if m.isdir():
+                        continue
+                    if blocked or not m.isfile() or depth >= most:
+                        members.append({**row, "path": inside, "depth": depth + 1, "status": "blocked_path" if blocked or not m.isfile() else "depth_limit", "size": m.size})
+                    else:
+                        members += read_document(inside, t.extractfile(m).read(), depth + 1, most)
+            return [{**row, "status": "expanded"}, *members]
         else:
             row["status"] = "unsupported_format"
     except Exception as x:  # a broken file is a row of the ledger, not the end of the scan

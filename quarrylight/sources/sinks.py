@@ -1,9 +1,13 @@
-"""Sinks: flat exports, staged generations, revisions, run summaries, text reports."""
+"""Sinks: flat exports, workbooks, staged generations, revisions, run summaries, text reports."""
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Mapping, Sequence
+from xml.sax.saxutils import escape, quoteattr
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +29,69 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").option("encoding", "UTF-8").csv(path)
 
 
+def write_json_lines(df: DataFrame, path: str) -> None:
+    """A JSON object per line, null fields kept, one file per task."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def workbook(header: Sequence[str], rows: Sequence[Sequence], sheet: str = "Sheet1", links: bool = False) -> bytes:
+    """An xlsx file of one sheet with a frozen header row; numbers as numbers, all else as text, addresses as links on request."""
+
+    def name(k: int) -> str:
+        out = ""
+        while k >= 0:
+            k, out = k // 26 - 1, chr(65 + k % 26) + out
+        return out
+
+    def cell(v, k: int, i: int) -> str:
+        at = f"{name(k)}{i}"
+        if v is None or v != v:
+            return ""
+        if isinstance(v, (int, float)) and not isinstance(v, bool):
+            return f'<c r="{at}"><v>{v!r}</v></c>'
+        return f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape("".join(c for c in str(v) if c >= " " or c in chr(9) + chr(10)))}</t></is></c>'
+
+    table = [list(header), *rows]
+    body = "".join(f'<row r="{i}">{"".join(cell(v, k, i) for k, v in enumerate(r))}</row>' for i, r in enumerate(table, 1))
+    found = [(f"{name(k)}{i}", v) for i, r in enumerate(rows, 2) for k, v in enumerate(r) if isinstance(v, str) and v.startswith(("http://", "https://"))] if links else []
+    linked = f"<hyperlinks>{''.join(f'<hyperlink ref={quoteattr(at)} r:id={quoteattr(f'rId{n}')}/>' for n, (at, _) in enumerate(found, 1))}</hyperlinks>" if found else ""
+    space, office = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    package, types = "http://schemas.openxmlformats.org/package/2006/relationships", "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    frozen = '<sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews>'
+    files = {
+        "[Content_Types].xml": f'<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{types}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{types}.worksheet+xml"/></Types>',
+        "_rels/.rels": f'<Relationships xmlns="{package}"><Relationship Id="rId1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook xmlns="{space}" xmlns:r="{office}"><sheets><sheet name={quoteattr(sheet)} sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}"><Relationship Id="rId1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{space}" xmlns:r="{office}">{frozen}<sheetData>{body}</sheetData>{linked}</worksheet>',
+    }
+    if found:
+        files["xl/worksheets/_rels/sheet1.xml.rels"] = f'<Relationships xmlns="{package}">{"".join(f"<Relationship Id={quoteattr(f"rId{n}")} Type={quoteattr(office + "/hyperlink")} Target={quoteattr(v)} TargetMode={quoteattr("External")}/>" for n, (_, v) in enumerate(found, 1))}</Relationships>'
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+        for path, text in files.items():
+            z.writestr(path, f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?>{text}')
+    return raw.getvalue()
+
+
+def workbooks(df: DataFrame, order: Sequence[str | Column], per_book: int = 100_000, sheet: str = "Sheet1", links: bool = False) -> DataFrame:
+    """df as xlsx files of at most per_book rows in order: book_no, n_rows, content. Each range of rows is written where it lies, none is drawn through one task."""
+    names = df.columns
+
+    def write(batches):
+        held = []
+        for pdf in batches:
+            held += pdf.astype(object).where(pdf.notna(), None).values.tolist()
+            while len(held) >= per_book:
+                yield pd.DataFrame({"n_rows": [per_book], "content": [workbook(names, held[:per_book], sheet, links)]})
+                held = held[per_book:]
+        if held:
+            yield pd.DataFrame({"n_rows": [len(held)], "content": [workbook(names, held, sheet, links)]})
+
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.mapInPandas(write, "n_rows int, content binary").select(F.monotonically_increasing_id().alias("book_no"), "n_rows", "content")
+
+
 def publish(df: DataFrame, path: str, generation: str) -> None:
     """Writes a generation beside the others; it counts once its pointer row is written, which is last."""
     df.write.mode("overwrite").parquet(f"{path}/gen={generation}")

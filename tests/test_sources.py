@@ -95,7 +95,7 @@ def test_pages(spark):
     df = spark.createDataFrame([(1, "https://a.ru", HTML), (2, "https://b.ru", None), (3, "u", "<p>broken <b")], "i bigint, u string, h string")
     found = {r.i: r for r in pages.page_records(df, "i", "u", "h").collect()}
     r = found[1]
-    assert r.title == "Our plant" and r.description == "d" and r.n_links == 2 and r.phones == ["+74951234567"] and r.rows == [["a", "b c"]] and r.itemprops == {"name": "b c"}
+    assert r.title == "Our plant" and r.description == "d" and r.n_links == 2 and r.phones == ["+74951234567"] and r.rows == [["a", "b c"]] and r.itemprops == {"name": ["b c"]}
     assert "var x" not in r.text and found[2].text == "" and len({x.fingerprint for x in found.values()}) == 3
     assert pages.probe(df, "h").filter("i = 1").first().n_links == 3
 
