@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import contacts, profiles, records, runs, streams
+from . import contacts, dossiers, profiles, records, runs, streams
 
-MODULES = (contacts, profiles, records, runs, streams)
+MODULES = (contacts, dossiers, profiles, records, runs, streams)
 FLAGSHIP = "url_registered_domain"
 
 

@@ -301,6 +301,14 @@ def greedy_batch(spark, d):
     return scoring.greedy_batch_counts(table(spark, d, "part"), "p_brand", "p_name", "p_partkey", 200)
 
 
+BATCH_SQL = """
+WITH RECURSIVE p AS (SELECT p_brand, length(p_name) AS n, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part),
+f AS (SELECT p_brand, k, n AS open, 1 AS batches, n AS longest FROM p WHERE k = 1
+  UNION ALL SELECT p.p_brand, p.k, CASE WHEN f.open + 1 + p.n <= 200 THEN f.open + 1 + p.n ELSE p.n END, f.batches + (f.open + 1 + p.n > 200)::INT, greatest(f.longest, CASE WHEN f.open + 1 + p.n <= 200 THEN f.open + 1 + p.n ELSE p.n END) FROM f JOIN p ON p.p_brand = f.p_brand AND p.k = f.k + 1)
+SELECT p_brand, arg_max(batches, k)::INT AS n_batches, arg_max(longest, k)::INT AS longest FROM f GROUP BY 1
+"""
+
+
 def usage_cost(spark, d):
     prices = ("0.75", "0.075", "4.50")
     ev = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("stage"), (F.col("l_quantity") * 100).cast("bigint").alias("i"), (F.col("l_quantity") * 30).cast("bigint").alias("c"), F.col("l_linenumber").cast("bigint").alias("o"))
@@ -317,6 +325,7 @@ QUERIES = {f.__name__: f for f in (
     top3_weighted_by_group, site_authenticity, route_families, page_symptoms, entity_merge, entity_evidence, conversation_excerpt, inverted_index_lookup, stem_key_match, frequent_terms, date_guess, valid_inn_sample, name_token_signal, greedy_batch, usage_cost,
 )}
 ORACLES = {
+    "greedy_batch": BATCH_SQL,
     "url_registered_domain": f"SELECT host, {DOMAIN_SQL} AS domain, count(*) AS n_pages, arg_min(url, page_id) AS first_url FROM {PAGES_SQL} GROUP BY host, domain",
     "section_guess_counts": f"SELECT {_section_sql()} AS section, count(*) AS n, min(page_id) AS first_page FROM pages GROUP BY 1",
     "corporate_pages": f"SELECT {DOMAIN_SQL} AS domain, bool_and({DOMAIN_SQL} NOT IN ('example.net', 'x.com') AND contains({DOMAIN_SQL}, '.')) AS corporate, count(*) AS n FROM {PAGES_SQL} GROUP BY 1",

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import scoring
+from ..operators import scoring, timeline
 from ..sources import pages as P
 from ..sources import sinks
 from ..streaming import events as S
+from .contacts import HOST_SQL
 from .runs import CIRCUIT_SQL
 
 
@@ -48,8 +49,32 @@ def page_titles(spark, d):
 
 def site_probe(spark, d):
     pages = P.probe(table(spark, d, "pages").withColumn("host", T.host(F.col("url"))), "html")
-    classed = pages.withColumn("site_class", scoring.site_class(F.col("is_spa"), F.col("old_stack"), F.col("text_length"), F.col("n_links")))
-    return classed.groupBy("site_class").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("host").alias("n_hosts"))
+    return pages.select("page_id", "host", "is_spa", "old_stack", "n_links", "text_length", scoring.site_class(F.col("is_spa"), F.col("old_stack"), F.col("text_length"), F.col("n_links")).alias("site_class"))
+
+
+PROBE_SQL = rf"""
+WITH p AS (SELECT page_id, {HOST_SQL} AS host, lower(html) AS h FROM pages),
+f AS (SELECT page_id, host, regexp_matches(h, 'data-reactroot|__next_data__|id=["'']__next["'']|id=["''](app|root)["'']') AS is_spa, regexp_matches(h, 'bitrix|\.aspx|asp\.net|windows-1251') AS old_stack, len(regexp_extract_all(h, '<a[ >]'))::INT AS n_links,
+  length(regexp_replace(trim(regexp_replace(regexp_replace(h, '(?s)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]*>|[\s]+', ' ', 'g')), ' +', ' ', 'g'))::INT AS text_length FROM p)
+SELECT *, CASE WHEN is_spa AND text_length < 500 THEN 'D' WHEN is_spa THEN 'C' WHEN old_stack THEN 'B' WHEN text_length >= 1200 AND n_links >= 8 THEN 'A' WHEN text_length >= 350 OR n_links >= 3 THEN 'B' ELSE 'F' END AS site_class FROM f
+"""
+
+
+def recent_outcomes(spark, d):
+    ev = table(spark, d, "events").select("user_id", "event_id", (F.col("event_id") % 3).alias("proxy"), F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("tag"), (F.col("value") > 50).alias("ok"))
+    return timeline.recent_outcomes(ev, ["user_id"], "event_id", ["proxy", "tag"], "ok", 25)
+
+
+RECENT_SQL = """
+WITH r AS (SELECT user_id, event_id, (event_id % 3)::VARCHAR AS proxy, CASE WHEN event_id % 2 = 0 THEN event_type END AS tag, value > 50 AS ok, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events)
+SELECT user_id, 'proxy' AS tag_name, proxy AS tag, ok, count(*) AS n FROM r WHERE k <= 25 GROUP BY ALL UNION ALL SELECT user_id, 'tag', tag, ok, count(*) FROM r WHERE k <= 25 AND tag IS NOT NULL GROUP BY ALL
+"""
+
+
+def page_sections(spark, d):
+    """Headings of pages as a parser sees them; each page of the tables has one article under one heading."""
+    found = P.page_records(table(spark, d, "pages"), "page_id", "url", "html")
+    return found.select("page_id", F.size("sections").alias("n_sections"), P.section_of(F.col("sections"), (".",)).isNotNull().alias("has_text"), P.access_boundary(F.lit("success"), F.when(F.col("page_id") % 9 == 0, 403), F.col("text")).alias("boundary"))
 
 
 def mojibake_repair(spark, d):
@@ -70,8 +95,10 @@ def run_summary(spark, d):
     return sinks.run_summary(table(spark, d, "orders").withColumn("status", state), "status")
 
 
-QUERIES = {f.__name__: f for f in (stream_host_stats, stream_circuit_state, stream_emit_once, stream_last_attempts, page_records, page_titles, site_probe, mojibake_repair, flat_export, run_summary)}
+QUERIES = {f.__name__: f for f in (stream_host_stats, stream_circuit_state, stream_emit_once, stream_last_attempts, page_records, page_sections, page_titles, recent_outcomes, site_probe, mojibake_repair, flat_export, run_summary)}
 ORACLES = {
+    "site_probe": PROBE_SQL, "recent_outcomes": RECENT_SQL,
+    "page_sections": "SELECT page_id, 2 AS n_sections, true AS has_text, CASE WHEN page_id % 9 = 0 THEN 'blocked' END AS boundary FROM pages",
     "stream_host_stats": "SELECT user_id, count(*) AS n_events, round(sum(value), 2) AS sum_value, max(value) AS max_value FROM events GROUP BY 1",
     "stream_circuit_state": f"SELECT user_id, mode FROM (SELECT user_id, event_id, mode, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM ({CIRCUIT_SQL.replace('count(*) AS n, count(DISTINCT user_id) AS n_users FROM r GROUP BY 1', 'user_id, event_id FROM r')})) WHERE k = 1",
     "stream_emit_once": "SELECT user_id, count(DISTINCT event_type || props) AS n_distinct FROM events GROUP BY 1",
