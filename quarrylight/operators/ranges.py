@@ -44,6 +44,14 @@ def earlier(key: Sequence[str]) -> Window:
     return Window.partitionBy(*key).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def running_sum(ranged: DataFrame, key: Sequence[str], order: str, value: Column, name: str) -> DataFrame:
+    """Rows of with_range with the sum of value over a key's rows up to and including each in order."""
+    valued = ranged.withColumn("__v", value)
+    carried = with_carry(valued, key, {"__s": F.sum("__v")}, {"__before": F.coalesce(F.sum("__s").over(earlier(key)), F.lit(0))})
+    own = F.sum("__v").over(within(key, order).rowsBetween(Window.unboundedPreceding, 0))
+    return carried.withColumn(name, F.col("__before") + own).drop("__v", "__before")
+
+
 def since_reset(rows: DataFrame, key: Sequence[str], order: str, reset: Column, counted: Mapping[str, Column], most: Mapping[str, Column] | None = None) -> DataFrame:
     """rows with, since the key's last reset, that row and this one included: how many rows met each condition counted, and the greatest of each value in most."""
     no = F.lit(False)

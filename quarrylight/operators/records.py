@@ -34,7 +34,7 @@ def rank_routes(routes: DataFrame, site: str, family: str, host: str, path: str,
     first_part = F.coalesce(F.get(F.split(F.col(path), "/"), F.lit(1)), F.lit(""))
     keyed = routes.withColumns({"__s": text(site), "__f": text(family), "__h": text(host), "__p": first_part, "__t": F.xxhash64(*routes.columns)})
     order = [F.desc(score), F.asc(path), F.asc("__t")]
-    folder = shared_folder(spark, "routes")
+    folder = f"{shared_folder(spark, 'routes')}/rows"
     keyed.repartitionByRange("__s", "__f", *order).withColumn("__part", F.spark_partition_id()).write.parquet(folder)
     ranged = spark.read.parquet(folder)
     before = Window.partitionBy("__s", "__f").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

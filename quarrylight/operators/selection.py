@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import PART, running_sum, with_range
+
 
 def row_window(rows: DataFrame, order: Sequence[str | Column], start: int = 1, count: int | None = None) -> DataFrame:
     """Rows start to start + count - 1 (from 1) in an order; an order that ends with a key is total.
@@ -74,13 +76,12 @@ def ready_first(rows: DataFrame, ready: str, order: str) -> DataFrame:
 def admit(rows: DataFrame, queue: str, key: str, kind: str, order: str, size: str, total: int, per_kind: int, max_bytes: int) -> DataFrame:
     """Admission of queued documents: repeats, too large ones, then caps per kind and in all, with the outcome as status.
 
-    Caps count candidates in order of arrival within a queue.
+    Caps count candidates in order of arrival within a queue, over ranges of the order, so that a long queue is many tasks.
     """
     again = F.row_number().over(Window.partitionBy(queue, key).orderBy(order)) > 1
     rows = rows.withColumn("__out", F.when(again, "duplicate").when(F.col(size) > max_bytes, "too_large"))
     fits = F.col("__out").isNull().cast("int")
-    run = lambda *by: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("__kind", F.sum(fits).over(run(queue, kind)))
+    rows = running_sum(with_range(rows, order), [queue, kind], order, fits, "__kind")
     rows = rows.withColumn("__out", F.coalesce("__out", F.when(F.col("__kind") > per_kind, "kind_cap")))
-    rows = rows.withColumn("__all", F.sum(F.col("__out").isNull().cast("int")).over(run(queue)))
-    return rows.withColumn("status", F.coalesce("__out", F.when(F.col("__all") > total, "total_cap"), F.lit("admitted"))).drop("__out", "__kind", "__all")
+    rows = running_sum(rows, [queue], order, fits, "__all")
+    return rows.withColumn("status", F.coalesce("__out", F.when(F.col("__all") > total, "total_cap"), F.lit("admitted"))).drop("__out", "__kind", "__all", PART)

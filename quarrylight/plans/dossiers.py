@@ -17,12 +17,17 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def breaker_class():
+    """Event types as block classes."""
+    k, v = F.col("event_type"), F.col("value")
+    hard = F.when((k == "error") & (F.col("user_id") % 2 == 0), "HARD_BAN").when(k == "error", "RATE_LIMIT").when(k == "signup", "CHALLENGE_LOOP")
+    return F.when(k == "purchase", "SUCCESS").otherwise(hard.when((k == "view") & (v > 80), "SHADOW_THROTTLE").when((k == "click") & (v < 20), "AUTH_REQUIRED"))
+
+
 def breaker_ledger(spark, d):
     """The last state of each user's breaker; event types stand for block classes."""
-    k, v = F.col("event_type"), F.col("value")
     ev = table(spark, d, "events").select("user_id", "event_id", F.floor(N.wall_seconds("ts")).alias("at"), "event_type", "value")
-    cls = F.when(k == "purchase", "SUCCESS").when((k == "error") & (F.col("user_id") % 2 == 0), "HARD_BAN").when(k == "error", "RATE_LIMIT").when(k == "signup", "CHALLENGE_LOOP").when((k == "view") & (v > 80), "SHADOW_THROTTLE").when((k == "click") & (v < 20), "AUTH_REQUIRED")
-    states = timeline.breaker_ledger(ev, ["user_id"], "event_id", "at", cls, F.when(F.col("event_id") % 2 == 0, "bot_gate"))
+    states = timeline.breaker_ledger(ev, ["user_id"], "event_id", "at", breaker_class(), F.when(F.col("event_id") % 2 == 0, "bot_gate"))
     last = F.struct("mode", F.col("cooldown_until").cast("bigint").alias("cooldown_until"), *[c for c in states.columns if c.startswith("n_")])
     return states.groupBy("user_id").agg(F.max_by(last, "event_id").alias("s"), F.count_if(F.col("mode") == "paused").alias("n_paused")).select("user_id", "s.*", "n_paused")
 

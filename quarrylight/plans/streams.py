@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import numbers as N
 from ..functions import text as T
 from ..operators import scoring, timeline
 from ..sources import pages as P
 from ..sources import sinks
 from ..streaming import events as S
 from .contacts import HOST_SQL
+from .dossiers import BREAKER_SQL, breaker_class
 from .runs import CIRCUIT_SQL
 
 
@@ -27,6 +29,13 @@ def stream_circuit_state(spark, d):
     return S.run_to_table(stream, "update", "stream-circuits", ["user_id"]).select("user_id", "mode")
 
 
+def stream_breaker_state(spark, d):
+    """The same final states as breaker_ledger's."""
+    ev = S.read_events(spark, f"{d}/events.parquet").withColumn("at", F.floor(N.wall_seconds("ts")))
+    found = S.run_to_table(S.breaker_state(ev, "user_id", "event_id", "at", breaker_class(), F.when(F.col("event_id") % 2 == 0, "bot_gate")), "update", "stream-breakers", ["user_id"])
+    return found.withColumn("cooldown_until", F.col("cooldown_until").cast("bigint"))
+
+
 def stream_emit_once(spark, d):
     stream = S.emit_once(S.read_events(spark, f"{d}/events.parquet").select("user_id", "event_type", "props"), ["user_id", "event_type", "props"])
     return S.run_to_table(stream, "append", "stream-once").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_distinct"))
@@ -95,9 +104,9 @@ def run_summary(spark, d):
     return sinks.run_summary(table(spark, d, "orders").withColumn("status", state), "status")
 
 
-QUERIES = {f.__name__: f for f in (stream_host_stats, stream_circuit_state, stream_emit_once, stream_last_attempts, page_records, page_sections, page_titles, recent_outcomes, site_probe, mojibake_repair, flat_export, run_summary)}
+QUERIES = {f.__name__: f for f in (stream_host_stats, stream_circuit_state, stream_breaker_state, stream_emit_once, stream_last_attempts, page_records, page_sections, page_titles, recent_outcomes, site_probe, mojibake_repair, flat_export, run_summary)}
 ORACLES = {
-    "site_probe": PROBE_SQL, "recent_outcomes": RECENT_SQL,
+    "stream_breaker_state": f"SELECT * EXCLUDE (n_paused) FROM ({BREAKER_SQL})", "site_probe": PROBE_SQL, "recent_outcomes": RECENT_SQL,
     "page_sections": "SELECT page_id, 2 AS n_sections, true AS has_text, CASE WHEN page_id % 9 = 0 THEN 'blocked' END AS boundary FROM pages",
     "stream_host_stats": "SELECT user_id, count(*) AS n_events, round(sum(value), 2) AS sum_value, max(value) AS max_value FROM events GROUP BY 1",
     "stream_circuit_state": f"SELECT user_id, mode FROM (SELECT user_id, event_id, mode, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM ({CIRCUIT_SQL.replace('count(*) AS n, count(DISTINCT user_id) AS n_users FROM r GROUP BY 1', 'user_id, event_id FROM r')})) WHERE k = 1",

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.timeline import BREAKER_SECONDS, BREAKER_STEPS, CHALLENGE_SECONDS, GATE_SECONDS
 from ..sources.workspace import shared_folder
 
 
@@ -63,16 +65,21 @@ def host_stats(events: DataFrame, host: str, value: str) -> DataFrame:
 def circuit_state(events: DataFrame, key: str, order: str, ban: Column, challenge: Column, success: Column) -> DataFrame:
     """The mode of each key after its events so far: bans and challenges count up, a success starts over.
 
-    The state is two counters per key. Within a batch events are taken by their order; across batches in order of arrival.
+    The state is two counters per key. Within a batch events are taken by their order, for which a key's orders and steps (9 bytes an event) are held
+    at once; how many files a batch takes bounds them. Across batches events are taken in order of arrival.
     """
-    step = F.when(success, "success").when(challenge, "challenge").when(ban, "ban").otherwise("other")
+    step = F.when(success, 3).when(challenge, 2).when(ban, 1).otherwise(0).cast("tinyint")
     kind = events.schema[key].dataType.simpleString()
 
     def fold(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         bans, challenges = state.get if state.exists else (0, 0)
-        seen = pd.concat(list(batches)).sort_values("__order", kind="stable")
-        for s in seen["__step"]:
-            bans, challenges = (0, 0) if s == "success" else (bans + (s == "ban"), challenges + (s == "challenge"))
+        orders, steps = map(np.concatenate, zip(*((pdf["__order"].to_numpy(), pdf["__step"].to_numpy()) for pdf in batches), strict=True))
+        steps = steps[np.argsort(orders, kind="stable")]
+        won = np.nonzero(steps == 3)[0]
+        if len(won):
+            bans = challenges = 0
+            steps = steps[won[-1] + 1 :]
+        bans, challenges = bans + int((steps == 1).sum()), challenges + int((steps == 2).sum())
         state.update((bans, challenges))
         mode = "paused" if bans >= 3 or challenges >= 2 else "survival" if bans >= 2 or challenges >= 1 else "conservative" if bans else "normal"
         yield pd.DataFrame({key: [group[0]], "bans": [bans], "challenges": [challenges], "mode": [mode]})
@@ -81,6 +88,40 @@ def circuit_state(events: DataFrame, key: str, order: str, ban: Column, challeng
     return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {kind}, bans int, challenges int, mode string", "bans int, challenges int", "update", GroupStateTimeout.NoTimeout)
 
 
+def breaker_state(events: DataFrame, key: str, order: str, at: str, block_class: Column, reason: Column) -> DataFrame:
+    """The streaming twin of timeline.breaker_ledger: the state of each key's breaker after its events so far, as mode, cooldown_until and a count per class.
+
+    The state is five counters and a time per key; order as in circuit_state.
+    """
+    names, kind = [*BREAKER_STEPS], events.schema[key].dataType.simpleString()
+    fields = ", ".join(f"n_{c.lower()} bigint" for c in names)
+    codes = {c: i for i, c in enumerate(names)} | {"AUTH_REQUIRED": names.index("SOFT_BLOCK"), "SUCCESS": -1}
+    code = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])
+
+    def fold(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        *counts, until = state.get if state.exists else [0] * len(names) + [0.0]
+        columns = map(np.concatenate, zip(*((pdf["o"].to_numpy(), pdf["c"].to_numpy(), pdf["a"].to_numpy(), pdf["g"].to_numpy()) for pdf in batches), strict=True))
+        orders, classes, times, gates = columns
+        for i in np.argsort(orders, kind="stable"):
+            c = int(classes[i])
+            if c < 0:
+                counts, until = [0] * len(names), 0.0
+                continue
+            counts[c] += 1
+            if names[c] in BREAKER_SECONDS:
+                wait = BREAKER_SECONDS[names[c]] * 2 ** min(counts[c] - 1, 3)
+            else:
+                wait = CHALLENGE_SECONDS * counts[c] if names[c] == "CHALLENGE_LOOP" else GATE_SECONDS * counts[c] * bool(gates[i])
+            until = max(until, float(times[i]) + wait) if wait else until
+        state.update((*counts, until))
+        step = max(BREAKER_STEPS[n][min(k, 3) - 1] if k else 0 for n, k in zip(names, counts, strict=True))
+        mode = ("normal", "conservative", "survival", "paused")[step]
+        yield pd.DataFrame([(group[0], mode, until, *counts)], columns=[key, "mode", "cooldown_until", *(f"n_{c.lower()}" for c in names)])
+
+    rows = events.select(key, F.col(order).alias("o"), code[block_class].alias("c"), F.col(at).cast("double").alias("a"), F.coalesce(reason == "bot_gate", F.lit(False)).alias("g")).filter("c is not null")
+    return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {kind}, mode string, cooldown_until double, {fields}", f"{fields}, until double", "update", GroupStateTimeout.NoTimeout)
+
+
 def emit_once(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The first event of each key, whatever batch repeats it."""
     return events.dropDuplicates(list(keys))
