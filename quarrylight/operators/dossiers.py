@@ -194,3 +194,86 @@ def decode_records(df: DataFrame, key: str, document: str, schema: DT.StructType
         good = good & F.col(f"d.{c}").isNotNull()
     wrong = F.concat(F.lit("no valid document of a known version under "), F.col(key).cast("string"))
     return read.filter(F.when(good, True).otherwise(F.raise_error(wrong).cast("boolean"))).select(key, *[f"d.{f.name}" for f in schema.fields])
+
+
+def contact_key(kind: Column, value: Column) -> Column:
+    """What two contacts of a kind agree on: digits of phones, lower-case e-mails and addresses, registered domains of sites; null if nothing is left."""
+    low = F.lower(T.one_space(value))
+    key = F.when(kind == "phone", T.digits(value)).when(kind == "email", low).when(kind == "website", T.registered_domain(T.host(value))).otherwise(low)
+    return F.nullif(key, F.lit(""))
+
+
+def contact_sources(wanted: DataFrame, found: DataFrame, entity: str, kind: str, value: str, source: str) -> DataFrame:
+    """wanted with n_sources and first_source: of the sources that show the same contact of the entity, by contact_key; a site also counts where an e-mail is at its domain."""
+    keyed = found.select(entity, kind, contact_key(F.col(kind), F.col(value)).alias("__key"), source)
+    mailed = found.filter(F.col(kind) == "email").select(entity, F.lit("website").alias(kind), F.nullif(T.registered_domain(F.substring_index(F.col(value), "@", -1)), F.lit("")).alias("__key"), source)
+    seen = keyed.unionByName(mailed).filter("__key is not null").groupBy(entity, kind, "__key").agg(F.count_distinct(source).alias("n_sources"), F.min(source).alias("first_source"))
+    own = wanted.withColumn("__key", contact_key(F.col(kind), F.col(value)))
+    return own.join(seen, [entity, kind, "__key"], "left").withColumn("n_sources", F.coalesce("n_sources", F.lit(0))).drop("__key")
+
+
+def work_sync(handoffs: DataFrame, units: DataFrame, explicit: DataFrame, key: str, fingerprint: str) -> DataFrame:
+    """What becomes of the unit of work of each key handed off: explicit where execution rows say so, kept where the fingerprint is the same, else replaced or new; keys of explicit rows alone stay."""
+    old = units.select(F.col(key).alias("__k"), F.col(fingerprint).alias("__f"))
+    own = explicit.select(F.col(key).alias("__e"), F.col(fingerprint).alias("__ef"))
+    joined = handoffs.select(key, fingerprint).join(own, F.col(key) == F.col("__e"), "full_outer").withColumn("__key", F.coalesce(key, "__e")).join(old, F.col("__key") == F.col("__k"), "left")
+    action = F.when(F.col("__e").isNotNull(), "explicit").when(F.col("__k").isNull(), "new").when(F.col(fingerprint).eqNullSafe(F.col("__f")), "kept").otherwise("replaced")
+    return joined.select(F.col("__key").alias(key), F.coalesce("__ef", fingerprint).alias(fingerprint), action.alias("action"))
+
+
+def benchmark_records(records: DataFrame, identity: str, ok: Column, has_text: Column, relevance: Column, score: str, order: str, limit: int) -> DataFrame:
+    """The first records for a benchmark, each identity once: successes first, then those with text, by relevance, score and order."""
+    rank = F.struct(F.when(ok, 0).otherwise(1).alias("a"), F.when(has_text, 0).otherwise(1).alias("b"), relevance.alias("c"), (-F.col(score)).alias("d"), F.col(order).alias("e"))
+    once = records.withColumn("__rank", rank).groupBy(identity).agg(F.min("__rank").alias("__rank"), F.min_by(order, "__rank").alias(order), F.min_by(score, "__rank").alias(score))
+    return once.orderBy("__rank").limit(limit).drop("__rank")
+
+
+def ordered_evidence(evidence: DataFrame, key: Sequence[str], weight: str, group: str, source: str, text: str, most: int) -> DataFrame:
+    """The first pieces of evidence of a key, by weight, then group, source and text, with their place."""
+    order = Window.partitionBy(*key).orderBy(F.desc(weight), group, source, text)
+    return evidence.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
+
+
+def drain_rollup(spans: DataFrame, stage: str, queued: str, started: str, ended: str, item: str, most: int = 3) -> DataFrame:
+    """Per stage: spans, total and longest wait and work in seconds, and the items of the longest spans."""
+    wait, work = F.greatest(F.lit(0), F.col(started) - F.col(queued)), F.greatest(F.lit(0), F.col(ended) - F.col(started))
+    sums = spans.groupBy(stage).agg(F.count(F.lit(1)).alias("n"), F.sum(wait).alias("waited"), F.max(wait).alias("longest_wait"), F.sum(work).alias("worked"), F.max(work).alias("longest_work"))
+    ranked = spans.select(stage, item, (F.col(ended) - F.col(queued)).alias("__t")).withColumn("__k", F.row_number().over(Window.partitionBy(stage).orderBy(F.desc("__t"), item))).filter(F.col("__k") <= most)
+    top = ranked.groupBy(stage).agg(F.transform(F.array_sort(F.collect_list(F.struct("__k", F.col(item).alias("i")))), lambda x: x["i"]).alias("slowest"))
+    return sums.join(top, stage)
+
+
+def region_report(places: DataFrame, bucket: str, region: str, inside: Column, most: int = 5) -> DataFrame:
+    """Counts per bucket, and per region of the places inside a zone for the regions with most of them: part, name, n."""
+    buckets = places.groupBy(F.col(bucket).alias("name")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("bucket").alias("part"), "name", "n")
+    regions = places.filter(inside).groupBy(F.col(region).alias("name")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "name").limit(most)
+    return buckets.unionByName(regions.select(F.lit("region").alias("part"), "name", "n"))
+
+
+def first_present(results: DataFrame, key: str, order: str, fields: Sequence[str]) -> DataFrame:
+    """Per key each field from the first of its results, in order, that has it."""
+    kinds = dict(results.dtypes)
+    has = {c: present(F.col(c), kinds[c]) for c in fields}
+    return results.groupBy(key).agg(*[F.min_by(v, F.when(v.isNotNull(), F.col(order))).alias(c) for c, v in has.items()])
+
+
+def distinct_items(items: Column) -> Column:
+    """The items of an array once each, letter case and blanks aside, as they first stand."""
+    shown = F.filter(F.transform(items, T.one_space), lambda x: x != "")
+    low = F.transform(shown, F.lower)
+    return F.filter(shown, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
+
+
+def bullets(items: Column, most: int, more: str = "+ {} more") -> Column:
+    """The first items as lines with a bullet, and a line that counts the rest."""
+    own = distinct_items(items)
+    rest = F.size(own) - most
+    lines = F.transform(F.slice(own, 1, most), lambda x: F.concat(F.lit("• "), x))
+    left, right = more.split("{}")
+    return F.array_join(F.when(rest > 0, F.array_append(lines, F.concat(F.lit(left), rest.cast("string"), F.lit(right)))).otherwise(lines), "\n")
+
+
+def markdown_report(title: Column, sections: Sequence[tuple[str, Column]]) -> Column:
+    """A report of an entity: a title and a heading with its text for each section that has any."""
+    shown = F.array_compact(F.array(*[F.when(F.coalesce(F.trim(c), F.lit("")) != "", F.concat(F.lit(f"## {name}\n\n"), F.trim(c))) for name, c in sections]))
+    return F.array_join(F.concat(F.array(F.concat(F.lit("# "), title)), shown), "\n\n")

@@ -370,11 +370,89 @@ def activity_code_list(spark, d):
     return table(spark, d, "part").select("p_partkey", F.explode(records.activity_codes(text)).alias("c")).select("p_partkey", "c.code", "c.label")
 
 
+def contact_sources(spark, d):
+    """Mail addresses and sites of customers, and the suppliers of the same tenth that show them."""
+    k, s = F.col("c_custkey"), F.col("s_suppkey")
+    mail = lambda n, at: F.concat(F.lit("User"), n.cast("string"), F.lit(at))
+    wanted = table(spark, d, "customer").select((k % 10).alias("entity"), F.when(k % 2 == 0, "email").otherwise("website").alias("kind"), F.when(k % 2 == 0, mail(F.col("c_nationkey"), "@One.example.org")).otherwise(F.concat(F.lit("https://www.n"), F.col("c_nationkey").cast("string"), F.lit(".org/x"))).alias("value"), "c_custkey")
+    found = table(spark, d, "supplier").select((s % 10).alias("entity"), F.lit("email").alias("kind"), F.when(s % 2 == 0, mail(F.col("s_nationkey"), "@one.example.org")).otherwise(F.concat(F.lit("a@mail.n"), F.col("s_nationkey").cast("string"), F.lit(".org"))).alias("value"), F.concat(F.lit("s"), (s % 3).cast("string")).alias("source"))
+    return D.contact_sources(wanted, found, "entity", "kind", "value", "source").select("c_custkey", "n_sources", "first_source")
+
+
+CONTACT_SQL = """
+WITH w AS (SELECT c_custkey, c_custkey % 10 AS e, c_custkey % 2 = 0 AS mail, c_nationkey AS n FROM customer),
+f AS (SELECT s_suppkey % 10 AS e, s_suppkey % 2 = 0 AS mail, s_nationkey AS n, count(DISTINCT s_suppkey % 3) AS c, min('s' || (s_suppkey % 3)) AS first FROM supplier GROUP BY 1, 2, 3)
+SELECT c_custkey, coalesce(c, 0) AS n_sources, first AS first_source FROM w LEFT JOIN f USING (e, mail, n)
+"""
+
+
+def work_sync(spark, d):
+    k = F.col("o_orderkey")
+    orders = table(spark, d, "orders")
+    handoffs = orders.filter(k % 5 != 0).select("o_orderkey", F.col("o_orderstatus").alias("fp"))
+    units = orders.filter(k % 2 == 0).select("o_orderkey", F.when(k % 4 == 0, F.col("o_orderstatus")).otherwise("X").alias("fp"))
+    return D.work_sync(handoffs, units, orders.filter(k % 7 == 0).select("o_orderkey", F.lit("E").alias("fp")), "o_orderkey", "fp")
+
+
+SYNC_SQL = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'E' ELSE o_orderstatus END AS fp, CASE WHEN o_orderkey % 7 = 0 THEN 'explicit' WHEN o_orderkey % 2 = 1 THEN 'new' WHEN o_orderkey % 4 = 0 OR o_orderstatus = 'X' THEN 'kept' ELSE 'replaced' END AS action
+FROM orders WHERE o_orderkey % 5 <> 0 OR o_orderkey % 7 = 0
+"""
+
+
+def benchmark_records(spark, d):
+    k = F.col("doc_id")
+    docs = table(spark, d, "documents").select("doc_id", F.sha1(F.col("text").cast("binary")).alias("identity"), "n_chars")
+    return D.benchmark_records(docs, "identity", k % 3 == 0, F.col("n_chars") > 200, k % 4, "n_chars", "doc_id", 40)
+
+
+def ordered_evidence(spark, d):
+    rows = table(spark, d, "lineitem").select("l_suppkey", (F.col("l_quantity") % 7).cast("int").alias("weight"), F.col("l_returnflag").alias("grp"), F.col("l_orderkey").alias("source"), F.col("l_linenumber").alias("text"))
+    return D.ordered_evidence(rows, ["l_suppkey"], "weight", "grp", "source", "text", 4)
+
+
+def drain_rollup(spark, d):
+    at = F.floor(N.wall_seconds("ts"))
+    rows = table(spark, d, "events").select("event_type", "event_id", at.alias("q"), (at + F.floor(F.col("value"))).alias("s"), (at + F.floor(F.col("value") * 3)).alias("e"))
+    return D.drain_rollup(rows, "event_type", "q", "s", "e", "event_id").withColumn("slowest", F.array_join(F.col("slowest").cast("array<string>"), ","))
+
+
+DRAIN_SQL = """
+WITH s AS (SELECT event_type, event_id, floor(value)::BIGINT AS w, floor(value * 3)::BIGINT AS t FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY t DESC, event_id) AS k FROM s)
+SELECT event_type, count(*) AS n, sum(w)::BIGINT AS waited, max(w) AS longest_wait, sum(t - w)::BIGINT AS worked, max(t - w) AS longest_work, string_agg(event_id::VARCHAR, ',' ORDER BY k) FILTER (k <= 3) AS slowest FROM r GROUP BY 1
+"""
+
+
+def region_report(spark, d):
+    rows = table(spark, d, "customer").select(F.when(F.col("c_custkey") % 3 == 0, "core").otherwise("outside").alias("bucket"), F.col("c_nationkey").cast("string").alias("region"))
+    return D.region_report(rows, "bucket", "region", F.col("bucket") == "core", 5)
+
+
+def company_metadata(spark, d):
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.when(k % 3 == 0, F.col("o_orderpriority")).otherwise(" ").alias("name"), F.when(k % 4 == 0, F.array("o_orderstatus")).otherwise(F.array().cast("array<string>")).alias("codes"))
+    return D.first_present(rows, "o_custkey", "o_orderkey", ["name", "codes"]).withColumn("codes", F.array_join("codes", ","))
+
+
+def report_texts(spark, d):
+    k = F.col("p_partkey")
+    items = F.array("p_name", F.upper("p_name"), F.col("p_brand"), F.lit(" "), F.col("p_type"))
+    return table(spark, d, "part").select("p_partkey", D.markdown_report(F.col("p_name"), [("Items", D.bullets(items, 2)), ("Size", F.when(k % 2 == 0, F.col("p_size").cast("string")))]).alias("report"))
+
+
 QUERIES = {f.__name__: f for f in (
     breaker_ledger, city_lookup, review_queue, offline_notes, stage_payloads, deep_parse_pick, evidence_refs, procedure_rebind, record_summary, lead_evidence, history_events, reprocess_inputs, crawl_counts, crawl_merge, record_context,
-    payload_budget, work_identity, profile_cast, profile_assembly, record_codec, text_functions, address_functions, geo_gate, known_contacts, term_matches, legacy_fill, ready_queue, activity_code_list,
+    payload_budget, work_identity, profile_cast, profile_assembly, record_codec, text_functions, address_functions, geo_gate, known_contacts, term_matches, legacy_fill, ready_queue, activity_code_list, contact_sources, work_sync, benchmark_records, ordered_evidence, drain_rollup,
+    region_report, company_metadata, report_texts,
 )}
 ORACLES = {
+    "contact_sources": CONTACT_SQL, "work_sync": SYNC_SQL, "drain_rollup": DRAIN_SQL,
+    "benchmark_records": "WITH r AS (SELECT doc_id, sha1(text) AS identity, n_chars, (CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 1 END, CASE WHEN n_chars > 200 THEN 0 ELSE 1 END, doc_id % 4, -n_chars, doc_id) AS k FROM documents), o AS (SELECT identity, arg_min(doc_id, k) AS doc_id, arg_min(n_chars, k) AS n_chars, min(k) AS k FROM r GROUP BY 1) SELECT identity, doc_id, n_chars FROM o ORDER BY k LIMIT 40",
+    "ordered_evidence": "SELECT * FROM (SELECT l_suppkey, (l_quantity % 7)::INT AS weight, l_returnflag AS grp, l_orderkey AS source, l_linenumber AS text, row_number() OVER (PARTITION BY l_suppkey ORDER BY (l_quantity % 7)::INT DESC, l_returnflag, l_orderkey, l_linenumber) AS place FROM lineitem) WHERE place <= 4",
+    "region_report": "SELECT 'bucket' AS part, CASE WHEN c_custkey % 3 = 0 THEN 'core' ELSE 'outside' END AS name, count(*) AS n FROM customer GROUP BY 2 UNION ALL SELECT * FROM (SELECT 'region', c_nationkey::VARCHAR AS name, count(*) AS n FROM customer WHERE c_custkey % 3 = 0 GROUP BY 2 ORDER BY n DESC, name LIMIT 5)",
+    "company_metadata": "SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) FILTER (o_orderkey % 3 = 0) AS name, arg_min(o_orderstatus, o_orderkey) FILTER (o_orderkey % 4 = 0) AS codes FROM orders GROUP BY 1",
+    "report_texts": "SELECT p_partkey, '# ' || p_name || chr(10) || chr(10) || '## Items' || chr(10) || chr(10) || '• ' || p_name || chr(10) || '• ' || p_brand || chr(10) || '+ 1 more' || CASE WHEN p_partkey % 2 = 0 THEN chr(10) || chr(10) || '## Size' || chr(10) || chr(10) || p_size ELSE '' END AS report FROM part",
     "breaker_ledger": BREAKER_SQL, "city_lookup": CITY_SQL, "review_queue": REVIEW_SQL, "stage_payloads": PAYLOAD_SQL, "evidence_refs": REFS_SQL, "procedure_rebind": REBIND_SQL, "record_summary": SUMMARY_SQL, "lead_evidence": EVIDENCE_SQL,
     "history_events": HISTORY_SQL, "crawl_counts": _crawl_sql(), "crawl_merge": CRAWL_SQL, "record_context": _context_sql(), "payload_budget": PAYLOAD_BUDGET_SQL, "work_identity": IDENTITY_SQL, "profile_assembly": ASSEMBLY_SQL, "text_functions": TEXT_SQL, "address_functions": ADDRESS_SQL,
     "offline_notes": "SELECT c_custkey, 'mode=offline file=s.json' || CASE WHEN c_custkey % 2 = 0 THEN '' ELSE '|stale' END || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE '|' || c_mktsegment || '|x' END AS notes FROM customer",
