@@ -11,9 +11,10 @@ lengths within a factor of the threshold, so that only the same and adjacent bin
 share one of their rarest signatures, and the Jaccard is computed only where the ratio of lengths, which bounds it,
 reaches the threshold. ``compare_edits`` compares given pairs: each document with an edit of itself and with its neighbour.
 
-The neighbour by descending id comes from ranges of ids, cut at ids that exist, as many as a shuffle has partitions;
-each range is one window partition, which is sorted and read in order, and the first row of a range goes to the range before
-it as well, so that no window spans the table and each text is shuffled once.
+The neighbour by descending id comes from ranges of ids, cut at ids that exist: ranges of a thousand rows, of the root of the
+number of rows where that is more, so that their number grows as the root. Each range is one window partition, which is
+sorted and read in order, and the first row of a range goes to the range before it as well, so that no window spans the table
+and each text is shuffled once.
 
 Cases: a null text counts as empty. Equal texts have equal fingerprints, and two texts without any word too. Rows of
 equal id are ordered by the hash of their text; rows without an id follow the smallest id. A table of one row is its
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import STOP_WORDS, documents, materialize
 
 CHAIN, EVERY, THRESHOLD = 2, 4, 0.8
+RANGE_DOCS = 1000
 HOT = 512  # sets that hold a signature, beyond which it takes two signatures to make a candidate
 
 
@@ -86,7 +88,10 @@ def id_bounds(docs: DataFrame, id_col: str, n: int) -> list:
 
 def with_next(docs: DataFrame, id_col: str, columns: dict[str, str], tie: Column, n: int | None = None) -> DataFrame:
     """docs with columns[c], the value of c in the next row by descending id (after the last: the first); n: how many ranges."""
-    bounds = id_bounds(docs, id_col, n or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if n is None:
+        rows = docs.count()
+        n = max(1, round(rows / max(RANGE_DOCS, math.isqrt(rows))))
+    bounds = id_bounds(docs, id_col, n)
     step = max(1, math.isqrt(len(bounds)))
     key, kind = F.col(id_col), docs.schema[id_col].dataType.simpleString()
     if bounds:
