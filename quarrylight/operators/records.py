@@ -217,6 +217,49 @@ def deferred_ledger(events: DataFrame, entity: str, source: str, order: str, ok:
     return last.join(runs, source, "left").withColumn("failures_in_a_row", F.coalesce("failures_in_a_row", F.lit(0)))
 
 
+#: What the detail of a failure says where it passes by itself.
+TRANSIENT_MARKS = (
+    "connection reset", "connection aborted", "connectionerror", "connect timeout", "eof occurred", "failed to resolve", "getaddrinfo failed", "max retries exceeded", "nameresolutionerror", "name or service not known", "read timed out", "read timeout",
+)
+
+
+def deferred_cap(rows: Column) -> Column:
+    """How many rows in a row a source may defer: two in a hundred of the run's, two at least."""
+    return F.greatest(F.lit(2), F.ceil(rows * 0.02)).cast("int")
+
+
+def outcome_class(source: Column, access: Column, status: Column, detail: Column, in_a_row: Column, cap: Column, systemic: Sequence[str], transient: Sequence[str] = ("http_503",), approved: Mapping[str, Sequence[str]] | None = None, excused: Mapping[str, Sequence[str]] | None = None) -> Column:
+    """What a failed required source means: systemic_stop, non_defer_fail_fast or deferred_row_transient.
+
+    Systemic statuses, and a guest behind a proxy or session, stop the run, unless the source is excused by a mark in the detail of a direct block. Deferred
+    are request errors with a passing mark, transient statuses, and a source's approved statuses with such a mark; beyond the cap in a row they stop the run.
+    """
+    low = F.lower(F.coalesce(T.clean(detail), status))
+    marked = lambda marks: low.rlike("|".join(re.escape(m) for m in marks))
+    no = F.lit(False)
+    excuse, own = no, no
+    for name, marks in (excused or {}).items():
+        excuse = excuse | ((source == name) & (status == "blocked") & (access == "direct") & marked(marks))
+    for name, statuses in (approved or {}).items():
+        own = own | ((source == name) & status.isin(*statuses) & marked(TRANSIENT_MARKS))
+    stop = status.isin(*systemic) | (access.isin("proxy", "session") & (status == "guest"))
+    passing = F.when(status == "request_error", marked(TRANSIENT_MARKS)).otherwise(status.isin(*transient) | own)
+    return F.when(stop & ~excuse, "systemic_stop").when(~excuse & ~passing, "non_defer_fail_fast").when(in_a_row >= cap, "systemic_stop").otherwise("deferred_row_transient")
+
+
+def fails_fast(source: Column, status: Column, access: Column, required: Sequence[str], fine: Sequence[str], direct_fine: Sequence[str], blocked: Sequence[str]) -> Column:
+    """Whether a required source's status ends the run: no status, a guest of a session or proxy, an unset offline source, blocks, request errors and HTTP codes from 400."""
+    status = F.coalesce(T.clean(status), F.lit(""))
+    code = F.regexp_extract(status, r"^http_(\d+)$", 1).try_cast("int")
+    bad = status.isin(*blocked, "request_error", "invalid_url", "not_configured") | F.coalesce(code >= 400, F.lit(False)) | (access.isin("session", "proxy") & (status == "guest"))
+    return F.when(~F.coalesce(source.isin(*required), F.lit(False)), False).when(status == "", True).when(status.isin(*fine) | ((access == "direct") & status.isin(*direct_fine)), False).otherwise(F.coalesce(bad, F.lit(False)))
+
+
+def first_text(*values: Column) -> Column:
+    """The first text that isn't blank, one-spaced, of columns and arrays of texts in order; the empty text if there is none."""
+    return F.coalesce(*map(T.clean, values), F.lit(""))
+
+
 def baseline_samples(pages: DataFrame, site: str, order: str, hinted: Column, n: int = 3) -> DataFrame:
     """pages with is_sample: the first n without a hint, in order."""
     # each task drops what is beyond its own first n before the exchange

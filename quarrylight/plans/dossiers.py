@@ -441,13 +441,30 @@ def report_texts(spark, d):
     return table(spark, d, "part").select("p_partkey", D.markdown_report(F.col("p_name"), [("Items", D.bullets(items, 2)), ("Size", F.when(k % 2 == 0, F.col("p_size").cast("string")))]).alias("report"))
 
 
+def deferred_outcomes(spark, d):
+    k, v = F.col("event_id"), F.col("event_type")
+    source, access = F.when(k % 2 == 0, "a").otherwise("b"), F.when(k % 3 == 0, "direct").when(k % 3 == 1, "proxy").otherwise("session")
+    status = F.when(v == "error", "request_error").when(v == "view", "http_503").when(v == "click", "blocked").when(v == "signup", "guest").otherwise("http_403")
+    detail = F.when(k % 5 == 0, " Read  timed out ").when(k % 5 == 1, "no route")
+    found = records.outcome_class(source, access, status, detail, k % 7, records.deferred_cap(F.lit(150)), ["blocked", "captcha"], ("http_503",), {"a": ["http_403"]}, {"a": ["read timed"]})
+    fast = records.fails_fast(source, F.when(k % 11 != 0, status).otherwise(" "), access, ["a"], ["ok"], ["http_403"], ["blocked"])
+    return table(spark, d, "events").select("event_id", found.alias("outcome"), fast.alias("fails_fast"), records.first_text(detail, F.lit(" "), v).alias("shown"))
+
+
+OUTCOME_SQL = """
+WITH e AS (SELECT event_id AS k, event_type AS v, event_id % 2 = 0 AS a, ['direct', 'proxy', 'session'][(event_id % 3 + 1)::INT] AS access, CASE event_type WHEN 'error' THEN 'request_error' WHEN 'view' THEN 'http_503' WHEN 'click' THEN 'blocked' WHEN 'signup' THEN 'guest' ELSE 'http_403' END AS s, event_id % 5 = 0 AS timed FROM events),
+x AS (SELECT *, a AND s = 'blocked' AND access = 'direct' AND timed AS excused, (s = 'request_error' AND timed) OR s = 'http_503' OR (a AND s = 'http_403' AND timed) AS passing FROM e)
+SELECT k AS event_id, CASE WHEN (s = 'blocked' OR (access <> 'direct' AND s = 'guest')) AND NOT excused THEN 'systemic_stop' WHEN NOT excused AND NOT passing THEN 'non_defer_fail_fast' WHEN k % 7 >= 3 THEN 'systemic_stop' ELSE 'deferred_row_transient' END AS outcome,
+  CASE WHEN NOT a THEN false WHEN k % 11 = 0 THEN true WHEN access = 'direct' AND s = 'http_403' THEN false ELSE s <> 'guest' OR access <> 'direct' END AS fails_fast, CASE WHEN timed THEN 'Read timed out' WHEN k % 5 = 1 THEN 'no route' ELSE v END AS shown FROM x
+"""
+
 QUERIES = {f.__name__: f for f in (
     breaker_ledger, city_lookup, review_queue, offline_notes, stage_payloads, deep_parse_pick, evidence_refs, procedure_rebind, record_summary, lead_evidence, history_events, reprocess_inputs, crawl_counts, crawl_merge, record_context,
     payload_budget, work_identity, profile_cast, profile_assembly, record_codec, text_functions, address_functions, geo_gate, known_contacts, term_matches, legacy_fill, ready_queue, activity_code_list, contact_sources, work_sync, benchmark_records, ordered_evidence, drain_rollup,
-    region_report, company_metadata, report_texts,
+    region_report, company_metadata, report_texts, deferred_outcomes,
 )}
 ORACLES = {
-    "contact_sources": CONTACT_SQL, "work_sync": SYNC_SQL, "drain_rollup": DRAIN_SQL,
+    "contact_sources": CONTACT_SQL, "work_sync": SYNC_SQL, "drain_rollup": DRAIN_SQL, "deferred_outcomes": OUTCOME_SQL,
     "benchmark_records": "WITH r AS (SELECT doc_id, sha1(text) AS identity, n_chars, (CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 1 END, CASE WHEN n_chars > 200 THEN 0 ELSE 1 END, doc_id % 4, -n_chars, doc_id) AS k FROM documents), o AS (SELECT identity, arg_min(doc_id, k) AS doc_id, arg_min(n_chars, k) AS n_chars, min(k) AS k FROM r GROUP BY 1) SELECT identity, doc_id, n_chars FROM o ORDER BY k LIMIT 40",
     "ordered_evidence": "SELECT * FROM (SELECT l_suppkey, (l_quantity % 7)::INT AS weight, l_returnflag AS grp, l_orderkey AS source, l_linenumber AS text, row_number() OVER (PARTITION BY l_suppkey ORDER BY (l_quantity % 7)::INT DESC, l_returnflag, l_orderkey, l_linenumber) AS place FROM lineitem) WHERE place <= 4",
     "region_report": "SELECT 'bucket' AS part, CASE WHEN c_custkey % 3 = 0 THEN 'core' ELSE 'outside' END AS name, count(*) AS n FROM customer GROUP BY 2 UNION ALL SELECT * FROM (SELECT 'region', c_nationkey::VARCHAR AS name, count(*) AS n FROM customer WHERE c_custkey % 3 = 0 GROUP BY 2 ORDER BY n DESC, name LIMIT 5)",

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import addresses, numbers
 from ..functions import text as X
 
 #: Header names of the company sheet.
@@ -208,6 +209,26 @@ def run_state(spark: SparkSession, path: str, version: int, schemas: dict[int, s
     return whole
 
 
+SETTLEMENT = ("source_id", "region", "municipality", "settlement", "settlement_type", "full_name", "population", "latitude_dd", "longitude_dd")
+
+
+def settlements(spark: SparkSession, path: str, centre: tuple[float, float], outer: list[tuple[float, float]], inner: list[tuple[float, float]]) -> DataFrame:
+    """A CSV of settlements (header, UTF-8 with or without a mark) with look-up forms of its names, and zone, weight and distance to the centre (2 places).
+
+    Columns that the file lacks are null; a row without usable coordinates is an error, as it could be in no zone.
+    """
+    given = spark.read.option("header", "true").option("encoding", "UTF-8").csv(path)
+    given = given.toDF(*[c.lstrip("\ufeff").strip() for c in given.columns])
+    text = given.select(*[(X.clean(F.col(c)) if c in given.columns else F.lit(None).cast("string")).alias(c) for c in SETTLEMENT])
+    lat, lon = F.col("latitude_dd").try_cast("double"), F.col("longitude_dd").try_cast("double")
+    usable = lat.between(-90, 90) & lon.between(-180, 180)
+    placed = text.filter(F.when(usable, True).otherwise(F.raise_error(F.concat(F.lit("no coordinates: "), F.coalesce("source_id", "full_name", F.lit("?")))).cast("boolean"))).withColumns({"latitude_dd": lat, "longitude_dd": lon, "population": F.col("population").try_cast("bigint")})
+    zone = numbers.zone(F.col("latitude_dd"), F.col("longitude_dd"), outer, inner)
+    distance = numbers.haversine_km(F.col("latitude_dd"), F.col("longitude_dd"), F.lit(centre[0]), F.lit(centre[1]))
+    named = {f"{c}_normalized": addresses.lookup_text(F.col(c)) for c in ("region", "municipality", "settlement", "full_name")}
+    return placed.withColumns(named | {"geo_bucket": zone, "geo_weight": numbers.zone_weight(zone), "distance_km": F.round(distance, 2)})
+
+
 def replay_fixtures(spark: SparkSession, path: str) -> DataFrame:
     """Fixtures of one stage; more than one stage is an error."""
     found = spark.read.json(path)

@@ -209,3 +209,14 @@ def test_route_budget_by_brute_force(spark):
             want[site, full or "selected"] = want.get((site, full or "selected"), 0) + 1
     assert {(r.site, r.outcome): r.n for r in route_budget(spark, TESTDATA).collect()} == want
     assert rank_routes(scored, "site", "family", "host", "path", "route_score").count() == len(tied)
+
+
+def test_settlements(spark, tmp_path):
+    (tmp_path / "s.csv").write_bytes("\ufeffsource_id,region,settlement,latitude_dd,longitude_dd,population\n1,Край,г. Центр,55.0,37.0,10\n2,Край,Малое,55.2,37.0,x\n3,Край,Далекое,60,50,\n".encode())
+    square = lambda r: [(55 - r, 37 - r), (55 - r, 37 + r), (55 + r, 37 + r), (55 + r, 37 - r)]
+    found = {r.source_id: r for r in readers.settlements(spark, str(tmp_path / "s.csv"), (55.0, 37.0), square(0.5), square(0.1)).collect()}
+    assert [(found[k].geo_bucket, found[k].geo_weight, found[k].population) for k in "123"] == [("core", 5, 10), ("outer_band", 1, None), ("outside", 0, None)]
+    assert found["1"].settlement_normalized == "город центр" and found["1"].distance_km == 0 and abs(found["2"].distance_km - 22.24) < 0.02 and found["1"].municipality is None
+    (tmp_path / "s.csv").write_text("source_id,latitude_dd,longitude_dd\n1,x,37\n")
+    with pytest.raises(Exception, match="no coordinates"):
+        readers.settlements(spark, str(tmp_path / "s.csv"), (55.0, 37.0), square(0.5), square(0.1)).collect()
