@@ -2,11 +2,11 @@
 
 P(severity > k) = sigmoid(w . x - theta_k), k = 0, 1, 2: one weight vector is shared by the ordered thresholds theta.
 Features are words and word beginnings; the ones kept are those whose presence goes best with the label over the
-training sample (a bounded sample of labelled documents: at most ``per_class`` of each label). A row's value for one is
-log(1 + words with it).
-Labels say toxic or not. Where they have no grade of their own (``grade_col``), the grade of a toxic row is its third among the
-toxic rows of the sample by the share of its words that carry a feature: a share, so that a long text isn't
-graded up for its length.
+training sample (a bounded sample of labelled documents: at most ``per_class`` of each label). A word that carries any is a
+mark. A text is judged by its densest passage, the ``PASSAGE`` words in a row with most marks, of equal ones the first: its value for a
+feature is log(1 + words of the passage with it), and one more feature is log(1 + marks of the passage).
+Labels say toxic or not. Where they have no grade of their own (``grade_col``), the grade of a toxic row is read off that rate of marks
+per ``PASSAGE`` words (up to 2: grade 1, up to 5: 2, more: 3): a rate, so that a long text isn't graded up for its length.
 
 Cases: a null or empty text, or one without letters, has no features: its severity is what the thresholds alone give.
 Labels without an id, a label or a document are left out, with ``grade_col`` also those without a grade; a grade outside 0 to 3 raises an
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from .common import Remembered, documents, fold
 from .features import LETTERS, sampled_texts, word_features
 
-PER_CLASS, N_FEATURES, GRADES, STRONG = {0: 6000, 1: 3000}, 2000, 3, 2.5
+PER_CLASS, N_FEATURES, GRADES, STRONG, PASSAGE = {0: 6000, 1: 3000}, 2000, 3, 2.5, 50
 KIND = T.StructType([T.StructField("grade", T.IntegerType()), T.StructField("expected_severity", T.DoubleType()), T.StructField("p_toxic", T.DoubleType())])
 
 
@@ -49,7 +49,7 @@ def select_features(sample: DataFrame, text_col: str, label_col: str, n: int) ->
 
 
 class Scorer:
-    """The feature values of a text, and the share of its words that carry any feature."""
+    """The feature values of a text's densest passage, and its marks."""
 
     def __init__(self, features: list[tuple[str, float]]):
         at = {f: i for i, (f, _) in enumerate(features)}
@@ -57,18 +57,24 @@ class Scorer:
         def of(word: str) -> tuple:
             return tuple(at[f] for f in word_features(word) if f in at)
 
-        self.words = Remembered(of, 150_000, 64)
+        self.words, self.n = Remembered(of, 150_000, 64), len(features)
 
-    def values(self, text: str | None) -> tuple[dict[int, float], float]:
+    def values(self, text: str | None) -> tuple[dict[int, float], int]:
         self.words.trim()
-        found, marked = {}, 0
-        words = LETTERS.findall((text or "").lower())
-        for ids in map(self.words.__getitem__, words):
-            if ids:
-                marked += 1
-                for i in ids:
-                    found[i] = found.get(i, 0) + 1
-        return {i: math.log1p(c) for i, c in found.items()}, marked / max(1, len(words))
+        marks = [(at, ids) for at, ids in enumerate(map(self.words.__getitem__, LETTERS.findall((text or "").lower()))) if ids]
+        if not marks:
+            return {}, 0
+        first = start = most = 0
+        for end, (at, _) in enumerate(marks):
+            while at - marks[start][0] >= PASSAGE:
+                start += 1
+            if end - start + 1 > most:
+                first, most = start, end - start + 1
+        found: dict[int, int] = {}
+        for _, ids in marks[first : first + most]:
+            for i in ids:
+                found[i] = found.get(i, 0) + 1
+        return {i: math.log1p(c) for i, c in found.items()} | {self.n: math.log1p(most)}, most
 
 
 def ordinal_loss(x: np.ndarray, n_features: int, at: np.ndarray, idx: np.ndarray, val: np.ndarray, grades: np.ndarray, each: np.ndarray, l2: float) -> tuple[float, np.ndarray]:
@@ -90,17 +96,14 @@ def ordinal_loss(x: np.ndarray, n_features: int, at: np.ndarray, idx: np.ndarray
     return float(-(each * np.log(like)).sum() + l2 * (w @ w) / 2), grad
 
 
-def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, n_features: int, steps: int = 400, rate: float = 0.1, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, n_features: int, steps: int = 400, rate: float = 0.1, l2: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) by gradient descent with Adam on the cumulative-link likelihood."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     idx = np.array([i for r in rows for i in r], int)
     val = np.array([v for r in rows for v in r.values()], float)
     x = np.concatenate([np.zeros(n_features), [1.0], np.zeros(GRADES - 1)])
     m, v = np.zeros_like(x), np.zeros_like(x)
-    # each grade's rows weigh as much as its share's root, so that rare grades count
-    counts = np.bincount(grades, minlength=GRADES + 1).astype(float)
-    each = (1 / np.sqrt(np.maximum(counts, 1)))[grades]
-    each /= each.sum()
+    each = np.full(len(rows), 1 / max(1, len(rows)))
     for t in range(1, steps + 1):
         grad = ordinal_loss(x, n_features, at, idx, val, grades, each, l2)[1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
@@ -108,12 +111,9 @@ def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, n_features: in
     return x[:n_features], x[n_features] + np.concatenate([[0], np.cumsum(np.exp(x[n_features + 1 :]))])
 
 
-def grades_of_shares(toxic: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """0 for clean rows; 1 to GRADES for toxic ones, by which part of their shares of marked words, of equal count, a row's is in."""
-    if not toxic.any():
-        return np.zeros(len(toxic), int)
-    cuts = np.quantile(share[toxic], np.arange(1, GRADES) / GRADES, method="lower")
-    return np.where(toxic, 1 + (share[:, None] > cuts[None, :]).sum(axis=1), 0)
+def grades_of_marks(toxic: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """0 for clean rows; for toxic ones 1, 2 or 3 by the marks of their densest passage: up to 2, up to 5, more."""
+    return np.where(toxic, 1 + (marks > 2) + (marks > 5), 0)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", grade_col: str | None = None, per_class: dict = PER_CLASS) -> dict:
@@ -140,14 +140,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         for pdf in batches:
             values = [scorer.values(t) for t in pdf[text_col]]
             yield pd.DataFrame({
-                "toxic": pdf[label_col], "grade": pdf["__grade"], "share": [s for _, s in values],
+                "toxic": pdf[label_col], "grade": pdf["__grade"], "marks": [m for _, m in values],
                 "i": [sorted(v) for v, _ in values], "v": [[v[i] for i in sorted(v)] for v, _ in values],
             })
 
     # sorted: a sum in another order would give other weights
-    rows = sorted(map(tuple, graded.select(text_col, label_col, "__grade").mapInPandas(describe, "toxic int, grade int, share double, i array<int>, v array<double>").collect()))
-    toxic, grade, share = np.array([r[0] == 1 for r in rows]), np.array([r[1] for r in rows], int), np.array([r[2] for r in rows])
-    w, theta = fit_ordinal([dict(zip(i, v, strict=True)) for *_, i, v in rows], grade if grade_col else grades_of_shares(toxic, share), len(features))
+    rows = sorted(map(tuple, graded.select(text_col, label_col, "__grade").mapInPandas(describe, "toxic int, grade int, marks int, i array<int>, v array<double>").collect()))
+    toxic, grade, marks = np.array([r[0] == 1 for r in rows]), np.array([r[1] for r in rows], int), np.array([r[2] for r in rows])
+    w, theta = fit_ordinal([dict(zip(i, v, strict=True)) for *_, i, v in rows], grade if grade_col else grades_of_marks(toxic, marks), len(features) + 1)
     return {"features": features, "weights": w.tolist(), "thresholds": theta.tolist()}
 
 

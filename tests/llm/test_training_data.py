@@ -347,14 +347,21 @@ def test_ordinal_loss_by_brute_force():
         assert np.allclose([(loss(x + e) - loss(x - e)) / 2e-6 for e in np.eye(8) * 1e-6], gradient, atol=1e-6)
 
 
-def test_grades_follow_density_not_length():
-    from quarrylight.llm.toxicity import Scorer, grades_of_shares
-
-    scorer = Scorer([("bad", 3.0), ("bad*", 3.0)])
-    short, long = scorer.values("bad word here now"), scorer.values("bad word here now " * 50)
-    assert short[1] == long[1] == 0.25 and short[0][0] < long[0][0]
-    assert grades_of_shares(np.array([True, True, True, False]), np.array([0.1, 0.2, 0.3, 0.9])).tolist() == [1, 2, 3, 0]
-    assert grades_of_shares(np.array([False]), np.array([0.0])).tolist() == [0]
+def test_severity_is_that_of_the_densest_passage():
+    from quarrylight.llm.toxicity import PASSAGE, Scorer, grades_of_marks
+
+    scorer = Scorer([("bad", 3.0), ("bad*", 3.0), ("worse", 3.0)])
+    plain = "plain word here " * 40
+    for text in ("bad bad worse", plain + "bad bad worse", (plain + "bad bad worse ") * 5, "bad " + plain + "bad bad worse " + plain):
+        values, marks = scorer.values(text)
+        assert marks == 3 and values == {0: np.log1p(2), 1: np.log1p(2), 2: np.log1p(1), 3: np.log1p(3)}
+    rng = random.Random(8)
+    for _ in range(100):  # against every passage
+        words = [rng.choice(["bad", "x", "y", "worse", "z", "q", "v"]) if rng.random() < 0.2 else "n" for _ in range(rng.randint(0, 200))]
+        marked = [w in ("bad", "worse") for w in words]
+        assert scorer.values(" ".join(words))[1] == max((sum(marked[i : i + PASSAGE]) for i in range(len(words))), default=0)
+    assert scorer.values(None) == ({}, 0)
+    assert grades_of_marks(np.array([True, True, True, False]), np.array([1, 4, 9, 9])).tolist() == [1, 2, 3, 0]
 
 
 def test_given_grades(odd, spark):
@@ -376,6 +383,9 @@ def test_toxicity_held_out(spark):
     rows = op9_toxicity(spark, d).join(spark.read.parquet(f"{d}/labels.parquet").withColumnRenamed("toxic", "y"), "doc_id").filter("held_out").collect()
     assert np.mean([r.toxic == bool(r.y) for r in rows]) > 0.9
     assert all(0 <= r.expected_severity <= 3 for r in rows)
+    # labels are flipped now and then; of what has marked words at all, nearly everything is caught
+    every = op9_toxicity(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").withColumnRenamed("toxic", "y"), "doc_id").filter("held_out").collect()
+    assert np.mean([r.toxic for r in every if r.y]) > 0.9 and np.mean([r.toxic for r in every if not r.y]) < 0.02
 
 
 def test_toxicity_on_odd_rows(odd, empty, spark):
