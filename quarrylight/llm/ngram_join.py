@@ -39,8 +39,8 @@ from .graph import connected_components
 
 WORD = re.compile(r"[^\W_]+")
 N_WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
-BLOCK_NODES, BLOCK_SHINGLES, BUCKET = 512, 1_000_000, 1024
-WORDS_KEPT = 200_000  # word hashes that a task remembers; beyond that it starts anew
+BLOCK_NODES, BLOCK_SHINGLES, BUCKET = 512, 500_000, 1024
+WORDS_KEPT = 100_000  # word hashes that a task remembers; beyond that it starts anew
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = 128) -> tuple[int, int]:
@@ -245,7 +245,7 @@ def intersections(sets: list[np.ndarray]):
     owner = np.repeat(np.arange(n), [len(s) for s in sets])
     owner, code = owner[code >= 0], code[code >= 0]
     order = np.argsort(code, kind="stable")
-    owner, code, step = owner[order], code[order], 1 << 15
+    owner, code, step = owner[order], code[order], 1 << 13
     total = np.zeros((n, n), np.int32)
     for lo in range(0, int(code[-1]) + 1 if len(code) else 0, step):
         x, y = np.searchsorted(code, [lo, lo + step])
