@@ -56,7 +56,7 @@ class Codec:
         self.names, self.size = [p for p, *_ in vocabulary], [len(p) for p, *_ in vocabulary]
         self.found = ahocorasick.Automaton()
         for p, i in self.ids.items():
-            self.found.add_word(p, i)
+            self.found.add_word(p, (i, len(p) - 1))
         self.found.make_automaton()
         # the longest piece that a piece begins with, apart from itself; -1: none
         self.shorter = [-1] * len(vocabulary)
@@ -113,8 +113,8 @@ class Codec:
         """The ids of a part whose characters are all in the vocabulary, by backtracking."""
         end_of, lengths, n = len(part), self.size, len(self.names)
         longest, failed = [-1] * end_of, bytearray(end_of + 1)
-        for end, i in self.found.iter(part):
-            longest[end - lengths[i] + 1] = i
+        for end, (i, before) in self.found.iter(part):
+            longest[end - before] = i
         compatible, shorter = self.compatible, self.shorter
         pieces: list[int] = []
         pos, last, piece = 0, -1, longest[0]
