@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import language_id, line_dedup, mixing, ngram_join, pieces, quality_classifier, quality_rules, spotsigs, token_counts, toxicity
+from . import byte_bpe, language_id, line_dedup, manifest, mixing, ngram_join, periodic_runs, pieces, quality_classifier, quality_rules, spotsigs, token_counts, toxicity
 
-MODULES = (quality_rules, pieces, token_counts, quality_classifier, mixing, spotsigs, line_dedup, language_id, toxicity, ngram_join)
+MODULES = (quality_rules, pieces, token_counts, quality_classifier, mixing, spotsigs, line_dedup, language_id, toxicity, ngram_join, periodic_runs, byte_bpe, manifest)
 
 
 def queries():
