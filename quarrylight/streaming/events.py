@@ -127,6 +127,20 @@ def emit_once(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     return events.dropDuplicates(list(keys))
 
 
+def emit_once_within(events: DataFrame, keys: Sequence[str], at: str, late: str) -> DataFrame:
+    """The first event of each key, where its repeats come at most late after it in event time.
+
+    The state of a key goes when the watermark (late behind the greatest time seen) has passed its first event by late. A repeat after that is emitted
+    anew; one that is behind the watermark is left out and counted by ``late_rows``.
+    """
+    return events.withWatermark(at, late).dropDuplicatesWithinWatermark(list(keys))
+
+
+def late_rows(progress: Sequence[dict]) -> list[tuple[int, int, int]]:
+    """Of each batch its id, the rows in state after it, and the rows that came behind the watermark."""
+    return [(p["batchId"], sum(o["numRowsTotal"] for o in p["stateOperators"]), sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"])) for p in progress]
+
+
 def windowed_counts(events: DataFrame, at: str, by: Sequence[str], window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts in tumbling windows; events later than the watermark are left out."""
     return events.withWatermark(at, late).groupBy(F.window(at, window), *by).agg(F.count(F.lit(1)).alias("n"))
