@@ -8,7 +8,7 @@ whose neighbours are all compatible is the one that merging gives. A place is ma
 and compatibility is remembered by pair. A match that is a token itself is that token.
 
 The rank file is read once on the driver and broadcast: its size is the vocabulary's, whatever the corpus. A Python
-worker remembers a bounded number of words, matches and pairs; those over ``LONGEST`` characters are encoded anew. Nothing is shuffled.
+worker remembers a bounded number of matches and pairs; those over ``LONGEST`` characters are encoded anew. Nothing is shuffled.
 
 Cases: a null or empty text has no ids and decodes to no bytes. Strings of special tokens are ordinary text. Very long matches take memory
 in proportion to their length. Repeated rows give equal results, and an empty table an empty one. Other columns pass through. A
@@ -33,17 +33,35 @@ from .common import Remembered, documents
 from .pieces import _id_lists, _mapped
 from .token_counts import read_ranks
 
-WORDS_KEPT, MATCHES_KEPT, PAIRS_KEPT, LONGEST = 300_000, 300_000, 300_000, 64  # what a Python worker remembers at most, and how long a word or match it remembers: about 150 MB
-#: The white space of Unicode, as the pattern language has it.
-BLANK = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Words with the blank before them, and what else is blank: no match of a pattern whose matches have a blank in front only reaches over their ends.
-WORDS = f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
+MATCHES_KEPT, PAIRS_KEPT, LONGEST = 600_000, 400_000, 64  # what a Python worker remembers at most, and how long a match it remembers: about 150 MB
 SHORT = 48  # bytes up to which a plain search for the least rank beats a heap
 NONE = 1 << 62
 
 
+def class_of(name: str) -> str:
+    """The characters of the basic plane that a class of the pattern language holds, as ranges."""
+    plane = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000)
+    return "".join(f"{re.escape(r[0])}-{re.escape(r[-1])}" for r in regex.findall(f"{name}+", plane))
+
+
+def plain_pattern(pattern: str) -> str:
+    """The pattern for the standard library, which is faster but has no classes of characters by property: they are spelled out."""
+    out, inside = [], False
+    for token in re.findall(r"\\p\{\w+\}|\\.|.", pattern, re.S):
+        inside = token == "[" or (inside and token != "]")
+        if token.startswith("\\p") or token == "\\s":
+            out.append(class_of(token) if inside else f"[{class_of(token)}]")
+        elif token == "\\S" and not inside:
+            out.append(f"[^{class_of(r'\s')}]")
+        elif re.fullmatch(r"\\[a-zA-Z]", token):
+            raise ValueError(f"{token} has no spelled-out form")
+        else:
+            out.append(token)
+    return "".join(out)
+
+
 class ByteCodec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, words: str | None = None):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, plain: str | None = None):
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("the vocabulary lacks a byte")
         self.ranks = {token.decode("latin-1"): i for token, i in ranks.items()}
@@ -61,11 +79,9 @@ class ByteCodec:
         self.compatible = Remembered(self.remerges, PAIRS_KEPT)
         self.stands = Remembered(lambda i: self.merged(self.names[i]) == [i], len(ranks))
         self.matches = Remembered(lambda match: array("i", self.encode_match(match)).tobytes(), MATCHES_KEPT, LONGEST)
-        if words is None:
-            self.cut, self.words = self.pieces, self.matches
-        else:
-            self.cut = re.compile(words).findall
-            self.words = Remembered(lambda word: b"".join(map(self.matches.__getitem__, self.pieces(word))), WORDS_KEPT, LONGEST)
+        # texts of the basic plane only are cut by the spelled-out pattern
+        self.plain = self.pieces if plain is None else re.compile(plain).findall
+        self.beyond = re.compile("[\U00010000-\U0010ffff]").search
 
     def merged(self, match: str) -> list[int]:
         """The tokens by merging itself: least rank first, the leftmost of equals. Serves pairs, and matches that backtracking can't divide."""
@@ -142,9 +158,10 @@ class ByteCodec:
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        for memory in (self.words, self.matches, self.compatible):
-            memory.trim()
-        return np.frombuffer(b"".join(map(self.words.__getitem__, self.cut(text))), np.int32)
+        self.matches.trim()
+        self.compatible.trim()
+        cut = self.pieces if self.beyond(text) else self.plain
+        return np.frombuffer(b"".join(map(self.matches.__getitem__, cut(text))), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -154,28 +171,31 @@ _codecs: dict[str, ByteCodec] = {}
 
 
 def _codec(shared) -> ByteCodec:
-    ranks, pattern, words, key = shared.value
+    ranks, pattern, plain, key = shared.value
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = ByteCodec(ranks, pattern, words)
+        _codecs[key] = ByteCodec(ranks, pattern, plain)
     return _codecs[key]
 
 
-def _shared(df: DataFrame, ranks_file: str, pattern: str, words: str | None):
+def _shared(df: DataFrame, ranks_file: str, pattern: str):
     ranks = read_ranks(ranks_file)
-    key = hashlib.sha256(repr((sorted(ranks.items()), pattern, words)).encode()).hexdigest()
-    return df.sparkSession.sparkContext.broadcast((ranks, pattern, words, key))
+    try:
+        plain = plain_pattern(pattern)
+    except ValueError:
+        plain = None
+    key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
+    return df.sparkSession.sparkContext.broadcast((ranks, pattern, plain, key))
 
 
-def encode_bytes(df: DataFrame, ranks_file: str, pattern: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None, keep_text: bool = True, words: str | None = None) -> DataFrame:
+def encode_bytes(df: DataFrame, ranks_file: str, pattern: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None, keep_text: bool = True) -> DataFrame:
     """df with ids_col array<int>, the ids that merging by rank gives for each match of the pattern in text_col.
 
-    words, where given, is a faster pattern that cuts every text at places which no match reaches over; words are remembered as matches are.
     With decoded_col also the bytes that the ids decode to, from the same pass; without keep_text the text itself
     doesn't come back from the Python workers.
     """
     made = {ids_col: "array<int>"} | ({decoded_col: "binary"} if decoded_col else {})
-    shared, at = _shared(df, ranks_file, pattern, words), [c for c in df.columns if c not in made].index(text_col)
+    shared, at = _shared(df, ranks_file, pattern), [c for c in df.columns if c not in made].index(text_col)
 
     def fill(batch):
         codec = _codec(shared)
@@ -188,7 +208,7 @@ def encode_bytes(df: DataFrame, ranks_file: str, pattern: str, text_col: str = "
 def decode_bytes(df: DataFrame, ranks_file: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded", text_col: str | None = None) -> DataFrame:
     """df with bytes_col, the bytes of ids_col (null ids: none), and with text_col also the text they form."""
     made = {bytes_col: "binary"} | ({text_col: "string"} if text_col else {})
-    shared, at = _shared(df, ranks_file, pattern, None), [c for c in df.columns if c not in made].index(ids_col)
+    shared, at = _shared(df, ranks_file, pattern), [c for c in df.columns if c not in made].index(ids_col)
 
     def fill(batch):
         codec = _codec(shared)
@@ -200,9 +220,9 @@ def decode_bytes(df: DataFrame, ranks_file: str, pattern: str, ids_col: str = "i
     return _mapped(df, made, fill)
 
 
-def token_digests(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text", words: str | None = None) -> DataFrame:
+def token_digests(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text") -> DataFrame:
     """docs with n_tokens, ids_sha256 and decoded_sha256 in place of the text."""
-    coded = encode_bytes(docs, ranks_file, pattern, text_col, "ids", "decoded", False, words)
+    coded = encode_bytes(docs, ranks_file, pattern, text_col, "ids", "decoded", keep_text=False)
     ids = F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256)
     return coded.withColumns({"n_tokens": F.size("ids").cast("long"), "ids_sha256": ids, "decoded_sha256": F.sha2("decoded", 256)}).drop("ids", "decoded")
 
@@ -210,7 +230,7 @@ def token_digests(docs: DataFrame, ranks_file: str, pattern: str, text_col: str
 def op12_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
-    return token_digests(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, words=WORDS)
+    return token_digests(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 QUERIES = {"op12_byte_bpe": op12_byte_bpe}
