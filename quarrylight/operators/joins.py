@@ -96,3 +96,38 @@ def overlap(left: DataFrame, right: DataFrame, key: str, left_values: Sequence[s
 def term_match(text: Column, tokens: Column, phrase: Column, keys: Column) -> Column:
     """Whether a term is in a text: its phrase as it stands, or every one of its stem keys among the tokens."""
     return text.contains(phrase) | F.forall(keys, lambda k: F.array_contains(tokens, k))
+
+
+def id_mentions(pages: DataFrame, page: str, texts: Sequence[str], ids: DataFrame, id_col: str, most_lengths: int = 32) -> DataFrame:
+    """page and id of every id (text of digits) that stands in one of a page's texts, also inside a longer run of digits.
+
+    Runs of digits are cut into windows of the lengths that ids have, and these are joined with the ids by equality: the work grows with the digits of the pages, not with
+    pages times ids. Ids that aren't all digits are nowhere; repeated ids and mentions count once. More lengths than most_lengths are an error.
+    """
+    known = ids.select(F.trim(id_col).alias(id_col)).filter(F.col(id_col).rlike("^[0-9]+$")).distinct()
+    lengths = [r["n"] for r in known.select(F.char_length(id_col).alias("n")).distinct().limit(most_lengths + 1).collect()]
+    if len(lengths) > most_lengths:
+        raise ValueError(f"ids of more than {most_lengths} lengths")
+    if not lengths:
+        return pages.select(page, F.lit(None).cast("string").alias(id_col)).limit(0)
+    text = F.concat_ws(" ", *[F.col(c) for c in texts])
+    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(f"([0-9]{{{min(lengths)},}})"), F.lit(1)))
+    windows = F.flatten(F.array(*[F.flatten(F.transform(F.filter(runs, _as_long_as(n)), _windows(n))) for n in sorted(lengths)]))
+    found = pages.select(page, F.explode(F.array_distinct(windows)).alias(id_col))
+    return found.join(known, id_col).select(page, id_col).distinct()
+
+
+def _as_long_as(n: int):
+    return lambda run: F.char_length(run) >= n
+
+
+def _windows(n: int):
+    return lambda run: F.transform(F.sequence(F.lit(1), F.char_length(run) - n + 1), lambda i: F.substring(run, i, F.lit(n)))
+
+
+def with_page_match(rows: DataFrame, mentions: DataFrame, page: str, id_col: str, out: str = "matches") -> DataFrame:
+    """rows of (page, id) with out: whether the page mentions the id; a row without an id matches any page."""
+    own = F.trim(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    known = mentions.select(F.col(page).alias("__p"), F.col(id_col).alias("__i"), F.lit(True).alias("__m"))
+    joined = rows.join(known, (F.col(page) == F.col("__p")) & (own == F.col("__i")), "left")
+    return joined.withColumn(out, F.coalesce("__m", own == "")).drop("__p", "__i", "__m")

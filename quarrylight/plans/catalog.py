@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import contacts, dossiers, feeds, profiles, records, runs, streams
+from . import contacts, dossiers, feeds, insights, listings, profiles, records, runs, streams
 
-MODULES = (contacts, dossiers, profiles, records, runs, streams, feeds)
+MODULES = (contacts, dossiers, profiles, records, runs, streams, feeds, listings, insights)
 FLAGSHIP = "url_registered_domain"
 
 
