@@ -88,8 +88,10 @@ def ranges(start: Mapping[str, int], end: Mapping[str, int]) -> list[FileRange]:
     return found
 
 
-def read_range(path: str, part: FileRange) -> Iterator[pa.RecordBatch]:
-    """The lines that begin in the range, with the byte each begins at."""
+def read_range(path: str, part: FileRange | None) -> Iterator[pa.RecordBatch]:
+    """The lines that begin in the range (none: nothing is unread), with the byte each begins at."""
+    if part is None:
+        return
     offsets, lines = [], []
     with io.BufferedReader(located(path)[0].open_input_file(part.file), CHUNK) as f:
         f.seek(part.begin if part.whole else part.begin - 1)
