@@ -233,7 +233,7 @@ def contact_links(nodes: Column, url: Column, text: Column, hints: tuple[str, ..
 def site_contacts(text: Column, nodes: Column, country: tuple[str, str] = ("7", "8")) -> Column:
     """Contacts of a site's page: phones (of a country, by its code and trunk prefix) and e-mails of its text, then of its tel: and mailto: links; the text of its footer, where addresses stand."""
     linked = lambda kind: F.transform(F.filter(nodes, lambda x: is_link(x, f"{kind}:")), lambda x: F.trim(F.regexp_replace(attr(x, "href"), rf"(?i)^{kind}:|\?.*$", "")))
-    runs = F.regexp_extract_all(text, F.lit(r"(\+?\d[\d ()-]{8,14}\d)"), F.lit(1))
+    runs = F.regexp_extract_all(text, F.lit(r"(\+?\d[\d ()-]{8,18}\d)"), F.lit(1))
     phones = F.transform(F.concat(runs, linked("tel")), lambda p: T.phone(p, *country))
     footer = F.get(F.transform(F.filter(nodes, lambda x: x["tag"] == "footer"), lambda x: text_of(text, x)), 0)
     return F.struct(F.array_distinct(F.array_compact(phones)).alias("phones"), F.array_distinct(F.concat(T.emails(text), F.transform(linked("mailto"), F.lower))).alias("emails"), footer.alias("footer"))
