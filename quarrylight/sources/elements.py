@@ -221,7 +221,8 @@ def contact_links(nodes: Column, url: Column, text: Column, hints: tuple[str, ..
     def absolute(x: Column) -> Column:
         href = F.trim(attr(x, "href"))
         scheme = F.regexp_extract(F.coalesce(url, F.lit("")), r"^([a-zA-Z]+:)", 1)
-        folder = F.regexp_replace(F.regexp_replace(F.coalesce(url, F.lit("")), "[?#].*$", ""), r"(?<=[^/:])(/[^/]*)?$", "/")
+        bare = F.regexp_replace(F.coalesce(url, F.lit("")), "[?#].*$", "")
+        folder = F.when(bare == origin, F.concat(origin, F.lit("/"))).otherwise(F.regexp_replace(bare, "[^/]+$", ""))
         return F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href).when(F.startswith(href, F.lit("//")), F.concat(scheme, href)).when(F.startswith(href, F.lit("/")), F.concat(origin, href)).otherwise(F.concat(folder, href))
 
     domain = lambda u: T.registered_domain(T.host(u))
