@@ -228,7 +228,7 @@ def contact_links(nodes: Column, url: Column, text: Column, hints: tuple[str, ..
     domain = lambda u: T.registered_domain(T.host(u))
     said = lambda x: F.exists(F.array(*map(F.lit, hints)), lambda h: F.contains(F.lower(x["href"]), h) | F.contains(F.lower(x["text"]), h))
     whole = F.transform(links, lambda x: F.struct(F.regexp_replace(absolute(x), "#.*$", "").alias("href"), text_of(text, x).alias("text")))
-    return F.array_distinct(F.transform(F.filter(whole, lambda x: (domain(x["href"]) == domain(url)) & said(x)), lambda x: x["href"]))
+    return F.array_distinct(F.transform(F.filter(whole, lambda x: (domain(x["href"]) == domain(url)) & (domain(url) != "") & said(x)), lambda x: x["href"]))
 
 
 def site_contacts(text: Column, nodes: Column, country: tuple[str, str] = ("7", "8")) -> Column:
