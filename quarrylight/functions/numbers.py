@@ -46,7 +46,7 @@ def refresh_due(checked: Column, site_class: Column, worth: Column) -> Column:
 
 def elapsed_seconds(start: Column, end: Column) -> Column:
     """Seconds between two timestamps, never negative; null if either is missing."""
-    return F.greatest(F.lit(0.0), end.cast("double") - start.cast("double"))
+    return F.when(start.isNotNull() & end.isNotNull(), F.greatest(F.lit(0.0), end.cast("double") - start.cast("double")))
 
 
 def usage_cost(inputs: Column, cached: Column, outputs: Column, prices: tuple[str, str, str]) -> Column:

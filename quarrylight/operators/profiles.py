@@ -116,14 +116,25 @@ def explanation(groups: Mapping[str, Column], top: int = 3) -> Column:
 
 
 def load_asset(spark: SparkSession, path: str, versions: Mapping[int, str], key: str) -> DataFrame:
-    """A versioned asset of {version, records}: an unknown version, or a record without a key, is an error; old versions lack columns."""
-    version = spark.read.option("multiLine", "true").schema("version int").json(path).first()["version"]
-    if version not in versions:
-        raise ValueError(f"unknown version {version}")
-    found = spark.read.option("multiLine", "true").schema(f"records array<struct<{versions[version]}>>").json(path).select(F.explode("records").alias("r")).select("r.*")
-    newest = spark.createDataFrame([], versions[max(versions)].replace(":", " "))
-    whole = newest.unionByName(found, allowMissingColumns=True)
-    return whole.filter(F.when(F.col(key).isNotNull(), True).otherwise(F.raise_error(F.lit(f"a record lacks {key}")).cast("boolean")))
+    """A versioned asset, one or more files of {version, records}: an unknown version, or a record without a key, is an error; old versions lack columns."""
+    found = spark.read.option("multiLine", "true").schema("version int").json(path).select("version").distinct().limit(len(versions) + 1).collect()
+    if not found or any(r["version"] not in versions for r in found):
+        raise ValueError(f"unknown version {[r['version'] for r in found]}")
+    widest = versions[max(versions)]
+    parts = spark.read.option("multiLine", "true").schema(f"records array<struct<{widest}>>").json(path).select(F.explode("records").alias("r")).select("r.*")
+    return parts.filter(F.when(F.col(key).isNotNull(), True).otherwise(F.raise_error(F.lit(f"a record lacks {key}")).cast("boolean")))
+
+
+def write_asset(records: DataFrame, path: str, version: int, key: str, per_file: int = 1000) -> None:
+    """Writes an asset as files of {version, records} of about per_file records each, dealt by the hash of the key; a record without a key is an error.
+
+    Files of a rewrite stand beside nothing of the old one: the folder is replaced.
+    """
+    n = max(1, -(-records.count() // per_file))
+    whole = records.filter(F.when(F.col(key).isNotNull(), True).otherwise(F.raise_error(F.lit(f"a record lacks {key}")).cast("boolean")))
+    parts = whole.groupBy(F.pmod(F.xxhash64(key), F.lit(n)).alias("part")).agg(F.array_sort(F.collect_list(F.struct(*records.columns))).alias("records"))
+    lines = parts.select("part", F.to_json(F.struct(F.lit(version).alias("version"), "records")).alias("value"))
+    lines.repartition("part").write.mode("overwrite").partitionBy("part").text(path)
 
 
 def manifest(files: DataFrame, path: str, content: str) -> DataFrame:

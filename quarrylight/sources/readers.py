@@ -135,25 +135,30 @@ def read_document(path: str, raw: bytes, depth: int = 0, most: int = 3) -> list[
 DOCUMENT = "path string, format string, depth int, size bigint, text string, tables array<array<array<string>>>, status string"
 
 
-def documents(spark: SparkSession, path: str) -> DataFrame:
-    """Every file under a path as rows of text and tables; a file is one row of the scan, so it must fit a task."""
+def parsed_files(files: DataFrame) -> DataFrame:
+    """Files (path, content) as rows of text and tables; a file is one row, so it must fit a task. A null content is an empty file."""
 
     def work(batches):
         for pdf in batches:
-            yield pd.DataFrame([r for p, c in zip(pdf["path"], pdf["content"], strict=True) for r in read_document(p, c)], columns=["path", "format", "depth", "size", "text", "tables", "status"]).astype({"text": object})
+            for p, c in zip(pdf["path"], pdf["content"], strict=True):
+                yield pd.DataFrame(read_document(p, c or b""), columns=["path", "format", "depth", "size", "text", "tables", "status"]).astype({"text": object})
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInPandas(work, DOCUMENT)
 
 
+def documents(spark: SparkSession, path: str) -> DataFrame:
+    """Every file under a path as rows of text and tables."""
+    return parsed_files(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path))
+
+
 def content_records(docs: DataFrame) -> DataFrame:
     """Documents as content records: text from the tables where there is none, title from the name, section documents."""
     text = F.coalesce(X.clean(F.col("text")), X.clean(X.tables_text(F.col("tables"))))
     return docs.filter("status = 'read'").select(F.col("path").alias("url"), F.lit("documents").alias("section"), F.element_at(F.split("path", "/"), -1).alias("title"), text.alias("text"), F.sha1(F.coalesce(text, F.col("path")).cast("binary")).alias("fingerprint"))
 
 
-def companies(spark: SparkSession, path: str) -> DataFrame:
-    """The company sheet (xlsx or csv): row_index from 2, rows without id and name dropped; a missing header is an error."""
+def company_rows(files: DataFrame) -> DataFrame:
+    """Company sheets (path, content; xlsx or csv): row_index from 2, rows without id and name dropped; a missing header is an error."""
 
     def work(batches):
         for pdf in batches:
@@ -165,7 +170,12 @@ def companies(spark: SparkSession, path: str) -> DataFrame:
                 out = [{"row_index": i, **{n: v.strip() or None for n, v in zip(names, r, strict=False) if n}} for i, r in enumerate(rows[1:], 2)]
                 yield pd.DataFrame([r for r in out if r.get("inn") or r.get("company_name")], columns=["row_index", *COMPANY], dtype=object)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(work, "row_index int, " + ", ".join(f"{c} string" for c in COMPANY))
+    return files.select("path", "content").mapInPandas(work, "row_index int, " + ", ".join(f"{c} string" for c in COMPANY))
+
+
+def companies(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the company sheets under a path."""
+    return company_rows(spark.read.format("binaryFile").load(path))
 
 
 SNAPSHOT = "requests array<struct<request:string,result_count:int,search_count:int,result:array<map<string,string>>>>"

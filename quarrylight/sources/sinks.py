@@ -110,9 +110,9 @@ def append_revision(dossiers: DataFrame, path: str, revision: str) -> None:
 
 
 def latest_revisions(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The newest revision of each entity."""
-    w = Window.partitionBy(key).orderBy(F.desc("revision"))
-    return spark.read.parquet(path).withColumn("revision", F.col("revision").cast("string")).withColumn("__rank", F.row_number().over(w)).filter("__rank = 1").drop("__rank")
+    """The newest revision of each entity, by an aggregate that each task combines first."""
+    rows = spark.read.parquet(path).withColumn("revision", F.col("revision").cast("string"))
+    return rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), "revision").alias("v")).select(key, "v.*")
 
 
 def run_summary(results: DataFrame, status: str) -> DataFrame:
