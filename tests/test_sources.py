@@ -144,3 +144,34 @@ def test_streams_over_several_batches(spark, tmp_path):
     assert last == {k: [n for n, j, *_ in rows if j == k][-4:] for k in (1, 2)}
     once = events.run_to_table(events.emit_once(read().select("k", "t"), ["k", "t"]), "append", "t").collect()
     assert sorted(map(tuple, once)) == sorted({(k, t) for _, k, t, _ in rows})
+
+
+def test_assets_are_written_and_loaded(spark, tmp_path):
+    from quarrylight.operators import profiles
+
+    versions = {1: "id:bigint,name:string", 2: "id:bigint,name:string,zone:string"}
+    df = spark.createDataFrame([(i, None if i % 3 else f"n{i}") for i in range(25)], "id bigint, name string")
+    profiles.write_asset(df, str(tmp_path / "a"), 1, "id", 10)
+    assert len(list((tmp_path / "a").glob("part=*"))) == 3
+    assert sorted(map(tuple, profiles.load_asset(spark, str(tmp_path / "a"), versions, "id").collect())) == [(i, None if i % 3 else f"n{i}", None) for i in range(25)]
+    profiles.write_asset(df.limit(2), str(tmp_path / "a"), 1, "id")
+    assert profiles.load_asset(spark, str(tmp_path / "a"), versions, "id").count() == 2
+    with pytest.raises(Exception, match="lacks id"):
+        profiles.write_asset(df.withColumn("id", F.lit(None).cast("bigint")), str(tmp_path / "b"), 1, "id")
+    profiles.write_asset(df, str(tmp_path / "c"), 7, "id")
+    with pytest.raises(ValueError, match="unknown version"):
+        profiles.load_asset(spark, str(tmp_path / "c"), versions, "id")
+
+
+def test_files_from_any_table(spark):
+    rows = spark.createDataFrame([("a.txt", bytearray(b"x")), ("b.txt", None), ("c.csv", bytearray(b"p;q\n1;2\n")), ("d", bytearray(b"?")), ("a.txt", bytearray(b"x"))], "path string, content binary")
+    found = sorted((r.path, r.status, r.text, r.tables) for r in readers.parsed_files(rows).collect() if r.path != "c.csv")
+    assert found == [("a.txt", "read", "x", None), ("a.txt", "read", "x", None), ("b.txt", "read", "", None), ("d", "unsupported_format", None, None)]
+    assert readers.parsed_files(rows.filter("path = 'c.csv'")).first().tables == [[["p", "q"], ["1", "2"]]] and readers.parsed_files(rows.limit(0)).count() == 0
+
+
+def test_elapsed_time_needs_both_ends(spark):
+    from quarrylight.functions import numbers as N
+
+    rows = spark.sql("select timestamp'2024-01-01 00:00:00' a, timestamp'2024-01-01 00:01:30' b, cast(null as timestamp) n")
+    assert tuple(rows.select(N.elapsed_seconds(F.col("a"), F.col("b")), N.elapsed_seconds(F.col("b"), F.col("a")), N.elapsed_seconds(F.col("a"), F.col("n")), N.elapsed_seconds(F.col("n"), F.col("a"))).first()) == (90.0, 0.0, None, None)
