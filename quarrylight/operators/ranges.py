@@ -6,22 +6,45 @@ needs to know of those before it comes from one summary row per (key, range), ov
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.workspace import shared_folder
+
 PART = "__part"
 
 
 def with_range(rows: DataFrame, order: str, n: int | None = None) -> DataFrame:
-    """rows with __part, the range of the order column (numbers, dates or times), of n of equal width; as many as a shuffle has partitions by default."""
+    """rows with __part, the range of the order column (numbers, dates or times), of n of about equal count; as many as a shuffle has partitions by default.
+
+    The cuts are approximate quantiles, so a crowded stretch of the order is cut as finely as it is crowded; equal values share a range. Finding them reads
+    the order column once more: an input that is dear to make goes through ``staged`` first.
+    """
     at = F.col(order).cast("timestamp").cast("double") if rows.schema[order].dataType.typeName() in ("date", "timestamp", "timestamp_ntz") else F.col(order).cast("double")
     n = n or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    span = rows.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
-    if span["lo"] is None or span["lo"] == span["hi"]:
+    found = rows.agg(F.percentile_approx(at, [k / n for k in range(1, n)], max(10_000, 20 * n)).alias("cuts")).first()["cuts"] if n > 1 else None
+    cuts = sorted(set(found or ()))
+    if not cuts:
         return rows.withColumn(PART, F.lit(0))
-    return rows.withColumn(PART, F.coalesce(F.width_bucket(at, F.lit(span["lo"]), F.lit(span["hi"]), F.lit(n)).cast("int"), F.lit(-1)))
+    step = max(1, math.isqrt(len(cuts)))
+    listed = lambda values: F.from_json(F.lit(json.dumps(values)), "array<double>")
+    every, tops = listed(cuts), listed(cuts[::step])
+    # how many cuts are below the value, in two steps
+    coarse = F.size(F.filter(tops, lambda c: c < at))
+    fine = F.size(F.filter(F.slice(every, (F.col("__coarse") - 1) * step + 1, step), lambda c: c < at))
+    ranged = rows.withColumn("__coarse", coarse).withColumn(PART, F.when(at.isNull(), -1).when(F.col("__coarse") == 0, 0).otherwise((F.col("__coarse") - 1) * step + fine))
+    return ranged.drop("__coarse")
+
+
+def staged(rows: DataFrame, name: str) -> DataFrame:
+    """rows written once to the shared folder and read from there, for what reads them several times."""
+    path = f"{shared_folder(rows.sparkSession, name)}/rows"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def within(key: Sequence[str], *order) -> Window:

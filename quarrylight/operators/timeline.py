@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranges import earlier, since_reset, with_carry, with_range, within
+from .ranges import earlier, since_reset, staged, with_carry, with_range, within
 
 
 def interval_union(spans: DataFrame, key: Sequence[str], start: str, end: str) -> DataFrame:
@@ -108,7 +108,8 @@ def breaker_ledger(events: DataFrame, key: Sequence[str], order: str, at: str, b
     if given is not None:
         seconds = F.when(F.col("__class") != "SUCCESS", F.coalesce(given.cast("double"), seconds))
     step = F.greatest(F.lit(0), *[F.when(F.col(n) > 0, F.get(F.array(*map(F.lit, BREAKER_STEPS[c])), F.least(F.col(n), F.lit(3)).cast("int") - 1)).otherwise(0) for c, n in names.items()])
-    timed = counted.withColumn("__until", F.when(seconds > 0, F.col(at) + seconds))
+    # read several times below
+    timed = staged(counted.withColumn("__until", F.when(seconds > 0, F.col(at) + seconds)), "breaker")
     held = since_reset(timed, key, order, F.col("__class") == "SUCCESS", {}, {"cooldown_until": F.col("__until")})
     mode = F.element_at(F.array(*map(F.lit, ("normal", "conservative", "survival", "paused"))), step + 1)
     return held.withColumns({"mode": mode, "cooldown_until": F.coalesce("cooldown_until", F.lit(0.0))}).drop("__class", "__until")

@@ -97,7 +97,7 @@ def run_events(events):
 def stream_telemetry(spark, d):
     """Four ledgers folded from a feed in several batches, the last of which is sent twice."""
     path = shared_folder(spark, "telemetry")
-    table(spark, d, "events").repartitionByRange(4, "event_id").write.parquet(f"{path}/feed")
+    table(spark, d, "events").repartitionByRange(3, "event_id").write.parquet(f"{path}/feed")
     ledger, seen = stores.Ledger(spark, f"{path}/ledger"), []
 
     def each(batch, i):

@@ -45,8 +45,7 @@ def merged_costs(rows: DataFrame) -> DataFrame:
 
 def span_rows(events: DataFrame) -> DataFrame:
     length = F.col("finished") - F.col("started")
-    rows = events.filter("finished >= started").select("owner", "started", "finished", F.lit(1).cast("bigint").alias("n"), length.alias("seconds"), length.alias("longest"))
-    return merged_spans(rows)
+    return events.filter("finished >= started").select("owner", "started", "finished", F.lit(1).cast("bigint").alias("n"), length.alias("seconds"), length.alias("longest"))
 
 
 def merged_spans(rows: DataFrame) -> DataFrame:

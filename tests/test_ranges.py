@@ -85,3 +85,15 @@ def test_breaker(spark):
     df = spark.createDataFrame([("h", i, i * 10, c, r) for i, c, r in rows], "k string, n int, at int, c string, r string")
     found = [(r.n, r.mode, r.cooldown_until) for r in timeline.breaker_ledger(df, ["k"], "n", "at", F.col("c"), F.col("r")).orderBy("n").collect()]
     assert found == [(0, "conservative", 30.0), (1, "survival", 70.0), (2, "survival", 200.0), (4, "normal", 0.0), (5, "conservative", 70.0), (6, "survival", 70.0), (7, "survival", 370.0), (8, "paused", 680.0)]
+
+
+def test_crowded_orders_are_cut_where_they_are_crowded(spark):
+    rng = random.Random(3)
+    # most of ten years' events fall on one day
+    rows = [(i, rng.randrange(86_400) if i % 10 else rng.randrange(315_360_000)) for i in range(4000)] + [(9999, None)]
+    df = spark.createDataFrame(rows, "n int, at bigint")
+    for n in (1, 8, 50):
+        found = ranges.with_range(df, "at", n).groupBy(ranges.PART).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi")).collect()
+        some = sorted((r for r in found if r.lo is not None), key=lambda r: r.lo)
+        assert len(some) == n and max(r.n for r in some) <= 2.5 * 4000 / n and sum(r.n for r in found) == 4001
+        assert [r[ranges.PART] for r in some] == sorted(r[ranges.PART] for r in some) and all(a.hi < b.lo for a, b in zip(some, some[1:], strict=False))
