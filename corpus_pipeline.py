@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylight.llm.common import documents, fold, materialize
+from quarrylight.llm.common import documents, fold, materialize, small_batches
 from quarrylight.llm.line_dedup import dedup_lines
 from quarrylight.llm.mixing import mix_documents
 from quarrylight.llm.ngram_join import one_of_each_class
@@ -17,6 +17,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is graded above 0 with even odds go."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold("doc_id", 5) != 0)
     return score_toxicity(docs, fit_toxicity(documents(spark, sf_dir), labels)).filter(~F.col("toxic")).select(*COLUMNS)
 
@@ -29,6 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays, the one that names it. Different texts under one id are told apart; rows without an id stay."""
+    small_batches(spark)
     return one_of_each_class(docs).select(*COLUMNS)
 
 
@@ -39,6 +41,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the pieces of each text and their decoded text, as digests."""
+    small_batches(spark)
     return piece_digests(docs.select("doc_id", "source", "text"), model_path())
 
 
