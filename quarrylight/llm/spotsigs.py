@@ -46,7 +46,9 @@ def anchor_pattern(words: list[str]) -> str:
 
 
 ANCHORS = anchor_pattern([w for line in STOP_WORDS for w in line.split()])
-CHAIN_PATTERN = f"(?:#|(?<= )(?:[^# ]{{{EVERY}}})+)(?= ((?:# )*[^# ]+" + "(?: (?:# )*[^# ]+)?" * (CHAIN - 1) + "))"
+#: The common words of a run have the same chain, so a run is one anchor; that also keeps the look-ahead short.
+RUN_PATTERN = "(?:# )++"
+CHAIN_PATTERN = f"(?:#|(?<= )(?:[^# ]{{{EVERY}}})+)(?= ((?:# )?[^# ]+" + "(?: (?:# )?[^# ]+)?" * (CHAIN - 1) + "))"
 
 
 def words_of(text: Column) -> Column:
@@ -58,6 +60,7 @@ def with_signatures(df: DataFrame, text: Column, out: str) -> DataFrame:
     """df with out: the sorted distinct signatures (array<int>) of a text column."""
     df = df.withColumn("__words", words_of(text))
     marked = F.concat(F.lit("#"), F.regexp_replace("__words", f"(?<= ){ANCHORS}(?= )", "#"))
+    marked = F.regexp_replace(marked, RUN_PATTERN, "# ")
     spots = F.transform(F.regexp_extract_all(marked, F.lit(CHAIN_PATTERN), F.lit(1)), lambda x: F.hash(F.replace(x, F.lit("# "), F.lit(""))))
     df = df.withColumn("__spots", F.array_sort(F.array_distinct(spots)))
     return df.withColumn(out, F.when(F.size("__spots") > 0, F.col("__spots")).otherwise(F.array(F.hash(F.trim("__words"))))).drop("__words", "__spots")
@@ -154,17 +157,23 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each document against its edited text (the second half replaced from the next document) and the next document."""
+    """Each document against its edited text (the second half replaced from the next document) and the next document.
+
+    Columns of docs pass through, apart from the text and those with the names of the results.
+    """
+    made = ("n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "length_bin")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col, *made)]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    signed = with_signatures(docs.select(F.col(id_col), text.alias("__text")), F.col("__text"), "__own")
+    signed = with_signatures(docs.select(F.col(id_col), *rest, text.alias("__text")), F.col("__text"), "__own")
     near = with_next(signed, id_col, {"__text": "__next_text", "__own": "__next"}, F.xxhash64("__text"))
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = F.concat(F.left(F.col("__text"), F.col("n_chars").cast("int") - half), F.left(F.coalesce(F.col("__next_text"), F.col("__text")), half))
-    near = near.withColumn("n_chars", F.char_length("__text").cast("long")).withColumn("edited", edited)
-    near = with_signatures(near, F.col("edited"), "__edited")
+    n_chars = F.char_length("__text").cast("long")
+    half = F.floor(F.col("__n_chars") / 2).cast("int")
+    edited = F.concat(F.left(F.col("__text"), F.col("__n_chars").cast("int") - half), F.left(F.coalesce(F.col("__next_text"), F.col("__text")), half))
+    near = near.withColumn("__n_chars", n_chars).withColumn("__edit", edited)
+    near = with_signatures(near, F.col("__edit"), "__edited")
     own, next_ = F.col("__own"), F.coalesce("__next", "__own")
     return near.select(
-        id_col, "n_chars", "edited", fingerprint(own).alias("fingerprint"), fingerprint(F.col("__edited")).alias("edited_fingerprint"),
+        id_col, *rest, F.col("__n_chars").alias("n_chars"), F.col("__edit").alias("edited"), fingerprint(own).alias("fingerprint"), fingerprint(F.col("__edited")).alias("edited_fingerprint"),
         likeness(own, F.col("__edited")).alias("near_edited"), likeness(own, next_).alias("near_next"), length_bin(own).alias("length_bin"),
     )
 
