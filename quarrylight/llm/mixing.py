@@ -1,8 +1,8 @@
 """Mixing sources to target weights by temperature. DataFrame functions only.
 
 Token shares p of the sources become weights q in proportion to p ** alpha. The exponent is bisected on the driver
-over one number per source: either until the entropy of q reaches a target, or to the least exponent (the flattest
-mix) at which no source is repeated more often than a limit. The token budget is given, or is the least with which
+over one number per source to the least exponent (the flattest mix) at which no source is repeated more often than a limit
+and, where a target is given, the entropy of q isn't above it. Limits that no exponent meets are an error. The token budget is given, or is the least with which
 each document is seen at least once (``cover``: no document is lost, small sources are repeated).
 
 Each source's budget is realised as passes over blocks: its documents are dealt to blocks of about ``BLOCK_DOCS``
@@ -46,17 +46,19 @@ def cover_budget(tokens: list[int], q: list[float]) -> float:
 
 
 def bisect_alpha(tokens: list[int], max_repeat: float | None = None, target_entropy: float | None = None, budget: float | None = None, low: float = 0.0, high: float = 1.0) -> float:
-    """The exponent in [low, high]; budget None: cover. The result is the end that satisfies the limit."""
+    """The least exponent in [low, high] that meets both limits, each where given; budget None: cover. An error if high doesn't."""
 
-    def flat_enough(alpha: float) -> bool:
+    def flat_enough(alpha: float, slack: float = 0.0) -> bool:
         q = weights(tokens, alpha)
-        if target_entropy is not None:
-            return entropy(q) <= target_entropy
+        if target_entropy is not None and entropy(q) > target_entropy + slack:
+            return False
         total = cover_budget(tokens, q) if budget is None else budget
-        return max(x * total / t for t, x in zip(tokens, q, strict=True)) <= max_repeat
+        return max_repeat is None or max(x * total / t for t, x in zip(tokens, q, strict=True)) <= max_repeat + slack
 
     if not tokens or flat_enough(low):
         return low
+    if not flat_enough(high, 1e-9):  # for rounding
+        raise ValueError(f"no exponent up to {high} meets the limits: repeats {max_repeat}, entropy {target_entropy}, budget {budget}")
     for _ in range(60):
         mid = (low + high) / 2
         low, high = (low, mid) if flat_enough(mid) else (mid, high)

@@ -5,6 +5,7 @@ import hashlib
 import math
 import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -415,6 +416,21 @@ def test_mixing_bisection():
     a = bisect_alpha(tokens, target_entropy=0.8)
     assert abs(entropy(weights(tokens, a)) - 0.8) < 1e-9
     assert bisect_alpha([5, 5], max_repeat=1.0) == 0 and bisect_alpha([], 2.0) == 0
+    assert bisect_alpha(tokens, max_repeat=1.0) == pytest.approx(1.0)
+
+
+def test_mixing_limits_hold_together_or_raise(docs):
+    from quarrylight.llm.mixing import bisect_alpha, cover_budget, entropy, mix_plan, weights
+
+    tokens = [3, 300_000, 200_000]
+    a = bisect_alpha(tokens, max_repeat=2.0, target_entropy=1.0)
+    q = weights(tokens, a)
+    assert entropy(q) <= 1.0 + 1e-9 and max(x * cover_budget(tokens, q) / t for x, t in zip(q, tokens, strict=True)) <= 2 + 1e-9
+    for limits in ({"max_repeat": 2, "budget": 100_000.0}, {"target_entropy": 0.1}, {"max_repeat": 0.5}):
+        with pytest.raises(ValueError, match="no exponent"):
+            bisect_alpha([100, 1000, 10_000], **limits)
+    with pytest.raises(ValueError, match="no exponent"):
+        mix_plan(docs, target_entropy=0.0)
 
 
 def test_mixing_covers_and_follows_the_weights(docs):
@@ -485,6 +501,23 @@ def test_spotsigs_by_brute_force(spark, docs):
     assert np.mean([r.near_edited for r in rows.values()]) > np.mean([r.near_next for r in rows.values()]) + 0.2
 
 
+def test_spotsigs_of_runs_of_common_words_take_linear_time(spark):
+    from quarrylight.llm.spotsigs import fingerprint_documents
+
+    began = time.time()
+    found = fingerprint_documents(spark.createDataFrame([(1, "the " * 1_300_000 + "ending here"), (2, "x the ending here"), (3, "of the and " * 500_000)], "doc_id int, text string")).collect()
+    assert {r.doc_id: len(r.signatures) for r in found} == {1: 1, 2: 2, 3: 1} and time.time() - began < 30
+    assert set(found[0].signatures) < set(found[1].signatures)
+
+
+def test_compared_edits_keep_other_columns(odd):
+    from quarrylight.llm.spotsigs import compare_edits
+
+    found = compare_edits(odd)
+    assert found.columns[:5] == ["doc_id", "lang", "source", "kept", "score"] and "n_chars" in found.columns and "text" not in found.columns
+    assert sorted(str((r.doc_id, r.source, r.kept)) for r in found.collect()) == sorted(str((x[0], x[3], x[5])) for x in ODD)
+
+
 def test_spotsigs_ranges(spark):
     from quarrylight.llm import spotsigs
 
