@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import contacts, dossiers, feeds, files, insights, listings, profiles, records, runs, streams
+from . import contacts, dossiers, feeds, files, insights, listings, policies, profiles, records, runs, streams
 
-MODULES = (contacts, dossiers, profiles, records, runs, streams, feeds, listings, insights, files)
+MODULES = (contacts, dossiers, profiles, records, runs, streams, feeds, listings, insights, files, policies)
 FLAGSHIP = "url_registered_domain"
 
 
