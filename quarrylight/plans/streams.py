@@ -81,16 +81,26 @@ SELECT user_id, 'proxy' AS tag_name, proxy AS tag, ok, count(*) AS n FROM r WHER
 
 
 def page_sections(spark, d):
-    """Headings of pages as a parser sees them; each page of the tables has one article under one heading."""
+    """Headings of pages as a parser sees them, and whether text stands under one that ends in a stop."""
     found = P.page_records(table(spark, d, "pages"), "page_id", "url", "html")
-    return found.select("page_id", F.size("sections").alias("n_sections"), P.section_of(F.col("sections"), (".",)).isNotNull().alias("has_text"), P.access_boundary(F.lit("success"), F.when(F.col("page_id") % 9 == 0, 403), F.col("text")).alias("boundary"))
+    return found.select("page_id", F.size("sections").alias("n_sections"), F.coalesce(F.char_length(P.section_of(F.col("sections"), (r"\S",))) > 0, F.lit(False)).alias("has_text"), P.access_boundary(F.lit("success"), F.when(F.col("page_id") % 9 == 0, 403), F.col("text")).alias("boundary"))
+
+
+SECTIONS_SQL = r"""
+WITH p AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<(script|style|noscript|template|title)[^>]*>.*?</(script|style|noscript|template|title)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g') AS h FROM pages),
+t AS (SELECT page_id, string_split_regex(h, '(?is)<h[1-4][^>]*>') AS parts FROM p),
+bare AS (SELECT page_id, regexp_replace(parts[1], '(?s)<[^>]*>', ' ', 'g') AS before, list_transform(parts[2:], lambda x: regexp_replace(regexp_replace(x, '(?is)^.*?</h[1-4]>', ''), '(?s)<[^>]*>', ' ', 'g')) AS under,
+  list_transform(parts[2:], lambda x: regexp_replace(regexp_extract(x, '(?is)^(.*?)</h[1-4]>', 1), '(?s)<[^>]*>', ' ', 'g')) AS heads FROM t)
+SELECT page_id, (len(list_filter(heads, lambda x: true)) + CASE WHEN regexp_matches(before, '\S') THEN 1 ELSE 0 END)::INT AS n_sections, coalesce(regexp_matches(list_filter(list_zip(heads, under), lambda x: regexp_matches(x[1], '\S'))[1][2], '\S'), false) AS has_text,
+  CASE WHEN page_id % 9 = 0 THEN 'blocked' END AS boundary FROM bare
+"""
 
 
 def mojibake_repair(spark, d):
     """Texts mended where bytes were read in the wrong charset: the damage is made here, so that the result is known."""
-    docs = table(spark, d, "documents").select("doc_id", "text", F.sha1(F.col("text").cast("binary")).alias("before"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
     spoiled = docs.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")).otherwise(F.col("text")))
-    return P.mended(spoiled, "text").select("doc_id", (F.sha1(F.col("text").cast("binary")) == F.col("before")).alias("restored"))
+    return P.mended(spoiled, "text").select("doc_id", F.sha1(F.col("text").cast("binary")).alias("digest"))
 
 
 def flat_export(spark, d):
@@ -107,12 +117,12 @@ def run_summary(spark, d):
 QUERIES = {f.__name__: f for f in (stream_host_stats, stream_circuit_state, stream_breaker_state, stream_emit_once, stream_last_attempts, page_records, page_sections, page_titles, recent_outcomes, site_probe, mojibake_repair, flat_export, run_summary)}
 ORACLES = {
     "stream_breaker_state": f"SELECT * EXCLUDE (n_paused) FROM ({BREAKER_SQL})", "site_probe": PROBE_SQL, "recent_outcomes": RECENT_SQL,
-    "page_sections": "SELECT page_id, 2 AS n_sections, true AS has_text, CASE WHEN page_id % 9 = 0 THEN 'blocked' END AS boundary FROM pages",
+    "page_sections": SECTIONS_SQL,
     "stream_host_stats": "SELECT user_id, count(*) AS n_events, round(sum(value), 2) AS sum_value, max(value) AS max_value FROM events GROUP BY 1",
     "stream_circuit_state": f"SELECT user_id, mode FROM (SELECT user_id, event_id, mode, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM ({CIRCUIT_SQL.replace('count(*) AS n, count(DISTINCT user_id) AS n_users FROM r GROUP BY 1', 'user_id, event_id FROM r')})) WHERE k = 1",
     "stream_emit_once": "SELECT user_id, count(DISTINCT event_type || props) AS n_distinct FROM events GROUP BY 1",
     "stream_last_attempts": "SELECT user_id, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS last FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k <= 25 GROUP BY 1",
-    "mojibake_repair": "SELECT doc_id, true AS restored FROM documents",
+    "mojibake_repair": "SELECT doc_id, sha1(text) AS digest FROM documents",
     "page_titles": "SELECT page_id, trim(regexp_extract(html, '(?i)<title[^>]*>([^<]*)</title>', 1)) AS title, len(regexp_extract_all(html, '(?i)<a ')) AS n_links FROM pages",
     "flat_export": "SELECT c_custkey, c_name AS name, lower(c_mktsegment) AS segment, " + ", ".join(f"coalesce(max(CASE WHEN o_orderpriority LIKE '{k}%' THEN o_orderstatus END), '') AS \"{k}_status\"" for k in "123") + " FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2, 3",
     "run_summary": "SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS n_completed, count(*) FILTER (o_orderstatus = 'P') AS n_failed, CASE WHEN count(*) = 0 THEN 'suppressed' WHEN count(*) FILTER (o_orderstatus = 'F') = count(*) THEN 'all_completed' WHEN count(*) FILTER (o_orderstatus IN ('F', 'P')) = count(*) THEN 'terminal' ELSE 'partial' END AS export_state FROM orders",
