@@ -60,11 +60,12 @@ def merge_ledgers(left: DataFrame, right: DataFrame, key: Sequence[str], values:
     )
 
 
-def token_lookup(rows: DataFrame, row_id: str, row_tokens: Column, table: DataFrame, entry_id: str, entry_tokens: Column, least: int | None = 1) -> DataFrame:
+def token_lookup(rows: DataFrame, row_id: str, row_tokens: Column, table: DataFrame, entry_id: str, entry_tokens: Column, least: int | None = 1, hot_rows: int = 100_000) -> DataFrame:
     """Pairs that share at least so many tokens (n_shared; None: all of the entry's), by an inverted index over the rarest tokens of each entry.
 
     An entry of k tokens shares one of its k - least + 1 rarest with any row that shares least of them, so only these are joined; the
-    token sets of the pairs found are then compared whole. A frequent token makes pairs only for entries that have no rarer ones.
+    token sets of the pairs found are then compared whole. A frequent token makes pairs only for entries that have no rarer ones; where all tokens are needed
+    and more than hot_rows rows hold even the rarest, an entry is looked up by its two rarest together.
     """
     a = rows.select(row_id, F.array_distinct(row_tokens).alias("__a"))
     b = table.select(entry_id, F.array_distinct(entry_tokens).alias("__b"))
@@ -74,7 +75,15 @@ def token_lookup(rows: DataFrame, row_id: str, row_tokens: Column, table: DataFr
     rarest = entries.join(held, "token", "left").groupBy(entry_id).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "token"))).alias("t"))
     enough = F.size("t") if least is None else F.lit(least)
     probes = rarest.filter(F.size("t") >= enough).select(entry_id, F.explode(F.slice("t", F.lit(1), F.size("t") - (enough - 1))).alias("p")).filter("p.held > 0").select(entry_id, "p.token")
-    found = inverted.join(probes, "token").select(row_id, entry_id).distinct()
+    if least is None:
+        one, two = F.get("t", F.lit(0)), F.get("t", F.lit(1))
+        hot = rarest.filter((F.size("t") > 1) & (one["held"] > hot_rows)).select(entry_id, one["token"].alias("token"), two["token"].alias("other"), two["held"].alias("held"))
+        probes = probes.join(hot.select(entry_id), entry_id, "left_anti")
+        with_hot = inverted.join(hot.select("token").distinct(), "token", "left_semi").join(a, row_id).select(row_id, "token", F.explode("__a").alias("other"))
+        both = with_hot.join(hot.filter("held > 0").drop("held"), ["token", "other"]).select(row_id, entry_id)
+        found = inverted.join(probes, "token").select(row_id, entry_id).unionByName(both).distinct()
+    else:
+        found = inverted.join(probes, "token").select(row_id, entry_id).distinct()
     shared = F.size(F.array_intersect("__a", "__b")).cast("bigint")
     wanted = F.size("__b") if least is None else F.lit(least)
     return found.join(a, row_id).join(b, entry_id).filter(shared >= wanted).select(row_id, entry_id, shared.alias("n_shared"))

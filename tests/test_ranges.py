@@ -97,3 +97,15 @@ def test_crowded_orders_are_cut_where_they_are_crowded(spark):
         some = sorted((r for r in found if r.lo is not None), key=lambda r: r.lo)
         assert len(some) == n and max(r.n for r in some) <= 2.5 * 4000 / n and sum(r.n for r in found) == 4001
         assert [r[ranges.PART] for r in some] == sorted(r[ranges.PART] for r in some) and all(a.hi < b.lo for a, b in zip(some, some[1:], strict=False))
+
+
+def test_entries_of_frequent_tokens_are_looked_up_by_two(spark):
+    rng = random.Random(5)
+    words = ["the", "of", "and", "rare", "x", "y"]
+    pick = lambda most: sorted({w for w in words if rng.random() < (0.8 if w in words[:3] else 0.2)})[:most]
+    rows, table = [(i, pick(6)) for i in range(60)], [(k, pick(3)) for k in range(40)] + [(98, ["nowhere", "the"]), (99, [])]
+    want = sorted((i, k, len(b)) for i, a in rows for k, b in table if b and set(b) <= set(a))
+    left, right = spark.createDataFrame(rows, "i int, a array<string>"), spark.createDataFrame(table, "k int, b array<string>")
+    for hot in (0, 10, 100_000):
+        found = joins.token_lookup(left, "i", F.col("a"), right, "k", F.col("b"), None, hot)
+        assert sorted(map(tuple, found.collect())) == want
