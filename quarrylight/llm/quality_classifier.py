@@ -6,9 +6,10 @@ pi * E_p[l(+)] + max(0, E_u[l(-)] - pi * E_p[l(-)]): the second part is the nega
 under zero its gradient is turned round, which keeps the fit from explaining the unlabelled rows away. The prior is
 estimated from positives and unlabelled rows alone (``estimate_prior``): a scorer of positives against unlabelled rows is fitted on one
 half of the sample; on the other half, the least ratio of unlabelled to positive rows above a bar, at the bar where its
-upper confidence bound is least, is the prior, as the top of the scores holds hardly any negatives. Both training sets are bounded
-(``N_POSITIVE``, ``N_UNLABELLED`` documents, by least hash of the id), so they are gathered and fitted with numpy on
-the driver; scoring reads every whole text once, in any partition.
+upper confidence bound is least, is the prior, as the top of the scores holds hardly any negatives. On few rows that bound is loose and the prior too
+high, so where rows of quality 0 are labelled, the fitted scores are set on the scale of probabilities (``calibrate``): a rising line through the logits of
+trusted positives and labelled negatives, which keeps their order. All three sets are bounded (``N_POSITIVE``, ``N_UNLABELLED``, ``N_NEGATIVE`` documents, by least hash of
+the id), so they are gathered and fitted with numpy on the driver; scoring reads every whole text once, in any partition.
 
 Features: square roots of the shares of hashed byte trigrams, and a few ratios of marks, capitals, repeats and words
 per line. Cases: a null or empty text has zero features and gets the score of the bias. Without positives, every score
@@ -30,7 +31,7 @@ from .common import bounded_sample, documents, fold
 from .features import byte_ngrams
 from .quality_rules import MEASURES, measure
 
-N_POSITIVE, N_UNLABELLED, BINS = 3000, 5000, 512
+N_POSITIVE, N_UNLABELLED, N_NEGATIVE, BINS = 3000, 5000, 1000, 512
 
 
 def describe(text: str | None) -> np.ndarray:
@@ -111,13 +112,33 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 20
     return ratio_at_the_top(p2 @ x[:-1], u2 @ x[:-1])
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", n_positive: int = N_POSITIVE, n_unlabelled: int = N_UNLABELLED) -> dict:
+def calibrate(positive: np.ndarray, negative: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+    """(slope, offset) of the logistic line through the scores of labelled rows, with targets drawn in as by one more row of each kind; no change without both kinds or if it would fall."""
+    if not len(positive) or not len(negative):
+        return 1.0, 0.0
+    z = np.concatenate([positive, negative]).astype(np.float64)
+    mean, spread = float(z.mean()), float(z.std()) or 1.0
+    x = np.stack([(z - mean) / spread, np.ones(len(z))], axis=1)
+    t = np.concatenate([np.full(len(positive), (len(positive) + 1) / (len(positive) + 2)), np.full(len(negative), 1 / (len(negative) + 2))])
+    line = np.zeros(2)
+    loss = lambda v: float(np.sum(np.logaddexp(0, x @ v) - t * (x @ v)))
+    for _ in range(rounds):
+        p = _sigmoid(x @ line)
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2), x.T @ (p - t))
+        while loss(line - step) > loss(line) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        line = line - step
+    slope = line[0] / spread
+    return (float(slope), float(line[1] - slope * mean)) if slope > 0 else (1.0, 0.0)
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", n_positive: int = N_POSITIVE, n_unlabelled: int = N_UNLABELLED, n_negative: int = N_NEGATIVE) -> dict:
     """The model: weights, bias, prior. docs and labels hold the rows that may be learned from."""
-    good = labels.filter(F.col(id_col).isNotNull() & (F.col(label_col) == 1)).select(id_col)
-    trusted = bounded_sample(good, id_col, n_positive, 41)
+    of = lambda value: labels.filter(F.col(id_col).isNotNull() & (F.col(label_col) == value)).select(id_col)
+    trusted, refused = bounded_sample(of(1), id_col, n_positive, 41), bounded_sample(of(0), id_col, n_negative, 43)
     drawn = bounded_sample(docs.filter(F.col(id_col).isNotNull()).select(id_col), id_col, n_unlabelled, 42)
-    # ids of at most n_positive + n_unlabelled documents
-    chosen = trusted.withColumn("__part", F.lit(1)).unionByName(drawn.withColumn("__part", F.lit(0)))
+    # ids of at most n_positive + n_unlabelled + n_negative documents
+    chosen = trusted.withColumn("__part", F.lit(1)).unionByName(drawn.withColumn("__part", F.lit(0))).unionByName(refused.withColumn("__part", F.lit(2)))
     sample = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).groupBy(id_col, "__part").agg(F.min(text_col).alias(text_col))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,12 +147,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
     # in an order of its own, so that the halves for the prior are the same in any run
     rows = sorted(map(tuple, sample.mapInPandas(work, "part int, h bigint, x binary").collect()))
-    sides = [np.array([np.frombuffer(x, np.float32) for k, _, x in rows if k == part]) for part in (0, 1)]
+    sides = [np.array([np.frombuffer(x, np.float32) for k, _, x in rows if k == part]) for part in (0, 1, 2)]
     if not len(sides[0]) or not len(sides[1]):
         return {"weights": np.zeros(N_FEATURES, np.float32), "bias": 0.0, "prior": 0.5}
     prior = estimate_prior(sides[1], sides[0])
     w, b = fit_nnpu(sides[1], sides[0], prior)
-    return {"weights": w, "bias": b, "prior": prior}
+    slope, offset = calibrate(sides[1] @ w + b, sides[2] @ w + b if len(sides[2]) else sides[2])
+    return {"weights": w * np.float32(slope), "bias": b * slope + offset, "prior": prior}
 
 
 def score_quality(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:

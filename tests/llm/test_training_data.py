@@ -236,6 +236,22 @@ def test_quality_classifier_held_out(spark, labels):
     pos, neg = [r.score for r in held if r.quality], [r.score for r in held if not r.quality]
     auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
     assert auc > 0.95 and np.mean([p >= 0.3 for p in pos]) > 0.95
+    assert np.mean([n < 0.3 for n in neg]) > 0.8 and len(neg) > 5
+    assert np.mean([r.score < 0.3 for r in rows if not r.quality]) > 0.8
+
+
+def test_calibration_of_scores():
+    from quarrylight.llm.quality_classifier import calibrate
+
+    rng = np.random.default_rng(4)
+    z = rng.normal(0, 2, 4000)
+    label = rng.random(4000) < 1 / (1 + np.exp(-(1.5 * z - 0.7)))
+    slope, offset = calibrate(z[label], z[~label])
+    assert abs(slope - 1.5) < 0.15 and abs(offset + 0.7) < 0.15
+    # far apart: still finite, and the middle lies between the two
+    slope, offset = calibrate(np.array([5.0, 6.0, 7.0]), np.array([1.0, 2.0]))
+    assert np.isfinite([slope, offset]).all() and slope * 2 + offset < 0 < slope * 5 + offset
+    assert calibrate(np.array([1.0]), np.zeros(0)) == (1.0, 0.0) and calibrate(np.array([0.0, 1.0]), np.array([5.0, 6.0])) == (1.0, 0.0)
 
 
 def test_quality_classifier_on_odd_rows(odd, empty, spark):
