@@ -38,19 +38,26 @@ def offline_notes(notes: Column, mode: Column, prefix: str, stale: str, refreshe
     return F.array_distinct(F.concat(F.array(F.concat(F.lit(prefix), mode)), F.when(refreshed, F.array().cast("array<string>")).otherwise(F.array(F.lit(stale))), others))
 
 
-def resolve_refs(wants: DataFrame, key: str, order: str, locator: str, url: str, kind: str, evidence: DataFrame, evidence_id: str) -> DataFrame:
+def resolve_refs(wants: DataFrame, key: str, order: str, locator: str, url: str, kind: str, evidence: DataFrame, evidence_id: str, most: int | None = None) -> DataFrame:
     """Evidence that records refer to: key, evidence_id, ref_no. First by locator, then by URL, each piece once per key.
 
+    most keeps the first references of each key. Then no want meets more than most pieces of a locator or URL and kind, so that a URL with many pieces
+    and many wants isn't their product; the first most of all are the same, as no want needs more of one place than that.
+
     A wanted kind other than null or unknown must be the evidence's. Evidence has columns locator, url, kind of the same names.
     """
     fits = lambda w: F.coalesce(F.col(w) == "unknown", F.lit(True)) | (F.col(w) == F.col("__kind"))
     found = None
     for phase, by in enumerate((locator, url)):
         side = evidence.filter(F.col(by).isNotNull()).select(F.col(by).alias("__by"), F.col(kind).alias("__kind"), evidence_id)
+        if most is not None:
+            place = F.row_number().over(Window.partitionBy("__by", "__kind").orderBy(evidence_id))
+            side = side.distinct().withColumn("__n", place).filter(F.col("__n") <= most).drop("__n")
         part = wants.join(side, F.col(by) == F.col("__by")).filter(fits(kind)).select(key, evidence_id, F.struct(F.lit(phase).alias("p"), F.col(order).alias("o")).alias("__at"))
         found = part if found is None else found.unionByName(part)
     once = found.groupBy(key, evidence_id).agg(F.min("__at").alias("__at"))
-    return once.withColumn("ref_no", F.row_number().over(Window.partitionBy(key).orderBy("__at", evidence_id))).drop("__at")
+    numbered = once.withColumn("ref_no", F.row_number().over(Window.partitionBy(key).orderBy("__at", evidence_id))).drop("__at")
+    return numbered if most is None else numbered.filter(F.col("ref_no") <= most)
 
 
 def rebind(procedures: DataFrame, key: str, order: str, fields: Sequence[str], refs: DataFrame, evidence_id: str) -> DataFrame:

@@ -8,8 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def equi_lookup(rows: DataFrame, sources: DataFrame, on: str, order: str, value: str) -> DataFrame:
-    """Each row with the values of its sources in their order, as an array (empty if there is none)."""
+def equi_lookup(rows: DataFrame, sources: DataFrame, on: str, order: str, value: str, most: int | None = None) -> DataFrame:
+    """Each row with the values of its sources in their order, as an array (empty if there is none).
+
+    An array holds all sources of its key; where a key can be hot, most keeps the first of them, of which each task sends no more.
+    """
+    if most is not None:
+        place = F.row_number().over(Window.partitionBy(on).orderBy(order, value))
+        sources = sources.withColumn("__k", place).filter(F.col("__k") <= most).drop("__k")
     found = sources.groupBy(on).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]).alias("found"))
     return rows.join(found, on, "left").withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
 

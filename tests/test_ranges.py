@@ -109,3 +109,22 @@ def test_entries_of_frequent_tokens_are_looked_up_by_two(spark):
     for hot in (0, 10, 100_000):
         found = joins.token_lookup(left, "i", F.col("a"), right, "k", F.col("b"), None, hot)
         assert sorted(map(tuple, found.collect())) == want
+
+
+def test_first_references_are_those_of_all(spark):
+    from quarrylight.operators import dossiers
+
+    rng = random.Random(9)
+    wants = [(f"k{rng.randrange(6)}", i, rng.choice(["l1", "l2", None]), rng.choice(["u1", "u2", None]), rng.choice(["a", "b", "unknown", None])) for i in range(40)]
+    pieces = [(i, rng.choice(["l1", "l2", "l3", None]), rng.choice(["u1", "u2", None]), rng.choice(["a", "b"])) for i in range(60)]
+    w = spark.createDataFrame(wants, "key string, o int, locator string, url string, kind string")
+    e = spark.createDataFrame(pieces, "id int, locator string, url string, kind string")
+    every = sorted(map(tuple, dossiers.resolve_refs(w, "key", "o", "locator", "url", "kind", e, "id").collect()))
+    for most in (1, 3, 10, 100):
+        assert sorted(map(tuple, dossiers.resolve_refs(w, "key", "o", "locator", "url", "kind", e, "id", most).collect())) == [r for r in every if r[2] <= most]
+
+
+def test_first_sources_of_a_hot_key(spark):
+    rows, sources = spark.createDataFrame([(1,), (2,), (3,)], "k int"), spark.createDataFrame([(1, i, f"v{i:03d}") for i in range(200)] + [(2, 5, "x"), (None, 1, "n")], "k int, o int, v string")
+    found = {r.k: r.found for r in joins.equi_lookup(rows, sources, "k", "o", "v", 3).collect()}
+    assert found == {1: ["v000", "v001", "v002"], 2: ["x"], 3: []} and len(joins.equi_lookup(rows, sources, "k", "o", "v").filter("k = 1").first().found) == 200
