@@ -79,25 +79,34 @@ def tree_of(html: str | None) -> Tree:
     return tree
 
 
+def node_array(trees: list[Tree]) -> pa.StructArray:
+    """The elements of the trees in a row, column by column."""
+    nodes = [x for t in trees for x in t.nodes]
+    lists = lambda found, kind: pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, found))], pa.int32()), pa.array([y for x in found for y in x], kind))
+    given = [x[3] for x in nodes]
+    attrs = pa.MapArray.from_arrays(pa.array([0, *accumulate(map(len, given))], pa.int32()), pa.array([k for a in given for k in a], pa.string()), pa.array([v for a in given for v in a.values()], pa.string()))
+    columns = {
+        "n": pa.array([n for t in trees for n in range(len(t.nodes))], pa.int32()), "last": pa.array([x[0] for x in nodes], pa.int32()), "path": lists([x[1] for x in nodes], pa.int32()), "tag": pa.array([x[2] for x in nodes], pa.string()),
+        "id": pa.array([a.get("id", "") for a in given], pa.string()), "classes": lists([a.get("class", "").split() for a in given], pa.string()), "attrs": attrs,
+        "start": pa.array([max(x[4], 0) for x in nodes], pa.int32()), "end": pa.array([max(x[5], 0) for x in nodes], pa.int32()),
+    }
+    return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+
+
 def page_elements(pages: DataFrame, html_col: str, keep_html: bool = False) -> DataFrame:
     """pages with page_text and nodes in place of the HTML."""
     names = [c for c in pages.columns if c not in ("page_text", "nodes")]
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     at, back = names.index(html_col), [i for i, c in enumerate(names) if keep_html or c != html_col]
-    struct = pa.struct([("n", pa.int32()), ("last", pa.int32()), ("path", pa.list_(pa.int32())), ("tag", pa.string()), ("id", pa.string()), ("classes", pa.list_(pa.string())), ("attrs", pa.map_(pa.string(), pa.string())), ("start", pa.int32()), ("end", pa.int32())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for offset in range(0, max(1, whole.num_rows), PAGES_AT_ONCE):
                 batch = whole.slice(offset, PAGES_AT_ONCE)
-                texts, nodes = [], []
-                for html in batch.column(at):
-                    tree = tree_of(html.as_py())
-                    texts.append(" ".join(tree.parts))
-                    nodes.append([(n, last, path, tag, attrs.get("id", ""), attrs.get("class", "").split(), list(attrs.items()), max(start, 0), max(end, 0)) for n, (last, path, tag, attrs, start, end) in enumerate(tree.nodes)])
-                flat = pa.array([dict(zip(struct.names, x, strict=True)) for page in nodes for x in page], struct)
-                ends = pa.array([0, *accumulate(map(len, nodes))], pa.int32())
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in back), pa.array(texts, pa.string()), pa.ListArray.from_arrays(ends, flat)], [*(names[i] for i in back), "page_text", "nodes"])
+                trees = [tree_of(html.as_py()) for html in batch.column(at)]
+                texts = pa.array([" ".join(t.parts) for t in trees], pa.string())
+                ends = pa.array([0, *accumulate(len(t.nodes) for t in trees)], pa.int32())
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in back), texts, pa.ListArray.from_arrays(ends, node_array(trees))], [*(names[i] for i in back), "page_text", "nodes"])
 
     schema = ", ".join([*(f"`{names[i]}` {kinds[names[i]]}" for i in back), "page_text string", f"nodes array<{NODE}>"])
     return pages.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(work, schema)
@@ -261,7 +270,8 @@ def labelled(text: Column, labels: tuple[str, ...]) -> Column:
     """The value after the first of the labels that the text has, up to the next label of any field; null without one."""
     every = "|".join(rf"\Q{x}\E" for x in sorted({x for v in LABELS.values() for x in v}, key=len, reverse=True))
     ends = "|".join(VALUE_ENDS)
-    value = lambda x: F.nullif(T.one_space(F.regexp_extract(text, rf"(?iuU)(?<![\p{{L}}0-9])\Q{x}\E(?![\p{{L}}0-9])\s*(?:[:\-]\s*|\s+)(.+?)(?=\s+(?:{every})(?:\s*[:\-]|\s+)|\s+(?:{ends})\b|$)", 1)), F.lit(""))
+    shown = F.lower(text)  # most texts lack most labels, which is seen faster without a pattern
+    value = lambda x: F.when(F.contains(shown, F.lit(x.lower())), F.nullif(T.one_space(F.regexp_extract(text, rf"(?iuU)(?<![\p{{L}}0-9])\Q{x}\E(?![\p{{L}}0-9])\s*(?:[:\-]\s*|\s+)(.+?)(?=\s+(?:{every})(?:\s*[:\-]|\s+)|\s+(?:{ends})\b|$)", 1)), F.lit("")))
     return F.coalesce(*[value(x) for x in labels])
 
 
