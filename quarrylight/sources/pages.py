@@ -200,7 +200,9 @@ def sitemap_urls(xml: Column, limit: int | None = None) -> Column:
     return own if limit is None else F.slice(own, 1, limit)
 
 
-_MOJIBAKE = re.compile(r"[ÃÐÑ][\x80-\xbf -ÿ]|�")
+#: Bytes 80-BF as Latin-1 and as Windows-1252 show them; a sign is a whole UTF-8 character read so, whatever its first byte, never a letter such as Ñ alone.
+_TAIL = "[\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]"
+_MOJIBAKE = re.compile(f"[Â-ß]{_TAIL}|[à-ï]{_TAIL}{{2}}|[ð-ô]{_TAIL}{{3}}")
 
 
 def mend(text: str | None, rounds: int = 2) -> str | None:

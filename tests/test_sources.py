@@ -104,6 +104,12 @@ def test_mending():
     assert pages.mend("Завод".encode().decode("latin-1")) == "Завод" and pages.mend("Ñandú â ð") == "Ñandú â ð" and pages.mend(None) is None
 
 
+@pytest.mark.parametrize("text", ["ESPAÑA", "ÑÑ A", "Ã, Ð", "it’s", "中文", "😀 ok", "a\ufffdb", "\x85 Ê"])
+def test_mending_of_every_letter(text):
+    """Text whose only signs looked like signs once mended, or had another first byte, stayed spoiled."""
+    assert pages.mend(text.encode().decode("latin-1")) == text == pages.mend(text)
+
+
 def test_sitemap(spark):
     xml = "<urlset><url><loc> https://a.ru/1 </loc></url><loc>https://b.ru/2</loc><loc>https://www.a.ru/3</loc></urlset>"
     assert spark.createDataFrame([(xml,)], "x string").select(pages.sitemap_urls(F.col("x")).alias("u")).first().u == ["https://a.ru/1", "https://www.a.ru/3"]
