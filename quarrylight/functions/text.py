@@ -5,7 +5,7 @@ Absence is null: ``clean`` turns blank text to null at the edge, and every funct
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from . import vocabulary as V
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What use makes of a value that is worked out once, however often use names it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), 0)
+
+
 def one_space(x: Column) -> Column:
     """White space runs to one space, ends stripped; null becomes the empty text."""
     return F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U)\s+", " "))

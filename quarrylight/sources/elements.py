@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.text import bound
 
 #: Elements without an end tag, and those whose content isn't text.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -282,11 +283,6 @@ def any_mark(text: Column, marks: tuple[str, ...]) -> Column:
     return found
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """What use makes of a value that is worked out once, however often use names it."""
-    return F.get(F.transform(F.array(value), lambda v: use(v)), 0)
-
-
 def list_items(text: Column, nodes: Column) -> Column:
     """The items of a list page: for each link to a detail page its row (the nearest table row, else list item, article or element marked as one up to six levels up) and what stands there.
 

@@ -129,3 +129,23 @@ def test_usage_cost(spark):
 def test_wall_seconds(spark):
     row = spark.sql("select timestamp_ntz'1970-01-02 00:00:01.5' as t").select(N.wall_seconds("t").alias("x")).first()
     assert row.x == 86401.5
+
+
+def test_marks_hide_no_component_and_no_text_is_cut_twice(spark):
+    """Patterns behind marks find what they find alone, in any letter case; the plan has the cuts twice at most, where each check repeated them before."""
+    import random
+
+    from quarrylight.functions import addresses as A
+
+    rng = random.Random(8)
+    words = "123456 654321 обл. ОБЛ край р-н Р - Н район г. Г.Тверь город гор. пос. с. С.Ивановка д. д.5 Д 7 дом стр.1 литер Б ул. УЛ пер оф.3 каб 4 тер мкр Телефон ТЕЛ. e-mail Email инн БИК вн.тер.г внутригородская территория города муниципального муниципальный округ ᲀн ёлка\u00a0х ооо ᲁом Emaıl ПОᲃ".split(" ")
+    rows = [(None,), ("",)] + [(" ".join(rng.choices(words, k=rng.randrange(1, 14))),) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a string")
+    raw = F.array_compact(F.array(*[F.when(F.col("a").rlike(p), F.lit(k)) for k, p in A.COMPONENTS.items()]))
+    cut = F.regexp_replace(F.regexp_replace(A.T.one_space(F.col("a")), r"^(.*?\b\d{6}\b.*?)\b\d{6}\b.*$", "$1"), r"^(.{20}.*?)" + A.STOP + r".*$", "$1")
+    low = F.translate(F.lower(F.regexp_replace(F.coalesce("a", F.lit("")), "\u00a0", " ")), "ё", "е")
+    for pattern, w in (*A.WRITTEN_OUT, *((p, " ") for p in A.ADMINISTRATION)):
+        low = F.regexp_replace(low, pattern, w)
+    found = df.select("a", A.components(F.col("a")).alias("c"), raw.alias("raw"), A.sanitize(F.col("a")).alias("s"), cut.alias("cut"), A.lookup_text(F.col("a")).alias("l"), A.lookup_text(low).alias("written")).collect()
+    assert all(r.c == r.raw and r.l == r.written and (r.s is None or r.cut.startswith(r.s)) for r in found) and sum(r.s is not None for r in found) > 100
+    assert df.select(A.sanitize(F.col("a")))._jdf.queryExecution().analyzed().toString().count("заказать звонок|") <= 2
