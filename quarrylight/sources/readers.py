@@ -12,6 +12,7 @@ import json
 import re
 import tarfile
 import zipfile
+from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -135,15 +136,29 @@ def read_document(path: str, raw: bytes, depth: int = 0, most: int = 3) -> list[
 DOCUMENT = "path string, format string, depth int, size bigint, text string, tables array<array<array<string>>>, status string"
 
 
-def parsed_files(files: DataFrame) -> DataFrame:
-    """Files (path, content) as rows of text and tables; a file is one row, so it must fit a task. A null content is an empty file."""
+#: A frame of parsed files is handed on at so many rows, or so many characters of text and bytes of files.
+ROWS_AT_ONCE, SIZE_AT_ONCE = 500, 4 << 20
 
-    def work(batches):
-        for pdf in batches:
-            for p, c in zip(pdf["path"], pdf["content"], strict=True):
-                yield pd.DataFrame(read_document(p, c or b""), columns=["path", "format", "depth", "size", "text", "tables", "status"]).astype({"text": object})
 
-    return files.select("path", "content").mapInPandas(work, DOCUMENT)
+def parsed_frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of files, many to a frame: one of its own costs more than a small file's parsing."""
+    frame = lambda rows: pd.DataFrame(rows, columns=["path", "format", "depth", "size", "text", "tables", "status"]).astype({"text": object})
+    rows, size = [], 0
+    for pdf in batches:
+        for p, c in zip(pdf["path"], pdf["content"], strict=True):
+            found = read_document(p, c or b"")
+            rows += found
+            size += sum(r["size"] + len(r["text"] or "") for r in found)
+            if len(rows) >= ROWS_AT_ONCE or size >= SIZE_AT_ONCE:
+                yield frame(rows)
+                rows, size = [], 0
+    if rows:
+        yield frame(rows)
+
+
+def parsed_files(files: DataFrame) -> DataFrame:
+    """Files (path, content) as rows of text and tables; a file is one row, so it must fit a task. A null content is an empty file."""
+    return files.select("path", "content").mapInPandas(parsed_frames, DOCUMENT)
 
 
 def documents(spark: SparkSession, path: str) -> DataFrame:

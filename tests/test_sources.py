@@ -43,6 +43,16 @@ def test_documents_of_every_format(spark, tmp_path):
     assert records["a.csv"].text == "имя | x а | 1"
 
 
+def test_parsed_files_share_frames():
+    """A frame for each file took most of the time of small ones; large ones still part early."""
+    import pandas as pd
+
+    small = pd.DataFrame({"path": [f"{i}.txt" for i in range(1200)], "content": [b"x"] * 1200})
+    large = pd.DataFrame({"path": ["a.txt", "b.txt", "c.zip"], "content": [b"y" * (readers.SIZE_AT_ONCE // 2), None, b"no archive"]})
+    frames = list(readers.parsed_frames(iter([small, large])))
+    assert [len(f) for f in frames] == [500, 500, 201, 2] and list(frames[2]["text"])[-1] == "y" * (readers.SIZE_AT_ONCE // 2) and list(frames[3]["text"])[0] == ""
+
+
 def test_offline_snapshot_last_request_wins(spark, tmp_path):
     data = {"requests": [{"request": "1", "result": [{"inn": "1", "n": "old"}], "result_count": 1, "search_count": 1}, {"request": "1", "result": [{"inn": "2"}, {"inn": "1", "n": "new"}], "result_count": 2, "search_count": 1}, {"request": "3", "result": [], "result_count": 0, "search_count": 1}]}
     (tmp_path / "s.json").write_text(json.dumps(data))
