@@ -20,7 +20,7 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def one_space(x: Column) -> Column:
     """White space runs to one space, ends stripped; null becomes the empty text."""
-    return F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U) \s+|[\s&&[^ ]]\s*", " "))  # a blank alone is left as it is
 
 
 def clean(x: Column) -> Column:

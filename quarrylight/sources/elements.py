@@ -10,9 +10,13 @@ styles and templates, and comments, aren't visible.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from html import unescape
 from html.parser import HTMLParser
-from itertools import accumulate
+from itertools import pairwise
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,72 +30,170 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 UNSEEN = frozenset("script style noscript template".split())
 NODE = "struct<n: int, last: int, path: array<int>, tag: string, id: string, classes: array<string>, attrs: map<string, string>, start: int, end: int>"
 PAGES_AT_ONCE = 64
+#: What stands between < and > in a plain page: an end tag, or a start tag whose attributes stand in double quotes and hold no references; a comment without hyphens or a document type.
+#: Elements whose content parsers read as text aren't plain, but for scripts and styles without "<!" or other end tags of them inside, and titles of text only.
+HEAD = re.compile(r'(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n]+[a-zA-Z_][\w:.-]*="[^"<>&]*")*)[ \t\n]*(/?)', re.ASCII)
+ATTR, SILENT = re.compile(r'([a-zA-Z_][\w:.-]*)="([^"]*)"', re.ASCII), re.compile(r"""!--[^-<>]*--|!(?i:doctype)[^<>"'\[\]]*""", re.ASCII)
+RAW_END = re.compile(r"!|/\s*(?:script|style)", re.ASCII | re.IGNORECASE)
+RAW, TEXTUAL = frozenset({"script", "style"}), frozenset("textarea iframe noembed noframes xmp plaintext".split())
+START, END, CLOSED, NOTHING, ODD = range(5)
 
 
-class Tree(HTMLParser):
-    """Elements as lists: [last, path, tag, attributes, start, end]; the text as its stripped parts, one blank between them."""
+@lru_cache(4096)
+def piece_of(head: str) -> tuple:
+    """What a head of a plain page means: kind, tag, id, classes, names and values of attributes."""
+    m = HEAD.fullmatch(head)
+    if m is None:
+        return (NOTHING if SILENT.fullmatch(head) else ODD, "", "", [], [], [])
+    ended, tag, attrs, closed = m.groups()
+    name = tag.lower()
+    if name in TEXTUAL or name in RAW and (tag != name or closed) or ended and len(head) != len(tag) + 1:
+        return (ODD, "", "", [], [], [])
+    return (END if ended else CLOSED if closed else START, name, *described([(k.lower(), v) for k, v in ATTR.findall(attrs)]))
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.nodes, self.open, self.parts, self.size, self.unseen = [], [], [], 0, 0
 
-    def handle_starttag(self, tag, attrs):
-        self.nodes.append([len(self.nodes), [*self.open], tag, {k: v or "" for k, v in reversed(attrs)}, -1, -1])
-        if tag not in VOID:
-            self.open.append(len(self.nodes) - 1)
-            self.unseen += tag in UNSEEN
+def described(attrs: list[tuple[str, str | None]]) -> tuple:
+    """Id, classes, names and values; of a name that repeats the first counts."""
+    given = {k: v or "" for k, v in reversed(attrs)}
+    return given.get("id", ""), given.get("class", "").split(), list(given), list(given.values())
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
 
-    def handle_endtag(self, tag):
-        if any(self.nodes[i][2] == tag for i in self.open):
-            while True:
-                i = self.open.pop()
-                self.nodes[i][0] = len(self.nodes) - 1
-                self.unseen -= self.nodes[i][2] in UNSEEN
-                if self.nodes[i][2] == tag:
-                    return
+class Elements:
+    """The elements of pages, column by column: a page after the other, its elements in document order. The text of a page is its stripped parts, one blank between them."""
+
+    def __init__(self):
+        self.tags, self.ids, self.last, self.starts, self.ends = [], [], [], [], []
+        self.paths, self.path_ends, self.classes, self.class_ends, self.keys, self.values, self.attr_ends = [], [0], [], [0], [], [], [0]
+        self.texts, self.page_ends = [], [0]
+
+    def begin(self):
+        self.open, self.names, self.marks, self.parts, self.part_starts, self.size, self.unseen = [], [], [], [], [], 0, 0
+
+    def start(self, tag: str, own_id: str, classes: list[str], keys: list[str], values: list[str]):
+        n = len(self.tags) - self.page_ends[-1]
+        self.tags.append(tag)
+        self.ids.append(own_id)
+        self.last.append(n)
+        self.starts.append(0)
+        self.ends.append(0)
+        self.paths.extend(self.open)
+        self.path_ends.append(len(self.paths))
+        if keys:
+            self.classes.extend(classes)
+            self.keys.extend(keys)
+            self.values.extend(values)
+        self.class_ends.append(len(self.classes))
+        self.attr_ends.append(len(self.keys))
+        if tag not in VOID:
+            self.open.append(n)
+            self.names.append(tag)
+            self.marks.append(len(self.parts))
+            self.unseen += tag in UNSEEN
 
-    def handle_data(self, data):
+    def end_last(self) -> str:
+        """Ends the innermost open element; its text goes from the first part since its start to the last."""
+        at, first, name = self.page_ends[-1] + self.open.pop(), self.marks.pop(), self.names.pop()
+        self.last[at] = len(self.tags) - self.page_ends[-1] - 1
+        self.unseen -= name in UNSEEN
+        if first < len(self.parts):
+            self.starts[at], self.ends[at] = self.part_starts[first], self.size
+        return name
+
+    def end(self, tag: str):
+        if tag in self.names:
+            while self.end_last() != tag:
+                pass
+
+    def data(self, data: str):
         found = data.strip()
-        if not found or self.unseen:
-            return
-        start = self.size + bool(self.parts)
-        self.parts.append(found)
-        self.size = start + len(found)
-        for i in self.open:
-            if self.nodes[i][4] < 0:
-                self.nodes[i][4] = start
-            self.nodes[i][5] = self.size
+        if found and not self.unseen:
+            start = self.size + bool(self.parts)
+            self.parts.append(found)
+            self.part_starts.append(start)
+            self.size = start + len(found)
 
     def finish(self):
-        self.close()
         while self.open:
-            self.nodes[self.open.pop()][0] = len(self.nodes) - 1
-
-
-def tree_of(html: str | None) -> Tree:
-    tree = Tree()
-    tree.feed(html or "")
-    tree.finish()
-    return tree
+            self.end_last()
+        self.texts.append(" ".join(self.parts))
+        self.page_ends.append(len(self.tags))
+
+    def page(self, html: str | None):
+        """Adds a page: a plain one piece by piece, any other by the parser."""
+        self.begin()
+        if not self.plain(html or ""):
+            self.drop()
+            self.begin()
+            parser = Parser(self)
+            parser.feed(html)
+            parser.close()
+        self.finish()
+
+    def plain(self, html: str) -> bool:
+        """Reads a page as long as its pieces are plain; False: one isn't."""
+        first, *pieces = html.split("<")
+        if first:
+            self.data(unescape(first) if "&" in first else first)
+        raw, title = "", False
+        for piece in pieces:
+            head, closed, data = piece.partition(">")
+            if raw and (not closed or head != raw):
+                if RAW_END.match(piece):
+                    return False
+                continue
+            kind, tag, *described = piece_of(head)
+            if kind == ODD or not closed or title and (kind != END or tag != "title"):
+                return False
+            raw, title = "", False
+            if kind == START:
+                self.start(tag, *described)
+                if tag in RAW:
+                    raw = f"/{tag}"
+                    continue
+                title = tag == "title"
+            elif kind == END:
+                self.end(tag)
+            elif kind == CLOSED:
+                self.start(tag, *described)
+                if tag not in VOID:
+                    self.end(tag)
+                if tag == "title":
+                    return False
+            if data:
+                self.data(unescape(data) if "&" in data else data)
+        return not raw and not title
+
+    def drop(self):
+        """Forgets what was read of the page."""
+        n = self.page_ends[-1]
+        del self.tags[n:], self.ids[n:], self.last[n:], self.starts[n:], self.ends[n:], self.path_ends[n + 1 :], self.class_ends[n + 1 :], self.attr_ends[n + 1 :]
+        del self.paths[self.path_ends[-1] :], self.classes[self.class_ends[-1] :], self.keys[self.attr_ends[-1] :], self.values[self.attr_ends[-1] :]
+
+    def array(self) -> pa.ListArray:
+        """The elements of each page."""
+        ints = lambda found: pa.array(found, pa.int32())
+        words = lambda found: pa.array(found, pa.string())
+        columns = {
+            "n": ints([n for a, b in pairwise(self.page_ends) for n in range(b - a)]), "last": ints(self.last), "path": pa.ListArray.from_arrays(ints(self.path_ends), ints(self.paths)), "tag": words(self.tags), "id": words(self.ids),
+            "classes": pa.ListArray.from_arrays(ints(self.class_ends), words(self.classes)), "attrs": pa.MapArray.from_arrays(ints(self.attr_ends), words(self.keys), words(self.values)), "start": ints(self.starts), "end": ints(self.ends),
+        }
+        return pa.ListArray.from_arrays(ints(self.page_ends), pa.StructArray.from_arrays(list(columns.values()), names=list(columns)))
+
+
+class Parser(HTMLParser):
+    """Reads what isn't plain: quotes of other kinds, references in attributes, signs that begin no tag, scripts with tags."""
+
+    def __init__(self, elements: Elements):
+        super().__init__(convert_charrefs=True)
+        self.start, self.handle_endtag, self.handle_data = elements.start, elements.end, elements.data
 
+    def handle_starttag(self, tag, attrs):
+        self.start(tag, *described(attrs))
 
-def node_array(trees: list[Tree]) -> pa.StructArray:
-    """The elements of the trees in a row, column by column."""
-    nodes = [x for t in trees for x in t.nodes]
-    lists = lambda found, kind: pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, found))], pa.int32()), pa.array([y for x in found for y in x], kind))
-    given = [x[3] for x in nodes]
-    attrs = pa.MapArray.from_arrays(pa.array([0, *accumulate(map(len, given))], pa.int32()), pa.array([k for a in given for k in a], pa.string()), pa.array([v for a in given for v in a.values()], pa.string()))
-    columns = {
-        "n": pa.array([n for t in trees for n in range(len(t.nodes))], pa.int32()), "last": pa.array([x[0] for x in nodes], pa.int32()), "path": lists([x[1] for x in nodes], pa.int32()), "tag": pa.array([x[2] for x in nodes], pa.string()),
-        "id": pa.array([a.get("id", "") for a in given], pa.string()), "classes": lists([a.get("class", "").split() for a in given], pa.string()), "attrs": attrs,
-        "start": pa.array([max(x[4], 0) for x in nodes], pa.int32()), "end": pa.array([max(x[5], 0) for x in nodes], pa.int32()),
-    }
-    return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
 
 
 def page_elements(pages: DataFrame, html_col: str, keep_html: bool = False) -> DataFrame:
@@ -104,10 +206,10 @@ def page_elements(pages: DataFrame, html_col: str, keep_html: bool = False) -> D
         for whole in batches:
             for offset in range(0, max(1, whole.num_rows), PAGES_AT_ONCE):
                 batch = whole.slice(offset, PAGES_AT_ONCE)
-                trees = [tree_of(html.as_py()) for html in batch.column(at)]
-                texts = pa.array([" ".join(t.parts) for t in trees], pa.string())
-                ends = pa.array([0, *accumulate(len(t.nodes) for t in trees)], pa.int32())
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in back), texts, pa.ListArray.from_arrays(ends, node_array(trees))], [*(names[i] for i in back), "page_text", "nodes"])
+                found = Elements()
+                for html in batch.column(at).to_pylist():
+                    found.page(html)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in back), pa.array(found.texts, pa.string()), found.array()], [*(names[i] for i in back), "page_text", "nodes"])
 
     schema = ", ".join([*(f"`{names[i]}` {kinds[names[i]]}" for i in back), "page_text string", f"nodes array<{NODE}>"])
     return pages.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(work, schema)
@@ -128,9 +230,10 @@ def inside(node: Column, holders: Column) -> Column:
     return F.exists(holders, lambda h: (h["n"] < node["n"]) & (node["n"] <= h["last"]))
 
 
-def within(nodes: Column, holder: Column, test: Callable[[Column], Column]) -> Column:
-    """The descendants of an element that pass a test."""
-    return F.filter(nodes, lambda x: (holder["n"] < x["n"]) & (x["n"] <= holder["last"]) & test(x))
+def within(nodes: Column, holder: Column, test: Callable[[Column], Column] | None = None) -> Column:
+    """The descendants of an element (that pass a test), by their numbers: the other elements of the page aren't read."""
+    own = F.transform(F.sequence(holder["n"], holder["last"]), lambda i: F.get(nodes, i))
+    return F.filter(own, lambda x: (x["n"] > holder["n"]) if test is None else (x["n"] > holder["n"]) & test(x))
 
 
 def marked(node: Column, marks: tuple[str, ...]) -> Column:
@@ -155,7 +258,8 @@ def footers(nodes: Column) -> Column:
 
 
 def is_link(node: Column, begins: str = "") -> Column:
-    return (node["tag"] == "a") & F.startswith(F.lower(F.trim(attr(node, "href"))), F.lit(begins)) & (attr(node, "href") != "")
+    any_link = (node["tag"] == "a") & (attr(node, "href") != "")
+    return any_link & F.startswith(F.lower(F.trim(attr(node, "href"))), F.lit(begins)) if begins else any_link
 
 
 def card_sites(nodes: Column) -> Column:
@@ -257,6 +361,7 @@ LABELS = {
     "date_text": ("Период показа", "Дата начала", "Дата окончания", "Дата публикации", "Срок выполнения", "Окончание", "Дата", "Период", "Начало"),
     "price_text": ("Цена", "Сумма", "Стоимость", "НМЦ"), "procedure_text": ("Процедура", "Тип процедуры", "Тип торгов", "Вид процедуры", "Тип"),
 }
+LABEL_STEMS = ("регион", "отрасл", "категори", "период", "дата", "срок", "окончание", "начало", "цена", "сумма", "стоимость", "нмц", "процедур", "тип")  # one of them stands in each label
 VALUE_ENDS = ("Документы", "Файлы")
 REGION_MARKS = (" фо", "область", "край", "республика", "округ", "автоном", "город", " г ")
 PROCEDURE_MARKS = ("электронный аукцион", "запрос предложений", "запрос котировок", "аукцион", "конкурс", "торги", "редукцион", "продажа")
@@ -264,15 +369,16 @@ SERVICE_TITLES = ("подключить тестовый доступ", "тес
 SERVICE_CELLS = ("подключить тестовый доступ", "тестовый доступ", "расширенный поиск", "международные тендеры", "войти", "зарегистрироваться", "подробнее")
 DATE = r"\b\d{1,2}\.\d{1,2}\.\d{4}\b"
 PRICE = r"(?iu)\b(?:\d{1,3}(?:[\s\u00a0]\d{3})+|\d+)(?:[,.]\d+)?\s*(?:руб\.?|₽)(?=$|\s|[),.;])"
+ITEM_HINT = r"(?i)tender/?\d{4}"  # what a link that has such a path holds
 ITEM_PATH = r"(?i)(?:-tender(?=\d+\.html$)|/tender/(?=\d+/?$))(\d{4,})(?:\.html|/?)$"
 
 
-def labelled(text: Column, labels: tuple[str, ...]) -> Column:
-    """The value after the first of the labels that the text has, up to the next label of any field; null without one."""
+def labelled(text: Column, labels: tuple[str, ...], low: Column) -> Column:
+    """The value after the first of the labels that the text (low: in lower case) has, up to the next label of any field; null without one."""
     every = "|".join(rf"\Q{x}\E" for x in sorted({x for v in LABELS.values() for x in v}, key=len, reverse=True))
     ends = "|".join(VALUE_ENDS)
-    shown = F.lower(text)  # most texts lack most labels, which is seen faster without a pattern
-    value = lambda x: F.when(F.contains(shown, F.lit(x.lower())), F.nullif(T.one_space(F.regexp_extract(text, rf"(?iuU)(?<![\p{{L}}0-9])\Q{x}\E(?![\p{{L}}0-9])\s*(?:[:\-]\s*|\s+)(.+?)(?=\s+(?:{every})(?:\s*[:\-]|\s+)|\s+(?:{ends})\b|$)", 1)), F.lit("")))
+    # most texts lack most labels, which is seen faster without a pattern
+    value = lambda x: F.when(F.contains(low, F.lit(x.lower())), F.nullif(T.one_space(F.regexp_extract(text, rf"(?iuU)\Q{x}\E(?<![\p{{L}}0-9]\Q{x}\E)(?![\p{{L}}0-9])\s*(?:[:\-]\s*|\s+)(.+?)(?=\s+(?:{every})(?:\s*[:\-]|\s+)|\s+(?:{ends})\b|$)", 1)), F.lit("")))
     return F.coalesce(*[value(x) for x in labels])
 
 
@@ -287,55 +393,66 @@ def list_items(text: Column, nodes: Column) -> Column:
     """The items of a list page: for each link to a detail page its row (the nearest table row, else list item, article or element marked as one up to six levels up) and what stands there.
 
     An array of item_id, href, title, snippet, cells and has_document; one per id, the first. A title is the link's own text, else that
-    of another link to an item in the row whose text isn't a service link's; cells are those of a table row.
+    of another link to an item in the row whose text isn't a service link's; cells are those of a table row. Of the page only the row's own elements and text are read for an item.
     """
-    is_service = lambda t: any_mark(F.lower(t), SERVICE_TITLES)
+    is_service = lambda t: bound(F.lower(t), lambda low: any_mark(low, SERVICE_TITLES))
     is_bare = lambda t: F.btrim(F.lower(t), F.lit(" .:+-")).isin(*SERVICE_CELLS)
-    path = lambda x: F.regexp_replace(F.regexp_replace(F.trim(attr(x, "href")), "[?#].*$", ""), "^[a-zA-Z]+://[^/]*", "")
+    bare = lambda href: F.regexp_replace(F.regexp_replace(href, "[?#].*$", ""), "^[a-zA-Z]+://[^/]*", "")
     numbered = lambda p: F.regexp_extract(p, ITEM_PATH, 1)
-    links = F.transform(F.filter(nodes, lambda x: is_link(x)), lambda x: F.struct(x.alias("x"), path(x).alias("p")))
-    wanted = F.filter(F.transform(links, lambda y: F.struct(y["x"].alias("x"), y["p"].alias("p"), numbered(y["p"]).alias("id"))), lambda y: (y["id"] != "") & ~F.startswith(F.lower(y["p"]), F.lit("/tender/search")))
+    hinted = lambda x: (x["tag"] == "a") & attr(x, "href").rlike(ITEM_HINT)
+    links = F.transform(F.filter(nodes, hinted), lambda x: bound(bare(F.trim(attr(x, "href"))), lambda p: F.struct(x.alias("x"), p.alias("p"), numbered(p).alias("id"))))
+    wanted = F.filter(links, lambda y: (y["id"] != "") & ~F.startswith(F.lower(y["p"]), F.lit("/tender/search")))
 
     def row_of(x: Column, above: Column) -> Column:
         rows = F.filter(above, lambda p: p["tag"] == "tr")
-        near = F.filter(F.slice(above, 1, 6), lambda p: p["tag"].isin("li", "article") | any_mark(F.lower(F.array_join(p["classes"], " ")), ROW_MARKS))
+        near = F.filter(F.slice(above, 1, 6), lambda p: p["tag"].isin("li", "article") | bound(F.lower(F.array_join(p["classes"], " ")), lambda low: any_mark(low, ROW_MARKS)))
         return F.coalesce(F.get(rows, 0), F.get(near, 0), F.get(F.slice(above, 6, 1), 0), F.element_at(F.concat(F.array(x), above), -1))
 
     placed = F.transform(wanted, lambda y: F.struct(y.alias("y"), bound(F.transform(F.reverse(y["x"]["path"]), lambda i: F.get(nodes, i)), lambda above: row_of(y["x"], above)).alias("row")))
 
-    def item(y: Column, row: Column, inner: Column, snippet: Column) -> Column:
-        stated = F.regexp_extract(snippet, r"(?iuU)тендер\s*№\s*(\d{4,})", 1)
-        others = F.transform(F.filter(inner, lambda z: is_link(z) & (numbered(path(z)) != "")), lambda z: text_of(text, z))
-        own = text_of(text, y["x"])
-        title = F.when((own != "") & ~is_service(own), own).otherwise(F.coalesce(F.get(F.filter(others, lambda t: (t != "") & ~is_service(t)), 0), own))
-        cells = F.transform(F.filter(inner, lambda z: (row["tag"] == "tr") & z["tag"].isin("td", "th") & (F.element_at(z["path"], -1) == row["n"])), lambda z: text_of(text, z))
-        files = F.exists(inner, lambda z: is_link(z) & any_mark(F.lower(attr(z, "href")), ("doc", "file", "download", "attachment")))
+    def item(y: Column, row: Column, inner: Column, shown: Column, snippet: Column, low: Column) -> Column:
+        cut = lambda z: F.substring(shown, z["start"] - row["start"] + 1, z["end"] - z["start"])
+        piece = lambda z: F.when(snippet == shown, cut(z)).otherwise(T.one_space(cut(z)))
+        stated = F.when(F.contains(snippet, F.lit("№")), F.regexp_extract(snippet, r"(?iuU)тендер\s*№\s*(\d{4,})", 1))
+        others = F.transform(F.filter(inner, lambda z: hinted(z) & (numbered(bare(F.trim(attr(z, "href")))) != "")), piece)
+        title = bound(piece(y["x"]), lambda own: F.when((own != "") & ~is_service(own), own).otherwise(F.coalesce(F.get(F.filter(others, lambda t: (t != "") & ~is_service(t)), 0), own)))
+        cells = F.transform(F.filter(inner, lambda z: (row["tag"] == "tr") & z["tag"].isin("td", "th") & (F.element_at(z["path"], -1) == row["n"])), piece)
+        files = F.exists(inner, lambda z: is_link(z) & bound(F.lower(attr(z, "href")), lambda href: any_mark(href, ("doc", "file", "download", "attachment"))))
         return F.struct(
             F.coalesce(F.nullif(stated, F.lit("")), y["id"]).alias("item_id"), F.trim(attr(y["x"], "href")).alias("href"), title.alias("title"), snippet.alias("snippet"),
-            F.filter(cells, lambda t: (t != "") & ~is_bare(t)).alias("cells"), (files | any_mark(F.lower(snippet), ("документ", "файл"))).alias("has_document"),
+            F.filter(cells, lambda t: (t != "") & ~is_bare(t)).alias("cells"), (files | any_mark(low, ("документ", "файл"))).alias("has_document"),
         )
 
-    held = lambda r: F.filter(nodes, lambda z: (r["n"] < z["n"]) & (z["n"] <= r["last"]))
-    found = F.transform(placed, lambda q: bound(held(q["row"]), lambda inner: bound(text_of(text, q["row"]), lambda snippet: item(q["y"], q["row"], inner, snippet))))
-    return bound(found, lambda items: F.filter(items, lambda x, i: ~F.exists(F.slice(items, 1, i), lambda z: z["item_id"] == x["item_id"])))
+    def made(q: Column) -> Column:
+        row, whole = q["row"], F.substring(text, q["row"]["start"] + 1, q["row"]["end"] - q["row"]["start"])
+        parts = F.array(F.struct(within(nodes, row).alias("inner"), whole.alias("shown")))
+        worded = F.transform(parts, lambda v: F.struct(v["inner"].alias("inner"), v["shown"].alias("shown"), T.one_space(v["shown"]).alias("snippet")))
+        return F.get(F.transform(worded, lambda v: item(q["y"], row, v["inner"], v["shown"], v["snippet"], F.lower(v["snippet"]))), 0)
+
+    once = lambda items: bound(F.transform(items, lambda x: x["item_id"]), lambda ids: F.filter(items, lambda x, i: F.array_position(ids, x["item_id"]) == i + 1))
+    return bound(F.transform(placed, made), once)
 
 
 def item_fields(items: DataFrame) -> DataFrame:
     """Rows with snippet and cells, and region, industry, date_text, price_text, procedure_text: by label in the row's text, else by label or look in the first cell that has one."""
-    low = lambda t: F.concat(F.lit(" "), F.lower(t), F.lit(" "))
-    region = lambda c: F.when(F.contains(c, F.lit(" / ")) & any_mark(low(c), REGION_MARKS), c)
+    region = lambda c, low: F.when(F.contains(c, F.lit(" / ")) & bound(F.concat(F.lit(" "), low, F.lit(" ")), lambda x: any_mark(x, REGION_MARKS)), c)
     dates = lambda c: F.slice(F.regexp_extract_all(c, F.lit(f"({DATE})"), F.lit(1)), 1, 2)
     dashed = lambda c: F.regexp_extract(c, f"{DATE}(.*?){DATE}", 1).rlike("[-–]")
-    date = lambda c: F.nullif(F.when(dashed(c), F.array_join(dates(c), " - ")).otherwise(F.array_join(dates(c), " ")), F.lit(""))
-    price = lambda c: F.coalesce(F.nullif(T.one_space(F.regexp_extract(c, PRICE, 0)), F.lit("")), F.when(c.rlike(r"(?iu)\bсм\.\s*док"), "См. док."))
-    kind = lambda c: F.when(any_mark(F.lower(c), PROCEDURE_MARKS), c)
-    industry = lambda c: F.when(F.contains(c, F.lit(" / ")) & region(c).isNull() & date(c).isNull() & price(c).isNull() & kind(c).isNull(), c)
+    joined = lambda c: bound(dates(c), lambda found: F.nullif(F.when((F.size(found) > 1) & dashed(c), F.array_join(found, " - ")).otherwise(F.array_join(found, " ")), F.lit("")))
+    # dates, and "см. док", have points; prices have their currency
+    date = lambda c, low: F.when(F.contains(c, F.lit(".")), joined(c))
+    sum_of = lambda c, low: F.when(any_mark(low, ("руб", "₽")), F.nullif(T.one_space(F.regexp_extract(c, PRICE, 0)), F.lit("")))
+    price = lambda c, low: F.coalesce(sum_of(c, low), F.when(F.contains(c, F.lit(".")) & c.rlike(r"(?iu)\bсм\.\s*док"), "См. док."))
+    kind = lambda c, low: F.when(any_mark(low, PROCEDURE_MARKS), c)
+    industry = lambda c, low: F.when(F.contains(c, F.lit(" / ")) & region(c, low).isNull() & date(c, low).isNull() & price(c, low).isNull() & kind(c, low).isNull(), c)
     looks = {"region": region, "industry": industry, "date_text": date, "price_text": price, "procedure_text": kind}
 
     def by_cell(name: str) -> Column:
-        return F.get(F.filter(F.transform("cells", lambda c: F.coalesce(labelled(c, LABELS[name]), looks[name](c))), lambda v: v.isNotNull()), 0)
+        found = lambda x: F.coalesce(F.when(x["any"], labelled(x["c"], LABELS[name], x["low"])), looks[name](x["c"], x["low"]))
+        return F.get(F.filter(F.transform("__cells", found), lambda v: v.isNotNull()), 0)
 
-    return items.withColumns({name: F.coalesce(labelled(F.col("snippet"), LABELS[name]), by_cell(name)) for name in looks})
+    lowered = items.withColumns({"__low": F.lower("snippet"), "__cells": F.transform("cells", lambda c: bound(F.lower(c), lambda low: F.struct(c.alias("c"), low.alias("low"), any_mark(low, LABEL_STEMS).alias("any"))))})
+    return lowered.withColumns({name: F.coalesce(labelled(F.col("snippet"), LABELS[name], F.col("__low")), by_cell(name)) for name in looks}).drop("__low", "__cells")
 
 
 def list_signal(items: Column, error: Column, applied: Column, registration: Column, stated: Column, positive: Column, negative: Column) -> Column:
@@ -345,7 +462,8 @@ def list_signal(items: Column, error: Column, applied: Column, registration: Col
     """
     seen = F.size(items)
     count = F.greatest(seen, F.coalesce(stated, F.lit(0)))
-    said = lambda x, terms: F.exists(terms, lambda t: F.contains(F.lower(F.concat_ws(" ", x["title"], x["snippet"])), t))
-    hits = F.transform(F.filter(items, lambda x: said(x, positive) & ~said(x, negative)), lambda x: x["item_id"])
+    said = lambda shown, terms: F.exists(terms, lambda t: F.contains(shown, t))
+    hit = lambda x: bound(F.lower(F.concat_ws(" ", x["title"], x["snippet"])), lambda shown: said(shown, positive) & ~said(shown, negative))
+    hits = F.transform(F.filter(items, hit), lambda x: x["item_id"])
     status = F.when(error, "error").when(~applied, "not_applied").when(registration & (seen == 0), "registration_limited").when(count == 0, "zero").otherwise("visible")
     return F.struct(status.alias("status"), seen.alias("n_visible"), F.when(status == "visible", hits).otherwise(F.array().cast("array<string>")).alias("matched_ids"))

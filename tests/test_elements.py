@@ -1,6 +1,7 @@
 """Element trees against a second parser, scoped rules on odd pages, run insights and id mentions on odd rows."""
 
 import random
+import time
 import xml.etree.ElementTree as ET
 
 import pytest
@@ -77,6 +78,36 @@ def test_trees_of_odd_pages(spark):
     assert E.page_elements(same, "html").columns == ["k", "score", "page_text", "nodes"] and E.page_elements(same, "html").count() == 2
 
 
+def trees(read, pages):
+    found = E.Elements()
+    for html in pages:
+        found.begin()
+        if read(found, html) is False:
+            found.drop()
+        else:
+            found.finish()
+    return found.texts, found.array().to_pylist()
+
+
+def by_parser(found, html):
+    parser = E.Parser(found)
+    parser.feed(html)
+    parser.close()
+
+
+def test_plain_pages_by_the_parser():
+    rnd = random.Random(8)
+    pieces = ["<p>", "</p>", '<div class="a b" id="x">', "</div>", '<a href="/x?a=1">', "</a>", '<a href="/x?a=1&amp;b">', "text ", " & ", "&amp;", "&lt", "<br/>", "<br>", "<script>", "</script>", '<script>var a="<tr></b>";</script>', "<STYLE>a</STYLE>", "<!-- c -->", "<!-- a-b -->", "<!doctype html>", "<title>a</title>", "<title>a<b></title>", "<title/>", "<", ">", '"', "<i x='1'>", "<i x>", '<I X="1" x="2">', "</I>", "</i >", "<p/>", "<textarea>a</textarea>", "<template>q", "<ſcript>", "<!", "</", "é"]
+    pages = ["".join(rnd.choice(pieces) for _ in range(rnd.randrange(9))) for _ in range(6000)]
+    plain = [h for h in pages if trees(lambda e, x: e.plain(x), [h])[0]]
+    assert len(plain) > 1000 and len(plain) < len(pages)
+    assert trees(lambda e, x: e.plain(x), pages) == trees(by_parser, plain)
+    whole = E.Elements()
+    for h in pages:
+        whole.page(h)
+    assert (whole.texts, whole.array().to_pylist()) == trees(by_parser, pages)
+
+
 # cards
 
 
@@ -149,6 +180,22 @@ def test_rows_and_their_fields(spark):
     assert items(spark, None) == [] and items(spark, "<p>x</p>") == []
 
 
+def test_items_read_their_own_row(spark):
+    """Time of a page of many rows is about that of as many rows on several pages."""
+    def page(first, n):
+        return "<table>" + "".join(f'<tr><td><a href="/tender/{100000 + i}">Lot {i}</a></td><td>Цена: {i} руб.</td><td>Регион:  Тула</td></tr>' for i in range(first, first + n)) + "</table>"
+
+    def took(pages):
+        found = parsed(spark, *pages).select(F.explode(E.list_items(F.col("page_text"), F.col("nodes"))).alias("i")).select("i.*")
+        rows = found.select("item_id", "title", "snippet").collect()
+        assert sorted(rows) == [(str(100000 + i), f"Lot {i}", f"Lot {i} Цена: {i} руб. Регион: Тула") for i in range(4000)]
+        began = time.time()
+        found.write.format("noop").mode("overwrite").save()
+        return time.time() - began
+
+    assert took([page(0, 4000)]) < 5 * took([page(100 * i, 100) for i in range(40)]) + 2
+
+
 def test_signals_in_order(spark):
     none, yes, no = F.lit(None).cast("int"), F.lit(True), F.lit(False)
     html = '<li><a href="/tender/11111">Лом</a></li><li><a href="/tender/22222">Лом и бумага</a></li>'
