@@ -102,7 +102,9 @@ def card_pages(spark, d):
     text = k.cast("string")
     value = F.when(k % 4 == 0, '<span class="plug-value js-popup-open" data-popup="demo">+7 ***</span>').when(k % 4 == 1, "Сведения отсутствуют").when(k % 4 == 2, "").otherwise(F.concat(F.lit("Director "), text))
     scope = F.when(k % 3 == 0, F.concat(F.lit('<div id="contacts-row"><div class="company-info__contact phone"><a href="tel:+74950000000">+7 495 '), text, F.lit('</a><div class="company-info__contact-notice">main</div></div><a href="http://own'), text, F.lit('.example/">site</a></div>'))).otherwise(F.lit(""))
-    return table(spark, d, "customer").select(
+    # a file of customers is small beside its pages: these are made and read in as many tasks as there are cores, however few pieces the file has
+    customers = table(spark, d, "customer").select("c_custkey", "c_nationkey").repartition(2 * spark.sparkContext.defaultParallelism, "c_custkey")
+    return customers.select(
         "c_custkey",
         F.concat(
             F.lit('<html><body><div id="main_info" data-user="'), F.when(k % 2 == 0, "true").when(k % 3 == 0, "0").otherwise(""), F.lit('"></div>'), scope,

@@ -238,11 +238,8 @@ def within(nodes: Column, holder: Column, test: Callable[[Column], Column] | Non
 
 def marked(node: Column, marks: tuple[str, ...]) -> Column:
     """Whether the classes or the id of an element hold one of the marks."""
-    names = F.lower(F.concat_ws(" ", node["classes"], node["id"]))
-    found = F.lit(False)
-    for m in marks:
-        found = found | F.contains(names, F.lit(m))
-    return found
+    named = (F.size(node["classes"]) > 0) | (node["id"] != "")
+    return named & bound(F.lower(F.concat_ws(" ", node["classes"], node["id"])), lambda names: any_mark(names, marks))
 
 
 #: What the class or id of a footer holds; the scopes of a card's contacts by id, class and click mark; labels of addresses; classes of a mask; the phrase of an absent value.
@@ -268,25 +265,25 @@ def card_sites(nodes: Column) -> Column:
     row = F.filter(nodes, lambda x: x["id"] == CONTACT_ID)
     own = F.filter(nodes, lambda x: F.array_contains(x["classes"], CONTACT_CLASS) & F.array_contains(x["classes"], "site"))
     tracked = lambda x: F.contains(F.lower(attr(x, "data-track-click")), F.lit("contacts,site"))
-    first = F.filter(links, lambda x: inside(x, row) | inside(x, own) | tracked(x))
-    rest = F.filter(links, lambda x: ~inside(x, footers(nodes)))
+    first = lambda found: bound(F.concat(row, own), lambda scopes: F.filter(found, lambda x: inside(x, scopes) | tracked(x)))
+    rest = lambda found: bound(footers(nodes), lambda feet: F.filter(found, lambda x: ~inside(x, feet)))
     href = lambda found: F.array_distinct(F.transform(found, lambda x: F.trim(attr(x, "href"))))
-    return F.when(F.size(first) > 0, href(first)).otherwise(href(rest))
+    return bound(links, lambda every: bound(first(every), lambda some: href(F.when(F.size(some) > 0, some).otherwise(rest(every)))))
 
 
 def card_contacts(text: Column, nodes: Column, kind: str) -> Column:
     """Visible contacts of a card as (value, note): kind tel or mailto, in the contact row or marked by a click; the note stands in the same contact element."""
     name = {"tel": "contacts,phone", "mailto": "contacts,email"}[kind]
     row = F.filter(nodes, lambda x: x["id"] == CONTACT_ID)
-    links = F.filter(nodes, lambda x: is_link(x, f"{kind}:") & (inside(x, row) | F.contains(F.lower(attr(x, "data-track-click")), F.lit(name))))
+    links = bound(row, lambda rows: F.filter(nodes, lambda x: is_link(x, f"{kind}:") & (inside(x, rows) | F.contains(F.lower(attr(x, "data-track-click")), F.lit(name)))))
     bare = lambda x: F.trim(F.regexp_replace(attr(x, "href"), f"(?i)^{kind}:", ""))
     seen = lambda x: F.nullif(text_of(text, x), F.lit(""))
     value = (lambda x: F.coalesce(seen(x), bare(x))) if kind == "tel" else (lambda x: F.lower(F.coalesce(F.nullif(bare(x), F.lit("")), seen(x), F.lit(""))))
 
     def note(x: Column) -> Column:
         holders = F.filter(nodes, lambda h: (h["tag"] == "div") & F.array_contains(h["classes"], CONTACT_CLASS) & (h["n"] < x["n"]) & (x["n"] <= h["last"]))
-        nearest = F.get(F.slice(holders, -1, 1), 0)
-        return F.coalesce(F.get(F.transform(within(nodes, nearest, lambda y: F.array_contains(y["classes"], NOTE_CLASS)), lambda y: text_of(text, y)), 0), F.lit(""))
+        noted = lambda nearest: F.get(F.transform(within(nodes, nearest, lambda y: F.array_contains(y["classes"], NOTE_CLASS)), lambda y: text_of(text, y)), 0)
+        return F.coalesce(bound(F.element_at(F.concat(F.array(F.lit(None).cast(NODE)), holders), -1), noted), F.lit(""))
 
     return F.transform(links, lambda x: F.struct(value(x).alias("value"), note(x).alias("note")))
 
@@ -299,26 +296,30 @@ def structured_addresses(text: Column, nodes: Column, pairs: Column | None = Non
     own = F.filter(nodes, lambda x: attr(x, "itemprop") == "address")
 
     def joined(a: Column) -> Column:
-        part = lambda name: F.coalesce(F.get(F.transform(within(nodes, a, lambda y: attr(y, "itemprop") == name), lambda y: F.nullif(F.coalesce(F.nullif(text_of(text, y), F.lit("")), attr(y, "content")), F.lit(""))), 0))
-        street, postal, region = part("streetAddress"), part("postalCode"), part("addressRegion")
-        return F.when(street.isNotNull() & (postal.isNotNull() | region.isNotNull()), F.concat_ws(", ", postal, region, street))
+        said = lambda y: bound(text_of(text, y), lambda t: F.nullif(F.when(t != "", t).otherwise(attr(y, "content")), F.lit("")))
+        part = lambda inner, name: F.get(F.transform(F.filter(inner, lambda y: attr(y, "itemprop") == name), said), 0)
+        named = within(nodes, a, lambda y: attr(y, "itemprop") != "")
+        parts = bound(named, lambda inner: F.array(*[part(inner, name) for name in ("postalCode", "addressRegion", "streetAddress")]))
+        return bound(parts, lambda p: F.when(F.get(p, 2).isNotNull() & (F.get(p, 0).isNotNull() | F.get(p, 1).isNotNull()), F.array_join(p, ", ")))
 
     found = F.flatten(F.transform(own, lambda a: F.array(F.nullif(text_of(text, a), F.lit("")), joined(a))))
     if pairs is not None:
         hit = lambda k: F.exists(F.array(*map(F.lit, ADDRESS_LABELS)), lambda m: F.contains(F.lower(k), m))
         labelled = F.transform(F.filter(F.coalesce(F.map_entries(pairs), F.array().cast("array<struct<key: string, value: string>>")), lambda e: hit(e["key"])), lambda e: e["value"])
         found = F.concat(labelled, found)
-    once = F.array_distinct(F.filter(F.transform(found, T.clean), lambda a: a.isNotNull() & (a != "")))
-    return F.filter(once, lambda a: ~F.exists(once, lambda b: (a != b) & F.contains(F.lower(b), F.lower(a))))
+    once = F.array_distinct(F.filter(F.transform(found, lambda a: bound(T.one_space(a), lambda t: F.nullif(t, F.lit("")))), lambda a: a.isNotNull()))
+    lowered = F.transform(once, lambda a: F.struct(a.alias("a"), F.lower(a).alias("low")))
+    longest = bound(lowered, lambda every: F.filter(every, lambda x: ~F.exists(every, lambda y: (x["a"] != y["a"]) & F.contains(y["low"], x["low"]))))
+    return F.transform(longest, lambda x: x["a"])
 
 
 def value_state(text: Column, nodes: Column, node: Column) -> Column:
     """masked where the value, or something in it, opens a pop-up instead of showing; absent by its phrase or an empty text; else open."""
     has = lambda x, *names: F.array_size(F.array_intersect(x["classes"], F.array(*map(F.lit, names)))) == len(names)
     popup = lambda x: has(x, MASK_CLASSES[1]) & (attr(x, "data-popup") == MASK_POPUP)
-    hidden = popup(node) | (F.size(within(nodes, node, lambda x: has(x, *MASK_CLASSES) | popup(x))) > 0)
-    shown = F.lower(text_of(text, node))
-    return F.when(node.isNull(), None).when(hidden, "masked").when((shown == "") | F.contains(shown, F.lit(ABSENT_PHRASE)), "absent").otherwise("open")
+    hidden = lambda v: popup(v) | (F.size(within(nodes, v, lambda x: has(x, *MASK_CLASSES) | popup(x))) > 0)
+    shown = lambda v: bound(F.lower(text_of(text, v)), lambda t: F.when((t == "") | F.contains(t, F.lit(ABSENT_PHRASE)), "absent").otherwise("open"))
+    return bound(node, lambda v: F.when(v.isNull(), None).when(hidden(v), "masked").otherwise(shown(v)))
 
 
 def access_state(nodes: Column) -> Column:

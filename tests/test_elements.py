@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarrylight.operators import insights, joins
+from quarrylight.plans import listings
 from quarrylight.sources import elements as E
 
 
@@ -120,6 +121,13 @@ def test_links_in_footers_are_left_out(spark):
     assert one(spark, "", E.card_sites(F.col("nodes"))) == []
 
 
+def test_cards_of_a_small_file_are_spread(spark, tmp_path):
+    spark.range(0, 400, 1, 1).selectExpr("id as c_custkey", "id % 25 as c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spread = listings.card_pages(spark, str(tmp_path)).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert spread >= spark.sparkContext.defaultParallelism
+    assert listings.card_scopes(spark, str(tmp_path)).filter("sites <> '' and reader is not null").count() == 400
+
+
 def test_contacts_with_notes(spark):
     html = '<div id="contacts-row"><div class="company-info__contact"><a href="tel:+7 1"> 8 495 </a><i class="company-info__contact-notice">day</i></div><a href="TEL:22"></a><a href="mailto:A@B.ru">x</a></div><a href="tel:33">33</a><a data-track-click="contacts,phone" href="tel:44">44</a>'
     assert [tuple(x) for x in one(spark, html, E.card_contacts(F.col("page_text"), F.col("nodes"), "tel"))] == [("8 495", "day"), ("22", ""), ("44", "")]
