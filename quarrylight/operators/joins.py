@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import staged
+
 
 def equi_lookup(rows: DataFrame, sources: DataFrame, on: str, order: str, value: str, most: int | None = None) -> DataFrame:
     """Each row with the values of its sources in their order, as an array (empty if there is none).
@@ -73,11 +75,11 @@ def token_lookup(rows: DataFrame, row_id: str, row_tokens: Column, table: DataFr
     token sets of the pairs found are then compared whole. A frequent token makes pairs only for entries that have no rarer ones; where all tokens are needed
     and more than hot_rows rows hold even the rarest, an entry is looked up by its two rarest together.
     """
-    a = rows.select(row_id, F.array_distinct(row_tokens).alias("__a"))
     b = table.select(entry_id, F.array_distinct(entry_tokens).alias("__b"))
-    inverted = a.select(row_id, F.explode("__a").alias("token"))
     entries = b.select(entry_id, F.explode("__b").alias("token"))
-    held = inverted.join(entries.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("held"))
+    # the rows' tokens are made once; of them only those of some entry are kept, which is all that a comparison with an entry needs
+    inverted = staged(rows.select(row_id, F.explode(F.array_distinct(row_tokens)).alias("token")).join(entries.select("token").distinct(), "token", "left_semi").select(row_id, "token"), "tokens")
+    held = inverted.groupBy("token").agg(F.count(F.lit(1)).alias("held"))
     rarest = entries.join(held, "token", "left").groupBy(entry_id).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "token"))).alias("t"))
     enough = F.size("t") if least is None else F.lit(least)
     probes = rarest.filter(F.size("t") >= enough).select(entry_id, F.explode(F.slice("t", F.lit(1), F.size("t") - (enough - 1))).alias("p")).filter("p.held > 0").select(entry_id, "p.token")
@@ -85,11 +87,12 @@ def token_lookup(rows: DataFrame, row_id: str, row_tokens: Column, table: DataFr
         one, two = F.get("t", F.lit(0)), F.get("t", F.lit(1))
         hot = rarest.filter((F.size("t") > 1) & (one["held"] > hot_rows)).select(entry_id, one["token"].alias("token"), two["token"].alias("other"), two["held"].alias("held"))
         probes = probes.join(hot.select(entry_id), entry_id, "left_anti")
-        with_hot = inverted.join(hot.select("token").distinct(), "token", "left_semi").join(a, row_id).select(row_id, "token", F.explode("__a").alias("other"))
+        with_hot = inverted.join(hot.select("token").distinct(), "token", "left_semi").join(inverted.select(row_id, F.col("token").alias("other")), row_id)
         both = with_hot.join(hot.filter("held > 0").drop("held"), ["token", "other"]).select(row_id, entry_id)
         found = inverted.join(probes, "token").select(row_id, entry_id).unionByName(both).distinct()
     else:
         found = inverted.join(probes, "token").select(row_id, entry_id).distinct()
+    a = inverted.join(found.select(row_id), row_id, "left_semi").groupBy(row_id).agg(F.collect_set("token").alias("__a"))
     shared = F.size(F.array_intersect("__a", "__b")).cast("bigint")
     wanted = F.size("__b") if least is None else F.lit(least)
     return found.join(a, row_id).join(b, entry_id).filter(shared >= wanted).select(row_id, entry_id, shared.alias("n_shared"))

@@ -155,3 +155,17 @@ def test_first_sources_of_a_hot_key(spark):
     rows, sources = spark.createDataFrame([(1,), (2,), (3,)], "k int"), spark.createDataFrame([(1, i, f"v{i:03d}") for i in range(200)] + [(2, 5, "x"), (None, 1, "n")], "k int, o int, v string")
     found = {r.k: r.found for r in joins.equi_lookup(rows, sources, "k", "o", "v", 3).collect()}
     assert found == {1: ["v000", "v001", "v002"], 2: ["x"], 3: []} and len(joins.equi_lookup(rows, sources, "k", "o", "v").filter("k = 1").first().found) == 200
+
+
+def test_lookup_makes_tokens_once_and_joins_texts_of_an_id(spark, monkeypatch):
+    made = []
+    staged = joins.staged
+    monkeypatch.setattr(joins, "staged", lambda df, name: (made.append(name), staged(df, name))[1])
+    rows = spark.createDataFrame([(1, ["a", "b", "x"]), (1, ["c", "a"]), (2, ["a", "b"]), (3, []), (4, None), (None, ["a", "b", "c"])], "i bigint, a array<string>")
+    entries = spark.createDataFrame([(9, ["a", "b", "c", "c"]), (8, ["z"]), (7, [])], "k bigint, b array<string>")
+    for least, want in ((3, [(1, 9, 3)]), (2, [(1, 9, 3), (2, 9, 2)]), (None, [(1, 9, 3)])):
+        for hot in (0, 100):
+            found = joins.token_lookup(rows, "i", F.col("a"), entries, "k", F.col("b"), least, hot)
+            assert sorted(map(tuple, found.collect())) == want
+            assert made == ["tokens"] and "Generate explode(a" not in found._jdf.queryExecution().toString()
+            made.clear()
