@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .ranges import staged
 
 
 def present(c: Column, kind: str) -> Column:
@@ -85,10 +86,18 @@ def source_digest(items: DataFrame, key: Sequence[str], kind: str, value: str, o
 
 def activity_terms(rows: DataFrame, key: str, text: str, order: str, banned: Sequence[str], most: int = 18, least: int = 5) -> DataFrame:
     """Per key its most frequent words that aren't banned, of equal counts the first."""
-    words = rows.select(key, order, F.posexplode(F.split(F.lower(text), r"(?U)[^\p{L}]+")).alias("__p", "term")).filter((F.char_length("term") >= least) & ~F.col("term").isin(*banned))
-    counts = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(order, "__p")).alias("__first"))
-    w = Window.partitionBy(key).orderBy(F.desc("n"), "__first")
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).drop("__first")
+    split = F.split(F.lower(text), r"(?U)[^\p{L}]+")
+    words = rows.select(key, order, F.explode(split).alias("term")).filter((F.char_length("term") >= least) & ~F.col("term").isin(*banned))
+    # counts and first rows are plain numbers, which tasks add up in a hash table; places in a row are looked up for the words that lead only
+    counts = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("__row"))
+    lead = counts.withColumn("rank", F.rank().over(Window.partitionBy(key).orderBy(F.desc("n"), F.col("__row").asc_nulls_last()))).filter(F.col("rank") <= most).drop("rank")
+    lead = staged(lead, "terms")
+    wanted = lead.select(F.col(key).alias("__key"), "__row", F.col("term").alias("__term"))
+    first = rows.select(key, order, text).join(wanted, F.col(key).eqNullSafe(F.col("__key")) & F.col(order).eqNullSafe(F.col("__row")))
+    places = first.groupBy("__key", "__term").agg(F.min(F.nullif(F.array_position(split, F.col("__term")), F.lit(0))).alias("__place"))
+    placed = lead.join(places, lead[key].eqNullSafe(places["__key"]) & (lead["term"] == places["__term"])).drop("__key", "__term")
+    w = Window.partitionBy(key).orderBy(F.desc("n"), F.col("__row").asc_nulls_last(), "__place")
+    return placed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).drop("__row", "__place")
 
 
 def site_hints(hints: DataFrame, key: str, url: str, reason: str, order: str, most_sites: int = 5, most_reasons: int = 4) -> DataFrame:
