@@ -95,16 +95,16 @@ def run_events(events):
 
 
 def stream_telemetry(spark, d):
-    """Four ledgers folded from a feed in several batches, the last of which is sent twice."""
-    path = shared_folder(spark, "telemetry")
-    table(spark, d, "events").repartitionByRange(3, "event_id").write.parquet(f"{path}/feed")
+    """Four ledgers folded from a feed in several batches, the last of which is sent twice. A batch is a third of the events, in as many files as keep all cores busy."""
+    path, files = shared_folder(spark, "telemetry"), max(16, int(spark.conf.get("spark.sql.shuffle.partitions")) // 3)
+    table(spark, d, "events").repartitionByRange(3 * files, "event_id").write.parquet(f"{path}/feed")
     ledger, seen = stores.Ledger(spark, f"{path}/ledger"), []
 
     def each(batch, i):
         telemetry.apply_batch(ledger, run_events(batch), i)
         seen.append(i)
 
-    stores.run_through(S.read_events(spark, f"{path}/feed", max_files=1), each, f"{path}/state")
+    stores.run_through(S.read_events(spark, f"{path}/feed", max_files=files), each, f"{path}/state")
     if seen and telemetry.apply_batch(ledger, run_events(table(spark, d, "events")), seen[-1]):
         raise ValueError("a batch counted twice")
     t = telemetry.summaries(ledger)

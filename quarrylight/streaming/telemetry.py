@@ -10,14 +10,16 @@ finished (null: no span), queued, began, ended (null: no drain).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ranges import earlier, running_sum, with_carry, with_range, within
+from ..operators.ranges import PART, earlier, with_range
 from ..operators.rollups import poisoned_sums
 from .stores import Ledger
 
-DIGITS, SLOWEST = 8, 3
+DIGITS, SLOWEST, LEAST_HOT = 8, 3, 10_000
 
 
 def host_rows(events: DataFrame) -> DataFrame:
@@ -48,17 +50,45 @@ def span_rows(events: DataFrame) -> DataFrame:
     return events.filter("finished >= started").select("owner", "started", "finished", F.lit(1).cast("bigint").alias("n"), length.alias("seconds"), length.alias("longest"))
 
 
-def merged_spans(rows: DataFrame) -> DataFrame:
-    """One row per owner and stretch of time that its spans cover without a gap; touching spans are one. A hot owner's spans are cut into ranges of time."""
-    once = rows.groupBy("owner", "started").agg(F.max("finished").alias("finished"), F.sum("n").alias("n"), F.sum("seconds").alias("seconds"), F.max("longest").alias("longest"))
-    ranged = with_range(once, "started")
-    carried = with_carry(ranged, ["owner"], {"__most": F.max("finished")}, {"__before": F.max("__most").over(earlier(["owner"]))})
-    here = F.max("finished").over(within(["owner"], "started").rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.coalesce(F.col("started") > F.greatest("__before", here), F.lit(True)).cast("long")
-    numbered = running_sum(carried.withColumn("__fresh", fresh).drop("__before"), ["owner"], "started", F.col("__fresh"), "__stretch")
-    return numbered.groupBy("owner", "__stretch").agg(
-        F.min("started").alias("started"), F.max("finished").alias("finished"), F.sum("n").alias("n"), F.sum("seconds").alias("seconds"), F.max("longest").alias("longest"),
-    ).drop("__stretch")
+def span_sums() -> list[Column]:
+    return [F.max("finished").alias("finished"), F.sum("n").alias("n"), F.sum("seconds").alias("seconds"), F.max("longest").alias("longest")]
+
+
+def stretches(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of spans merged by key to one row per stretch without a gap, in one sort of each key's rows; of equal starts the order doesn't matter."""
+    w = Window.partitionBy(*key).orderBy("started")
+    before = F.max("finished").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = rows.withColumn("__fresh", F.coalesce(F.col("started") > before, F.lit(True)).cast("long"))
+    numbered = fresh.withColumn("__stretch", F.sum("__fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*key, "__stretch").agg(F.min("started").alias("started"), *span_sums()).drop("__stretch")
+
+
+def merged_spans(rows: DataFrame, least: int = LEAST_HOT) -> DataFrame:
+    """One row per owner and stretch of time that its spans cover without a gap; touching spans are one.
+
+    An owner with more rows than a shuffle partition has on average, and than least, is hot: its spans are cut into ranges of time. Fewer owners than partitions can be.
+    """
+    counted = rows.groupBy("owner").agg(F.count(F.lit(1)).alias("n"))
+    found = counted.agg(F.sum("n").alias("total"), F.max("n").alias("most")).first()
+    bar = max(least, (found["total"] or 0) / int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if (found["most"] or 0) <= bar:
+        return stretches(rows, ["owner"])
+    names = [r["owner"] for r in counted.filter(F.col("n") > bar).collect()]
+    hot = F.when(F.col("owner").isNull(), None in names).otherwise(F.col("owner").isin([x for x in names if x is not None]))
+    return stretches(rows.filter(~hot), ["owner"]).unionByName(hot_spans(rows.filter(hot)))
+
+
+def hot_spans(rows: DataFrame) -> DataFrame:
+    """merged_spans for owners that are many tasks each: stretches of each range of time, the first of which may go on what earlier ranges left open."""
+    once = rows.groupBy("owner", "started").agg(*span_sums())  # many spans may start at one time
+    local = stretches(with_range(once, "started"), ["owner", PART])
+    before = local.groupBy("owner", PART).agg(F.max("finished").alias("__most"), F.max("started").alias("__last")).withColumn("__before", F.max("__most").over(earlier(["owner"])))
+    # a range with any stretch of its own leaves its last one open, as only its first ones can be others'
+    own = F.coalesce(F.col("__last") > F.col("__before"), F.lit(True))
+    left = before.withColumn("__open", F.max(F.when(own, F.col("__last"))).over(earlier(["owner"]))).select(F.col("owner").alias("__owner"), F.col(PART).alias("__p"), "__before", "__open")
+    joined = local.join(left, F.col("owner").eqNullSafe(F.col("__owner")) & (F.col(PART) == F.col("__p")))
+    begun = F.when(F.col("started") <= F.col("__before"), F.col("__open")).otherwise(F.col("started"))
+    return joined.groupBy("owner", begun.alias("__begun")).agg(F.min("started").alias("started"), *span_sums()).drop("__begun")
 
 
 def drain_rows(events: DataFrame) -> DataFrame:

@@ -247,6 +247,48 @@ def test_stretches_of_spans_by_brute_force(spark, folder):
     assert {r.owner: (r.n_spans, r.sum_seconds, r.union_seconds) for r in telemetry.summaries(ledger)["spans"].collect()} == want
 
 
+def test_spans_are_merged_by_one_sort_unless_their_owner_is_hot(spark, monkeypatch):
+    rnd = random.Random(7)
+    # one owner has most spans, many of them at one start; null is an owner too
+    starts = [(rnd.choice(["hot", "hot", "hot", "b", "c", None]), float(rnd.choice([50, rnd.randrange(400)]))) for _ in range(400)]
+    rows = [(o, a, a + rnd.choice([0.0, 1.0, 2.0, 9.0])) for o, a in starts]
+    made = spark.createDataFrame(rows, "owner string, started double, finished double").repartition(3).select("*", F.lit(1).cast("bigint").alias("n"), (F.col("finished") - F.col("started")).alias("seconds"), (F.col("finished") - F.col("started")).alias("longest"))
+    want = {}
+    for o, a, b in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        own = want.setdefault(o, [])
+        if not own or a > own[-1][1]:
+            own.append([a, b, 0, 0.0, 0.0])
+        last = own[-1]
+        last[1:] = [max(last[1], b), last[2] + 1, last[3] + b - a, max(last[4], b - a)]
+    want = sorted((str(o), *x) for o, own in want.items() for x in own)
+    shown = lambda df: sorted((str(r.owner), r.started, r.finished, r.n, r.seconds, r.longest) for r in df.collect())
+    plain = telemetry.merged_spans(made)
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert shown(plain) == want and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    ranged, hot_spans = [], telemetry.hot_spans
+    monkeypatch.setattr(telemetry, "hot_spans", lambda rows: (ranged.append({r.owner for r in rows.select("owner").distinct().collect()}), hot_spans(rows))[1])
+    assert shown(telemetry.merged_spans(made, 1)) == want and ranged == [{"hot"}]
+    lone = made.filter("owner is null")
+    assert shown(telemetry.merged_spans(lone, 1)) == [x for x in want if x[0] == "None"] and ranged[1:] == [{None}]
+    assert telemetry.merged_spans(made.limit(0), 1).collect() == []
+
+
+def test_a_batch_of_telemetry_is_read_by_many_tasks(spark, monkeypatch):
+    from quarrylight.plans import feeds
+
+    seen, fold = [], telemetry.apply_batch
+
+    def counted(ledger, events, batch):
+        seen.append((batch, events.count(), events.select(F.input_file_name()).distinct().count()))
+        return fold(ledger, events, batch)
+
+    monkeypatch.setattr(telemetry, "apply_batch", counted)
+    feeds.stream_telemetry(spark, "/root/testdata/sf0.01")
+    first = seen[:-1]  # the last one is sent again
+    assert [b for b, *_ in first] == [0, 1, 2] and sum(n for _, n, _ in first) == 10_000
+    assert all(n > 2_000 and files >= 16 for _, n, files in first)
+
+
 # emission
 
 
