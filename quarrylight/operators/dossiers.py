@@ -10,6 +10,7 @@ from pyspark.sql import types as DT
 
 from ..functions import text as T
 from .profiles import present
+from .ranges import staged
 
 
 def site_payloads(sites: DataFrame, key: str, url: str, order: str, candidates: DataFrame, source: str, status: str, confidence: str) -> DataFrame:
@@ -38,49 +39,64 @@ def offline_notes(notes: Column, mode: Column, prefix: str, stale: str, refreshe
     return F.array_distinct(F.concat(F.array(F.concat(F.lit(prefix), mode)), F.when(refreshed, F.array().cast("array<string>")).otherwise(F.array(F.lit(stale))), others))
 
 
-#: The longest list of a place that is held in a row (longer ones are met piece by piece), the list from which a place's wants are dealt out, and over how many tasks.
-LISTED, CROWDED, DEALT = 100_000, 100, 32
+#: The longest list of pieces that a want meets by locator and URL both (keys of longer ones meet pieces); the most pieces of a place and the most keys in one tile;
+#: and how many times as many of either are dealt to one task together, so that few pieces and keys are in it.
+LISTED, CROWDED, KEYS, NEAR = 100_000, 512, 256, (4, 8)
 
 
-def ref_lists(wants: DataFrame, key: str, order: str, locator: str, url: str, kind: str, evidence: DataFrame, evidence_id: str, most: int | None) -> tuple[DataFrame, DataFrame]:
-    """What resolve_refs finds, in two parts: key and its references in order as one array, for keys of one want; the numbered rows of the others.
+def met_places(wants: DataFrame, key: str, locator: str, url: str, kind: str, evidence: DataFrame, evidence_id: str, most: int | None) -> tuple[DataFrame, dict[str, DataFrame], dict[str, DataFrame], DataFrame]:
+    """Wants with how many pieces they meet by locator, by URL and by both; the evidence of each; its numbered places; and the numbers by URL of what a locator and a URL share.
 
-    The evidence of a place is sorted into a list once, one for each kind and one of all, and a want meets lists instead of pieces: no pair is shuffled or sorted.
-    Keys of several wants, and wants of a place with more than LISTED pieces, meet the pieces.
+    A place is a locator or URL, and a kind of evidence or all. Pieces without an id are one, the last. Keys of several wants, and wants that share more than LISTED pieces, are not __single.
     """
-    wanted = F.when(F.coalesce(F.col(kind), F.lit("unknown")) == "unknown", "*").otherwise(F.concat(F.lit("="), F.col(kind)))
-    rows = wants.withColumns({"__w": wanted, "__n": F.count(F.lit(1)).over(Window.partitionBy(key))})
-    sides, lists = {}, {}
+    rows = wants.withColumns({"__of": F.when(F.coalesce(F.col(kind), F.lit("unknown")) == "unknown", "*").otherwise(F.concat(F.lit("="), F.col(kind))), "__n": F.count(F.lit(1)).over(Window.partitionBy(key))})
+    sides, places = {}, {}
     for by in (locator, url):
         side = evidence.filter(F.col(by).isNotNull()).select(F.col(by).alias("__by"), F.col(kind).alias("__kind"), evidence_id)
         if most is not None:
-            place = F.row_number().over(Window.partitionBy("__by", "__kind").orderBy(evidence_id))
+            place = F.row_number().over(Window.partitionBy("__by", "__kind").orderBy(F.asc_nulls_last(evidence_id)))
             side = side.distinct().withColumn("__n", place).filter(F.col("__n") <= most).drop("__n")
         sides[by] = side
         both = side.select("__by", F.explode(F.array(F.lit("*"), F.concat(F.lit("="), F.col("__kind")))).alias("__of"), evidence_id).filter("__of is not null").distinct()
-        sized = both.groupBy("__by", "__of").agg(F.count(F.lit(1)).alias("__size"))
-        deals = F.explode(F.when(F.col("__size") > CROWDED, F.sequence(F.lit(0), F.lit(DEALT - 1))).otherwise(F.array(F.lit(0))))
-        listed = both.join(sized.filter(F.col("__size") <= LISTED), ["__by", "__of"]).groupBy("__by", "__of", "__size").agg(F.sort_array(F.collect_list(evidence_id)).alias(f"__ids_{by}"))
-        lists[by] = listed.withColumn("__deal", deals).drop("__size")
-        rows = rows.join(sized.withColumnRenamed("__size", f"__size_{by}"), (F.col(by) == F.col("__by")) & (F.col("__w") == F.col("__of")), "left").drop("__by", "__of")
-    size = lambda by: F.coalesce(F.col(f"__size_{by}"), F.lit(0))
-    short = (F.col("__n") == 1) & (size(locator) <= LISTED) & (size(url) <= LISTED)
-    direct = rows.filter(short)
-    for by in (locator, url):
-        deal = F.when(size(by) > CROWDED, F.pmod(F.xxhash64(key), F.lit(DEALT))).otherwise(0)
-        direct = direct.withColumn("__d", deal.cast("int")).join(lists[by], (F.col(by) == F.col("__by")) & (F.col("__w") == F.col("__of")) & (F.col("__d") == F.col("__deal")), "left").drop("__by", "__of", "__deal", "__d")
-    ids = lambda by: F.coalesce(f"__ids_{by}", F.array().cast(direct.schema[f"__ids_{by}"].dataType))
-    whole = F.array_distinct(F.concat(ids(locator), ids(url)))
-    direct = direct.select(key, (whole if most is None else F.slice(whole, 1, most)).alias("__ids")).filter(F.size("__ids") > 0)
+        places[by] = both.withColumn("__no", F.row_number().over(Window.partitionBy("__by", "__of").orderBy(F.asc_nulls_last(evidence_id))))
+        sized = both.groupBy(F.col("__by").alias(by), "__of").agg(F.count(F.lit(1)).alias(f"__n_{by}"), F.min(evidence_id).alias(f"__first_{by}"))
+        rows = rows.join(sized, [by, "__of"], "left")
+    other = places[locator].select(F.col("__by").alias("__clash"), F.col("__of").alias("__of2"), F.col(evidence_id).alias("__id2"))
+    shared = places[url].join(other, (F.col("__of") == F.col("__of2")) & F.col(evidence_id).eqNullSafe(F.col("__id2"))).select("__clash", "__by", "__of", F.col("__no").cast("bigint").alias("__no"))
+    clashes = shared.groupBy(F.col("__clash").alias(locator), F.col("__by").alias(url), "__of").agg(F.count(F.lit(1)).alias("__n_both"))
+    rows = rows.join(clashes, [locator, url, "__of"], "left").fillna(0, [f"__n_{locator}", f"__n_{url}", "__n_both"])
+    rows = rows.withColumn("__single", (F.col("__n") == 1) & F.col(key).isNotNull() & (F.col("__n_both") <= LISTED))
+    return staged(rows, "wants"), sides, places, shared
 
-    fits = lambda w: F.coalesce(F.col(w) == "unknown", F.lit(True)) | (F.col(w) == F.col("__kind"))
-    rest, found = rows.filter(~short).select(*wants.columns), None
-    for phase, (by, side) in enumerate(sides.items()):
-        part = rest.join(side, F.col(by) == F.col("__by")).filter(fits(kind)).select(key, evidence_id, F.struct(F.lit(phase).alias("p"), F.col(order).alias("o")).alias("__at"))
-        found = part if found is None else found.unionByName(part)
-    once = found.groupBy(key, evidence_id).agg(F.min("__at").alias("__at"))
-    numbered = once.withColumn("ref_no", F.row_number().over(Window.partitionBy(key).orderBy("__at", evidence_id))).drop("__at")
-    return direct, numbered if most is None else numbered.filter(F.col("ref_no") <= most)
+
+def ref_tiles(rows: DataFrame, key: str, locator: str, url: str, places: dict[str, DataFrame], shared: DataFrame, evidence_id: str) -> DataFrame:
+    """References of keys of one want as tiles: __ids, up to CROWDED pieces of a place in order, __keys, up to KEYS keys that all have them, and __before, the number before the first. Tiles near each other have the same __deal.
+
+    No pair is shuffled, and a tile is as small as its lists, however long a place's. Keys of a tile have as many pieces by locator, and those that meet some piece twice have the same locator.
+    """
+    tiles, cut = None, max(CROWDED, 1)
+    group = ["__by", "__of", "__before", "__clash"]
+    for by in (locator, url):
+        before = F.lit(0).cast("bigint") if by == locator else F.col(f"__n_{locator}")
+        clash = F.when(F.lit(by == url) & (F.col("__n_both") > 0), F.col(locator))
+        asked = rows.filter(F.col(f"__n_{by}") > 0).select(key, F.col(by).alias("__by"), "__of", before.alias("__before"), clash.alias("__clash")).alias("a")
+        sized = asked.groupBy(*group).agg(F.count(F.lit(1)).alias("__size")).alias("s")
+        same = [F.col(f"a.{c}").eqNullSafe(F.col(f"s.{c}")) for c in group]
+        part = F.pmod(F.xxhash64(key), F.ceil(F.col("__size") / (KEYS * NEAR[1]))).alias("__part")
+        lists = asked.join(sized, same).groupBy(*[f"a.{c}" for c in group], part).agg(F.collect_list(key).alias("__all"))
+        slices = F.transform(F.sequence(F.lit(0), F.floor((F.size("__all") - 1) / KEYS).cast("int")), lambda n: F.slice("__all", n * KEYS + 1, KEYS))
+        low = F.floor((F.col("__no") - 1) / cut) * cut
+        pieces = places[by].groupBy("__by", "__of", low.alias("__low")).agg(F.transform(F.array_sort(F.collect_list(F.struct("__no", F.col(evidence_id).alias("i")))), lambda x: x["i"]).alias("__ids"))
+        ids, gone = F.col("__ids"), F.lit(0)
+        if by == url:
+            lists = lists.join(shared.groupBy("__clash", "__by", "__of").agg(F.collect_list("__no").alias("__twice")), ["__clash", "__by", "__of"], "left")
+            left = F.array_except(F.sequence(F.col("__low") + 1, F.col("__low") + F.size("__ids")), "__twice")
+            ids = F.when(F.col("__twice").isNull(), ids).otherwise(F.transform(left, lambda n: F.get("__ids", (n - F.col("__low") - 1).cast("int"))))
+            gone = F.when(F.col("__twice").isNull(), gone).otherwise(F.size(F.filter("__twice", lambda n: n <= F.col("__low"))))
+        deal = F.xxhash64(*group, "__part", F.floor(F.col("__low") / (cut * NEAR[0]))).alias("__deal")
+        part = lists.join(pieces, ["__by", "__of"]).select(F.explode(slices).alias("__keys"), ids.alias("__ids"), (F.col("__before") + F.col("__low") - gone).cast("int").alias("__before"), deal)
+        tiles = part if tiles is None else tiles.unionByName(part)
+    return tiles
 
 
 def resolve_refs(wants: DataFrame, key: str, order: str, locator: str, url: str, kind: str, evidence: DataFrame, evidence_id: str, most: int | None = None) -> DataFrame:
@@ -90,16 +106,36 @@ def resolve_refs(wants: DataFrame, key: str, order: str, locator: str, url: str,
     and many wants isn't their product; the first most of all are the same, as no want needs more of one place than that.
 
     A wanted kind other than null or unknown must be the evidence's. Evidence has columns locator, url, kind of the same names.
+
+    Without most the rows are a product by nature. Their order is free: a tile gives the keys of one piece after the other, so that pieces and numbers are
+    runs and keys repeat, which files of columns store in a small part of what pieces key by key take. Tiles are dealt to as many tasks as a shuffle has.
     """
-    direct, others = ref_lists(wants, key, order, locator, url, kind, evidence, evidence_id, most)
-    rows = direct.select(key, F.posexplode("__ids").alias("__p", evidence_id))
-    return rows.select(key, evidence_id, (F.col("__p") + 1).alias("ref_no")).unionByName(others)
+    rows, sides, places, shared = met_places(wants, key, locator, url, kind, evidence, evidence_id, most)
+    tiles = ref_tiles(rows.filter("__single"), key, locator, url, places, shared, evidence_id)
+    dealt = (tiles if most is None else tiles.filter(F.col("__before") < most)).repartition(int(wants.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__deal")
+    listed = dealt.select("__keys", "__before", F.posexplode("__ids").alias("__p", evidence_id)).select(F.explode("__keys").alias(key), evidence_id, (F.col("__before") + F.col("__p") + 1).alias("ref_no"))
+    found = listed.unionByName(numbered_refs(rows.filter("not __single"), key, order, locator, url, kind, sides, evidence_id))
+    return found if most is None else found.filter(F.col("ref_no") <= most)
+
+
+def numbered_refs(wants: DataFrame, key: str, order: str, locator: str, url: str, kind: str, sides: dict[str, DataFrame], evidence_id: str) -> DataFrame:
+    """References of keys of several wants: each want meets the pieces, and a piece counts where its key meets it first."""
+    fits = lambda w: F.coalesce(F.col(w) == "unknown", F.lit(True)) | (F.col(w) == F.col("__kind"))
+    found = None
+    for phase, (by, side) in enumerate(sides.items()):
+        part = wants.join(side, F.col(by) == F.col("__by")).filter(fits(kind)).select(key, evidence_id, F.struct(F.lit(phase).alias("p"), F.col(order).alias("o")).alias("__at"))
+        found = part if found is None else found.unionByName(part)
+    once = found.groupBy(key, evidence_id).agg(F.min("__at").alias("__at"))
+    return once.withColumn("ref_no", F.row_number().over(Window.partitionBy(key).orderBy("__at", F.asc_nulls_last(evidence_id)))).drop("__at")
 
 
 def count_refs(wants: DataFrame, key: str, order: str, locator: str, url: str, kind: str, evidence: DataFrame, evidence_id: str) -> DataFrame:
-    """Per key n_refs and first_ref of what resolve_refs finds, of which most rows are never made."""
-    direct, others = ref_lists(wants, key, order, locator, url, kind, evidence, evidence_id, None)
-    return direct.select(key, F.size("__ids").cast("bigint").alias("n_refs"), F.get("__ids", F.lit(0)).alias("first_ref")).unionByName(counted(others, key, evidence_id))
+    """Per key n_refs and first_ref of what resolve_refs finds: for keys of one want from the counts of places, without a row or list of references."""
+    rows, sides, _, _ = met_places(wants, key, locator, url, kind, evidence, evidence_id, None)
+    n = F.col(f"__n_{locator}") + F.col(f"__n_{url}") - F.col("__n_both")
+    first = F.when(F.col(f"__n_{locator}") > 0, F.col(f"__first_{locator}")).otherwise(F.col(f"__first_{url}"))
+    direct = rows.filter("__single").select(key, n.alias("n_refs"), first.alias("first_ref")).filter("n_refs > 0")
+    return direct.unionByName(counted(numbered_refs(rows.filter("not __single"), key, order, locator, url, kind, sides, evidence_id), key, evidence_id))
 
 
 def counted(refs: DataFrame, key: str, evidence_id: str) -> DataFrame:
