@@ -113,6 +113,8 @@ def resolve_refs(wants: DataFrame, key: str, order: str, locator: str, url: str,
     rows, sides, places, shared = met_places(wants, key, locator, url, kind, evidence, evidence_id, most)
     tiles = ref_tiles(rows.filter("__single"), key, locator, url, places, shared, evidence_id)
     dealt = (tiles if most is None else tiles.filter(F.col("__before") < most)).repartition(int(wants.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__deal")
+    # a writer gives up its dictionary of keys where its first page repeats none, so tiles of many pieces come first
+    dealt = dealt.sortWithinPartitions(F.desc(F.size("__ids")), "__deal")
     listed = dealt.select("__keys", "__before", F.posexplode("__ids").alias("__p", evidence_id)).select(F.explode("__keys").alias(key), evidence_id, (F.col("__before") + F.col("__p") + 1).alias("ref_no"))
     found = listed.unionByName(numbered_refs(rows.filter("not __single"), key, order, locator, url, kind, sides, evidence_id))
     return found if most is None else found.filter(F.col("ref_no") <= most)
